@@ -5,27 +5,62 @@ interval is ``[start, end)`` (``bounds="[)"``) or ``(start, end]``
 (``bounds="(]"``), for dimensions whose intervals per key do not overlap —
 what :func:`hayloft.operators.scd.scd2` produces. When ``keys`` is only a
 prefix of the dimension's own key (several devices per farm), overlapping
-intervals resolve to the one that started last (ties: the larger
-``tie_break`` value), instead of fanning the fact out.
+intervals resolve to the one that started last (then the larger
+``tie_break`` values, then the later end) instead of fanning the fact out.
 
-Plan: facts and dimension rows are unioned and scanned in time order per
-key ("as-of"), so the cost is linear — no equi-join on a weak key that would
-pair every fact of a hot key with every dimension row of it. The scan is the
-bucketed, skew-safe ``last_seen`` of :mod:`hayloft.operators.ordered`.
+Plan: facts and dimension rows are unioned and scanned in time order per key
+("as-of"), so the cost is linear — no equi-join on a weak key that would
+pair every fact of a hot key with every dimension row of it.
+
+* DATE fact times (the daily facts): the dimension is first reduced to one
+  row per key and *first fact day it can apply to* (``max_by``, combined
+  map-side). Per key the scan then holds at most one dimension row per day
+  plus the facts of that key, so its size is bounded by the date span, not by
+  the data volume, and one window on the key suffices. Each input is read
+  once.
+* TIMESTAMP fact times: the bucketed, skew-safe ``last_seen`` of
+  :mod:`hayloft.operators.ordered` (inputs are read twice: main pass and
+  bucket summary).
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from hayloft.operators import ordered
 
 DEFAULT_BUCKET_SECONDS = 7 * 86400
 
 
+def _payload(columns: Mapping[str, str], start_col: str, end_col: str, tie_break: Sequence[str]) -> Column:
+    return F.struct(
+        F.col(start_col).cast("timestamp").alias("start"),
+        *[F.col(c).alias(f"tb{i}") for i, c in enumerate(tie_break)],
+        F.col(end_col).cast("timestamp").alias("end"),
+        *[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)],
+    )
+
+
+def _valid_dim(dim: DataFrame, keys: Sequence[str], start_col: str) -> DataFrame:
+    rows = dim.where(F.col(start_col).isNotNull())
+    for k in keys:
+        rows = rows.where(F.col(k).isNotNull())  # NULL keys never match
+    return rows
+
+
+def _finish(facts: DataFrame, fact_cols, t: Column, seen: Column, bounds: str, columns) -> DataFrame:
+    inside = (t < seen["end"]) if bounds == "[)" else (t <= seen["end"])
+    matched = F.when(seen.isNotNull() & inside & t.isNotNull(), seen)
+    return facts.withColumn("_hl_match", matched).select(
+        *[F.col(c) for c in fact_cols],
+        *[F.col(f"_hl_match.c{i}").alias(out) for i, out in enumerate(columns.values())],
+    )
+
+
 def point_in_time_join(
     fact: DataFrame,
     dim: DataFrame,
@@ -42,48 +77,68 @@ def point_in_time_join(
     """Add dimension columns ``columns`` (``{dim_column: output_name}``) to ``fact``.
 
     Every fact row is kept exactly once; the added columns are NULL when no
-    interval contains the fact time (or the fact key has NULLs).
+    interval contains the fact time (or the fact key has NULLs). A DATE fact
+    time is compared as midnight of that day in the session zone.
     """
     if bounds not in ("[)", "(]"):
         raise ValueError("bounds must be '[)' or '(]'")
+    if isinstance(fact.schema[fact_time].dataType, DateType):
+        return _daily(fact, dim, keys, fact_time, columns, bounds, start_col, end_col, tie_break)
+    return _bucketed(fact, dim, keys, fact_time, columns, bounds, start_col, end_col, tie_break, bucket_seconds)
+
+
+def _daily(fact, dim, keys, fact_time, columns, bounds, start_col, end_col, tie_break):
+    start = F.col(start_col).cast("timestamp")
+    start_day = F.to_date(start)
+    if bounds == "[)":
+        # start <= midnight(D): D is the start day when the start is a midnight
+        first_day = F.when(start == start_day.cast("timestamp"), start_day).otherwise(F.date_add(start_day, 1))
+    else:
+        # start < midnight(D)
+        first_day = F.date_add(start_day, 1)
+    latest = F.max_by(
+        _payload(columns, start_col, end_col, tie_break),
+        F.struct(start, *[F.col(c) for c in tie_break], F.col(end_col).cast("timestamp")),
+    )
+    reduced = (
+        _valid_dim(dim, keys, start_col)
+        .groupBy(*[F.col(k) for k in keys], first_day.alias("_hl_t"))
+        .agg(latest.alias("_hl_dim"))
+        .withColumn("_hl_rank", F.lit(0))
+    )
+    fact_cols = fact.columns
+    facts = fact.withColumn("_hl_t", F.col(fact_time)).withColumn("_hl_rank", F.lit(1))
+    both = facts.unionByName(reduced, allowMissingColumns=True)
+    w = (
+        Window.partitionBy(*[F.col(k) for k in keys])
+        .orderBy("_hl_t", "_hl_rank")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    scanned = both.withColumn("_hl_seen", F.last("_hl_dim", ignorenulls=True).over(w))
+    only_facts = scanned.where(F.col("_hl_rank") == 1)
+    return _finish(only_facts, fact_cols, F.col("_hl_t").cast("timestamp"), F.col("_hl_seen"), bounds, columns)
+
+
+def _bucketed(fact, dim, keys, fact_time, columns, bounds, start_col, end_col, tie_break, bucket_seconds):
     # At equal times a "[)" dimension row is visible to the fact (start <= t),
     # a "(]" one is not (start < t): order the row kinds accordingly.
     dim_rank, fact_rank = (0, 1) if bounds == "[)" else (1, 0)
     t = "_hl_t"
-
-    payload = F.struct(
-        F.col(start_col).cast("timestamp").alias("start"),
-        F.col(end_col).cast("timestamp").alias("end"),
-        *[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)],
-        *[F.col(c).alias(f"tb{i}") for i, c in enumerate(tie_break)],
-    )
-    dim_rows = dim.where(F.col(start_col).isNotNull())
-    for k in keys:
-        dim_rows = dim_rows.where(F.col(k).isNotNull())  # NULL keys never match
-    dim_rows = dim_rows.select(
+    dim_rows = _valid_dim(dim, keys, start_col).select(
         *[F.col(k) for k in keys],
         F.col(start_col).cast("timestamp").alias(t),
         F.lit(dim_rank).alias("_hl_rank"),
-        payload.alias("_hl_dim"),
+        _payload(columns, start_col, end_col, tie_break).alias("_hl_dim"),
     )
-
     fact_cols = fact.columns
     fact_rows = fact.select(
         *[F.col(c) for c in fact_cols],
         F.col(fact_time).cast("timestamp").alias(t),
         F.lit(fact_rank).alias("_hl_rank"),
     )
-    tb_order = [F.col(f"_hl_dim.tb{i}") for i in range(len(tie_break))]
+    order = [t, "_hl_rank", *[F.col(f"_hl_dim.tb{i}") for i in range(len(tie_break))], F.col("_hl_dim.end")]
     both = fact_rows.unionByName(dim_rows, allowMissingColumns=True)
     staged = ordered.with_partition_columns(both, keys, t, bucket_seconds)
-    scanned = ordered.last_seen(staged, [t, "_hl_rank", *tb_order], "_hl_dim", "_hl_seen")
-
-    seen = F.col("_hl_seen")
-    t_col = F.col(t)
-    inside = (t_col < seen["end"]) if bounds == "[)" else (t_col <= seen["end"])
-    facts_only = scanned.where(F.col("_hl_rank") == F.lit(fact_rank)).where(F.col("_hl_dim").isNull())
-    matched = F.when(seen.isNotNull() & inside & t_col.isNotNull(), seen)
-    return facts_only.withColumn("_hl_match", matched).select(
-        *[F.col(c) for c in fact_cols],
-        *[F.col(f"_hl_match.c{i}").alias(out) for i, out in enumerate(columns.values())],
-    )
+    scanned = ordered.last_seen(staged, order, "_hl_dim", "_hl_seen")
+    only_facts = scanned.where(F.col("_hl_rank") == F.lit(fact_rank)).where(F.col("_hl_dim").isNull())
+    return _finish(only_facts, fact_cols, F.col(t), F.col("_hl_seen"), bounds, columns)

@@ -4,16 +4,55 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hayloft.functions.time import OPEN_END, epoch_seconds
-from hayloft.operators import ordered
+from hayloft.operators.ordered import BUCKET, KEY, drop_partition_columns, with_partition_columns
 
 FINGERPRINT_SEPARATOR = ", "
 DEFAULT_BUCKET_SECONDS = 3600
 
 
+def _bucket_summary(staged: DataFrame, t: str, fp: str) -> DataFrame:
+    """Per (key, bucket): the fingerprint flowing in from earlier buckets and
+    the first change point in any later bucket — built from the input alone.
+
+    1. ``groupBy(key, bucket, fp)`` → first / last time of each fingerprint
+       (hash aggregation, combined map-side);
+    2. ranked by first time inside the bucket: rank 1 is the bucket's first
+       row, rank 2's first time is the bucket's first internal change;
+    3. per key over buckets (a few rows per key and time span): the previous
+       bucket's last fingerprint decides whether the bucket's first row is a
+       change, and the next change point after each bucket is the first
+       non-NULL one among the following buckets.
+    """
+    per_fp = staged.groupBy(KEY, BUCKET, fp).agg(F.min(t).alias("_t0"), F.max(t).alias("_t1"))
+    rank = F.row_number().over(Window.partitionBy(KEY, BUCKET).orderBy("_t0", fp))
+    per_bucket = (
+        per_fp.withColumn("_rn", rank)
+        .groupBy(KEY, BUCKET)
+        .agg(
+            F.min("_t0").alias("_first_t"),
+            F.max(F.when(F.col("_rn") == 1, F.col(fp))).alias("_first_fp"),
+            F.max(F.when(F.col("_rn") == 2, F.col("_t0"))).alias("_inner_change_t"),
+            F.max_by(F.col(fp), F.struct("_t1", fp)).alias("_last_fp"),
+        )
+    )
+    by_key = Window.partitionBy(KEY).orderBy(BUCKET)
+    incoming = F.lag("_last_fp").over(by_key)
+    first_change = F.when(
+        incoming.isNull() | (F.col("_first_fp") != incoming), F.col("_first_t")
+    ).otherwise(F.col("_inner_change_t"))
+    later = by_key.rowsBetween(1, Window.unboundedFollowing)
+    return (
+        per_bucket.withColumn("_carry_fp", incoming)
+        .withColumn("_change_t", first_change)
+        .withColumn("_next_change_t", F.first("_change_t", ignorenulls=True).over(later))
+        .select(KEY, BUCKET, "_carry_fp", "_next_change_t")
+    )
+
+
 def scd2(
     df: DataFrame,
     partition_columns: Sequence[str],
@@ -33,25 +72,40 @@ def scd2(
     * ``duration_s`` = whole seconds between start and end.
 
     All input columns are kept; existing ``end_time`` / ``duration_s`` are
-    replaced in place. Rows are ordered by ``(orderby_col, fingerprint)`` so
-    equal timestamps resolve deterministically. One shuffle on
-    ``(key, time bucket)``; see :mod:`hayloft.operators.ordered` for skew.
+    replaced in place. Rows are ordered by ``(orderby_col, fingerprint)``, so
+    equal timestamps resolve deterministically.
+
+    Plan: one shuffle on ``(key, time bucket)`` — a key with a third of all
+    rows is spread over its buckets — and two windows on one sort inside each
+    bucket. Bucket edges are repaired from a summary that is a hash
+    aggregation of the (narrow) input, joined back on ``(key, bucket)``.
     """
-    fp = "_hl_fp"
-    order = [orderby_col, fp]
-    staged = ordered.with_partition_columns(
+    fp, t = "_hl_fp", orderby_col
+    staged = with_partition_columns(
         df.withColumn(fp, F.concat_ws(FINGERPRINT_SEPARATOR, *[F.col(c) for c in column_names])),
         partition_columns,
-        orderby_col,
+        t,
         bucket_seconds,
     )
-    flagged = ordered.previous_value(staged, order, fp, "_hl_prev_fp")
-    kept = flagged.where(F.col("_hl_prev_fp").isNull() | (F.col(fp) != F.col("_hl_prev_fp")))
-    with_end = ordered.next_value(kept, order, orderby_col, "_hl_end", default=open_end)
+    summary = _bucket_summary(staged, t, fp)
 
-    out = with_end.withColumn("end_time", F.col("_hl_end").cast("timestamp"))
+    w_in = Window.partitionBy(KEY, BUCKET).orderBy(t, fp)
+    after = w_in.rowsBetween(1, Window.unboundedFollowing)
+    marked = (
+        staged.withColumn("_lag", F.lag(fp).over(w_in))
+        .withColumn("_first", F.lag(F.lit(1)).over(w_in).isNull())
+        .withColumn("_inner_change", F.when(~F.col("_first") & (F.col(fp) != F.col("_lag")), F.col(t)))
+        .withColumn("_next_inner", F.first("_inner_change", ignorenulls=True).over(after))
+    )
+    prev = F.when(F.col("_first"), F.col("_carry_fp")).otherwise(F.col("_lag"))
+    kept = marked.join(summary, on=[KEY, BUCKET], how="left").where(prev.isNull() | (F.col(fp) != prev))
+    end = F.coalesce(F.col("_next_inner"), F.col("_next_change_t"), F.lit(open_end))
+
+    out = kept.withColumn("end_time", end.cast("timestamp"))
     if "time" in df.columns:
         out = out.withColumnRenamed("time", "start_time")
-    start = "start_time" if orderby_col == "time" else orderby_col
+    start = "start_time" if t == "time" else t
     out = out.withColumn("duration_s", epoch_seconds("end_time") - epoch_seconds(start))
-    return ordered.drop_partition_columns(out).drop(fp, "_hl_prev_fp", "_hl_end")
+    return drop_partition_columns(out).drop(
+        fp, "_lag", "_first", "_inner_change", "_next_inner", "_carry_fp", "_next_change_t"
+    )

@@ -18,8 +18,16 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one table; TIMESTAMP_NTZ columns become session-zone TIMESTAMPs.
 
     The projection is lazy, so column pruning and filters still reach the
-    parquet scan.
+    parquet scan. A source that yields fewer input splits than the cluster
+    has cores (the given files are one row group each) is spread round-robin
+    over ``defaultParallelism`` partitions right after the scan, so joins,
+    explodes and partial aggregations downstream run on every core. A large
+    source has many splits and is left untouched.
     """
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return to_timestamp_columns(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
+    return to_timestamp_columns(df)
