@@ -40,4 +40,5 @@ def surrogate_key(*cols, mode: str = "hash") -> Column:
     if mode == "uuid":
         return F.expr("uuid()")
     parts = [F.coalesce(_col(c).cast("string"), F.lit("\u0000")) for c in cols]
-    return F.sha2(F.concat_ws("\u0001", *parts), 256)
+    # sha2 is typed nullable; the coalesce (never taken) makes the NOT NULL explicit
+    return F.coalesce(F.sha2(F.concat_ws("\u0001", *parts), 256), F.lit(""))
