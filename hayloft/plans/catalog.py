@@ -17,7 +17,11 @@ from pyspark.sql import functions as F
 from hayloft.functions.names import make_mojibake, repair_mojibake
 from hayloft.operators import dedup, fill_days, pair_events, point_in_time_join, scd2, shred, split_intervals
 from hayloft.plans import checks, gold, kpi, silver, standins
+from hayloft.functions.time import to_timestamp_columns
+from hayloft.session import scratch_path
 from hayloft.sources.calendar import calendar_of
+from hayloft.sources.files import read_table, write_table
+from hayloft.streaming.ingest import ingest, with_lineage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -260,6 +264,31 @@ def q_farm_daily_agg(spark, sf):
     return _round_cols(gold.farm_daily_measures(_feeds(spark, sf)), _AGG_DOUBLES["farm"], 6)
 
 
+_BRONZE_COLS = ["farm_license", "device_type", "device_number", "msg_type", "time", "data"]
+
+
+def q_bronze_partition_roundtrip(spark, sf):
+    """Bronze written partitioned by message type, read back with a pruned filter."""
+    path = scratch_path(spark, "bronze-roundtrip")
+    write_table(standins.messages(spark, sf).select(*_BRONZE_COLS), path, partition_by=["msg_type"])
+    clicks = read_table(spark, path).where(F.col("msg_type") == "CLICK")
+    return shred(clicks, "CLICK", "k INT", {"k": "k"}).select("farm_license", "time", "k")
+
+
+def q_bronze_stream_ingest(spark, sf):
+    """The events file ingested as a stream into a bronze table (availableNow)."""
+    base = scratch_path(spark, "bronze-stream")
+    schema = spark.read.parquet(f"{sf}/events.parquet").schema
+    # a one-file glob keeps the stream's base path at the table folder
+    source = spark.readStream.schema(schema).parquet(f"{sf}/[e]vents.parquet")
+    query = ingest(
+        source, f"{base}/table", f"{base}/checkpoint",
+        transform=lambda df: with_lineage(standins.as_messages(to_timestamp_columns(df)).select(*_BRONZE_COLS)),
+    )
+    query.awaitTermination()
+    return read_table(spark, f"{base}/table").select(*_BRONZE_COLS)
+
+
 QUERIES: dict[str, Query] = {
     "shred_json": q_shred_json,
     "dedup_first": q_dedup_first,
@@ -295,4 +324,6 @@ QUERIES: dict[str, Query] = {
     "kpi_ration": q_kpi_ration,
     "topk_preview": q_topk_preview,
     "name_repair": q_name_repair,
+    "bronze_partition_roundtrip": q_bronze_partition_roundtrip,
+    "bronze_stream_ingest": q_bronze_stream_ingest,
 }

@@ -389,4 +389,14 @@ FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 ORDER BY 1, 2, 3, 4, 5, 6, 7 LIMIT 10""",
 
     "name_repair": "SELECT doc_id, text FROM documents",
+
+    "bronze_partition_roundtrip": """
+SELECT CAST(user_id AS VARCHAR) AS farm_license, ts AS time,
+       CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
+FROM events WHERE upper(event_type) = 'CLICK'""",
+
+    "bronze_stream_ingest": """
+SELECT CAST(user_id AS VARCHAR) AS farm_license, 'robot' AS device_type, 1 AS device_number,
+       upper(event_type) AS msg_type, ts AS time, props AS data
+FROM events""",
 }

@@ -31,7 +31,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze-shaped messages (plus ``event_id`` and ``value``)."""
-    ev = table(spark, sf_dir, "events")
+    return as_messages(table(spark, sf_dir, "events"))
+
+
+def as_messages(ev: DataFrame) -> DataFrame:
+    """``events`` rows (batch or streaming) as bronze-shaped messages."""
     return ev.select(
         F.col("user_id").cast("string").alias("farm_license"),
         F.lit("robot").alias("device_type"),
