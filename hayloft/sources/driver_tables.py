@@ -27,7 +27,11 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
     df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect): keep the scan as is
+        cores, splits = 0, 0
+    if splits < cores:
         df = df.repartition(cores)
     return to_timestamp_columns(df)
