@@ -1,11 +1,11 @@
-"""Skew-safe "previous / next / last-seen" values along an ordered key.
+"""Skew-safe "last seen" value along an ordered key (timestamp as-of scans).
 
 A plain ``Window.partitionBy(keys).orderBy(t)`` sends every row of one key to
 one task: a key holding a third of all rows becomes a third of the job in a
 single task. These helpers partition by ``(key, time bucket)`` instead and
 repair the bucket edges from a small per-bucket summary:
 
-1. in-bucket window (``lag`` / ``lead`` / ``last``) on ``(key, bucket)``;
+1. in-bucket running ``last(ignorenulls)`` on ``(key, bucket)``;
 2. summary ``groupBy(key, bucket)`` (partial aggregation, one row per
    non-empty bucket), then a window over the *summary* by key ordered by bucket
    — a hot key has at most ``time span / bucket`` summary rows;
@@ -35,68 +35,13 @@ def with_partition_columns(
 ) -> DataFrame:
     """Add the packed key and the time bucket used by the helpers below."""
     key = F.struct(*[F.col(k) for k in keys]) if keys else F.lit(0)
-    return df.withColumn(KEY, key).withColumn(BUCKET, time_bucket(time_col, bucket_seconds))
+    return df.withColumns({KEY: key, BUCKET: time_bucket(time_col, bucket_seconds)})
 
 
 def _order(order: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
-def previous_value(df: DataFrame, order: Sequence[str | Column], value: str, out: str) -> DataFrame:
-    """``out`` = ``value`` of the preceding row of the same key (NULL for the first).
-
-    ``order`` must be a total order of the rows inside a key for a
-    deterministic result (ties give an arbitrary predecessor, as ``lag`` does).
-    """
-    order_cols = _order(order)
-    w_in = Window.partitionBy(KEY, BUCKET).orderBy(*order_cols)
-    first_in_bucket = F.lag(F.lit(1)).over(w_in).isNull()
-    df = df.withColumn("_hl_in", F.lag(value).over(w_in)).withColumn("_hl_first", first_in_bucket)
-
-    last_per_bucket = df.groupBy(KEY, BUCKET).agg(
-        F.max_by(F.col(value), F.struct(*order_cols)).alias("_hl_last")
-    )
-    carry = last_per_bucket.select(
-        KEY, BUCKET, F.lag("_hl_last").over(Window.partitionBy(KEY).orderBy(BUCKET)).alias("_hl_carry")
-    )
-    return (
-        df.join(carry, on=[KEY, BUCKET], how="left")
-        .withColumn(out, F.when(F.col("_hl_first"), F.col("_hl_carry")).otherwise(F.col("_hl_in")))
-        .drop("_hl_in", "_hl_first", "_hl_carry")
-    )
-
-
-def next_value(
-    df: DataFrame, order: Sequence[str | Column], value: str, out: str, default=None
-) -> DataFrame:
-    """``out`` = ``value`` of the following row of the same key (``default`` for the last)."""
-    order_cols = _order(order)
-    w_in = Window.partitionBy(KEY, BUCKET).orderBy(*order_cols)
-    last_in_bucket = F.lead(F.lit(1)).over(w_in).isNull()
-    df = df.withColumn("_hl_in", F.lead(value).over(w_in)).withColumn("_hl_lastrow", last_in_bucket)
-
-    first_per_bucket = df.groupBy(KEY, BUCKET).agg(
-        F.min_by(F.col(value), F.struct(*order_cols)).alias("_hl_firstval")
-    )
-    carry = first_per_bucket.select(
-        KEY,
-        BUCKET,
-        F.lead("_hl_firstval").over(Window.partitionBy(KEY).orderBy(BUCKET)).alias("_hl_carry"),
-        # a following bucket exists (its first value may itself be NULL)
-        F.lead(F.lit(1)).over(Window.partitionBy(KEY).orderBy(BUCKET)).isNotNull().alias("_hl_has_next"),
-    )
-    fallback = F.lit(default) if default is not None else F.lit(None)
-    nxt = F.when(
-        F.col("_hl_lastrow"),
-        F.when(F.col("_hl_has_next"), F.col("_hl_carry")).otherwise(fallback),
-    ).otherwise(F.col("_hl_in"))
-    return (
-        df.join(carry, on=[KEY, BUCKET], how="left")
-        .withColumn(out, nxt)
-        .drop("_hl_in", "_hl_lastrow", "_hl_carry", "_hl_has_next")
-    )
-
-
 def last_seen(df: DataFrame, order: Sequence[str | Column], value: str, out: str) -> DataFrame:
     """``out`` = last non-NULL ``value`` up to and including the current row of the key."""
     order_cols = _order(order)

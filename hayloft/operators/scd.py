@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hayloft.functions.time import OPEN_END, epoch_seconds
-from hayloft.operators.ordered import BUCKET, KEY, drop_partition_columns, with_partition_columns
+from hayloft.operators.ordered import BUCKET, KEY, with_partition_columns
 
 FINGERPRINT_SEPARATOR = ", "
 DEFAULT_BUCKET_SECONDS = 3600
@@ -46,10 +46,8 @@ def _bucket_summary(staged: DataFrame, t: str, fp: str) -> DataFrame:
     ).otherwise(F.col("_inner_change_t"))
     later = by_key.rowsBetween(1, Window.unboundedFollowing)
     return (
-        per_bucket.withColumn("_carry_fp", incoming)
-        .withColumn("_change_t", first_change)
-        .withColumn("_next_change_t", F.first("_change_t", ignorenulls=True).over(later))
-        .select(KEY, BUCKET, "_carry_fp", "_next_change_t")
+        per_bucket.withColumns({"_carry_fp": incoming, "_change_t": first_change})
+        .select(KEY, BUCKET, "_carry_fp", F.first("_change_t", ignorenulls=True).over(later).alias("_next_change_t"))
     )
 
 
@@ -92,8 +90,7 @@ def scd2(
     w_in = Window.partitionBy(KEY, BUCKET).orderBy(t, fp)
     after = w_in.rowsBetween(1, Window.unboundedFollowing)
     marked = (
-        staged.withColumn("_lag", F.lag(fp).over(w_in))
-        .withColumn("_first", F.lag(F.lit(1)).over(w_in).isNull())
+        staged.withColumns({"_lag": F.lag(fp).over(w_in), "_first": F.lag(F.lit(1)).over(w_in).isNull()})
         .withColumn("_inner_change", F.when(~F.col("_first") & (F.col(fp) != F.col("_lag")), F.col(t)))
         .withColumn("_next_inner", F.first("_inner_change", ignorenulls=True).over(after))
     )
@@ -101,11 +98,21 @@ def scd2(
     kept = marked.join(summary, on=[KEY, BUCKET], how="left").where(prev.isNull() | (F.col(fp) != prev))
     end = F.coalesce(F.col("_next_inner"), F.col("_next_change_t"), F.lit(open_end))
 
-    out = kept.withColumn("end_time", end.cast("timestamp"))
-    if "time" in df.columns:
-        out = out.withColumnRenamed("time", "start_time")
-    start = "start_time" if t == "time" else t
-    out = out.withColumn("duration_s", epoch_seconds("end_time") - epoch_seconds(start))
-    return drop_partition_columns(out).drop(
-        fp, "_lag", "_first", "_inner_change", "_next_inner", "_carry_fp", "_next_change_t"
-    )
+    end_col = end.cast("timestamp")
+    duration = epoch_seconds(end_col) - epoch_seconds(F.col(t))
+    cols = [F.col(c).alias("start_time") if c == "time" else F.col(c)
+            for c in df.columns if c not in ("end_time", "duration_s")]
+    # existing end_time / duration_s keep their position, new ones are appended
+    out_cols = []
+    for c in df.columns:
+        if c == "end_time":
+            out_cols.append(end_col.alias("end_time"))
+        elif c == "duration_s":
+            out_cols.append(duration.alias("duration_s"))
+        else:
+            out_cols.append(cols.pop(0))
+    if "end_time" not in df.columns:
+        out_cols.append(end_col.alias("end_time"))
+    if "duration_s" not in df.columns:
+        out_cols.append(duration.alias("duration_s"))
+    return kept.select(*out_cols)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from hayloft.functions.names import make_mojibake, repair_mojibake
 from hayloft.operators import dedup, fill_days, pair_events, point_in_time_join, scd2, shred, split_intervals
-from hayloft.plans import checks, gold, kpi, silver, standins
+from hayloft.plans import checks, gold, kpi, parsers, silver, standins
 from hayloft.functions.time import to_timestamp_columns
 from hayloft.session import scratch_path
 from hayloft.sources.calendar import calendar_of
@@ -289,8 +289,30 @@ def q_bronze_stream_ingest(spark, sf):
     return read_table(spark, f"{base}/table").select(*_BRONZE_COLS)
 
 
+def q_shred_load_done(spark, sf):
+    """LOAD_DONE payloads parsed (B3) and their results exploded to feed rows (G1).
+
+    De-duplication on the message key is left out here: line items share
+    that key with different payloads, so its survivor is arbitrary by
+    definition (``dedup_first`` covers the deterministic form)."""
+    done = parsers.LOAD_DONE.parse(standins.load_done_messages(spark, sf)).withColumn(
+        "year_month", F.date_format("time", "yyyy-MM"))
+    return gold.feed_rows(done.withColumn("loading_uuid", F.col("farm_license"))).select(
+        "farm_license", "time", "ration_id", "seq_nr", "total_weight", "year_month", "feed_id",
+        "req_weight_feedtype_g", "loaded_weight_feedtype_g", "feedtype_completed")
+
+
+def q_shred_feed_names(spark, sf):
+    """KITCHEN_FEED_NAMES payloads parsed with the array exploded (B4)."""
+    names = parsers.KITCHEN_FEED_NAMES.parse(standins.kitchen_feed_name_payloads(spark, sf)).withColumn(
+        "year_month", F.date_format("time", "yyyy-MM"))
+    return names.select("farm_license", "time", "feed_id", "name", "year_month")
+
+
 QUERIES: dict[str, Query] = {
     "shred_json": q_shred_json,
+    "shred_load_done": q_shred_load_done,
+    "shred_feed_names": q_shred_feed_names,
     "dedup_first": q_dedup_first,
     "scd2_events": q_scd2_events,
     "scd2_nested": q_scd2_nested,

@@ -229,6 +229,20 @@ SELECT CAST(user_id AS VARCHAR) AS farm_license, event_id, ts AS time,
        CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, strftime(ts, '%Y-%m') AS year_month
 FROM events WHERE upper(event_type) = 'CLICK'""",
 
+    "shred_load_done": """
+SELECT CAST(l_suppkey AS VARCHAR) AS farm_license, l_shipdate AS time, l_linenumber AS ration_id,
+       l_linenumber AS seq_nr, CAST(round(l_extendedprice * (1 - l_discount)) AS INTEGER) AS total_weight,
+       strftime(l_shipdate, '%Y-%m') AS year_month, ascii(l_returnflag) AS feed_id,
+       CAST(l_quantity * 1000 AS INTEGER) AS req_weight_feedtype_g,
+       CAST(round(l_extendedprice * (1 - l_discount)) AS INTEGER) AS loaded_weight_feedtype_g,
+       l_linestatus = 'F' AS feedtype_completed
+FROM lineitem WHERE CAST(l_quantity * 1000 AS INTEGER) > 0""",
+
+    "shred_feed_names": """
+SELECT CAST(l_suppkey AS VARCHAR) AS farm_license, l_shipdate AS time, ascii(l_returnflag) AS feed_id,
+       concat('feed ', l_returnflag, '-', l_linestatus) AS name, strftime(l_shipdate, '%Y-%m') AS year_month
+FROM lineitem""",
+
     "dedup_first": """
 SELECT user_id, event_type, day, event_id, ts, value FROM (
   SELECT user_id, event_type, CAST(ts AS DATE) AS day, event_id, ts, value,

@@ -158,3 +158,37 @@ def robot_config_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_discount") >= 0.09, "UNKNOWN").otherwise("RELAY").alias("relays_type"),
         year_month("l_shipdate").alias("year_month"),
     )
+
+
+def _line_envelope(msg_type: str):
+    return [
+        F.col("l_suppkey").cast("string").alias("farm_license"),
+        F.lit("robot").alias("device_type"),
+        F.lit(1).alias("device_number"),
+        F.lit(msg_type).alias("msg_type"),
+        F.col("l_shipdate").alias("time"),
+    ]
+
+
+def load_done_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """LOAD_DONE messages with JSON payloads (one per line item), bronze-shaped."""
+    li = _lines(spark, sf_dir)
+    req = (F.col("l_quantity") * 1000).cast("int")
+    got = F.round(F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("int")
+    payload = F.struct(
+        F.col("l_linenumber").alias("rationId"),
+        got.alias("weight"),
+        F.array(F.struct(F.ascii("l_returnflag").alias("feedId"), req.alias("reqWeight"),
+                         got.alias("weight"), (F.col("l_linestatus") == "F").alias("completed"))).alias("results"),
+        F.col("l_linenumber").alias("seqNr"),
+    )
+    return li.select(*_line_envelope("LOAD_DONE"), F.to_json(payload).alias("data"))
+
+
+def kitchen_feed_name_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """KITCHEN_FEED_NAMES messages with a JSON ``feedNames`` array, bronze-shaped."""
+    li = _lines(spark, sf_dir)
+    entry = F.struct(F.ascii("l_returnflag").alias("feedId"),
+                     F.concat(F.lit("feed "), F.col("l_returnflag"), F.lit("-"), F.col("l_linestatus")).alias("name"))
+    return li.select(*_line_envelope("KITCHEN_FEED_NAMES"),
+                     F.to_json(F.struct(F.array(entry).alias("feedNames"))).alias("data"))
