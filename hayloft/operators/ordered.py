@@ -30,12 +30,43 @@ KEY = "_hl_key"
 BUCKET = "_hl_bucket"
 
 
+def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int) -> DataFrame:
+    """Keys with more than ``min_rows`` rows (count combined map-side).
+
+    At most ``rows / min_rows`` keys qualify, so the result has a proven
+    size bound relative to the input and is safe to broadcast.
+    """
+    return (
+        df.groupBy(*[F.col(k) for k in keys])
+        .agg(F.count(F.lit(1)).alias("_hl_n"))
+        .where(F.col("_hl_n") > F.lit(int(min_rows)))
+        .select(*keys, F.lit(True).alias("_hl_hot"))
+    )
+
+
 def with_partition_columns(
-    df: DataFrame, keys: Sequence[str], time_col: str, bucket_seconds: int
+    df: DataFrame,
+    keys: Sequence[str],
+    time_col: str,
+    bucket_seconds: int,
+    *,
+    hot_key_rows: int | None = None,
 ) -> DataFrame:
-    """Add the packed key and the time bucket used by the helpers below."""
+    """Add the packed key and the time bucket used by the scans.
+
+    With ``hot_key_rows`` only keys above that many rows are cut into time
+    buckets; every other key is a single bucket (0), so the bucket summaries
+    stay small for ordinary keys while a hot key is still spread out.
+    """
     key = F.struct(*[F.col(k) for k in keys]) if keys else F.lit(0)
-    return df.withColumns({KEY: key, BUCKET: time_bucket(time_col, bucket_seconds)})
+    bucket = time_bucket(time_col, bucket_seconds)
+    if hot_key_rows is None or not keys:
+        return df.withColumns({KEY: key, BUCKET: bucket})
+    hot = F.broadcast(hot_keys(df, keys, hot_key_rows).withColumnsRenamed({k: f"_hl_hk{i}" for i, k in enumerate(keys)}))
+    cond = [df[k].eqNullSafe(hot[f"_hl_hk{i}"]) for i, k in enumerate(keys)]
+    flagged = df.join(hot, on=cond, how="left").drop(*[f"_hl_hk{i}" for i in range(len(keys))])
+    bucket = F.when(F.col("_hl_hot"), bucket).otherwise(F.lit(0).cast("long"))
+    return flagged.withColumns({KEY: key, BUCKET: bucket}).drop("_hl_hot")
 
 
 def _order(order: Sequence[str | Column]) -> list[Column]:

@@ -12,6 +12,7 @@ from hayloft.operators.ordered import BUCKET, KEY, with_partition_columns
 
 FINGERPRINT_SEPARATOR = ", "
 DEFAULT_BUCKET_SECONDS = 3600
+DEFAULT_HOT_KEY_ROWS = 1_000_000
 
 
 def _bucket_summary(staged: DataFrame, t: str, fp: str) -> DataFrame:
@@ -44,10 +45,12 @@ def _bucket_summary(staged: DataFrame, t: str, fp: str) -> DataFrame:
     first_change = F.when(
         incoming.isNull() | (F.col("_first_fp") != incoming), F.col("_first_t")
     ).otherwise(F.col("_inner_change_t"))
-    later = by_key.rowsBetween(1, Window.unboundedFollowing)
+    # "first non-NULL among the following buckets" as a running frame over the
+    # reversed order: linear, where an unbounded-following frame is quadratic
+    later = Window.partitionBy(KEY).orderBy(F.col(BUCKET).desc()).rowsBetween(Window.unboundedPreceding, -1)
     return (
         per_bucket.withColumns({"_carry_fp": incoming, "_change_t": first_change})
-        .select(KEY, BUCKET, "_carry_fp", F.first("_change_t", ignorenulls=True).over(later).alias("_next_change_t"))
+        .select(KEY, BUCKET, "_carry_fp", F.last("_change_t", ignorenulls=True).over(later).alias("_next_change_t"))
     )
 
 
@@ -59,6 +62,7 @@ def scd2(
     *,
     open_end=OPEN_END,
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS,
 ) -> DataFrame:
     """Validity intervals of the tracked columns per key.
 
@@ -73,10 +77,13 @@ def scd2(
     replaced in place. Rows are ordered by ``(orderby_col, fingerprint)``, so
     equal timestamps resolve deterministically.
 
-    Plan: one shuffle on ``(key, time bucket)`` — a key with a third of all
-    rows is spread over its buckets — and two windows on one sort inside each
-    bucket. Bucket edges are repaired from a summary that is a hash
-    aggregation of the (narrow) input, joined back on ``(key, bucket)``.
+    Plan: one shuffle on ``(key, time bucket)`` — a key with more than
+    ``hot_key_rows`` rows (one with a third of all rows, say) is spread over
+    ``bucket_seconds`` buckets, every other key is one bucket — and two
+    linear windows on one sort inside each bucket (``lag`` over all rows,
+    ``lead`` over the change candidates only). Bucket edges are repaired from a
+    summary that is a hash aggregation of the (narrow) input, joined back on
+    ``(key, bucket)``. ``hot_key_rows=None`` buckets every key by time.
     """
     fp, t = "_hl_fp", orderby_col
     staged = with_partition_columns(
@@ -84,18 +91,20 @@ def scd2(
         partition_columns,
         t,
         bucket_seconds,
+        hot_key_rows=hot_key_rows,
     )
     summary = _bucket_summary(staged, t, fp)
 
     w_in = Window.partitionBy(KEY, BUCKET).orderBy(t, fp)
-    after = w_in.rowsBetween(1, Window.unboundedFollowing)
-    marked = (
+    # candidates: a bucket's first row and every in-bucket change; the next
+    # candidate after a kept row is the next kept row inside the bucket
+    candidates = (
         staged.withColumns({"_lag": F.lag(fp).over(w_in), "_first": F.lag(F.lit(1)).over(w_in).isNull()})
-        .withColumn("_inner_change", F.when(~F.col("_first") & (F.col(fp) != F.col("_lag")), F.col(t)))
-        .withColumn("_next_inner", F.first("_inner_change", ignorenulls=True).over(after))
+        .where(F.col("_first") | (F.col(fp) != F.col("_lag")))
+        .withColumn("_next_inner", F.lead(t).over(w_in))
     )
     prev = F.when(F.col("_first"), F.col("_carry_fp")).otherwise(F.col("_lag"))
-    kept = marked.join(summary, on=[KEY, BUCKET], how="left").where(prev.isNull() | (F.col(fp) != prev))
+    kept = candidates.join(summary, on=[KEY, BUCKET], how="left").where(prev.isNull() | (F.col(fp) != prev))
     end = F.coalesce(F.col("_next_inner"), F.col("_next_change_t"), F.lit(open_end))
 
     end_col = end.cast("timestamp")

@@ -163,16 +163,28 @@ def q_controller_periods(spark, sf):
                      "nr_schneider", "nr_commsk")
 
 
+def _stored(spark, df, name):
+    """Write a silver-level table below the checkpoint folder and read it back.
+
+    The facts then read their dimension the way the layered run does: as a
+    stored table, which the bucket summaries may scan twice at the cost of a
+    re-read instead of a recomputation of its lineage.
+    """
+    path = scratch_path(spark, name)
+    write_table(df, path, cluster=False)
+    return read_table(spark, path)
+
+
 def _feed_fact(spark, sf):
-    return gold.feed_daily_from_rows(_feeds(spark, sf), _feed_names_dim(spark, sf))
+    return gold.feed_daily_from_rows(_feeds(spark, sf), _stored(spark, _feed_names_dim(spark, sf), "feed-names"))
 
 
 def _ration_fact(spark, sf):
-    return gold.ration_daily_from_rows(_feeds(spark, sf), _ration_names_dim(spark, sf))
+    return gold.ration_daily_from_rows(_feeds(spark, sf), _stored(spark, _ration_names_dim(spark, sf), "ration-names"))
 
 
 def _farm_fact(spark, sf):
-    return gold.farm_daily_from_rows(_feeds(spark, sf), _robot_config_dim(spark, sf))
+    return gold.farm_daily_from_rows(_feeds(spark, sf), _stored(spark, _robot_config_dim(spark, sf), "robot-config"))
 
 
 def q_feed_fact_full(spark, sf):

@@ -39,7 +39,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .appName("hayloft")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.driver.memory", os.environ.get("HAYLOFT_DRIVER_MEMORY", "8g"))
+        .config("spark.driver.memory", os.environ.get("HAYLOFT_DRIVER_MEMORY", "4g"))
     )
     for key, value in RECOMMENDED_SQL_CONF.items():
         builder = builder.config(key, value)

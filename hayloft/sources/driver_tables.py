@@ -19,8 +19,8 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
     The projection is lazy, so column pruning and filters still reach the
     parquet scan. A source that yields fewer input splits than the cluster
-    has cores (the given files are one row group each) is spread round-robin
-    over ``defaultParallelism`` partitions right after the scan, so joins,
+    has cores (the given files are one row group each) is hash-spread on its
+    leading id column over ``defaultParallelism`` partitions right after the scan, so joins,
     explodes and partial aggregations downstream run on every core. A large
     source has many splits and is left untouched.
     """
@@ -33,5 +33,6 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect): keep the scan as is
         cores, splits = 0, 0
     if splits < cores:
-        df = df.repartition(cores)
+        # hash on the leading id column: no sort-before-shuffle as round robin needs
+        df = df.repartition(cores, df.columns[0])
     return to_timestamp_columns(df)

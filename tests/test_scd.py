@@ -86,17 +86,22 @@ def test_scd2_matches_plain_scan_across_many_buckets(spark):
             seen.add((r[0], r[1]))
             uniq.append(r)
     df = spark.createDataFrame(uniq, "k int, time timestamp, v string")
-    for bucket in (60, 600, 86400):
-        out = scd2(df, ["k"], ["v"], bucket_seconds=bucket)
-        got = sorted((r["k"], r["start_time"], r["v"], r["end_time"]) for r in out.collect())
-        assert got == _brute_scd2(uniq), f"bucket={bucket}"
+    want = _brute_scd2(uniq)
+    # hot_key_rows=None: every key is cut into time buckets; 50: only key 0 is
+    # (hot), the others stay one bucket each; default: no key is hot here
+    for hot in (None, 50, 10**6):
+        for bucket in (60, 600, 86400):
+            out = scd2(df, ["k"], ["v"], bucket_seconds=bucket, hot_key_rows=hot)
+            got = sorted((r["k"], r["start_time"], r["v"], r["end_time"]) for r in out.collect())
+            assert got == want, f"bucket={bucket} hot={hot}"
 
 
 def test_scd2_validity_is_contiguous(spark):
     rnd = random.Random(3)
     base = ts("2023-01-01")
     recs = [(k, base + dt.timedelta(minutes=i * 7 + k), rnd.choice("XY")) for k in range(3) for i in range(200)]
-    out = scd2(spark.createDataFrame(recs, "k int, time timestamp, v string"), ["k"], ["v"], bucket_seconds=300)
+    out = scd2(spark.createDataFrame(recs, "k int, time timestamp, v string"), ["k"], ["v"],
+               bucket_seconds=300, hot_key_rows=100)
     got = sorted((r["k"], r["start_time"], r["end_time"]) for r in out.collect())
     for (k1, _, e1), (k2, s2, _) in zip(got, got[1:]):
         if k1 == k2:
