@@ -19,8 +19,9 @@ pair every fact of a hot key with every dimension row of it.
   the data volume, and one window on the key suffices. Each input is read
   once.
 * TIMESTAMP fact times: the bucketed, skew-safe ``last_seen`` of
-  :mod:`hayloft.operators.ordered` (inputs are read twice: main pass and
-  bucket summary).
+  :mod:`hayloft.operators.ordered`; keys with more than ``hot_key_rows``
+  rows are cut into time buckets, other keys are one bucket (inputs are read
+  more than once: main pass, hot-key count, bucket summary).
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ from pyspark.sql.types import DateType
 from hayloft.operators import ordered
 
 DEFAULT_BUCKET_SECONDS = 7 * 86400
+DEFAULT_HOT_KEY_ROWS = 1_000_000
 
 
 def _payload(columns: Mapping[str, str], start_col: str, end_col: str, tie_break: Sequence[str]) -> Column:
@@ -73,6 +75,7 @@ def point_in_time_join(
     end_col: str = "end_time",
     tie_break: Sequence[str] = (),
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS,
 ) -> DataFrame:
     """Add dimension columns ``columns`` (``{dim_column: output_name}``) to ``fact``.
 
@@ -84,7 +87,8 @@ def point_in_time_join(
         raise ValueError("bounds must be '[)' or '(]'")
     if isinstance(fact.schema[fact_time].dataType, DateType):
         return _daily(fact, dim, keys, fact_time, columns, bounds, start_col, end_col, tie_break)
-    return _bucketed(fact, dim, keys, fact_time, columns, bounds, start_col, end_col, tie_break, bucket_seconds)
+    return _bucketed(fact, dim, keys, fact_time, columns, bounds, start_col, end_col, tie_break, bucket_seconds,
+                     hot_key_rows)
 
 
 def _daily(fact, dim, keys, fact_time, columns, bounds, start_col, end_col, tie_break):
@@ -119,7 +123,8 @@ def _daily(fact, dim, keys, fact_time, columns, bounds, start_col, end_col, tie_
     return _finish(only_facts, fact_cols, F.col("_hl_t").cast("timestamp"), F.col("_hl_seen"), bounds, columns)
 
 
-def _bucketed(fact, dim, keys, fact_time, columns, bounds, start_col, end_col, tie_break, bucket_seconds):
+def _bucketed(fact, dim, keys, fact_time, columns, bounds, start_col, end_col, tie_break, bucket_seconds,
+              hot_key_rows):
     # At equal times a "[)" dimension row is visible to the fact (start <= t),
     # a "(]" one is not (start < t): order the row kinds accordingly.
     dim_rank, fact_rank = (0, 1) if bounds == "[)" else (1, 0)
@@ -138,7 +143,7 @@ def _bucketed(fact, dim, keys, fact_time, columns, bounds, start_col, end_col, t
     )
     order = [t, "_hl_rank", *[F.col(f"_hl_dim.tb{i}") for i in range(len(tie_break))], F.col("_hl_dim.end")]
     both = fact_rows.unionByName(dim_rows, allowMissingColumns=True)
-    staged = ordered.with_partition_columns(both, keys, t, bucket_seconds)
+    staged = ordered.with_partition_columns(both, keys, t, bucket_seconds, hot_key_rows=hot_key_rows)
     scanned = ordered.last_seen(staged, order, "_hl_dim", "_hl_seen")
     only_facts = scanned.where(F.col("_hl_rank") == F.lit(fact_rank)).where(F.col("_hl_dim").isNull())
     return _finish(only_facts, fact_cols, F.col(t), F.col("_hl_seen"), bounds, columns)

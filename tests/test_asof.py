@@ -103,6 +103,7 @@ def test_timestamp_facts_match_brute_force_across_buckets(spark):
     fdf = spark.createDataFrame(facts, "farm string, t timestamp, fid int")
     ddf = spark.createDataFrame(dims, DIM_SCHEMA)
     for bounds in ("[)", "(]"):
-        for bucket in (600, 86400):
-            out = point_in_time_join(fdf, ddf, ["farm"], "t", {"name": "v"}, bounds=bounds, bucket_seconds=bucket)
+        for bucket, hot in ((600, None), (86400, None), (600, 50), (600, 10**6)):
+            out = point_in_time_join(fdf, ddf, ["farm"], "t", {"name": "v"}, bounds=bounds,
+                                     bucket_seconds=bucket, hot_key_rows=hot)
             assert sorted((r.fid, r.v) for r in out.collect()) == _brute(facts, dims, bounds)
