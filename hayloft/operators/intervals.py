@@ -10,6 +10,18 @@ from pyspark.sql import functions as F
 from hayloft.functions.time import epoch_seconds
 
 DAY_SECONDS = 86400
+_UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": DAY_SECONDS, "week": 7 * DAY_SECONDS}
+
+
+def step_seconds_of(step: int | str) -> int:
+    """Seconds of a window duration given as seconds or as text like ``"1 days"``."""
+    if isinstance(step, int):
+        return step
+    amount, unit = step.split()
+    unit = unit.lower().rstrip("s")
+    if unit not in _UNIT_SECONDS:
+        raise ValueError(f"unsupported window duration {step!r}")
+    return int(amount) * _UNIT_SECONDS[unit]
 
 
 def fill_days(
@@ -69,18 +81,22 @@ def split_intervals(
     df: DataFrame,
     start_col: str,
     end_col: str,
-    step_seconds: int = DAY_SECONDS,
+    step_seconds: int | str = DAY_SECONDS,
     *,
     pos_col: str | None = None,
 ) -> DataFrame:
     """Cut ``[start, end)`` at local midnight + k·step; one row per piece.
 
+    ``step_seconds`` is a number of seconds or a duration text such as
+    ``"1 days"`` or ``"15 minutes"``.
+
     Pieces keep all input columns with ``start_col``/``end_col`` replaced by
     the piece bounds and gain ``start_date``, ``end_date`` (and ``pos_col`` if
     given). Pieces of zero length are dropped. An open interval (``end``
     NULL) yields one piece from ``start`` with ``end`` NULL. Whole-day steps
     use calendar days, so pieces follow local midnights across DST changes.
     """
+    step_seconds = step_seconds_of(step_seconds)
     start, end = F.col(start_col), F.col(end_col)
     day0 = F.to_date(start)
     if step_seconds % DAY_SECONDS == 0:
