@@ -166,9 +166,10 @@ def q_controller_periods(spark, sf):
 def _stored(spark, df, name):
     """Write a silver-level table below the checkpoint folder and read it back.
 
-    The facts then read their dimension the way the layered run does: as a
-    stored table, which the bucket summaries may scan twice at the cost of a
-    re-read instead of a recomputation of its lineage.
+    Used for the robot configuration dimension of the farm fact: the second
+    SCD2 (controller periods) scans its input more than once, so it reads a
+    stored table — as in the layered run — instead of recomputing the first
+    SCD2 for each scan.
     """
     path = scratch_path(spark, name)
     write_table(df, path, cluster=False)
@@ -176,11 +177,11 @@ def _stored(spark, df, name):
 
 
 def _feed_fact(spark, sf):
-    return gold.feed_daily_from_rows(_feeds(spark, sf), _stored(spark, _feed_names_dim(spark, sf), "feed-names"))
+    return gold.feed_daily_from_rows(_feeds(spark, sf), _feed_names_dim(spark, sf))
 
 
 def _ration_fact(spark, sf):
-    return gold.ration_daily_from_rows(_feeds(spark, sf), _stored(spark, _ration_names_dim(spark, sf), "ration-names"))
+    return gold.ration_daily_from_rows(_feeds(spark, sf), _ration_names_dim(spark, sf))
 
 
 def _farm_fact(spark, sf):

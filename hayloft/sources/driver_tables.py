@@ -14,6 +14,11 @@ TABLES = (
 ).split()
 
 
+# input splits per (file, modification time, split size): planning a scan to
+# count them costs a round trip per read
+_SPLITS: dict[tuple, int] = {}
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one table; TIMESTAMP_NTZ columns become session-zone TIMESTAMPs.
 
@@ -26,10 +31,14 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    df = spark.read.parquet(path)
     try:
         cores = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
+        stamp = (path, os.path.getmtime(path), spark.conf.get("spark.sql.files.maxPartitionBytes"))
+        if stamp not in _SPLITS:
+            _SPLITS[stamp] = df.rdd.getNumPartitions()
+        splits = _SPLITS[stamp]
     except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect): keep the scan as is
         cores, splits = 0, 0
     if splits < cores:
