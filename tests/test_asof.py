@@ -107,3 +107,42 @@ def test_timestamp_facts_match_brute_force_across_buckets(spark):
             out = point_in_time_join(fdf, ddf, ["farm"], "t", {"name": "v"}, bounds=bounds,
                                      bucket_seconds=bucket, hot_key_rows=hot)
             assert sorted((r.fid, r.v) for r in out.collect()) == _brute(facts, dims, bounds)
+
+
+def _brute_latest(facts, dims, bounds):
+    """Fan-out join, then the latest start (then device, then end) survives."""
+    out = []
+    for k, day, fid in facts:
+        t = dt.datetime.combine(day, dt.time())
+        best = None
+        for dk, dev, s, e, v in dims:
+            if k is None or dk != k:
+                continue
+            if (s <= t < e) if bounds == "[)" else (s < t <= e):
+                cand = (s, dev, e, v)
+                best = cand if best is None or cand[:3] > best[:3] else best
+        out.append((fid, best[3] if best else None))
+    return sorted(out)
+
+
+def test_daily_facts_match_brute_force_with_devices(spark):
+    rnd = random.Random(9)
+    base = ts("2023-05-01")
+    dims = []
+    for k in ("a", "b"):
+        for dev in (1, 2):
+            t = base + dt.timedelta(hours=rnd.randrange(0, 48))
+            for i in range(30):
+                # starts at midnight now and then, several per day sometimes
+                step = dt.timedelta(days=rnd.randrange(0, 3), hours=rnd.choice([0, 0, 5, 13]))
+                nxt = t + step if step else t + dt.timedelta(hours=7)
+                dims.append((k, dev, t, nxt, f"{k}{dev}-{i}"))
+                t = nxt
+            dims[-1] = dims[-1][:3] + (OPEN_END, dims[-1][4])
+    facts = [(rnd.choice(["a", "b", "c", None]), (base + dt.timedelta(days=rnd.randrange(-2, 60))).date(), i)
+             for i in range(300)]
+    fdf = spark.createDataFrame(facts, "farm string, date date, fid int")
+    ddf = spark.createDataFrame(dims, "farm string, device int, start_time timestamp, end_time timestamp, name string")
+    for bounds in ("[)", "(]"):
+        out = point_in_time_join(fdf, ddf, ["farm"], "date", {"name": "v"}, bounds=bounds, tie_break=["device"])
+        assert sorted((r.fid, r.v) for r in out.collect()) == _brute_latest(facts, dims, bounds)
