@@ -84,6 +84,10 @@ def scd2(
     ``lead`` over the change candidates only). Bucket edges are repaired from a
     summary that is a hash aggregation of the (narrow) input, joined back on
     ``(key, bucket)``. ``hot_key_rows=None`` buckets every key by time.
+
+    The input is read three times (main pass, hot-key count, summary), so
+    pass a stored table — as the layered run does — rather than an expensive
+    lineage such as another ``scd2``.
     """
     fp, t = "_hl_fp", orderby_col
     staged = with_partition_columns(

@@ -62,7 +62,7 @@ def q_scd2_nested(spark, sf):
         "event_id", "ts", "user_id", "event_type",
         F.when(F.col("value") >= 25, "HIGH").otherwise("LOW").alias("band"),
     )
-    level1 = scd2(ev, ["user_id"], ["event_type", "band"], orderby_col="ts")
+    level1 = _stored(spark, scd2(ev, ["user_id"], ["event_type", "band"], orderby_col="ts"), "scd2-level1")
     level2 = scd2(level1, ["user_id"], ["event_type"], orderby_col="ts")
     return level2.select("user_id", "ts", "event_type", "end_time", "duration_s")
 
@@ -157,7 +157,7 @@ def q_robot_config_dim(spark, sf):
 
 
 def q_controller_periods(spark, sf):
-    cc = gold.controller_counts(_robot_config_dim(spark, sf))
+    cc = gold.controller_counts(_stored(spark, _robot_config_dim(spark, sf), "robot-config"))
     return cc.select("farm_license", "device_number", "start_time", "freq_controller_type_mixer",
                      "freq_controller_type_dosing_roller", "end_time", "duration_s",
                      "nr_schneider", "nr_commsk")
