@@ -322,11 +322,19 @@ def q_shred_feed_names(spark, sf):
     return names.select("farm_license", "time", "feed_id", "name", "year_month")
 
 
+def q_message_table_dedup(spark, sf):
+    """silver0 message table build (parse, ``year_month``, de-duplication on the
+    message key with an arbitrary survivor); the surviving keys are compared."""
+    table = parsers.KITCHEN_FEED_NAMES.build(standins.kitchen_feed_name_payloads(spark, sf))
+    return table.select(*parsers.KITCHEN_FEED_NAMES.keys, "year_month")
+
+
 QUERIES: dict[str, Query] = {
     "shred_json": q_shred_json,
     "shred_load_done": q_shred_load_done,
     "shred_feed_names": q_shred_feed_names,
     "dedup_first": q_dedup_first,
+    "message_table_dedup": q_message_table_dedup,
     "scd2_events": q_scd2_events,
     "scd2_nested": q_scd2_nested,
     "pair_events_12h": q_pair_events_12h,

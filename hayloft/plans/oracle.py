@@ -243,6 +243,11 @@ SELECT CAST(l_suppkey AS VARCHAR) AS farm_license, l_shipdate AS time, ascii(l_r
        concat('feed ', l_returnflag, '-', l_linestatus) AS name, strftime(l_shipdate, '%Y-%m') AS year_month
 FROM lineitem""",
 
+    "message_table_dedup": """
+SELECT DISTINCT CAST(l_suppkey AS VARCHAR) AS farm_license, 'robot' AS device_type, 1 AS device_number,
+       l_shipdate AS time, ascii(l_returnflag) AS feed_id, strftime(l_shipdate, '%Y-%m') AS year_month
+FROM lineitem""",
+
     "dedup_first": """
 SELECT user_id, event_type, day, event_id, ts, value FROM (
   SELECT user_id, event_type, CAST(ts AS DATE) AS day, event_id, ts, value,
