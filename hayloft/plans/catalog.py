@@ -239,6 +239,12 @@ def q_kpi_feed(spark, sf):
     return kpi.feed_kpi(_feed_fact(spark, sf), "nr_times_loaded")
 
 
+def q_kpi_farm_range(spark, sf):
+    """KPI series with inclusive date bounds (the chart's date picker)."""
+    return kpi.farm_kpi(_farm_fact(spark, sf), "nr_of_loading_activities_per_day",
+                        start="1997-01-01", end="1998-12-31")
+
+
 def q_kpi_ration(spark, sf):
     return kpi.ration_kpi(_ration_fact(spark, sf), "total_nr_of_feed_per_load")
 
@@ -365,6 +371,7 @@ QUERIES: dict[str, Query] = {
     "kpi_farm": q_kpi_farm,
     "kpi_feed": q_kpi_feed,
     "kpi_ration": q_kpi_ration,
+    "kpi_farm_range": q_kpi_farm_range,
     "topk_preview": q_topk_preview,
     "name_repair": q_name_repair,
     "bronze_partition_roundtrip": q_bronze_partition_roundtrip,

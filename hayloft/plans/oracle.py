@@ -399,6 +399,13 @@ SELECT farm_license, ration_name, date,
 FROM rationfact WHERE farm_license IS NOT NULL AND ration_name IS NOT NULL AND date IS NOT NULL
 GROUP BY farm_license, ration_name, date ORDER BY farm_license, ration_name, date""",
 
+    "kpi_farm_range": f"""WITH {FARM_FACT}
+SELECT farm_license, date,
+       CAST(coalesce(sum(nr_of_loading_activities_per_day), 0) AS BIGINT) AS nr_of_loading_activities_per_day
+FROM farmfact WHERE farm_license IS NOT NULL AND date IS NOT NULL
+  AND date >= DATE '1997-01-01' AND date <= DATE '1998-12-31'
+GROUP BY farm_license, date ORDER BY farm_license, date""",
+
     "topk_preview": """
 SELECT CAST(l.l_suppkey AS VARCHAR) AS farm_license, CAST(l.l_orderkey AS VARCHAR) AS loading_uuid,
        l.l_linenumber AS seq_nr, o.o_orderdate AS start_time, l.l_shipdate AS end_time,
