@@ -51,13 +51,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster.
 
-    Read from ``spark.checkpoint.dir``; only when it is unset (local tests) a
-    fresh private folder is created and registered, never a shared default.
+    Read from ``spark.checkpoint.dir``. A local session (tests, bench) that leaves
+    it unset gets a fresh private folder; on a cluster executors and driver
+    share no local disk, so an unset folder is an error there.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="hayloft-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     spark.sparkContext.setCheckpointDir(root)
