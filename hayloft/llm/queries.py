@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hayloft.llm import chat, ctw, decontam, license_scan, mixing, quality, sharding, simhash, substring_dedup
+from hayloft.llm import chat, ctw, decontam, license_scan, mixing, pii, quality, sharding, simhash, substring_dedup
 from hayloft.llm.tables import read, stored
 
 
@@ -66,6 +66,13 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op7_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    replaced = pii.replace_personal_data(read(spark, sf_dir, "documents"))
+    total = sum((F.col(f"n_{k}") for k in pii.KINDS), F.lit(0))
+    counts = [f"n_{k}" for k in pii.KINDS]
+    return replaced.select("doc_id", total.cast("long").alias("n_entities"), *counts, F.col("surrogate_text").alias("text"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_groups(read(spark, sf_dir, "documents"))
     return groups.select(
@@ -108,6 +115,7 @@ QUERIES = {
         op4_context_tree_scores,
         op5_quality_rules,
         op6_benchmark_decontamination,
+        op7_pii_surrogates,
         op8_simhash_near_dedup,
         op9_jump_hash_shards,
         op10_license_scan,
