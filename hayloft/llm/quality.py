@@ -265,13 +265,15 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", sample_row
     labelled = (
         texts.join(F.broadcast(drawn), ["id", "tkey"])  # at most sample_rows rows
         .select("turn", "quality", "toxic", "text")
-        .repartition(16, "turn")
+        .dropDuplicates(["turn"])  # repeated rows count once
         .select("quality", "toxic", "text")
         .mapInArrow(_features, "quality int, toxic int, cells array<int>, values array<float>")
     )
     ordered = stored(labelled, "quality-features")
     by_content = ordered.repartition(1).sortWithinPartitions(F.xxhash64("cells", "values"), "quality", "toxic")
     row = by_content.mapInArrow(_trainer, "weights binary, slope array<double>, offset array<double>").first()
+    if row is None:
+        return Model(np.zeros((1 << DIMENSIONS_LOG2, len(HEADS)), np.float32), np.zeros(len(HEADS)), np.zeros(len(HEADS)))
     return Model(
         np.frombuffer(row.weights, np.float32).reshape(-1, len(HEADS)), np.array(row.slope), np.array(row.offset)
     )

@@ -1,0 +1,99 @@
+import hashlib
+import math
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+import llm_texts as texts
+from hayloft.llm import mixing
+
+
+def brute_targets(sizes, weights=(3, 1, 2), budget=1.5, cap=2):
+    """Share by weight, stop at the cap, share the excess again until none is above."""
+    names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None] * (None in sizes)
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    left, open_, target = budget * sum(sizes.values()), set(names), {}
+    while open_:
+        share = left / sum(weight[s] for s in open_)
+        full = {s for s in open_ if share * weight[s] > cap * sizes[s]}
+        if not full:
+            return target | {s: share * weight[s] for s in open_}
+        for s in full:
+            target[s] = cap * sizes[s]
+            left -= cap * sizes[s]
+        open_ -= full
+    return target
+
+
+def brute(rows, quality=lambda text: 1.0, **options):
+    by = defaultdict(list)
+    for doc_id, text, _, source, _ in rows:
+        digest = hashlib.md5((text or "").encode()).hexdigest()
+        name = f"mix:{'-' if doc_id is None else doc_id}:{digest}"
+        u = (int(hashlib.md5(name.encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+        key = -math.log(u) / quality(text)
+        by[source].append(((key, doc_id is None, doc_id or 0, digest), len(texts.words(text)), doc_id))
+    sizes = {s: sum(n for _, n, _ in docs) for s, docs in by.items()}
+    targets = brute_targets(sizes, **options)
+    out = []
+    for source, docs in by.items():
+        epochs = int(targets[source] // sizes[source]) if sizes[source] else 0
+        rest, upto = targets[source] - epochs * sizes[source], 0
+        for place in sorted({d[0] for d in docs}):
+            peers = [d for d in docs if d[0] == place]
+            own = sum(n for _, n, _ in peers)
+            upto += own
+            taken = epochs + (upto - own / 2 < rest)
+            out += [(doc_id, n, sizes[source], round(targets[source], 6), n * taken) for _, n, doc_id in peers]
+    return sorted(out, key=str)
+
+
+def ran(df, quality, **options):
+    drawn = mixing.draw_documents(df, quality=quality)
+    got = mixing.copies(drawn, mixing.plan(drawn, **options)).select("id", "size", "source_size", "target", F.expr("size * copies")).collect()
+    return sorted(((*r[:3], round(r[3], 6), r[4]) for r in got), key=str)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_matches_brute_force(spark, seed):
+    rows = texts.document_rows(seed)
+    df = texts.with_clashing_columns(spark.createDataFrame(rows, texts.SCHEMA)).repartition(4)
+    assert ran(df, F.lit(1.0)) == brute(rows)
+
+
+def test_quality_weights_and_joined_plan(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", 0)  # the way without a broadcast
+    rows = texts.document_rows(3)
+    df = spark.createDataFrame(rows, texts.SCHEMA)
+    quality = F.when(F.length("text") % 2 == 0, 4.0).otherwise(0.25)
+    weigh = lambda text: 4.0 if text is not None and len(text) % 2 == 0 else 0.25
+    options = {"weights": (1, 5), "budget": 0.7, "max_epochs": 3}
+    expected = brute(rows, weigh, weights=(1, 5), budget=0.7, cap=3)
+    assert ran(df, quality, **options) == expected
+
+
+def test_better_documents_are_drawn_earlier(spark):
+    docs = spark.range(4000).selectExpr("id AS doc_id", "concat('w', id) AS text", "'s' AS source")
+    drawn = mixing.draw_documents(docs, quality=F.when(F.col("doc_id") < 2000, 3.0).otherwise(1.0))
+    taken = mixing.copies(drawn, mixing.plan(drawn, weights=(1,), budget=0.25)).where("copies > 0")
+    good = taken.where("id < 2000").count()
+    assert 0.68 < good / taken.count() < 0.82  # P(exp(1) < t / 3) against P(exp(1) < t) at a quarter drawn
+
+
+def test_mixed_documents_repeat_rows(spark):
+    rows = texts.document_rows(4)
+    df = spark.createDataFrame(rows, texts.SCHEMA)
+    out = mixing.mixed_documents(df)
+    assert out.columns == df.columns
+    words = sum(len(texts.words(r.text)) for r in out.collect())
+    drawn = mixing.draw_documents(df)
+    again = mixing.copies(drawn, mixing.plan(drawn)).selectExpr("sum(size * copies)").first()[0]
+    assert words == again
+
+
+def test_empty_tables(spark):
+    empty = spark.createDataFrame([], texts.SCHEMA)
+    assert mixing.mixed_documents(empty).collect() == []
+    wordless = spark.createDataFrame([(1, None, "en", "a", 0), (2, " ", "en", None, 1)], texts.SCHEMA)
+    assert ran(wordless, F.lit(1.0)) == [(1, 0, 0, 0.0, 0), (2, 0, 0, 0.0, 0)]

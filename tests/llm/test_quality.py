@@ -1,0 +1,97 @@
+import os
+from collections import Counter
+
+import numpy as np
+import pytest
+
+import llm_texts as texts
+from hayloft.llm import quality
+
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def brute(text):
+    text = text or ""
+    ws = texts.words(text)
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if texts.WORD.search(line):
+            dup += line in seen
+            seen.add(line)
+    windows = Counter(tuple(ws[i : i + 3]) for i in range(len(ws) - 2))
+    covered = {i + j for i in range(len(ws) - 2) if windows[tuple(ws[i : i + 3])] > 1 for j in range(3)}
+    return len(ws), sum(map(len, ws)), sum(c in "#*$%&|<>" for c in text), dup, len(covered)
+
+
+def labelled(n=300):
+    """Good prose, symbol junk and insults, long enough for the base rules."""
+    rng = np.random.default_rng(4)
+    vocab = ["".join(rng.choice(list("abcdeghilmnorstu"), rng.integers(2, 9))) for _ in range(2000)]
+    docs, labels = [], []
+    for i in range(n):
+        ws = list(rng.choice(vocab, rng.integers(60, 200)))
+        good, toxic = i % 4 != 0, i % 5 == 1
+        if not good:
+            ws = [w + "$$$" for w in ws]
+        if toxic:
+            for at in rng.integers(0, len(ws), 5):
+                ws[at] = str(rng.choice(["scoundrel", "nitwit", "oaf"]))
+        docs.append((i, " ".join(ws), "en", "s", 0))
+        labels.append((i, int(good), int(toxic)))
+    return docs, labels
+
+
+def test_counts_match_brute_force(spark):
+    lines = ["a b\n\na b\n a b\n\n x\n x", "q\nq\nq\n", "a b c a b c", "a a a a", "<|#*$%&> é b"]
+    rows = texts.document_rows(3) + [(300 + i, t, "en", "s", 0) for i, t in enumerate(lines)]
+    df = texts.with_clashing_columns(spark.createDataFrame(rows, texts.SCHEMA)).repartition(3)
+    model = quality.train(df, spark.createDataFrame([], LABELS))
+    got = quality.judge(df, model).collect()
+    assert sorted(((r.row.doc_id, r.row.text, *r[1:6]) for r in got), key=str) == sorted(
+        ((i, t, *brute(t)) for i, t, *_ in rows), key=str
+    )
+    for r in got:
+        assert r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words)
+        assert not (r.kept and r.base_failed)
+        assert r.quality_probability == r.toxic_probability == 0.5  # nothing learnt
+
+
+def test_learns_junk_and_insults(spark):
+    docs, labels = labelled()
+    seen = [row for row in labels if row[0] < 200]
+    noise = [(5, None, 1), (6, 7, 0), (None, 1, 1)]  # labels that do not count
+    df = spark.createDataFrame(docs, texts.SCHEMA)
+    model = quality.train(df, spark.createDataFrame(seen + noise, LABELS))
+    again = quality.train(df.repartition(7), spark.createDataFrame(seen + noise, LABELS).repartition(3))
+    assert np.array_equal(model.weights, again.weights)  # reruns agree
+    truth = {i: (q, t) for i, q, t in labels}
+    held = [r for r in quality.judge(df, model).collect() if r.row.doc_id >= 200]
+    wanted = [truth[r.row.doc_id] == (1, 0) for r in held]
+    right = [(r.kept or r.base_failed) == w for r, w in zip(held, wanted)]
+    assert np.mean(right) >= 0.95
+    assert all(r.kept for r, w in zip(held, wanted) if w)  # clean documents stay
+    # calibrated: mean probability near the share
+    assert abs(np.mean([r.quality_probability for r in held]) - np.mean([truth[r.row.doc_id][0] for r in held])) < 0.1
+
+
+def test_one_class_and_empty_tables(spark):
+    docs, _ = labelled(20)
+    df = spark.createDataFrame(docs, texts.SCHEMA)
+    model = quality.train(df, spark.createDataFrame([(i, 1, 0) for i in range(20)], LABELS))
+    assert all(r.kept == (not r.base_failed) for r in quality.judge(df, model).collect())
+    empty = spark.createDataFrame([], texts.SCHEMA)
+    assert quality.judge(empty, quality.train(empty, spark.createDataFrame([], LABELS))).collect() == []
+
+
+def test_held_out_rows_of_the_given_tables(spark):
+    sf = "/root/testdata/sf0.01"
+    if not os.path.isdir(sf):
+        pytest.skip("driver tables not present")
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    model = quality.train(docs, labels.where("doc_id % 4 <> 0"))
+    judged = quality.judge(docs, model, ["doc_id"]).selectExpr("row.doc_id", "*")
+    held = judged.join(labels.where("doc_id % 4 = 0"), "doc_id").where("NOT base_failed").collect()
+    clean = [r for r in held if r.quality == 1 and r.toxic == 0]
+    assert np.mean([r.kept for r in clean]) >= 0.98
+    junk = [r for r in held if r.quality == 0]
+    assert np.mean([not r.kept for r in junk]) >= 0.8
