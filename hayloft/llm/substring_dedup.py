@@ -179,13 +179,16 @@ def copied_runs(base: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
     blocks = stored(narrow.mapInArrow(_blocks(window), _BLOCKS), "rlz-blocks")
 
     # the index: anchors that more than one document owns, then their distinct blocks
-    anchors = (
-        blocks.groupBy("anchor").agg(F.min("ord").alias("lo"), F.max("ord").alias("hi")).where("lo < hi").select("anchor")
+    # (each side of a join is stored first: a join of two plain shuffles can split a hot anchor)
+    anchors = stored(
+        blocks.groupBy("anchor").agg(F.min("ord").alias("lo"), F.max("ord").alias("hi")).where("lo < hi").select("anchor"),
+        "rlz-anchors",
     )
     shared = stored(blocks.join(anchors, "anchor"), "rlz-shared")
-    index = shared.groupBy("anchor", "block").agg(F.min("ord").alias("source"))
-    variants = index.groupBy("anchor").agg(F.count(F.lit(1)).alias("variants"))
-    looked_up = stored(shared.join(index, ["anchor", "block"]).join(variants, "anchor"), "rlz-lookup")
+    index = stored(shared.groupBy("anchor", "block").agg(F.min("ord").alias("source")), "rlz-index")
+    variants = stored(index.groupBy("anchor").agg(F.count(F.lit(1)).alias("variants")), "rlz-variants")
+    index = stored(index.join(variants, "anchor"), "rlz-index")
+    looked_up = stored(shared.join(index, ["anchor", "block"]), "rlz-lookup")
 
     whole = looked_up.where("source < ord").select("ord", "tkey", "start", "n")
 
@@ -204,8 +207,9 @@ def copied_runs(base: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
     earliest = windows.groupBy("anchor", "win").agg(F.min("ord").alias("source"), F.max("ord").alias("hi")).where(
         "source < hi"
     )
+    earliest = stored(earliest.select("anchor", "win", "source"), "rlz-earliest")
     single = (
-        windows.join(earliest.select("anchor", "win", "source"), ["anchor", "win"])
+        windows.join(earliest, ["anchor", "win"])
         .where("source < ord")
         .select("ord", "tkey", "start", F.lit(1).alias("n"))
     )
