@@ -40,8 +40,8 @@ def size_in_words(text: str = "text") -> Column:
 def quality_weight(text: str = "text") -> Column:
     """Share of letters and whitespace in the text, at least 0.05; 1 for an empty text."""
     letters = F.length(F.regexp_replace(F.col(text), r"[^\p{L}\x20\x09-\x0D]", ""))
-    share = letters / F.when(F.length(text) > 0, F.length(text)).cast("double")
-    return F.coalesce(F.greatest(share, F.lit(0.05)), F.lit(1.0))
+    share = letters / F.length(text).cast("double")
+    return F.when(F.length(text) > 0, F.greatest(share, F.lit(0.05))).otherwise(1.0)
 
 
 def draw(quality: Column, seed: str = SEED, id_col: str = "doc_id", text_col: str = "text") -> list[Column]:
