@@ -2,26 +2,25 @@
 
 Semantics of ``fact LEFT JOIN dim ON keys AND t ∈ interval`` where the
 interval is ``[start, end)`` (``bounds="[)"``) or ``(start, end]``
-(``bounds="(]"``), for dimensions whose intervals per key do not overlap —
-what :func:`hayloft.operators.scd.scd2` produces. When ``keys`` is only a
-prefix of the dimension's own key (several devices per farm), overlapping
-intervals resolve to the one that started last (then the larger
-``tie_break`` values, then the later end) instead of fanning the fact out.
-
-Plan: facts and dimension rows are unioned and scanned in time order per key
-("as-of"), so the cost is linear — no equi-join on a weak key that would
-pair every fact of a hot key with every dimension row of it.
-
-* DATE fact times (the daily facts): the dimension is first reduced to one
-  row per key and *first fact day it can apply to* (``max_by``, combined
-  map-side). Per key the scan then holds at most one dimension row per day
-  plus the facts of that key, so its size is bounded by the date span, not by
-  the data volume, and one window on the key suffices. Each input is read
-  once.
-* TIMESTAMP fact times: the bucketed, skew-safe ``last_seen`` of
-  :mod:`hayloft.operators.ordered`; keys with more than ``hot_key_rows``
-  rows are cut into time buckets, other keys are one bucket (inputs are read
-  more than once: main pass, hot-key count, bucket summary).
+(``bounds="(]"``). Intervals of one ``keys + tie_break`` must not overlap, which
+holds for what :func:`hayloft.operators.scd.scd2` produces per key. When
+``keys`` is only a prefix of the dimension's own key (several devices per farm),
+``tie_break`` names the rest of it: each device is looked up on its own, and of
+those valid at the fact's time the one that started last (then the larger
+``tie_break``) wins, instead of fanning the fact out.
+
+Plan: the distinct ``(keys, fact time)`` and the dimension rows are unioned and
+scanned in time order per key and device ("as-of"), so the cost is linear: no
+equi-join on a weak key that would pair every fact of a hot key with every
+dimension row of it. The found values are joined back to the facts on
+``(keys, fact time)``, a plain equi-join whose skew Spark can split.
+
+* DATE fact times: a key has one probe per day, and the dimension is first
+  reduced to one row per key and *first day it can apply to* (``max_by``,
+  combined map-side). The scanned group is bounded by the date span, not by the
+  data volume, so one window suffices.
+* TIMESTAMP fact times: the bucketed ``last_seen`` of
+  :mod:`hayloft.operators.ordered`.
 """
 
 from __future__ import annotations
@@ -35,7 +34,6 @@ from pyspark.sql.types import DateType
 from hayloft.operators import ordered
 
 DEFAULT_BUCKET_SECONDS = 7 * 86400
-DEFAULT_HOT_KEY_ROWS = 1_000_000
 
 
 def _payload(columns: Mapping[str, str], start_col: str, end_col: str, tie_break: Sequence[str]) -> Column:
@@ -54,15 +52,6 @@ def _valid_dim(dim: DataFrame, keys: Sequence[str], start_col: str) -> DataFrame
     return rows
 
 
-def _finish(facts: DataFrame, fact_cols, t: Column, seen: Column, bounds: str, columns) -> DataFrame:
-    inside = (t < seen["end"]) if bounds == "[)" else (t <= seen["end"])
-    matched = F.when(seen.isNotNull() & inside & t.isNotNull(), seen)
-    return facts.withColumn("_hl_match", matched).select(
-        *[F.col(c) for c in fact_cols],
-        *[F.col(f"_hl_match.c{i}").alias(out) for i, out in enumerate(columns.values())],
-    )
-
-
 def point_in_time_join(
     fact: DataFrame,
     dim: DataFrame,
@@ -75,23 +64,65 @@ def point_in_time_join(
     end_col: str = "end_time",
     tie_break: Sequence[str] = (),
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-    hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS,
+    one_per_time: bool = False,
 ) -> DataFrame:
     """Add dimension columns ``columns`` (``{dim_column: output_name}``) to ``fact``.
 
     Every fact row is kept exactly once; the added columns are NULL when no
     interval contains the fact time (or the fact key has NULLs). A DATE fact
     time is compared as midnight of that day in the session zone.
+
+    ``one_per_time`` states that ``fact`` has one row per ``(keys, fact_time)``, as
+    an aggregated fact has: its rows then take part in the scan themselves and
+    are read once, where otherwise the distinct probes are joined back.
     """
     if bounds not in ("[)", "(]"):
         raise ValueError("bounds must be '[)' or '(]'")
-    if isinstance(fact.schema[fact_time].dataType, DateType):
-        return _daily(fact, dim, keys, fact_time, columns, bounds, start_col, end_col, tie_break)
-    return _bucketed(fact, dim, keys, fact_time, columns, bounds, start_col, end_col, tie_break, bucket_seconds,
-                     hot_key_rows)
+    daily = isinstance(fact.schema[fact_time].dataType, DateType)
+    valid = _valid_dim(dim, keys, start_col).withColumns({f"_hl_d{i}": F.col(c) for i, c in enumerate(tie_break)})
+    device = [f"_hl_d{i}" for i in range(len(tie_break))]
+
+    if one_per_time:
+        row = F.struct(*[F.col(c) for c in fact.columns]).alias("_hl_row")
+        probes = fact.select(*keys, F.col(fact_time).alias("_hl_t"), row)
+    else:
+        known = fact.where(F.col(fact_time).isNotNull())
+        for k in keys:
+            known = known.where(F.col(k).isNotNull())
+        probes = known.select(*keys, F.col(fact_time).alias("_hl_t")).distinct()
+    if device:
+        # one probe per device of the key: devices of a key, not dimension rows
+        probes = probes.join(valid.select(*keys, *device).distinct(), list(keys), "left" if one_per_time else "inner")
+
+    payload = _payload(columns, start_col, end_col, tie_break)
+    scan = _scan_days if daily else _scan_times
+    seen = scan(probes, valid, [*keys, *device], payload, bounds, start_col, end_col, bucket_seconds)
+    t = F.col("_hl_t").cast("timestamp")
+    inside = (t < F.col("_hl_seen.end")) if bounds == "[)" else (t <= F.col("_hl_seen.end"))
+    latest = F.struct("_hl_seen.start", *[f"_hl_seen.tb{i}" for i in range(len(tie_break))])
+    if one_per_time:
+        found = seen.withColumn("_hl_seen", F.when(F.col("_hl_seen").isNotNull() & inside, F.col("_hl_seen")))
+        if device:
+            found = found.groupBy(*keys, "_hl_t").agg(
+                F.max_by("_hl_seen", F.when(F.col("_hl_seen").isNotNull(), latest)).alias("_hl_seen"),
+                F.first("_hl_row").alias("_hl_row"),  # the same on every device
+            )
+        return found.select("_hl_row.*", *[F.col(f"_hl_seen.c{i}").alias(out) for i, out in enumerate(columns.values())])
+    hits = seen.where(F.col("_hl_seen").isNotNull() & inside)
+    if device:
+        hits = hits.groupBy(*keys, "_hl_t").agg(F.max_by("_hl_seen", latest).alias("_hl_seen"))
+    hits = hits.select(
+        *[F.col(k).alias(f"_hl_k{i}") for i, k in enumerate(keys)],
+        "_hl_t",
+        *[F.col(f"_hl_seen.c{i}").alias(f"_hl_c{i}") for i in range(len(columns))],
+    )
+    on = [fact[k] == hits[f"_hl_k{i}"] for i, k in enumerate(keys)] + [fact[fact_time] == hits["_hl_t"]]
+    return fact.join(hits, on, "left").select(
+        *[fact[c] for c in fact.columns], *[hits[f"_hl_c{i}"].alias(out) for i, out in enumerate(columns.values())]
+    )
 
 
-def _daily(fact, dim, keys, fact_time, columns, bounds, start_col, end_col, tie_break):
+def _scan_days(probes, dim, keys, payload, bounds, start_col, end_col, _bucket_seconds):
     start = F.col(start_col).cast("timestamp")
     start_day = F.to_date(start)
     if bounds == "[)":
@@ -100,50 +131,32 @@ def _daily(fact, dim, keys, fact_time, columns, bounds, start_col, end_col, tie_
     else:
         # start < midnight(D)
         first_day = F.date_add(start_day, 1)
-    latest = F.max_by(
-        _payload(columns, start_col, end_col, tie_break),
-        F.struct(start, *[F.col(c) for c in tie_break], F.col(end_col).cast("timestamp")),
-    )
     reduced = (
-        _valid_dim(dim, keys, start_col)
-        .groupBy(*[F.col(k) for k in keys], first_day.alias("_hl_t"))
-        .agg(latest.alias("_hl_dim"))
+        dim.groupBy(*keys, first_day.alias("_hl_t"))
+        .agg(F.max_by(payload, F.struct(start, F.col(end_col).cast("timestamp"))).alias("_hl_dim"))
         .withColumn("_hl_rank", F.lit(0))
     )
-    fact_cols = fact.columns
-    facts = fact.withColumn("_hl_t", F.col(fact_time)).withColumn("_hl_rank", F.lit(1))
-    both = facts.unionByName(reduced, allowMissingColumns=True)
+    both = probes.withColumn("_hl_rank", F.lit(1)).unionByName(reduced, allowMissingColumns=True)
     w = (
-        Window.partitionBy(*[F.col(k) for k in keys])
+        Window.partitionBy(*keys)
         .orderBy("_hl_t", "_hl_rank")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    scanned = both.withColumn("_hl_seen", F.last("_hl_dim", ignorenulls=True).over(w))
-    only_facts = scanned.where(F.col("_hl_rank") == 1)
-    return _finish(only_facts, fact_cols, F.col("_hl_t").cast("timestamp"), F.col("_hl_seen"), bounds, columns)
+    return both.withColumn("_hl_seen", F.last("_hl_dim", ignorenulls=True).over(w)).where("_hl_rank = 1")
 
 
-def _bucketed(fact, dim, keys, fact_time, columns, bounds, start_col, end_col, tie_break, bucket_seconds,
-              hot_key_rows):
+def _scan_times(probes, dim, keys, payload, bounds, start_col, end_col, bucket_seconds):
     # At equal times a "[)" dimension row is visible to the fact (start <= t),
     # a "(]" one is not (start < t): order the row kinds accordingly.
     dim_rank, fact_rank = (0, 1) if bounds == "[)" else (1, 0)
-    t = "_hl_t"
-    dim_rows = _valid_dim(dim, keys, start_col).select(
-        *[F.col(k) for k in keys],
-        F.col(start_col).cast("timestamp").alias(t),
+    dim_rows = dim.select(
+        *keys,
+        F.col(start_col).cast("timestamp").alias("_hl_t"),
         F.lit(dim_rank).alias("_hl_rank"),
-        _payload(columns, start_col, end_col, tie_break).alias("_hl_dim"),
-    )
-    fact_cols = fact.columns
-    fact_rows = fact.select(
-        *[F.col(c) for c in fact_cols],
-        F.col(fact_time).cast("timestamp").alias(t),
-        F.lit(fact_rank).alias("_hl_rank"),
+        payload.alias("_hl_dim"),
     )
-    order = [t, "_hl_rank", *[F.col(f"_hl_dim.tb{i}") for i in range(len(tie_break))], F.col("_hl_dim.end")]
-    both = fact_rows.unionByName(dim_rows, allowMissingColumns=True)
-    staged = ordered.with_partition_columns(both, keys, t, bucket_seconds, hot_key_rows=hot_key_rows)
-    scanned = ordered.last_seen(staged, order, "_hl_dim", "_hl_seen")
-    only_facts = scanned.where(F.col("_hl_rank") == F.lit(fact_rank)).where(F.col("_hl_dim").isNull())
-    return _finish(only_facts, fact_cols, F.col(t), F.col("_hl_seen"), bounds, columns)
+    probe_rows = probes.withColumn("_hl_rank", F.lit(fact_rank))
+    both = probe_rows.unionByName(dim_rows, allowMissingColumns=True)
+    staged = ordered.with_partition_columns(both, keys, "_hl_t", bucket_seconds)
+    scanned = ordered.last_seen(staged, ["_hl_t", "_hl_rank", F.col("_hl_dim.end")], "_hl_dim", "_hl_seen")
+    return scanned.where(F.col("_hl_rank") == F.lit(fact_rank))

@@ -46,8 +46,9 @@ def fill_days(
     day and are NULL on filled days; every other column is carried forward.
     Pure DATE arithmetic: the result does not depend on the session zone.
 
-    The window is on the *daily* table (one row per key and day), so a key
-    holds at most as many rows as there are days in the data.
+    The input must be daily: one row per key and day (duplicates are allowed, but
+    a key's rows meet in one window). A key then holds at most as many rows as
+    there are days in the data.
     """
     d = F.col(date_col)
     nxt = F.col("_hl_next")
@@ -85,10 +86,13 @@ def split_intervals(
     *,
     pos_col: str | None = None,
 ) -> DataFrame:
-    """Cut ``[start, end)`` at local midnight + k·step; one row per piece.
+    """Cut ``[start, end)`` at boundaries that all rows share; one row per piece.
 
     ``step_seconds`` is a number of seconds or a duration text such as
-    ``"1 days"`` or ``"15 minutes"``.
+    ``"1 days"`` or ``"15 minutes"``. Boundaries: whole-day steps lie on local
+    midnights, counted in days from 1970-01-01 (a week starts on a Thursday, as
+    ``window()`` has it); steps that divide a day on local midnight plus multiples of
+    the step; other steps on multiples of the step from the epoch.
 
     Pieces keep all input columns with ``start_col``/``end_col`` replaced by
     the piece bounds and gain ``start_date``, ``end_date`` (and ``pos_col`` if
@@ -101,23 +105,23 @@ def split_intervals(
     day0 = F.to_date(start)
     if step_seconds % DAY_SECONDS == 0:
         n_days = step_seconds // DAY_SECONDS
-        last_k = F.floor(F.datediff(F.to_date(end), day0) / F.lit(n_days))
-        k_seq = F.sequence(F.lit(0), F.greatest(F.coalesce(last_k, F.lit(0)), F.lit(0)).cast("int"))
+        epoch = F.lit("1970-01-01").cast("date")
+        first_k = F.floor(F.datediff(day0, epoch) / F.lit(n_days))
+        last_k = F.floor(F.datediff(F.to_date(end), epoch) / F.lit(n_days))
 
         def bound(k):
-            return F.date_add(day0, (k * F.lit(n_days)).cast("int")).cast("timestamp")
+            return F.date_add(epoch, (k * F.lit(n_days)).cast("int")).cast("timestamp")
 
-        first_k = F.lit(0)
     else:
-        midnight = epoch_seconds(day0.cast("timestamp"))
+        origin = epoch_seconds(day0.cast("timestamp")) if DAY_SECONDS % step_seconds == 0 else F.lit(0)
         step = F.lit(int(step_seconds))
-        first_k = F.floor((epoch_seconds(start) - midnight) / step)
-        last_k = F.floor((epoch_seconds(end) - midnight) / step)
-        k_seq = F.sequence(first_k, F.greatest(F.coalesce(last_k, first_k), first_k))
+        first_k = F.floor((epoch_seconds(start) - origin) / step)
+        last_k = F.floor((epoch_seconds(end) - origin) / step)
 
         def bound(k):
-            return F.timestamp_seconds(midnight + k * step)
+            return F.timestamp_seconds(origin + k * step)
 
+    k_seq = F.sequence(first_k, F.greatest(F.coalesce(last_k, first_k), first_k))
     pos = pos_col or "_hl_pos"
     exploded = df.select("*", F.posexplode(k_seq).alias(pos, "_hl_k"))
     k = F.col("_hl_k")

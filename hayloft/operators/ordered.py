@@ -2,13 +2,13 @@
 
 A plain ``Window.partitionBy(keys).orderBy(t)`` sends every row of one key to
 one task: a key holding a third of all rows becomes a third of the job in a
-single task. These helpers partition by ``(key, time bucket)`` instead and
-repair the bucket edges from a small per-bucket summary:
+single task. These helpers partition by ``(key, time bucket)`` instead, for every
+key alike, and repair the bucket edges from a small per-bucket summary:
 
 1. in-bucket running ``last(ignorenulls)`` on ``(key, bucket)``;
 2. summary ``groupBy(key, bucket)`` (partial aggregation, one row per
    non-empty bucket), then a window over the *summary* by key ordered by bucket
-   — a hot key has at most ``time span / bucket`` summary rows;
+   — a key has at most ``time span / bucket`` summary rows;
 3. equi-join of the summary back on ``(key, bucket)``; the big side is already
    hash-partitioned on those columns by step 1, so only the summary moves.
 
@@ -28,45 +28,14 @@ from hayloft.functions.time import time_bucket
 
 KEY = "_hl_key"
 BUCKET = "_hl_bucket"
+NO_TIME = -(1 << 62)  # bucket of NULL times, before every other as NULLs sort first
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int) -> DataFrame:
-    """Keys with more than ``min_rows`` rows (count combined map-side).
-
-    At most ``rows / min_rows`` keys qualify, so the result has a proven
-    size bound relative to the input and is safe to broadcast.
-    """
-    return (
-        df.groupBy(*[F.col(k) for k in keys])
-        .agg(F.count(F.lit(1)).alias("_hl_n"))
-        .where(F.col("_hl_n") > F.lit(int(min_rows)))
-        .select(*keys, F.lit(True).alias("_hl_hot"))
-    )
-
-
-def with_partition_columns(
-    df: DataFrame,
-    keys: Sequence[str],
-    time_col: str,
-    bucket_seconds: int,
-    *,
-    hot_key_rows: int | None = None,
-) -> DataFrame:
-    """Add the packed key and the time bucket used by the scans.
-
-    With ``hot_key_rows`` only keys above that many rows are cut into time
-    buckets; every other key is a single bucket (0), so the bucket summaries
-    stay small for ordinary keys while a hot key is still spread out.
-    """
+def with_partition_columns(df: DataFrame, keys: Sequence[str], time_col: str, bucket_seconds: int) -> DataFrame:
+    """Add the packed key and the time bucket used by the scans."""
     key = F.struct(*[F.col(k) for k in keys]) if keys else F.lit(0)
-    bucket = time_bucket(time_col, bucket_seconds)
-    if hot_key_rows is None or not keys:
-        return df.withColumns({KEY: key, BUCKET: bucket})
-    hot = F.broadcast(hot_keys(df, keys, hot_key_rows).withColumnsRenamed({k: f"_hl_hk{i}" for i, k in enumerate(keys)}))
-    cond = [df[k].eqNullSafe(hot[f"_hl_hk{i}"]) for i, k in enumerate(keys)]
-    flagged = df.join(hot, on=cond, how="left").drop(*[f"_hl_hk{i}" for i in range(len(keys))])
-    bucket = F.when(F.col("_hl_hot"), bucket).otherwise(F.lit(0).cast("long"))
-    return flagged.withColumns({KEY: key, BUCKET: bucket}).drop("_hl_hot")
+    bucket = F.coalesce(time_bucket(time_col, bucket_seconds), F.lit(NO_TIME))
+    return df.withColumns({KEY: key, BUCKET: bucket})
 
 
 def _order(order: Sequence[str | Column]) -> list[Column]:
@@ -97,7 +66,3 @@ def last_seen(df: DataFrame, order: Sequence[str | Column], value: str, out: str
         .withColumn(out, F.coalesce(F.col("_hl_in"), F.col("_hl_carry")))
         .drop("_hl_in", "_hl_carry")
     )
-
-
-def drop_partition_columns(df: DataFrame) -> DataFrame:
-    return df.drop(KEY, BUCKET)

@@ -4,54 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, VariantType
 
 from hayloft.functions.time import OPEN_END, epoch_seconds
 from hayloft.operators.ordered import BUCKET, KEY, with_partition_columns
 
 FINGERPRINT_SEPARATOR = ", "
 DEFAULT_BUCKET_SECONDS = 3600
-DEFAULT_HOT_KEY_ROWS = 1_000_000
 
 
-def _bucket_summary(staged: DataFrame, t: str, fp: str) -> DataFrame:
-    """Per (key, bucket): the fingerprint flowing in from earlier buckets and
-    the first change point in any later bucket — built from the input alone.
-
-    1. ``groupBy(key, bucket, fp)`` → first / last time of each fingerprint
-       (hash aggregation, combined map-side);
-    2. ranked by first time inside the bucket: rank 1 is the bucket's first
-       row, rank 2's first time is the bucket's first internal change;
-    3. per key over buckets (a few rows per key and time span): the previous
-       bucket's last fingerprint decides whether the bucket's first row is a
-       change, and the next change point after each bucket is the first
-       non-NULL one among the following buckets.
-    """
-    per_fp = staged.groupBy(KEY, BUCKET, fp).agg(F.min(t).alias("_t0"), F.max(t).alias("_t1"))
-    rank = F.row_number().over(Window.partitionBy(KEY, BUCKET).orderBy("_t0", fp))
-    per_bucket = (
-        per_fp.withColumn("_rn", rank)
-        .groupBy(KEY, BUCKET)
-        .agg(
-            F.min("_t0").alias("_first_t"),
-            F.max(F.when(F.col("_rn") == 1, F.col(fp))).alias("_first_fp"),
-            F.max(F.when(F.col("_rn") == 2, F.col("_t0"))).alias("_inner_change_t"),
-            F.max_by(F.col(fp), F.struct("_t1", fp)).alias("_last_fp"),
-        )
-    )
-    by_key = Window.partitionBy(KEY).orderBy(BUCKET)
-    incoming = F.lag("_last_fp").over(by_key)
-    first_change = F.when(
-        incoming.isNull() | (F.col("_first_fp") != incoming), F.col("_first_t")
-    ).otherwise(F.col("_inner_change_t"))
-    # "first non-NULL among the following buckets" as a running frame over the
-    # reversed order: linear, where an unbounded-following frame is quadratic
-    later = Window.partitionBy(KEY).orderBy(F.col(BUCKET).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        per_bucket.withColumns({"_carry_fp": incoming, "_change_t": first_change})
-        .select(KEY, BUCKET, "_carry_fp", F.last("_change_t", ignorenulls=True).over(later).alias("_next_change_t"))
-    )
+def _tie_break(df: DataFrame) -> Column:
+    """Orders rows equal in time and fingerprint, so that a recomputed task picks the same one."""
+    return F.xxhash64(*[F.col(f.name) for f in df.schema if not isinstance(f.dataType, (MapType, VariantType))])
 
 
 def scd2(
@@ -62,70 +28,80 @@ def scd2(
     *,
     open_end=OPEN_END,
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-    hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS,
 ) -> DataFrame:
     """Validity intervals of the tracked columns per key.
 
     * fingerprint = ``concat_ws(", ", column_names)`` (NULLs are skipped);
-    * a row is kept when its fingerprint differs from the previous row of the
-      key (the first row of a key is always kept);
+    * rows of a key are ordered by ``(orderby_col, fingerprint)``, NULL times
+      first; a row is kept when its fingerprint differs from the row before (the
+      first row of a key is always kept);
     * ``end_time`` = time of the next *kept* row, ``open_end`` for the last;
     * a column literally named ``time`` becomes ``start_time``;
     * ``duration_s`` = whole seconds between start and end.
 
     All input columns are kept; existing ``end_time`` / ``duration_s`` are
-    replaced in place. Rows are ordered by ``(orderby_col, fingerprint)``, so
-    equal timestamps resolve deterministically.
-
-    Plan: one shuffle on ``(key, time bucket)`` — a key with more than
-    ``hot_key_rows`` rows (one with a third of all rows, say) is spread over
-    ``bucket_seconds`` buckets, every other key is one bucket — and two
-    linear windows on one sort inside each bucket (``lag`` over all rows,
-    ``lead`` over the change candidates only). Bucket edges are repaired from a
-    summary that is a hash aggregation of the (narrow) input, joined back on
-    ``(key, bucket)``. ``hot_key_rows=None`` buckets every key by time.
-
-    The input is read three times (main pass, hot-key count, summary), so
-    pass a stored table — as the layered run does — rather than an expensive
-    lineage such as another ``scd2``.
+    replaced in place.
+
+    Plan: every key takes the same way. Rows are shuffled once on ``(key, time
+    bucket)``; inside a bucket ``lag`` finds the change candidates (the bucket's
+    first row and every change) and ``lead`` the next one. What a candidate
+    between two others needs is then known. The first and the last candidate
+    of each bucket, at most two rows per key and bucket, go through one window
+    per key, which decides whether the first is a change at all and where the
+    last one ends. Both branches read the same shuffle (equal columns), so the
+    input is scanned once.
     """
     fp, t = "_hl_fp", orderby_col
+    tie = "_hl_tie"
     staged = with_partition_columns(
-        df.withColumn(fp, F.concat_ws(FINGERPRINT_SEPARATOR, *[F.col(c) for c in column_names])),
+        df.withColumns(
+            {fp: F.concat_ws(FINGERPRINT_SEPARATOR, *[F.col(c) for c in column_names]), tie: _tie_break(df)}
+        ),
         partition_columns,
         t,
         bucket_seconds,
-        hot_key_rows=hot_key_rows,
     )
-    summary = _bucket_summary(staged, t, fp)
-
-    w_in = Window.partitionBy(KEY, BUCKET).orderBy(t, fp)
-    # candidates: a bucket's first row and every in-bucket change; the next
-    # candidate after a kept row is the next kept row inside the bucket
+    in_bucket = Window.partitionBy(KEY, BUCKET).orderBy(t, fp, tie)
     candidates = (
-        staged.withColumns({"_lag": F.lag(fp).over(w_in), "_first": F.lag(F.lit(1)).over(w_in).isNull()})
-        .where(F.col("_first") | (F.col(fp) != F.col("_lag")))
-        .withColumn("_next_inner", F.lead(t).over(w_in))
+        staged.withColumn("_hl_lag", F.lag(F.struct(fp)).over(in_bucket))
+        .where(F.col("_hl_lag").isNull() | (F.col(fp) != F.col("_hl_lag")[fp]))
+        .withColumn("_hl_next", F.lead(F.struct(F.col(t).alias("t"))).over(in_bucket))
+        .withColumns({"_hl_first": F.col("_hl_lag").isNull(), "_hl_last": F.col("_hl_next").isNull()})
+        .drop("_hl_lag")
     )
-    prev = F.when(F.col("_first"), F.col("_carry_fp")).otherwise(F.col("_lag"))
-    kept = candidates.join(summary, on=[KEY, BUCKET], how="left").where(prev.isNull() | (F.col(fp) != prev))
-    end = F.coalesce(F.col("_next_inner"), F.col("_next_change_t"), F.lit(open_end))
-
-    end_col = end.cast("timestamp")
-    duration = epoch_seconds(end_col) - epoch_seconds(F.col(t))
-    cols = [F.col(c).alias("start_time") if c == "time" else F.col(c)
-            for c in df.columns if c not in ("end_time", "duration_s")]
-    # existing end_time / duration_s keep their position, new ones are appended
-    out_cols = []
-    for c in df.columns:
-        if c == "end_time":
-            out_cols.append(end_col.alias("end_time"))
-        elif c == "duration_s":
-            out_cols.append(duration.alias("duration_s"))
-        else:
-            out_cols.append(cols.pop(0))
-    if "end_time" not in df.columns:
-        out_cols.append(end_col.alias("end_time"))
-    if "duration_s" not in df.columns:
-        out_cols.append(duration.alias("duration_s"))
-    return kept.select(*out_cols)
+    inner = candidates.where(~F.col("_hl_first") & ~F.col("_hl_last")).withColumn("_hl_end", F.col("_hl_next.t"))
+
+    by_key = Window.partitionBy(KEY).orderBy(BUCKET, t, fp)
+    # the following rows as a running frame over the reverse order: linear, where
+    # an unbounded-following frame is quadratic
+    onward = (
+        Window.partitionBy(KEY)
+        .orderBy(F.col(BUCKET).desc(), F.col(t).desc(), F.col(fp).desc())
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    before = F.lag(F.struct(fp)).over(by_key)
+    edges = (
+        candidates.where(F.col("_hl_first") | F.col("_hl_last"))
+        .withColumn("_hl_kept", ~F.col("_hl_first") | before.isNull() | (F.col(fp) != before[fp]))
+        # the first change that a bucket's first row stands for: itself, or the candidate after it
+        .withColumn(
+            "_hl_change",
+            F.when(F.col("_hl_first"), F.when(F.col("_hl_kept"), F.struct(F.col(t).alias("t"))).otherwise(F.col("_hl_next"))),
+        )
+        .withColumn("_hl_later", F.last("_hl_change", ignorenulls=True).over(onward))
+        .where("_hl_kept")
+    )
+    end_of_edge = (
+        F.when(F.col("_hl_next").isNotNull(), F.col("_hl_next.t"))
+        .when(F.col("_hl_later").isNotNull(), F.col("_hl_later.t"))
+        .otherwise(F.lit(open_end))
+    )
+    edges = edges.withColumn("_hl_end", end_of_edge).drop("_hl_kept", "_hl_change", "_hl_later")
+    kept = inner.unionByName(edges)
+
+    new = {
+        "end_time": F.col("_hl_end").cast("timestamp").alias("end_time"),
+        "duration_s": (epoch_seconds(F.col("_hl_end").cast("timestamp")) - epoch_seconds(F.col(t))).alias("duration_s"),
+    }
+    out = [new.pop(c) if c in new else F.col(c).alias("start_time") if c == "time" else F.col(c) for c in df.columns]
+    return kept.select(*out, *new.values())

@@ -10,17 +10,20 @@ through a DECIMAL cast) because the summation order differs between engines.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hayloft import schemas
 from hayloft.functions.names import make_mojibake, repair_mojibake
 from hayloft.operators import dedup, fill_days, pair_events, point_in_time_join, scd2, shred, split_intervals
 from hayloft.plans import checks, gold, kpi, parsers, silver, standins
 from hayloft.functions.time import to_timestamp_columns
 from hayloft.session import scratch_path
 from hayloft.sources.calendar import calendar_of
-from hayloft.sources.files import read_table, write_table
+from hayloft.plans.medallion import run_layers
+from hayloft.sources.files import read_csv_messages, read_table, write_table
 from hayloft.streaming.ingest import ingest, with_lineage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,7 +65,7 @@ def q_scd2_nested(spark, sf):
         "event_id", "ts", "user_id", "event_type",
         F.when(F.col("value") >= 25, "HIGH").otherwise("LOW").alias("band"),
     )
-    level1 = _stored(spark, scd2(ev, ["user_id"], ["event_type", "band"], orderby_col="ts"), "scd2-level1")
+    level1 = scd2(ev, ["user_id"], ["event_type", "band"], orderby_col="ts")
     level2 = scd2(level1, ["user_id"], ["event_type"], orderby_col="ts")
     return level2.select("user_id", "ts", "event_type", "end_time", "duration_s")
 
@@ -73,8 +76,12 @@ def _activity_events(spark, sf):
 
 
 def q_pair_events_12h(spark, sf):
+    """All columns; the results array as its size and total (NULL for a NULL array)."""
     act = _activity_events(spark, sf)
-    return act.drop("loading_uuid", "results")
+    total = F.aggregate("results", F.lit(0), lambda a, r: a + r["weight"])
+    return act.withColumns(
+        {"n_results": F.when(F.col("results").isNotNull(), F.size("results")), "results_weight": total}
+    ).drop("results")
 
 
 def _pairs(spark, sf):
@@ -89,6 +96,18 @@ def q_split_intervals_hour(spark, sf):
     return split_intervals(_pairs(spark, sf), "start_time", "end_time", 3600, pos_col="pos")
 
 
+def q_split_intervals_5h(spark, sf):
+    """A step that does not divide a day: boundaries count from the epoch."""
+    return split_intervals(_pairs(spark, sf), "start_time", "end_time", "5 hours", pos_col="pos")
+
+
+def q_split_intervals_week(spark, sf):
+    """Closed configuration periods, cut at the weeks all rows share."""
+    periods = _robot_config_dim(spark, sf).where("end_time < TIMESTAMP'2099-01-01'")
+    periods = periods.select("farm_license", "device_number", "start_time", "end_time")
+    return split_intervals(periods, "start_time", "end_time", "1 week", pos_col="pos")
+
+
 def q_interval_join_generic(spark, sf):
     """Start/end pairing on a key only (no sequence number): the bucketed join."""
     ev = standins.table(spark, sf, "events")
@@ -109,6 +128,23 @@ def q_pit_join_closed_open(spark, sf):
                               {"event_type": "state"}, bounds="[)", start_col="ts")
 
 
+def q_pit_join_each_event(spark, sf):
+    """Many facts per key and time zone day: each event with the state of its user at its own instant."""
+    ev = standins.table(spark, sf, "events").select("event_id", "user_id", F.col("ts").alias("at"))
+    return point_in_time_join(ev, _events_dim(spark, sf), ["user_id"], "at", {"event_type": "state"}, bounds="(]", start_col="ts")
+
+
+def q_pit_join_two_devices(spark, sf):
+    """Farm-only lookup of robots whose configuration periods overlap and end."""
+    periods = _robot_config_dim(spark, sf).where("end_time < TIMESTAMP'2099-01-01'")
+    days = standins.table(spark, sf, "lineitem").select(
+        F.col("l_suppkey").cast("string").alias("farm_license"), F.to_date("l_shipdate").alias("day"), "l_orderkey", "l_linenumber"
+    )
+    return point_in_time_join(
+        days, periods, ["farm_license"], "day", {"phases": "phases", "device_number": "device"}, bounds="(]", tie_break=["device_number"]
+    )
+
+
 def q_pit_join_open_closed(spark, sf):
     return point_in_time_join(_daily_events(spark, sf), _events_dim(spark, sf), ["user_id"], "day",
                               {"event_type": "state"}, bounds="(]", start_col="ts")
@@ -121,15 +157,9 @@ def q_fill_days_supplier(spark, sf):
     return fill_days(daily, ["l_suppkey"], "date", ["n_lines", "qty"], pos_col="pos")
 
 
-def _feeds(spark, sf):
-    return gold.feed_rows(standins.activity(spark, sf))
-
-
 def q_explode_results(spark, sf):
-    return _feeds(spark, sf).select(
-        "farm_license", "loading_uuid", "seq_nr", "feed_id", "req_weight_feedtype_g",
-        "loaded_weight_feedtype_g", "feedtype_completed", "feedtype_loading_deviation_g",
-        "loading_accuracy_percentage")
+    return gold.load_lines(standins.activity(spark, sf)).select(
+        "farm_license", "load", "seq_nr", "feed_id", "requested_g", "loaded_g", "completed", "off_g", "accuracy")
 
 
 def _feed_names_dim(spark, sf):
@@ -153,39 +183,33 @@ def q_ration_names_dim(spark, sf):
 
 
 def q_robot_config_dim(spark, sf):
-    return _robot_config_dim(spark, sf).drop("config_uuid")
+    return _robot_config_dim(spark, sf)
 
 
 def q_controller_periods(spark, sf):
-    cc = gold.controller_counts(_stored(spark, _robot_config_dim(spark, sf), "robot-config"))
-    return cc.select("farm_license", "device_number", "start_time", "freq_controller_type_mixer",
-                     "freq_controller_type_dosing_roller", "end_time", "duration_s",
-                     "nr_schneider", "nr_commsk")
+    periods = gold.controller_periods(_robot_config_dim(spark, sf))
+    return periods.select("farm_license", "device_number", "start_time", "freq_controller_type_mixer",
+                          "freq_controller_type_dosing_roller", "end_time", "duration_s", "schneider", "commsk")
 
 
-def _stored(spark, df, name):
-    """Write a silver-level table below the checkpoint folder and read it back.
-
-    Used for the robot configuration dimension of the farm fact: the second
-    SCD2 (controller periods) scans its input more than once, so it reads a
-    stored table — as in the layered run — instead of recomputing the first
-    SCD2 for each scan.
-    """
+def _stored(df, name):
+    """A table below the checkpoint folder, as the layered run stores its levels."""
+    spark = df.sparkSession
     path = scratch_path(spark, name)
     write_table(df, path, cluster=False)
-    return read_table(spark, path)
+    return read_table(spark, path, df.schema)
 
 
 def _feed_fact(spark, sf):
-    return gold.feed_daily_from_rows(_feeds(spark, sf), _feed_names_dim(spark, sf))
+    return gold.feed_daily_fact(standins.activity(spark, sf), _feed_names_dim(spark, sf))
 
 
 def _ration_fact(spark, sf):
-    return gold.ration_daily_from_rows(_feeds(spark, sf), _ration_names_dim(spark, sf))
+    return gold.ration_daily_fact(standins.activity(spark, sf), _ration_names_dim(spark, sf))
 
 
 def _farm_fact(spark, sf):
-    return gold.farm_daily_from_rows(_feeds(spark, sf), _stored(spark, _robot_config_dim(spark, sf), "robot-config"))
+    return gold.farm_daily_fact(standins.activity(spark, sf), _robot_config_dim(spark, sf))
 
 
 def q_feed_fact_full(spark, sf):
@@ -205,7 +229,9 @@ def q_calendar(spark, sf):
 
 
 def q_missing_days(spark, sf):
-    return checks.missing_days(standins.table(spark, sf, "lineitem"), "l_shipdate")
+    """Days without a cancelled-priority order; whole tables have a row on every day."""
+    orders = standins.table(spark, sf, "orders").select(F.when(F.col("o_orderstatus") == "P", F.col("o_orderdate")).alias("day"))
+    return checks.missing_days(orders, "day")
 
 
 def q_missing_days_supplier(spark, sf):
@@ -213,8 +239,22 @@ def q_missing_days_supplier(spark, sf):
     return checks.missing_days(li, "l_shipdate", keys=["l_suppkey"])
 
 
+def q_missing_days_null_key(spark, sf):
+    """Some suppliers unknown: NULL is an entity like any other."""
+    li = standins.table(spark, sf, "lineitem").select(
+        F.when(F.col("l_suppkey") % 5 != 0, F.col("l_suppkey")).alias("supplier"), "l_shipdate", "l_returnflag")
+    return checks.missing_days(li, "l_shipdate", keys=["supplier", "l_returnflag"])
+
+
 def q_missing_days_feed_fact(spark, sf):
-    return checks.missing_days(_feed_fact(spark, sf), "date", keys=["farm_license", "feed_id"])
+    """Gaps of the feed fact before they are filled."""
+    return checks.missing_days(gold.FEED.daily(standins.activity(spark, sf)), "date", keys=["farm_license", "feed_id"])
+
+
+def q_ration_bins_distinct(spark, sf):
+    """Distinct loads per farm, day and ration, counted as such (the fact derives them from its two levels)."""
+    lines = gold.load_lines(standins.activity(spark, sf))
+    return lines.groupBy("farm_license", "date", "ration_id").agg(F.count_distinct("load").alias("n_bins"))
 
 
 def q_row_count_check(spark, sf):
@@ -228,25 +268,32 @@ def q_date_bounds(spark, sf):
 
 
 def q_entity_list(spark, sf):
-    return checks.entity_list(standins.activity(spark, sf), "farm_license")
+    lines = standins.table(spark, sf, "lineitem").select(F.col("l_suppkey").cast("string").alias("farm_license"))
+    return checks.entity_list(lines, "farm_license")
 
 
 def q_kpi_farm(spark, sf):
-    return kpi.farm_kpi(_farm_fact(spark, sf), "loaded_weight_kg")
+    """The chart's series over the stored fact, as the dashboard reads it."""
+    return kpi.farm_kpi(_stored(_farm_fact(spark, sf), "farm-fact"), "loaded_weight_kg")
+
+
+def q_kpi_farm_selected(spark, sf):
+    """Chosen farms of the stored fact."""
+    return kpi.farm_kpi(_stored(_farm_fact(spark, sf), "farm-fact"), "nr_schneider_freq_control", farms=["1", "3", "7", "nowhere"])
 
 
 def q_kpi_feed(spark, sf):
-    return kpi.feed_kpi(_feed_fact(spark, sf), "nr_times_loaded")
+    return kpi.feed_kpi(_stored(_feed_fact(spark, sf), "feed-fact"), "nr_times_loaded")
 
 
 def q_kpi_farm_range(spark, sf):
     """KPI series with inclusive date bounds (the chart's date picker)."""
-    return kpi.farm_kpi(_farm_fact(spark, sf), "nr_of_loading_activities_per_day",
+    return kpi.farm_kpi(_stored(_farm_fact(spark, sf), "farm-fact"), "nr_of_loading_activities_per_day",
                         start="1997-01-01", end="1998-12-31")
 
 
 def q_kpi_ration(spark, sf):
-    return kpi.ration_kpi(_ration_fact(spark, sf), "total_nr_of_feed_per_load")
+    return kpi.ration_kpi(_stored(_ration_fact(spark, sf), "ration-fact"), "total_nr_of_feed_per_load")
 
 
 def q_topk_preview(spark, sf):
@@ -261,6 +308,20 @@ def q_name_repair(spark, sf):
     return docs.select("doc_id", repair_mojibake(make_mojibake("text")).alias("text"))
 
 
+def q_name_repair_keeps(spark, sf):
+    """Names that must stay: undamaged text, damage mixed with other scripts, and bytes that are no UTF-8."""
+    docs = standins.table(spark, sf, "documents")
+    name = F.substring("text", 1, 40)
+    kinds = F.array(
+        F.struct(F.lit("plain").alias("kind"), name.alias("name")),
+        F.struct(F.lit("mixed").alias("kind"), F.concat(make_mojibake(name), F.lit("日")).alias("name")),
+        F.struct(F.lit("not utf-8").alias("kind"), F.concat(name, F.lit("\u00e9"), F.lit("x")).alias("name")),
+        F.struct(F.lit("damaged").alias("kind"), make_mojibake(F.concat(name, F.lit("\u00ef"))).alias("name")),
+    )
+    each = docs.select("doc_id", F.explode(kinds).alias("n"))
+    return each.select("doc_id", "n.kind", repair_mojibake("n.name").alias("name"))
+
+
 _AGG_DOUBLES = {
     "feed": ["avg_loading_speed_kg_per_h", "requested_weight_kg", "loaded_weight_kg",
              "avg_loading_deviation_kg", "total_loading_deviation_kg", "loading_accuracy_perc"],
@@ -272,15 +333,15 @@ _AGG_DOUBLES = {
 
 
 def q_feed_daily_agg(spark, sf):
-    return _round_cols(gold.feed_daily_measures(_feeds(spark, sf)), _AGG_DOUBLES["feed"], 6)
+    return _round_cols(gold.FEED.daily(standins.activity(spark, sf)), _AGG_DOUBLES["feed"], 6)
 
 
 def q_ration_two_level(spark, sf):
-    return _round_cols(gold.ration_daily_measures(_feeds(spark, sf)), _AGG_DOUBLES["ration"], 6)
+    return _round_cols(gold.RATION.daily(standins.activity(spark, sf)), _AGG_DOUBLES["ration"], 6)
 
 
 def q_farm_daily_agg(spark, sf):
-    return _round_cols(gold.farm_daily_measures(_feeds(spark, sf)), _AGG_DOUBLES["farm"], 6)
+    return _round_cols(gold.FARM.daily(standins.activity(spark, sf)), _AGG_DOUBLES["farm"], 6)
 
 
 _BRONZE_COLS = ["farm_license", "device_type", "device_number", "msg_type", "time", "data"]
@@ -309,16 +370,22 @@ def q_bronze_stream_ingest(spark, sf):
 
 
 def q_shred_load_done(spark, sf):
-    """LOAD_DONE payloads parsed (B3) and their results exploded to feed rows (G1).
+    """LOAD_DONE messages built into their table (B3) with the results exploded (G1)."""
+    done = parsers.LOAD_DONE.build(standins.load_done_messages(spark, sf))
+    return done.select(
+        "farm_license", "time", "ration_id", "seq_nr", "total_weight", "year_month", F.posexplode("results").alias("nth", "r")
+    ).select("farm_license", "time", "ration_id", "seq_nr", "total_weight", "year_month", "nth", "r.*")
 
-    De-duplication on the message key is left out here: line items share
-    that key with different payloads, so its survivor is arbitrary by
-    definition (``dedup_first`` covers the deterministic form)."""
-    done = parsers.LOAD_DONE.parse(standins.load_done_messages(spark, sf)).withColumn(
-        "year_month", F.date_format("time", "yyyy-MM"))
-    return gold.feed_rows(done.withColumn("loading_uuid", F.col("farm_license"))).select(
-        "farm_license", "time", "ration_id", "seq_nr", "total_weight", "year_month", "feed_id",
-        "req_weight_feedtype_g", "loaded_weight_feedtype_g", "feedtype_completed")
+
+def q_shred_load_start(spark, sf):
+    start = parsers.LOAD_START.build(standins.load_start_messages(spark, sf))
+    return start.select("farm_license", "time", "ration_id", "req_weight", "start_weight", "seq_nr", "year_month")
+
+
+def q_shred_robot_config(spark, sf):
+    configs = parsers.ROBOT_CONFIG.build(standins.robot_config_payloads(spark, sf))
+    return configs.select("farm_license", "device_type", "device_number", "time", "phases", "freq_type_mixer",
+                          "freq_type_roller", "relays_type", "year_month")
 
 
 def q_shred_feed_names(spark, sf):
@@ -328,22 +395,71 @@ def q_shred_feed_names(spark, sf):
     return names.select("farm_license", "time", "feed_id", "name", "year_month")
 
 
+def q_shred_ration_names(spark, sf):
+    names = parsers.RATION_NAMES.build(standins.ration_name_payloads(spark, sf))
+    return names.select("farm_license", "time", "ration_id", "name", "year_month")
+
+
 def q_message_table_dedup(spark, sf):
-    """silver0 message table build (parse, ``year_month``, de-duplication on the
-    message key with an arbitrary survivor); the surviving keys are compared."""
+    """silver0 message table build (parse, ``year_month``, de-duplication on the message key)."""
     table = parsers.KITCHEN_FEED_NAMES.build(standins.kitchen_feed_name_payloads(spark, sf))
-    return table.select(*parsers.KITCHEN_FEED_NAMES.keys, "year_month")
+    return table.select(*parsers.KITCHEN_FEED_NAMES.keys, "name", "year_month")
+
+
+def _bronze_csv(spark, sf, *messages):
+    """Messages written as CSV files with a header, as the robots deliver them."""
+    path = scratch_path(spark, "bronze-csv")
+    columns = ["farm_license", "device_type", "device_number", "msg_type", "time", "data"]
+    rows = [m.select(*[F.col(c).cast("string") for c in columns]) for m in messages]
+    reduce(DataFrame.unionByName, rows).write.option("header", True).option("escape", '"').csv(path)
+    return path
+
+
+def q_csv_scan_lineage(spark, sf):
+    """The CSV read back whole, with its lineage columns."""
+    path = _bronze_csv(spark, sf, standins.load_done_messages(spark, sf))
+    read = read_csv_messages(spark, path)
+    return read.select(
+        "farm_license", "device_type", "device_number", "msg_type", "time", "data",
+        F.col("source_path").contains("bronze-csv").alias("has_source"),
+        F.col("processing_time").isNotNull().alias("has_time"),
+    )
+
+
+def q_pipeline_medallion(spark, sf):
+    """CSV → bronze → silver0 → silver1 → gold with all contracts and checks; returns the feed fact.
+
+    Every order is a load whose start message is sent a while before its done message."""
+    done = standins.load_done_messages(spark, sf)
+    start = standins.load_start_messages(spark, sf).withColumn("time", F.col("time") - F.expr("INTERVAL 90 MINUTES"))
+    messages = [done, start, standins.kitchen_feed_name_payloads(spark, sf), standins.ration_name_payloads(spark, sf),
+                standins.robot_config_payloads(spark, sf)]
+    dirs = run_layers(spark, _bronze_csv(spark, sf, *messages), scratch_path(spark, "warehouse"))
+    return read_table(spark, f"{dirs['gold']}/feed_daily_fact", schemas.FEED_DAILY_FACT)
 
 
 QUERIES: dict[str, Query] = {
     "shred_json": q_shred_json,
     "shred_load_done": q_shred_load_done,
+    "shred_load_start": q_shred_load_start,
+    "shred_robot_config": q_shred_robot_config,
+    "shred_ration_names": q_shred_ration_names,
+    "csv_scan_lineage": q_csv_scan_lineage,
+    "pipeline_medallion": q_pipeline_medallion,
     "shred_feed_names": q_shred_feed_names,
     "dedup_first": q_dedup_first,
     "message_table_dedup": q_message_table_dedup,
     "scd2_events": q_scd2_events,
     "scd2_nested": q_scd2_nested,
     "pair_events_12h": q_pair_events_12h,
+    "split_intervals_5h": q_split_intervals_5h,
+    "split_intervals_week": q_split_intervals_week,
+    "pit_join_each_event": q_pit_join_each_event,
+    "pit_join_two_devices": q_pit_join_two_devices,
+    "ration_bins_distinct": q_ration_bins_distinct,
+    "missing_days_null_key": q_missing_days_null_key,
+    "kpi_farm_selected": q_kpi_farm_selected,
+    "name_repair_keeps": q_name_repair_keeps,
     "interval_join_generic": q_interval_join_generic,
     "split_intervals_day": q_split_intervals_day,
     "split_intervals_hour": q_split_intervals_hour,

@@ -5,11 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hayloft.sources.calendar import calendar_of
-
 
 def row_counts(tables: Mapping[str, DataFrame], min_rows: int = 1) -> DataFrame:
     """``(table, n_rows, ok)`` with ``ok = n_rows > min_rows`` — one Spark job for all tables."""
@@ -27,21 +25,33 @@ def date_bounds(df: DataFrame, date_col: str = "date") -> DataFrame:
 
 
 def missing_days(df: DataFrame, date_col: str = "date", keys: Sequence[str] = ()) -> DataFrame:
-    """Days without any row.
+    """Days without any row between the first and the last date, over the table or per entity.
 
-    Without ``keys``: calendar days between the table's first and last date
-    that no row covers. With ``keys``: per entity, the days between its own
-    first and last date it has no row for (the gap-fill invariant).
+    One pass over the distinct ``(keys, day)``: a gap is what lies between a day
+    and the next one. NULL dates do not count; NULL keys form an entity like any
+    other. The window holds one row per day (and entity).
     """
-    if not keys:
-        present = df.select(F.to_date(date_col).alias("date")).distinct()
-        return calendar_of(df, date_col).join(present, on="date", how="left_anti")
-    spans = df.groupBy(*keys).agg(
-        F.min(F.to_date(date_col)).alias("_lo"), F.max(F.to_date(date_col)).alias("_hi")
-    )
-    expected = spans.select(*keys, F.explode(F.sequence("_lo", "_hi")).alias("date"))
-    present = df.select(*keys, F.to_date(date_col).alias("date"))
-    return expected.join(present, on=[*keys, "date"], how="left_anti")
+    day = F.to_date(date_col)
+    days = df.select(*keys, day.alias("date")).where(F.col("date").isNotNull()).distinct()
+    after = F.lead("date").over(Window.partitionBy(*keys).orderBy("date"))
+    gaps = days.withColumn("_hl_next", after).where(F.date_diff("_hl_next", "date") > 1)
+    missing = F.sequence(F.date_add("date", 1), F.date_sub("_hl_next", 1))
+    return gaps.select(*keys, F.explode(missing).alias("date"))
+
+
+class CheckFailed(Exception):
+    """A quality check on the gold tables found something."""
+
+
+def check_gold(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]], min_rows: int = 1) -> None:
+    """Raise :class:`CheckFailed` unless every table has more than ``min_rows`` rows and no missing day."""
+    problems = [f"{r.table} has {r.n_rows} rows" for r in row_counts(tables, min_rows).where("NOT ok").collect()]
+    for name, df in tables.items():
+        n = missing_days(df, keys=keys[name]).count()
+        if n:
+            problems.append(f"{name} lacks {n} days")
+    if problems:
+        raise CheckFailed("; ".join(problems))
 
 
 def entity_list(df: DataFrame, col: str = "farm_license") -> DataFrame:

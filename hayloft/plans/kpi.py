@@ -10,37 +10,6 @@ from pyspark.sql import functions as F
 
 from hayloft.plans import gold
 
-# KPI choices offered per fact.
-ROBOT_KPIS = [
-    "avg_loading_speed_kg_per_h",
-    "loading_accuracy_perc",
-    "requested_weight_kg",
-    "loaded_weight_kg",
-    "avg_loading_deviation_kg",
-    "total_loading_deviation_kg",
-    "nr_schneider_freq_control",
-    "nr_commsk_freq_control",
-]
-FEED_KPIS = [
-    "nr_times_loaded",
-    "avg_loading_speed_kg_per_h",
-    "requested_weight_kg",
-    "loaded_weight_kg",
-    "avg_loading_deviation_kg",
-    "total_loading_deviation_kg",
-    "loading_accuracy_perc",
-]
-RATION_KPIS = [
-    "avg_loading_speed_kg_per_h",
-    "requested_weight_kg",
-    "loaded_weight_kg",
-    "avg_loading_deviation_kg",
-    "avg_loading_deviation_kg",
-    "total_nr_of_feed_per_load",
-    "total_nr_bins_loaded",
-    "loading_accuracy_perc",
-]
-
 FARM_DIMS = ("farm_license", "date")
 FEED_DIMS = ("farm_license", "feed_name", "date")
 RATION_DIMS = ("farm_license", "ration_name", "date")

@@ -8,8 +8,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from hayloft import schemas
-from hayloft.plans import gold, silver
-from hayloft.plans.contract import Transformation
+from hayloft.plans import checks, gold, silver
+from hayloft.plans.contract import Transformation, check_schema
 from hayloft.plans.parsers import MESSAGE_TABLES
 from hayloft.sources.files import DEFAULT_FORMAT, read_csv_messages, read_table, write_table
 
@@ -24,30 +24,14 @@ SILVER1_READ_SCHEMAS = {
 }
 
 
-def silver_loading_activity(load_start: DataFrame, load_done: DataFrame) -> DataFrame:
-    return silver.loading_activity(load_start, load_done)
-
-
-def silver_robot_config_dim(robot_config: DataFrame) -> DataFrame:
-    return silver.robot_config_dim(robot_config)
-
-
-def silver_kitchen_feed_names_dim(kitchen_feed_names: DataFrame) -> DataFrame:
-    return silver.kitchen_feed_names_dim(kitchen_feed_names)
-
-
-def silver_ration_names_dim(ration_names: DataFrame) -> DataFrame:
-    return silver.ration_names_dim(ration_names)
-
-
 def silver1_transformations() -> list[Transformation]:
     return [
-        Transformation("silver_loading_activity", silver_loading_activity, schemas.SILVER_LOADING_ACTIVITY),
-        Transformation("silver_robot_config_dim", silver_robot_config_dim, schemas.SILVER_ROBOT_CONFIG_DIM),
+        Transformation("silver_loading_activity", silver.loading_activity, schemas.SILVER_LOADING_ACTIVITY),
+        Transformation("silver_robot_config_dim", silver.robot_config_dim, schemas.SILVER_ROBOT_CONFIG_DIM),
         Transformation(
-            "silver_kitchen_feed_names_dim", silver_kitchen_feed_names_dim, schemas.SILVER_KITCHEN_FEED_NAMES_DIM
+            "silver_kitchen_feed_names_dim", silver.kitchen_feed_names_dim, schemas.SILVER_KITCHEN_FEED_NAMES_DIM
         ),
-        Transformation("silver_ration_names_dim", silver_ration_names_dim, schemas.SILVER_RATION_NAMES_DIM),
+        Transformation("silver_ration_names_dim", silver.ration_names_dim, schemas.SILVER_RATION_NAMES_DIM),
     ]
 
 
@@ -83,9 +67,10 @@ def bronze_to_silver0(spark: SparkSession, bronze_path: str, silver_dir: str, *,
     """
     paths = []
     for table in MESSAGE_TABLES:
-        bronze = read_table(spark, bronze_path, fmt=fmt)
+        bronze = read_table(spark, bronze_path, schemas.BRONZE, fmt=fmt)
         path = os.path.join(silver_dir, table.result_table)
-        write_table(table.build(bronze), path, partition_by=table.partition_columns, fmt=fmt)
+        built = check_schema(table.build(bronze), table.schema_ddl, table.result_table)
+        write_table(built, path, partition_by=table.partition_columns, fmt=fmt)
         paths.append(path)
     return paths
 
@@ -97,10 +82,11 @@ def run_layers(
     *,
     fmt: str = DEFAULT_FORMAT,
 ) -> dict[str, str]:
-    """The full layered run; returns ``{layer: directory}``.
+    """The full layered run with its checks; returns ``{layer: directory}``.
 
     Layers are coupled only through stored tables, so every step restarts
-    from durable data (lineage cut at each table).
+    from durable data (lineage cut at each table). The stored gold tables are
+    checked last; a finding raises :class:`hayloft.plans.checks.CheckFailed`.
     """
     dirs = {layer: os.path.join(warehouse, layer) for layer in ("bronze", "silver", "gold")}
     bronze_path = load_bronze(spark, csv_path, dirs["bronze"], fmt=fmt)
@@ -109,4 +95,8 @@ def run_layers(
         t.run(spark, dirs["silver"], dirs["silver"], fmt=fmt)
     for t in gold_transformations():
         t.run(spark, dirs["silver"], dirs["gold"], fmt=fmt)
+    checks.check_gold(
+        {t.result_table: read_table(spark, os.path.join(dirs["gold"], t.result_table), t.schema, fmt=fmt) for t in gold_transformations()},
+        {"feed_daily_fact": gold.FEED.keys, "ration_daily_fact": gold.RATION.keys, "farm_daily_fact": gold.FARM.keys},
+    )
     return dirs

@@ -55,34 +55,47 @@ EVENTS_DIM = _scd2("(SELECT event_id, ts, user_id, event_type FROM events)", "us
                    "concat_ws(', ', event_type)", "ts", "edim")
 
 PAIRS = f"""
-ls AS (SELECT CAST(user_id AS VARCHAR) AS farm_license, ts AS start_time,
-              strftime(ts, '%Y-%m') AS year_month,
-              CAST(json_extract_string(props, '$.k') AS INTEGER) AS req_weight_ration_g
-       FROM events WHERE upper(event_type) = 'CLICK'),
-ld AS (SELECT CAST(user_id AS VARCHAR) AS farm_license, ts AS end_time,
-              CAST(round(value * 100) AS INTEGER) AS loaded_weight_ration_g
-       FROM events WHERE upper(event_type) = 'PURCHASE'),
-pairs AS (SELECT ls.farm_license, 1 AS device_number, 1 AS ration_id, 1 AS seq_nr, year_month,
+msg AS (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, CAST(floor(value) % 2 + 1 AS INTEGER) AS seq_nr
+        FROM events),
+ls AS (SELECT CAST(user_id AS VARCHAR) AS farm_license, ts AS start_time, k % 2 + 1 AS ration_id, seq_nr,
+              strftime(ts, '%Y-%m') AS year_month, k AS req_weight_ration_g,
+              sha256(concat_ws(chr(1), user_id, 1, k % 2 + 1, seq_nr, 'robot', epoch_us(ts))) AS loading_uuid
+       FROM msg WHERE upper(event_type) = 'CLICK'),
+ld AS (SELECT CAST(user_id AS VARCHAR) AS farm_license, ts AS end_time, k % 2 + 1 AS ration_id, seq_nr,
+              CAST(round(value * 100) AS INTEGER) AS loaded_weight_ration_g,
+              CASE WHEN k % 5 <> 0 THEN k % 4 END AS n_results,
+              CASE WHEN k % 5 <> 0 THEN list_sum(list_transform(range(1, k % 4 + 1), lambda i : k + i)) END AS weights
+       FROM msg WHERE upper(event_type) = 'PURCHASE'),
+pairs AS (SELECT ls.farm_license, 1 AS device_number, ration_id, seq_nr, year_month, loading_uuid,
                  start_time, end_time, req_weight_ration_g, 0 AS weight_at_load_start_g,
                  loaded_weight_ration_g,
-                 {_sec('end_time')} - {_sec('start_time')} AS duration_s
-          FROM ls JOIN ld ON ls.farm_license = ld.farm_license AND start_time < end_time
-                         AND {_sec('end_time')} - {_sec('start_time')} < 43200)"""
+                 {_sec('end_time')} - {_sec('start_time')} AS duration_s, CAST(n_results AS INTEGER) AS n_results,
+                 CAST(CASE WHEN n_results = 0 THEN 0 ELSE weights END AS INTEGER) AS results_weight
+          FROM ls JOIN ld USING (farm_license, ration_id, seq_nr)
+          WHERE start_time < end_time AND {_sec('end_time')} - {_sec('start_time')} < 43200)"""
+
+LOADS = """
+lines AS (SELECT l_orderkey, l_linenumber AS nr, l_suppkey, l_shipdate, ascii(l_returnflag) AS feed_id,
+                 CAST(l_quantity * 1000 AS INTEGER) AS req_g,
+                 CAST(round(l_extendedprice * (1 - l_discount)) AS INTEGER) AS got_g, l_linestatus = 'F' AS completed,
+                 concat('feed ', l_returnflag, '-', l_linestatus) AS name FROM lineitem),
+loads AS (SELECT l_orderkey, CAST(arg_min(l_suppkey, nr * 100000000 + l_suppkey) AS VARCHAR) AS farm_license, max(l_shipdate) AS end_time,
+                 CAST(count(*) AS INTEGER) AS seq_nr, CAST(sum(req_g) AS INTEGER) AS load_req_g,
+                 CAST(sum(got_g) AS INTEGER) AS load_g,
+                 strftime(max(l_shipdate), '%Y-%m') AS year_month
+          FROM lines GROUP BY l_orderkey),
+sent AS (SELECT * FROM lines WHERE l_orderkey % 17 <> 0 AND l_orderkey % 19 <> 0)"""
 
 FEEDS = f"""
-act AS (SELECT CAST(l.l_suppkey AS VARCHAR) AS farm_license,
-               CAST(substring(o.o_orderpriority, 1, 1) AS INTEGER) AS ration_id,
-               l.l_linenumber AS seq_nr, CAST(l.l_orderkey AS VARCHAR) AS loading_uuid,
-               o.o_orderdate AS start_time, l.l_shipdate AS end_time,
-               CAST(l.l_quantity * 1000 AS INTEGER) AS req_g,
-               CAST(round(l.l_extendedprice * (1 - l.l_discount)) AS INTEGER) AS got_g,
-               ascii(l.l_returnflag) AS feed_id, l.l_linestatus = 'F' AS completed,
-               {_sec('l.l_shipdate')} - {_sec('o.o_orderdate')} AS duration_s
-        FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
-feeds AS (SELECT *, got_g / NULLIF(duration_s, 0) AS speed, got_g - req_g AS dev_g,
+{LOADS},
+act AS (SELECT loads.*, CAST(substring(o.o_orderpriority, 1, 1) AS INTEGER) AS ration_id,
+               CAST(l_orderkey AS VARCHAR) AS loading_uuid, o.o_orderdate AS start_time,
+               {_sec('end_time')} - {_sec('o.o_orderdate')} AS duration_s
+        FROM loads JOIN orders o ON l_orderkey = o.o_orderkey),
+feeds AS (SELECT act.*, feed_id, req_g, got_g, completed, load_g / NULLIF(duration_s, 0) AS speed, got_g - req_g AS dev_g,
                  least(req_g, got_g) / greatest(req_g, got_g) * 100 AS acc,
                  CAST(start_time AS DATE) AS date
-          FROM act WHERE req_g > 0)"""
+          FROM act JOIN sent USING (l_orderkey) WHERE req_g > 0)"""
 
 FEED_MEASURES_SQL = """
 fd AS (SELECT farm_license, date, feed_id,
@@ -96,15 +109,15 @@ fd AS (SELECT farm_license, date, feed_id,
        FROM feeds WHERE speed > 0 AND duration_s > 1 GROUP BY farm_license, date, feed_id)"""
 
 RATION_MEASURES_SQL = f"""
-rl AS (SELECT farm_license, date, loading_uuid, min(speed) / 3.6 AS spd, min(ration_id) AS ration_id,
+rl AS (SELECT farm_license, date, loading_uuid, min(speed) AS spd, min(ration_id) AS ration_id,
               CAST(sum(req_g) AS BIGINT) AS req_g, CAST(sum(got_g) AS BIGINT) AS got_g,
               avg(dev_g) AS avg_dev_g, CAST(sum(dev_g) AS BIGINT) AS sum_dev_g,
               sum(CASE WHEN acc <= 0 THEN 0 ELSE acc END) AS acc, count(feed_id) AS n_feed,
               CAST(CASE WHEN loading_uuid IS NOT NULL THEN 1 ELSE 0 END AS BIGINT) AS bins
-       FROM feeds WHERE duration_s > 1 AND got_g > 0 AND got_g < 1200000
+       FROM feeds WHERE duration_s > 1 AND load_g > 0 AND load_g < 1200000
        GROUP BY farm_license, date, loading_uuid),
 rd AS (SELECT farm_license, date, ration_id,
-              avg(spd) AS avg_loading_speed_kg_per_h,
+              avg(spd) / 3.6 AS avg_loading_speed_kg_per_h,
               CAST(sum(req_g) AS BIGINT) / 1000 AS requested_weight_kg,
               CAST(sum(got_g) AS BIGINT) / 1000 AS loaded_weight_kg,
               avg(avg_dev_g) / 1000 AS avg_loading_deviation_kg,
@@ -152,7 +165,9 @@ rcm AS (SELECT CAST(l_suppkey AS VARCHAR) AS farm_license, (l_linenumber % 2) +
 rcf AS (SELECT * FROM rcm WHERE relays_type <> 'UNKNOWN'),""" + _scd2(
     "rcf", "farm_license, device_number",
     "concat_ws(', ', freq_type_mixer, freq_type_roller, relays_type, phases)", "time", "cfg") + """,
-cdim AS (SELECT farm_license, device_number, time AS start_time,
+cdim AS (SELECT sha256(concat_ws(chr(1), farm_license, device_number, epoch_us(time), freq_type_mixer, freq_type_roller,
+                                   relays_type, phases)) AS config_uuid,
+                farm_license, device_number, time AS start_time,
                 CASE phases WHEN 'THREE_PHASE' THEN '3' WHEN 'ONE_PHASE' THEN '1' ELSE phases END AS phases,
                 freq_type_mixer AS freq_controller_type_mixer,
                 freq_type_roller AS freq_controller_type_dosing_roller,
@@ -162,13 +177,12 @@ cdim AS (SELECT farm_license, device_number, time AS start_time,
     "concat_ws(', ', freq_controller_type_mixer, freq_controller_type_dosing_roller)", "start_time", "ctl") + """,
 cc AS (SELECT *,
               CAST(freq_controller_type_mixer = 'SCHNEIDER' AS INTEGER)
-                + CAST(freq_controller_type_dosing_roller = 'SCHNEIDER' AS INTEGER) AS nr_schneider,
+                + CAST(freq_controller_type_dosing_roller = 'SCHNEIDER' AS INTEGER) AS schneider,
               CAST(freq_controller_type_mixer = 'COMMSK' AS INTEGER)
-                + CAST(freq_controller_type_dosing_roller = 'COMMSK' AS INTEGER) AS nr_commsk
+                + CAST(freq_controller_type_dosing_roller = 'COMMSK' AS INTEGER) AS commsk
        FROM ctl)"""
 
-FEED_FACT = f"""
-{FEEDS},{FEED_MEASURES_SQL},{FEED_DIM},
+FEED_FACT_TAIL = """
 fdn AS (SELECT f.*, d.name AS feed_name FROM fd f LEFT JOIN fdim d
           ON f.farm_license = d.farm_license AND f.feed_id = d.feed_id
          AND CAST(f.date AS TIMESTAMP) >= d.time AND CAST(f.date AS TIMESTAMP) < d.end_time),""" + _fill(
@@ -178,6 +192,25 @@ fdn AS (SELECT f.*, d.name AS feed_name FROM fd f LEFT JOIN fdim d
     ["avg_loading_speed_kg_per_h", "requested_weight_kg", "loaded_weight_kg",
      "avg_loading_deviation_kg", "total_loading_deviation_kg", "loading_accuracy_perc"], "feedfact")
 
+FEED_FACT = f"{FEEDS},{FEED_MEASURES_SQL},{FEED_DIM},{FEED_FACT_TAIL}"
+
+# The layered run: of done messages with equal keys the smallest stays; each meets its
+# start message 90 minutes earlier, the day before.
+KEPT_LOADS = """
+kept AS (SELECT * FROM (SELECT loads.*, row_number() OVER (
+           PARTITION BY farm_license, end_time, seq_nr ORDER BY load_g, l_orderkey % 17 <> 0, l_orderkey) AS rn FROM loads)
+         WHERE rn = 1)"""
+
+LAYERED_FEED_FACT = f"""
+{LOADS},{KEPT_LOADS},
+feeds AS (SELECT farm_license, CAST(end_time - INTERVAL 90 MINUTE AS DATE) AS date, feed_id, req_g, got_g, completed,
+                 load_g / 5400 AS speed, 5400 AS duration_s, got_g - req_g AS dev_g,
+                 least(req_g, got_g) / greatest(req_g, got_g) * 100 AS acc
+          FROM kept JOIN sent USING (l_orderkey) WHERE req_g > 0),{FEED_MEASURES_SQL},
+nm AS (SELECT farm_license, feed_id, end_time AS time, min(name) AS name FROM loads JOIN sent USING (l_orderkey)
+       GROUP BY farm_license, feed_id, end_time),{_scd2("nm", "farm_license, feed_id", "concat_ws(', ', name)", "time", "fdim")},
+{FEED_FACT_TAIL}"""
+
 RATION_FACT = f"""
 {FEEDS},{RATION_MEASURES_SQL},{RATION_DIM},
 rdn AS (SELECT r.*, d.name AS ration_name FROM rd r LEFT JOIN rdim d
@@ -191,7 +224,7 @@ rdn AS (SELECT r.*, d.name AS ration_name FROM rd r LEFT JOIN rdim d
 
 FARM_FACT = f"""
 {FEEDS},{FARM_MEASURES_SQL},{ROBOT_DIM},
-fj AS (SELECT f.*, c.nr_schneider AS nr_schneider_freq_control, c.nr_commsk AS nr_commsk_freq_control,
+fj AS (SELECT f.*, c.schneider AS nr_schneider_freq_control, c.commsk AS nr_commsk_freq_control,
               row_number() OVER (PARTITION BY f.farm_license, f.date
                                  ORDER BY c.start_time DESC NULLS LAST, c.device_number DESC NULLS LAST,
                                           c.end_time DESC NULLS LAST) AS _rn
@@ -229,24 +262,49 @@ SELECT CAST(user_id AS VARCHAR) AS farm_license, event_id, ts AS time,
        CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, strftime(ts, '%Y-%m') AS year_month
 FROM events WHERE upper(event_type) = 'CLICK'""",
 
-    "shred_load_done": """
-SELECT CAST(l_suppkey AS VARCHAR) AS farm_license, l_shipdate AS time, l_linenumber AS ration_id,
-       l_linenumber AS seq_nr, CAST(round(l_extendedprice * (1 - l_discount)) AS INTEGER) AS total_weight,
-       strftime(l_shipdate, '%Y-%m') AS year_month, ascii(l_returnflag) AS feed_id,
-       CAST(l_quantity * 1000 AS INTEGER) AS req_weight_feedtype_g,
-       CAST(round(l_extendedprice * (1 - l_discount)) AS INTEGER) AS loaded_weight_feedtype_g,
-       l_linestatus = 'F' AS feedtype_completed
-FROM lineitem WHERE CAST(l_quantity * 1000 AS INTEGER) > 0""",
-
-    "shred_feed_names": """
-SELECT CAST(l_suppkey AS VARCHAR) AS farm_license, l_shipdate AS time, ascii(l_returnflag) AS feed_id,
-       concat('feed ', l_returnflag, '-', l_linestatus) AS name, strftime(l_shipdate, '%Y-%m') AS year_month
-FROM lineitem""",
-
-    "message_table_dedup": """
-SELECT DISTINCT CAST(l_suppkey AS VARCHAR) AS farm_license, 'robot' AS device_type, 1 AS device_number,
-       l_shipdate AS time, ascii(l_returnflag) AS feed_id, strftime(l_shipdate, '%Y-%m') AS year_month
-FROM lineitem""",
+    "shred_load_done": f"""WITH {LOADS},{KEPT_LOADS}
+SELECT farm_license, end_time AS time, seq_nr AS ration_id, seq_nr, load_g AS total_weight, year_month,
+       CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY nr, feed_id, req_g, got_g, completed) - 1 AS INTEGER) AS nth,
+       feed_id AS feedId, req_g AS reqWeight, got_g AS weight, completed
+FROM kept JOIN sent USING (l_orderkey)""",
+
+    "shred_load_start": f"""WITH {LOADS}
+SELECT farm_license, end_time AS time, seq_nr AS ration_id, min(load_req_g) AS req_weight, 0 AS start_weight, seq_nr,
+       year_month
+FROM loads GROUP BY farm_license, end_time, seq_nr, year_month""",
+
+    "shred_robot_config": """
+SELECT farm_license, 'robot' AS device_type, device_number, time, phases, freq_type_mixer, freq_type_roller, relays_type,
+       year_month
+FROM (SELECT *, row_number() OVER (PARTITION BY farm_license, device_number, time
+                                   ORDER BY phases, freq_type_mixer, freq_type_roller, relays_type) AS rn FROM (
+  SELECT CAST(l_suppkey AS VARCHAR) AS farm_license, (l_linenumber % 2) + 1 AS device_number, l_shipdate AS time,
+         CASE WHEN l_tax >= 0.04 THEN 'THREE_PHASE' ELSE 'ONE_PHASE' END AS phases,
+         CASE l_returnflag WHEN 'A' THEN 'SCHNEIDER' WHEN 'N' THEN 'COMMSK' ELSE 'OTHER' END AS freq_type_mixer,
+         CASE WHEN l_linestatus = 'F' THEN 'SCHNEIDER' ELSE 'COMMSK' END AS freq_type_roller,
+         CASE WHEN l_discount >= 0.09 THEN 'UNKNOWN' ELSE 'RELAY' END AS relays_type,
+         strftime(l_shipdate, '%Y-%m') AS year_month FROM lineitem)) WHERE rn = 1""",
+
+    "shred_feed_names": f"""WITH {LOADS}
+SELECT farm_license, end_time AS time, feed_id, name, year_month FROM loads JOIN sent USING (l_orderkey)""",
+
+    "shred_ration_names": f"""WITH {LOADS}
+SELECT farm_license, end_time AS time, nr AS ration_id, min(name) AS name, year_month
+FROM loads JOIN sent USING (l_orderkey) GROUP BY farm_license, end_time, nr, year_month""",
+
+    "message_table_dedup": f"""WITH {LOADS}
+SELECT farm_license, 'robot' AS device_type, 1 AS device_number, end_time AS time, feed_id, min(name) AS name, year_month
+FROM loads JOIN sent USING (l_orderkey) GROUP BY farm_license, end_time, feed_id, year_month""",
+
+    "csv_scan_lineage": f"""WITH {LOADS},
+payload AS (SELECT l_orderkey, string_agg(concat('{{"feedId":', feed_id, ',"reqWeight":', req_g, ',"weight":', got_g,
+                     ',"completed":', completed, '}}'), ',' ORDER BY nr, feed_id, req_g, got_g, completed) AS results FROM lines GROUP BY l_orderkey)
+SELECT farm_license, 'robot' AS device_type, 1 AS device_number, 'LOAD_DONE' AS msg_type, end_time AS time,
+       concat('{{"rationId":', seq_nr, ',"weight":', load_g,
+              CASE WHEN l_orderkey % 17 = 0 THEN '' WHEN l_orderkey % 19 = 0 THEN ',"results":[]'
+                   ELSE concat(',"results":[', results, ']') END, ',"seqNr":', seq_nr, '}}') AS data,
+       true AS has_source, true AS has_time
+FROM loads JOIN payload USING (l_orderkey)""",
 
     "dedup_first": """
 SELECT user_id, event_type, day, event_id, ts, value FROM (
@@ -265,6 +323,28 @@ SELECT user_id, event_type, day, event_id, ts, value FROM (
     "pair_events_12h": f"""WITH {PAIRS}
 SELECT *, loaded_weight_ration_g / NULLIF(duration_s, 0) AS loading_speed_ration_g_per_s FROM pairs""",
 
+    "split_intervals_5h": f"""WITH {PAIRS},
+p AS (SELECT farm_license, start_time, end_time, {_sec('start_time')} // 18000 AS k0,
+             unnest(range({_sec('start_time')} // 18000, {_sec('end_time')} // 18000 + 1)) AS k FROM pairs),
+q AS (SELECT farm_license, greatest(start_time, make_timestamp(k * 18000 * 1000000)) AS ps,
+             least(make_timestamp((k + 1) * 18000 * 1000000), end_time) AS pe, k - k0 AS pos FROM p)
+SELECT farm_license, ps AS start_time, pe AS end_time, CAST(ps AS DATE) AS start_date,
+       CAST(pe AS DATE) AS end_date, CAST(pos AS INTEGER) AS pos
+FROM q WHERE {_sec('pe')} > {_sec('ps')}""",
+
+    "split_intervals_week": f"""WITH {ROBOT_DIM},
+p AS (SELECT farm_license, device_number, start_time, end_time,
+             datediff('day', DATE '1970-01-01', CAST(start_time AS DATE)) // 7 AS k0,
+             unnest(range(datediff('day', DATE '1970-01-01', CAST(start_time AS DATE)) // 7,
+                          datediff('day', DATE '1970-01-01', CAST(end_time AS DATE)) // 7 + 1)) AS k
+      FROM cdim WHERE end_time < TIMESTAMP '2099-01-01'),
+q AS (SELECT farm_license, device_number,
+             greatest(start_time, CAST(DATE '1970-01-01' + CAST(7 * k AS INTEGER) AS TIMESTAMP)) AS ps,
+             least(CAST(DATE '1970-01-01' + CAST(7 * (k + 1) AS INTEGER) AS TIMESTAMP), end_time) AS pe, k - k0 AS pos FROM p)
+SELECT farm_license, device_number, ps AS start_time, pe AS end_time, CAST(ps AS DATE) AS start_date,
+       CAST(pe AS DATE) AS end_date, CAST(pos AS INTEGER) AS pos
+FROM q WHERE {_sec('pe')} > {_sec('ps')}""",
+
     "interval_join_generic": f"""
 SELECT s.user_id, s.ts AS start_time, s.event_id AS start_id, e.ts AS end_time, e.event_id AS end_id
 FROM events s JOIN events e ON s.user_id = e.user_id AND s.event_type = 'view' AND e.event_type = 'signup'
@@ -306,6 +386,23 @@ f AS (SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS n_events FROM events
 SELECT f.user_id, f.day, f.n_events, d.event_type AS state FROM f LEFT JOIN edim d
   ON f.user_id = d.user_id AND CAST(f.day AS TIMESTAMP) > d.ts AND CAST(f.day AS TIMESTAMP) <= d.end_time""",
 
+    "pit_join_each_event": f"""WITH {EVENTS_DIM}
+SELECT e.event_id, e.user_id, e.ts AS at, d.event_type AS state FROM events e LEFT JOIN edim d
+  ON e.user_id = d.user_id AND e.ts > d.ts AND e.ts <= d.end_time""",
+
+    "pit_join_two_devices": f"""WITH {ROBOT_DIM},
+f AS (SELECT CAST(l_suppkey AS VARCHAR) AS farm_license, CAST(l_shipdate AS DATE) AS day, l_orderkey, l_linenumber FROM lineitem),
+days AS (SELECT DISTINCT farm_license, day FROM f),
+hit AS (SELECT d.farm_license, d.day, c.phases, c.device_number, row_number() OVER (
+               PARTITION BY d.farm_license, d.day ORDER BY c.start_time DESC, c.device_number DESC) AS rn
+        FROM days d JOIN cdim c ON d.farm_license = c.farm_license AND CAST(d.day AS TIMESTAMP) > c.start_time
+         AND CAST(d.day AS TIMESTAMP) <= c.end_time WHERE c.end_time < TIMESTAMP '2099-01-01')
+SELECT f.farm_license, f.day, f.l_orderkey, f.l_linenumber, h.phases, h.device_number AS device
+FROM f LEFT JOIN (SELECT * FROM hit WHERE rn = 1) h ON f.farm_license = h.farm_license AND f.day = h.day""",
+
+    "ration_bins_distinct": f"""WITH {FEEDS}
+SELECT farm_license, date, ration_id, count(DISTINCT loading_uuid) AS n_bins FROM feeds GROUP BY farm_license, date, ration_id""",
+
     "fill_days_supplier": """WITH
 dl AS (SELECT l_suppkey, CAST(l_shipdate AS DATE) AS date, count(*) AS n_lines, sum(l_quantity) AS qty
        FROM lineitem GROUP BY l_suppkey, CAST(l_shipdate AS DATE)),""" + _fill(
@@ -313,9 +410,8 @@ dl AS (SELECT l_suppkey, CAST(l_shipdate AS DATE) AS date, count(*) AS n_lines,
 SELECT l_suppkey, date, n_lines, qty, CAST(pos AS INTEGER) AS pos FROM fl""",
 
     "explode_results": f"""WITH {FEEDS}
-SELECT farm_license, loading_uuid, seq_nr, feed_id, req_g AS req_weight_feedtype_g,
-       got_g AS loaded_weight_feedtype_g, completed AS feedtype_completed,
-       dev_g AS feedtype_loading_deviation_g, acc AS loading_accuracy_percentage
+SELECT farm_license, loading_uuid AS load, seq_nr, feed_id, req_g AS requested_g, got_g AS loaded_g, completed,
+       dev_g AS off_g, acc AS accuracy
 FROM feeds""",
 
     "feed_names_dim": f"WITH {FEED_DIM} SELECT farm_license, time AS start_time, feed_id, name, year_month, "
@@ -328,7 +424,7 @@ FROM feeds""",
 
     "controller_periods": f"""WITH {ROBOT_DIM}
 SELECT farm_license, device_number, start_time, freq_controller_type_mixer,
-       freq_controller_type_dosing_roller, end_time, duration_s, nr_schneider, nr_commsk FROM cc""",
+       freq_controller_type_dosing_roller, end_time, duration_s, schneider, commsk FROM cc""",
 
     "feed_daily_agg": f"WITH {FEEDS},{FEED_MEASURES_SQL} SELECT farm_license, date, feed_id, nr_times_loaded, "
                       f"{_r6(_AGG6)} FROM fd",
@@ -339,6 +435,7 @@ SELECT farm_license, device_number, start_time, freq_controller_type_mixer,
     "farm_daily_agg": f"WITH {FEEDS},{FARM_MEASURES_SQL} SELECT farm_license, date, "
                       f"nr_of_loading_activities_per_day, {_r6(_AGG6)} FROM fa",
 
+    "pipeline_medallion": f"WITH {LAYERED_FEED_FACT} SELECT {FEED_FACT_COLS} FROM feedfact",
     "feed_fact_full": f"WITH {FEED_FACT} SELECT {FEED_FACT_COLS} FROM feedfact",
     "ration_fact_full": f"WITH {RATION_FACT} SELECT {RATION_FACT_COLS} FROM rationfact",
     "farm_fact_full": f"WITH {FARM_FACT} SELECT {FARM_FACT_COLS} FROM farmfact",
@@ -349,12 +446,20 @@ s AS (SELECT unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP)
       FROM b WHERE lo IS NOT NULL)
 SELECT CAST(ts AS DATE) AS date FROM s""",
 
-    "missing_days": """WITH b AS (SELECT min(CAST(l_shipdate AS DATE)) AS lo, max(CAST(l_shipdate AS DATE)) AS hi
-                        FROM lineitem),
+    "missing_days": """WITH o AS (SELECT CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderstatus = 'P'),
+b AS (SELECT min(d) AS lo, max(d) AS hi FROM o),
 s AS (SELECT unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS ts
       FROM b WHERE lo IS NOT NULL)
-SELECT CAST(ts AS DATE) AS date FROM s
-WHERE CAST(ts AS DATE) NOT IN (SELECT CAST(l_shipdate AS DATE) FROM lineitem WHERE l_shipdate IS NOT NULL)""",
+SELECT CAST(ts AS DATE) AS date FROM s WHERE CAST(ts AS DATE) NOT IN (SELECT d FROM o)""",
+
+    "missing_days_null_key": """WITH
+l AS (SELECT CASE WHEN l_suppkey % 5 <> 0 THEN l_suppkey END AS supplier, l_returnflag, CAST(l_shipdate AS DATE) AS d
+      FROM lineitem),
+b AS (SELECT supplier, l_returnflag, min(d) AS lo, max(d) AS hi FROM l GROUP BY supplier, l_returnflag),
+e AS (SELECT supplier, l_returnflag,
+             CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date FROM b)
+SELECT e.* FROM e ANTI JOIN l ON e.supplier IS NOT DISTINCT FROM l.supplier AND e.l_returnflag = l.l_returnflag
+  AND e.date = l.d""",
 
     "missing_days_supplier": """WITH b AS (SELECT l_suppkey, min(CAST(l_shipdate AS DATE)) AS lo,
                                max(CAST(l_shipdate AS DATE)) AS hi FROM lineitem GROUP BY l_suppkey),
@@ -364,14 +469,11 @@ e AS (SELECT l_suppkey, CAST(ts AS DATE) AS date FROM s)
 SELECT e.l_suppkey, e.date FROM e ANTI JOIN lineitem l
   ON e.l_suppkey IS NOT DISTINCT FROM l.l_suppkey AND e.date = CAST(l.l_shipdate AS DATE)""",
 
-    "missing_days_feed_fact": f"WITH {FEED_FACT}, "
-                              "b AS (SELECT farm_license, feed_id, min(date) AS lo, max(date) AS hi FROM feedfact "
-                              "GROUP BY farm_license, feed_id), "
-                              "s AS (SELECT farm_license, feed_id, unnest(generate_series(CAST(lo AS TIMESTAMP), "
-                              "CAST(hi AS TIMESTAMP), INTERVAL 1 DAY)) AS ts FROM b) "
-                              "SELECT s.farm_license, s.feed_id, CAST(s.ts AS DATE) AS date FROM s ANTI JOIN feedfact f "
-                              "ON s.farm_license IS NOT DISTINCT FROM f.farm_license "
-                              "AND s.feed_id IS NOT DISTINCT FROM f.feed_id AND CAST(s.ts AS DATE) = f.date",
+    "missing_days_feed_fact": f"""WITH {FEEDS},{FEED_MEASURES_SQL},
+b AS (SELECT farm_license, feed_id, min(date) AS lo, max(date) AS hi FROM fd GROUP BY farm_license, feed_id),
+s AS (SELECT farm_license, feed_id, CAST(unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP),
+                                                                 INTERVAL 1 DAY)) AS DATE) AS date FROM b)
+SELECT s.* FROM s ANTI JOIN fd ON s.farm_license = fd.farm_license AND s.feed_id = fd.feed_id AND s.date = fd.date""",
 
     "row_count_check": """
 SELECT 'lineitem' AS "table", count(*) AS n_rows, count(*) > 1 AS ok FROM lineitem
@@ -381,8 +483,22 @@ UNION ALL SELECT 'events', count(*), count(*) > 1 FROM events""",
     "date_bounds": """SELECT min(CAST(l_shipdate AS DATE)) AS min_date, max(CAST(l_shipdate AS DATE)) AS max_date
 FROM lineitem""",
 
-    "entity_list": """SELECT DISTINCT CAST(l.l_suppkey AS VARCHAR) AS farm_license
-FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey WHERE l.l_suppkey IS NOT NULL ORDER BY 1""",
+    "entity_list": """SELECT DISTINCT CAST(l_suppkey AS VARCHAR) AS farm_license
+FROM lineitem WHERE l_suppkey IS NOT NULL ORDER BY 1""",
+
+    "kpi_farm_selected": f"""WITH {FARM_FACT}
+SELECT farm_license, date, CAST(coalesce(sum(nr_schneider_freq_control), 0) AS BIGINT) AS nr_schneider_freq_control
+FROM farmfact WHERE farm_license IN ('1', '3', '7', 'nowhere') AND date IS NOT NULL
+GROUP BY farm_license, date ORDER BY farm_license, date""",
+
+    "name_repair_keeps": """
+SELECT doc_id, kind, CASE kind
+    WHEN 'plain' THEN n WHEN 'not utf-8' THEN n || 'éx' WHEN 'damaged' THEN n || 'ï'
+    ELSE array_to_string(list_transform(string_split(n, ''), lambda c : CASE
+           WHEN ord(c) < 128 THEN c
+           WHEN ord(c) < 2048 THEN chr(192 + ord(c) // 64) || chr(128 + ord(c) % 64)
+           ELSE chr(224 + ord(c) // 4096) || chr(128 + ord(c) // 64 % 64) || chr(128 + ord(c) % 64) END), '') || '日' END AS name
+FROM (SELECT doc_id, substr(text, 1, 40) AS n FROM documents), (VALUES ('plain'), ('mixed'), ('not utf-8'), ('damaged')) AS k(kind)""",
 
     "kpi_farm": f"""WITH {FARM_FACT}
 SELECT farm_license, date, coalesce(sum(loaded_weight_kg), 0) AS loaded_weight_kg FROM farmfact
@@ -406,12 +522,10 @@ FROM farmfact WHERE farm_license IS NOT NULL AND date IS NOT NULL
   AND date >= DATE '1997-01-01' AND date <= DATE '1998-12-31'
 GROUP BY farm_license, date ORDER BY farm_license, date""",
 
-    "topk_preview": """
-SELECT CAST(l.l_suppkey AS VARCHAR) AS farm_license, CAST(l.l_orderkey AS VARCHAR) AS loading_uuid,
-       l.l_linenumber AS seq_nr, o.o_orderdate AS start_time, l.l_shipdate AS end_time,
-       CAST(l.l_quantity * 1000 AS INTEGER) AS req_weight_ration_g,
-       CAST(round(l.l_extendedprice * (1 - l.l_discount)) AS INTEGER) AS loaded_weight_ration_g
-FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+    "topk_preview": f"""WITH {LOADS}
+SELECT farm_license, CAST(l_orderkey AS VARCHAR) AS loading_uuid, seq_nr, o.o_orderdate AS start_time, end_time,
+       load_req_g AS req_weight_ration_g, load_g AS loaded_weight_ration_g
+FROM loads JOIN orders o ON l_orderkey = o.o_orderkey
 ORDER BY 1, 2, 3, 4, 5, 6, 7 LIMIT 10""",
 
     "name_repair": "SELECT doc_id, text FROM documents",

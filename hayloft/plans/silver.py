@@ -28,14 +28,16 @@ def loading_activity(
     the start side, so all ends paired with one start share it. Speed is
     ``loaded / duration_s`` and NULL for a zero duration (no ANSI error).
     """
+    # all keys that a start message is distinct on, the device type too where it is known
+    message_keys = [c for c in (*ACTIVITY_KEYS, "device_type") if c in load_start.columns]
+    load_id = surrogate_key(*message_keys, F.unix_micros("time"), mode=id_mode)
     starts = load_start.select(
         *ACTIVITY_KEYS,
         F.col("time").alias("start_time"),
         "year_month",
         F.col("req_weight").alias("req_weight_ration_g"),
         F.col("start_weight").alias("weight_at_load_start_g"),
-    ).withColumn(
-        "loading_uuid", surrogate_key(*ACTIVITY_KEYS, "start_time", mode=id_mode)
+        load_id.alias("loading_uuid"),
     )
     ends = load_done.select(
         *ACTIVITY_KEYS,
@@ -72,7 +74,7 @@ def robot_config_dim(robot_config: DataFrame, *, id_mode: str = "hash") -> DataF
     return (
         dim.withColumn(
             "config_uuid",
-            surrogate_key("farm_license", "device_number", "start_time", *tracked, mode=id_mode),
+            surrogate_key("farm_license", "device_number", F.unix_micros("start_time"), *tracked, mode=id_mode),
         )
         .withColumnsRenamed(
             {

@@ -5,10 +5,11 @@ run unchanged over data that grows with the scale factor:
 
 * messages — ``events``: device ``user_id`` → farm, ``event_type`` → message
   type, ``ts`` → time, ``props`` (JSON ``{"k": int}``) → payload;
-* loading activity — ``lineitem ⋈ orders``: farm = supplier, ration = order
-  priority digit, load id = order key, start = order date, end = ship date,
-  one feed per line (feed = return flag code, requested = quantity·1000 g,
-  loaded = discounted price in g, completed = line status ``F``);
+* loading activity — ``orders`` with their lines: load = order, farm = supplier
+  of its first line, ration = order priority digit, start = order date, end =
+  last ship date, one result per line (feed = return flag code, requested =
+  quantity·1000 g, loaded = discounted price in g, completed = line status
+  ``F``); some orders have an empty array, some none;
 * name / configuration messages — derived from the same lines.
 
 Every view is a lazy projection (plus one join for the activity), so column
@@ -49,67 +50,101 @@ def as_messages(ev: DataFrame) -> DataFrame:
 
 
 def load_messages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """silver0-shaped LOAD_START (clicks) and LOAD_DONE (purchases) per device."""
+    """silver0-shaped LOAD_START (clicks) and LOAD_DONE (purchases) per device.
+
+    Ration and sequence number come from the payload and the value; a done message
+    carries 0 to 3 results, or none at all (NULL) for every fifth ``k``.
+    """
     msgs = messages(spark, sf_dir)
-    keys = [
-        F.col("farm_license"),
-        F.col("device_number"),
-        F.lit(1).alias("ration_id"),
-        F.lit(1).alias("seq_nr"),
-    ]
-    start = shred(msgs, "CLICK", "k INT", {"req_weight": "k"}).select(
-        *keys,
-        "time",
-        year_month("time").alias("year_month"),
-        "req_weight",
-        F.lit(0).alias("start_weight"),
+    seq_nr = (F.floor("value") % 2 + 1).cast("int").alias("seq_nr")
+    keys = ["farm_license", "device_type", "device_number", (F.col("k") % 2 + 1).alias("ration_id"), seq_nr]
+    start = shred(msgs, "CLICK", "k INT", {"k": "k"}).select(
+        *keys, "time", year_month("time").alias("year_month"), F.col("k").alias("req_weight"), F.lit(0).alias("start_weight")
+    )
+    result = lambda i: F.struct(
+        i.alias("feedId"), (F.col("k") * i).alias("reqWeight"), (F.col("k") + i).alias("weight"), (i % 2 == 1).alias("completed")
     )
-    done = msgs.where(F.col("msg_type") == "PURCHASE").select(
+    made = F.when(F.col("k") % 4 == 0, F.array().cast(RESULTS)).otherwise(
+        F.transform(F.sequence(F.lit(1), F.greatest(F.col("k") % 4, F.lit(1))), result).cast(RESULTS)
+    )
+    done = shred(msgs, "PURCHASE", "k INT", {"k": "k"}).select(
         *keys,
         "time",
         F.round(F.col("value") * 100).cast("int").alias("total_weight"),
-        F.lit(None)
-        .cast("array<struct<feedId:int,reqWeight:int,weight:int,completed:boolean>>")
-        .alias("results"),
+        F.when(F.col("k") % 5 != 0, made).alias("results"),
     )
     return start, done
 
 
+RESULTS = "array<struct<feedId:int,reqWeight:int,weight:int,completed:boolean>>"
+
+
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem")
 
 
-def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """silver_loading_activity-shaped rows, one load per line item."""
-    li = _lines(spark, sf_dir)
-    od = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
-    joined = li.join(od, li["l_orderkey"] == od["o_orderkey"], "inner")
+def _loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per order: its lines as an array in line order, farm = supplier of the first line.
+
+    Every 17th order has no array (NULL), every 19th an empty one.
+    """
     req = (F.col("l_quantity") * 1000).cast("int")
     got = F.round(F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("int")
-    start, end = F.col("o_orderdate"), F.col("l_shipdate")
+    line = F.struct(
+        F.col("l_linenumber").alias("nr"),
+        F.ascii("l_returnflag").alias("feedId"),
+        req.alias("reqWeight"),
+        got.alias("weight"),
+        (F.col("l_linestatus") == "F").alias("completed"),
+        F.concat(F.lit("feed "), F.col("l_returnflag"), F.lit("-"), F.col("l_linestatus")).alias("name"),
+    )
+    loads = (
+        _lines(spark, sf_dir)
+        .groupBy("l_orderkey")
+        .agg(
+            F.min_by("l_suppkey", F.struct("l_linenumber", "l_suppkey")).cast("string").alias("farm_license"),
+            F.max("l_shipdate").alias("end_time"),
+            F.count(F.lit(1)).cast("int").alias("seq_nr"),
+            F.sum(req).cast("int").alias("req_g"),
+            F.sum(got).cast("int").alias("got_g"),
+            F.sort_array(F.collect_list(line)).alias("lines"),
+        )
+    )
+    lines = (
+        F.when(F.col("l_orderkey") % 17 == 0, F.lit(None))
+        .when(F.col("l_orderkey") % 19 == 0, F.filter("lines", lambda x: F.lit(False)))
+        .otherwise(F.col("lines"))
+    )
+    return loads.withColumn("lines", lines)
+
+
+def _results(lines: str = "lines"):
+    fields = ("feedId", "reqWeight", "weight", "completed")
+    return F.transform(lines, lambda x: F.struct(*[x[f].alias(f) for f in fields])).cast(RESULTS)
+
+
+def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """silver_loading_activity-shaped rows, one load per order."""
+    loads = _loads(spark, sf_dir)
+    od = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
+    joined = loads.join(od, loads["l_orderkey"] == od["o_orderkey"], "inner")
+    start, end = F.col("o_orderdate"), F.col("end_time")
     duration = F.unix_seconds(end) - F.unix_seconds(start)
     return joined.select(
-        F.col("l_suppkey").cast("string").alias("farm_license"),
+        "farm_license",
         F.lit(1).alias("device_number"),
         F.substring("o_orderpriority", 1, 1).cast("int").alias("ration_id"),
-        F.col("l_linenumber").alias("seq_nr"),
+        "seq_nr",
         year_month(start).alias("year_month"),
         F.col("l_orderkey").cast("string").alias("loading_uuid"),
         start.alias("start_time"),
-        end.alias("end_time"),
-        req.alias("req_weight_ration_g"),
+        end,
+        F.col("req_g").alias("req_weight_ration_g"),
         F.lit(0).alias("weight_at_load_start_g"),
-        got.alias("loaded_weight_ration_g"),
-        F.array(
-            F.struct(
-                F.ascii("l_returnflag").alias("feedId"),
-                req.alias("reqWeight"),
-                got.alias("weight"),
-                (F.col("l_linestatus") == "F").alias("completed"),
-            )
-        ).alias("results"),
+        F.col("got_g").alias("loaded_weight_ration_g"),
+        _results().alias("results"),
         duration.alias("duration_s"),
-        F.try_divide(got, duration).alias("loading_speed_ration_g_per_s"),
+        F.try_divide("got_g", duration).alias("loading_speed_ration_g_per_s"),
     )
 
 
@@ -160,35 +195,57 @@ def robot_config_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _line_envelope(msg_type: str):
+def _load_envelope(msg_type: str):
     return [
-        F.col("l_suppkey").cast("string").alias("farm_license"),
+        F.col("farm_license"),
         F.lit("robot").alias("device_type"),
         F.lit(1).alias("device_number"),
         F.lit(msg_type).alias("msg_type"),
-        F.col("l_shipdate").alias("time"),
+        F.col("end_time").alias("time"),
     ]
 
 
 def load_done_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """LOAD_DONE messages with JSON payloads (one per line item), bronze-shaped."""
-    li = _lines(spark, sf_dir)
-    req = (F.col("l_quantity") * 1000).cast("int")
-    got = F.round(F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("int")
+    """LOAD_DONE messages with JSON payloads (one per order, one result per line), bronze-shaped."""
     payload = F.struct(
-        F.col("l_linenumber").alias("rationId"),
-        got.alias("weight"),
-        F.array(F.struct(F.ascii("l_returnflag").alias("feedId"), req.alias("reqWeight"),
-                         got.alias("weight"), (F.col("l_linestatus") == "F").alias("completed"))).alias("results"),
-        F.col("l_linenumber").alias("seqNr"),
+        F.col("seq_nr").alias("rationId"), F.col("got_g").alias("weight"), _results().alias("results"), F.col("seq_nr").alias("seqNr")
     )
-    return li.select(*_line_envelope("LOAD_DONE"), F.to_json(payload).alias("data"))
+    return _loads(spark, sf_dir).select(*_load_envelope("LOAD_DONE"), F.to_json(payload).alias("data"))
+
+
+def load_start_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """LOAD_START messages with JSON payloads (one per order), bronze-shaped."""
+    payload = F.struct(
+        F.col("seq_nr").alias("rationId"), F.col("req_g").alias("reqWeight"), F.lit(0).alias("startWeight"), F.col("seq_nr").alias("seqNr")
+    )
+    return _loads(spark, sf_dir).select(*_load_envelope("LOAD_START"), F.to_json(payload).alias("data"))
 
 
 def kitchen_feed_name_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """KITCHEN_FEED_NAMES messages with a JSON ``feedNames`` array, bronze-shaped."""
-    li = _lines(spark, sf_dir)
-    entry = F.struct(F.ascii("l_returnflag").alias("feedId"),
-                     F.concat(F.lit("feed "), F.col("l_returnflag"), F.lit("-"), F.col("l_linestatus")).alias("name"))
-    return li.select(*_line_envelope("KITCHEN_FEED_NAMES"),
-                     F.to_json(F.struct(F.array(entry).alias("feedNames"))).alias("data"))
+    """KITCHEN_FEED_NAMES messages with a JSON ``feedNames`` array (a name per line of the order), bronze-shaped."""
+    names = F.transform("lines", lambda x: F.struct(x["feedId"].alias("feedId"), x["name"].alias("name")))
+    return _loads(spark, sf_dir).select(
+        *_load_envelope("KITCHEN_FEED_NAMES"), F.to_json(F.struct(names.alias("feedNames"))).alias("data")
+    )
+
+
+def ration_name_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RATION_NAMES messages with a JSON ``rationNames`` array, bronze-shaped."""
+    names = F.transform("lines", lambda x: F.struct(x["nr"].alias("rationId"), x["name"].alias("name")))
+    return _loads(spark, sf_dir).select(
+        *_load_envelope("RATION_NAMES"), F.to_json(F.struct(names.alias("rationNames"))).alias("data")
+    )
+
+
+def robot_config_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ROBOT_CONFIG messages with JSON payloads, one per line, bronze-shaped."""
+    msgs = robot_config_messages(spark, sf_dir)
+    payload = F.struct(
+        "phases",
+        F.col("freq_type_mixer").alias("freqTypeMixer"),
+        F.col("freq_type_roller").alias("freqTypeRoller"),
+        F.col("relays_type").alias("relaysType"),
+    )
+    return msgs.select(
+        "farm_license", "device_type", "device_number", F.lit("ROBOT_CONFIG").alias("msg_type"), "time", F.to_json(payload).alias("data")
+    )

@@ -14,12 +14,6 @@ BRONZE = """
     time TIMESTAMP, data STRING, processing_time TIMESTAMP, source_path STRING
 """
 
-BASE_COLUMNS = """
-    farm_license STRING, device_type STRING, device_number INTEGER, msg_type STRING,
-    time TIMESTAMP, data STRING, processing_time TIMESTAMP, source_path STRING,
-    year_month STRING
-"""
-
 # ---- fixed values: JSON payloads per message type (camelCase field names) ------------
 PAYLOAD_ROBOT_CONFIG = (
     "phases STRING, freqTypeMixer STRING, freqTypeRoller STRING, relaysType STRING"
@@ -88,23 +82,25 @@ CALENDAR = "date DATE NOT NULL"
 # ---- end of fixed values ------------------------------------------------------------
 
 
-def silver0_ddl(extra: str) -> str:
-    return f"{BASE_COLUMNS}, {extra}"
+def silver0_ddl(payload: str, typed: str) -> str:
+    """Bronze with ``data`` parsed, the typed columns, and the partition column."""
+    parsed = BRONZE.replace("data STRING", f"data STRUCT<{payload}>")
+    return f"{parsed}, {typed}, year_month STRING"
 
 
 SILVER0_ROBOT_CONFIG = silver0_ddl(
-    "phases STRING, freq_type_mixer STRING, freq_type_roller STRING, relays_type STRING"
+    PAYLOAD_ROBOT_CONFIG, "phases STRING, freq_type_mixer STRING, freq_type_roller STRING, relays_type STRING"
 )
 SILVER0_LOAD_START = silver0_ddl(
-    "ration_id INTEGER, req_weight INTEGER, start_weight INTEGER, seq_nr INTEGER"
+    PAYLOAD_LOAD_START, "ration_id INTEGER, req_weight INTEGER, start_weight INTEGER, seq_nr INTEGER"
 )
 SILVER0_LOAD_DONE = silver0_ddl(
+    PAYLOAD_LOAD_DONE,
     "ration_id INTEGER, total_weight INTEGER, "
-    "results ARRAY<STRUCT<feedId: INTEGER, reqWeight: INTEGER, weight: INTEGER, completed: BOOLEAN>>, "
-    "seq_nr INTEGER"
+    "results ARRAY<STRUCT<feedId: INTEGER, reqWeight: INTEGER, weight: INTEGER, completed: BOOLEAN>>, seq_nr INTEGER",
 )
-SILVER0_RATION_NAMES = silver0_ddl("ration_id INTEGER, name STRING")
-SILVER0_KITCHEN_FEED_NAMES = silver0_ddl("feed_id INTEGER, name STRING")
+SILVER0_RATION_NAMES = silver0_ddl(PAYLOAD_RATION_NAMES, "ration_id INTEGER, name STRING")
+SILVER0_KITCHEN_FEED_NAMES = silver0_ddl(PAYLOAD_KITCHEN_FEED_NAMES, "feed_id INTEGER, name STRING")
 
 
 def struct(ddl: str) -> StructType:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
 from hayloft.functions.time import to_timestamp_columns
@@ -14,34 +12,12 @@ TABLES = (
 ).split()
 
 
-# input splits per (file, modification time, split size): planning a scan to
-# count them costs a round trip per read
-_SPLITS: dict[tuple, int] = {}
-
-
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one table; TIMESTAMP_NTZ columns become session-zone TIMESTAMPs.
 
     The projection is lazy, so column pruning and filters still reach the
-    parquet scan. A source that yields fewer input splits than the cluster
-    has cores (the given files are one row group each) is hash-spread on its
-    leading id column over ``defaultParallelism`` partitions right after the scan, so joins,
-    explodes and partial aggregations downstream run on every core. A large
-    source has many splits and is left untouched.
+    parquet scan; its splits are the input's own.
     """
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    df = spark.read.parquet(path)
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        stamp = (path, os.path.getmtime(path), spark.conf.get("spark.sql.files.maxPartitionBytes"))
-        if stamp not in _SPLITS:
-            _SPLITS[stamp] = df.rdd.getNumPartitions()
-        splits = _SPLITS[stamp]
-    except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect): keep the scan as is
-        cores, splits = 0, 0
-    if splits < cores:
-        # hash on the leading id column: no sort-before-shuffle as round robin needs
-        df = df.repartition(cores, df.columns[0])
-    return to_timestamp_columns(df)
+    return to_timestamp_columns(spark.read.parquet(f"{sf_dir}/{name}.parquet"))

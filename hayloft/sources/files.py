@@ -50,15 +50,39 @@ def read_table(
     """Read a layer table by path.
 
     With ``schema`` the declared layout is applied (partition values keep the
-    declared type) and the columns come back in declared order.
+    declared type) and the columns come back in declared order. Without one,
+    partition values come back as the strings they were stored as, whatever
+    the session infers elsewhere (a license ``007`` must not become 7).
     """
     reader = spark.read.format(fmt)
     if schema is None:
-        return reader.load(path)
+        option = "spark.sql.sources.partitionColumnTypeInference.enabled"
+        inferring = spark.conf.get(option, "true")
+        spark.conf.set(option, "false")
+        try:
+            return reader.load(path)
+        finally:
+            spark.conf.set(option, inferring)
     struct = schema if isinstance(schema, StructType) else schemas.struct(schema)
     return reader.schema(struct).load(path).select(*struct.fieldNames())
 
 
+def _exists(spark: SparkSession, path: str, child: str = "") -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path, child) if child else spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def has_stream_log(spark: SparkSession, path: str) -> bool:
+    """Whether a streaming file sink owns ``path``: readers then follow its log only."""
+    return _exists(spark, path, "_spark_metadata")
+
+
+def refuse_batch_table(spark: SparkSession, path: str) -> None:
+    """A stream must not append to a table that batch writes made: its log would hide their files."""
+    if _exists(spark, path, "_SUCCESS") and not has_stream_log(spark, path):
+        raise ValueError(f"{path} holds a batch-written table; give the stream a path of its own")
+
+
 def write_table(
     df: DataFrame,
     path: str,
@@ -76,6 +100,8 @@ def write_table(
     splits a skewed value (one farm with a third of the rows) over several
     tasks and merges small ones.
     """
+    if has_stream_log(df.sparkSession, path):
+        raise ValueError(f"{path} is written by a stream; rows of a batch write would not be read back")
     out = df
     partition_by = list(partition_by)
     if partition_by and cluster:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from hayloft import schemas
+from hayloft.sources.files import refuse_batch_table
 
 
 def with_lineage(df: DataFrame) -> DataFrame:
@@ -59,6 +60,7 @@ def ingest(
     Returns the started query; with ``available_now`` it stops by itself once
     all present input is committed (call ``awaitTermination``).
     """
+    refuse_batch_table(stream.sparkSession, sink_path)
     out = transform(stream) if transform else stream
     writer = (
         out.writeStream.format(fmt)

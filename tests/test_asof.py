@@ -1,6 +1,8 @@
 import datetime as dt
 import random
 
+from pyspark.sql import functions as F
+
 from conftest import d, ts
 from hayloft.functions.time import OPEN_END
 from hayloft.operators.asof import point_in_time_join
@@ -103,9 +105,8 @@ def test_timestamp_facts_match_brute_force_across_buckets(spark):
     fdf = spark.createDataFrame(facts, "farm string, t timestamp, fid int")
     ddf = spark.createDataFrame(dims, DIM_SCHEMA)
     for bounds in ("[)", "(]"):
-        for bucket, hot in ((600, None), (86400, None), (600, 50), (600, 10**6)):
-            out = point_in_time_join(fdf, ddf, ["farm"], "t", {"name": "v"}, bounds=bounds,
-                                     bucket_seconds=bucket, hot_key_rows=hot)
+        for bucket in (600, 3600, 86400):
+            out = point_in_time_join(fdf, ddf, ["farm"], "t", {"name": "v"}, bounds=bounds, bucket_seconds=bucket)
             assert sorted((r.fid, r.v) for r in out.collect()) == _brute(facts, dims, bounds)
 
 
@@ -146,3 +147,36 @@ def test_daily_facts_match_brute_force_with_devices(spark):
     for bounds in ("[)", "(]"):
         out = point_in_time_join(fdf, ddf, ["farm"], "date", {"name": "v"}, bounds=bounds, tie_break=["device"])
         assert sorted((r.fid, r.v) for r in out.collect()) == _brute_latest(facts, dims, bounds)
+
+
+def test_overlapping_devices_closed_period_falls_back_to_the_open_one(spark):
+    dim = spark.createDataFrame(
+        [("f", 1, ts("2023-01-01"), OPEN_END, "dev1"), ("f", 2, ts("2023-01-03"), ts("2023-01-04"), "dev2")],
+        "farm string, device int, start_time timestamp, end_time timestamp, name string")
+    days = ["2023-01-02", "2023-01-03", "2023-01-10"]
+    facts = _facts(spark, days * 2)  # several facts a key and day
+    for bounds, want in (("[)", ["dev1", "dev2", "dev1"]), ("(]", ["dev1", "dev1", "dev1"])):
+        out = point_in_time_join(facts, dim, ["farm"], "date", {"name": "dim_name"}, bounds=bounds, tie_break=["device"])
+        got = _names(out)
+        assert [got[("f", x)] for x in days] == want
+        assert out.count() == 2 * len(days) + 1
+    times = facts.withColumn("date", F.col("date").cast("timestamp"))
+    out = point_in_time_join(times, dim, ["farm"], "date", {"name": "dim_name"}, tie_break=["device"], bucket_seconds=86400)
+    assert sorted((str(r.date)[:10], r.dim_name) for r in out.where("farm = 'f'").collect()) == sorted(
+        zip(days * 2, ["dev1", "dev2", "dev1"] * 2))
+
+
+def test_one_row_per_day_facts_give_the_same(spark):
+    dim = spark.createDataFrame(
+        [("f", 1, ts("2023-01-01"), OPEN_END, "dev1"), ("f", 2, ts("2023-01-03"), ts("2023-01-04"), "dev2"),
+         ("g", 1, ts("2023-01-05"), OPEN_END, "g1")],
+        "farm string, device int, start_time timestamp, end_time timestamp, name string")
+    days = [d("2023-01-01") + dt.timedelta(days=i) for i in range(8)]
+    facts = spark.createDataFrame([(k, x, i) for k in ("f", "g", "none", None) for i, x in enumerate(days)],
+                                  "farm string, date date, n int")
+    for bounds in ("[)", "(]"):
+        for tie in ([], ["device"]):
+            some = dim if tie else dim.where("device = 1")
+            plain, once = (sorted(map(str, point_in_time_join(facts, some, ["farm"], "date", {"name": "v"}, bounds=bounds,
+                                                              tie_break=tie, one_per_time=o).collect())) for o in (False, True))
+            assert plain == once and len(once) == 32

@@ -2,7 +2,7 @@ import pytest
 
 from conftest import d
 from hayloft.plans import checks, kpi
-from hayloft.plans.contract import SchemaDoesNotMatchExpectedException, check_schema, input_names
+from hayloft.plans.contract import ContractError, check_schema, input_names
 
 CONTRACT = "a STRING, b DATE NOT NULL, c LONG"
 
@@ -19,7 +19,7 @@ def test_contract_accepts_matching(spark):
 ])
 def test_contract_rejects(spark, ddl):
     df = spark.createDataFrame([], ddl)
-    with pytest.raises(SchemaDoesNotMatchExpectedException):
+    with pytest.raises(ContractError):
         check_schema(df, CONTRACT, "t")
 
 
@@ -77,8 +77,24 @@ def test_kpi_series_filters(spark):
         kpi.kpi_series(f, dims, "nope")
 
 
-def test_kpi_lists_are_fact_measures():
-    from hayloft.plans import gold
-    assert set(kpi.FEED_KPIS) <= set(gold.FEED_MEASURES)
-    assert set(kpi.RATION_KPIS) <= set(gold.RATION_MEASURES)
-    assert set(kpi.ROBOT_KPIS) <= set(gold.FARM_MEASURES)
+def test_contract_error_names_table_and_columns(spark):
+    with pytest.raises(ContractError) as error:
+        check_schema(spark.createDataFrame([], "a string, b date not null, c int"), CONTRACT, "fact")
+    assert error.value.table == "fact" and "c" in error.value.problems[0]
+
+
+def test_missing_days_null_keys_and_dates(spark):
+    f = _fact(spark, [(None, "x", d("2023-01-01"), 1.0), (None, "x", d("2023-01-04"), 1.0), (None, "x", None, 1.0),
+                      ("a", "x", d("2023-01-01"), 1.0), ("a", "x", d("2023-01-02"), 1.0), ("a", "x", d("2023-01-02"), 2.0)])
+    got = sorted((r.farm_license, str(r.date)) for r in checks.missing_days(f, keys=["farm_license"]).collect())
+    assert got == [(None, "2023-01-02"), (None, "2023-01-03")]
+
+
+def test_check_gold_fails_a_run(spark):
+    whole = _fact(spark, [("a", "x", d("2023-01-01"), 1.0), ("a", "x", d("2023-01-02"), 1.0)])
+    gap = _fact(spark, [("a", "x", d("2023-01-01"), 1.0), ("a", "x", d("2023-01-03"), 1.0)])
+    checks.check_gold({"t": whole}, {"t": ["farm_license"]})
+    with pytest.raises(checks.CheckFailed, match="t lacks 1 days"):
+        checks.check_gold({"t": gap}, {"t": ["farm_license"]})
+    with pytest.raises(checks.CheckFailed, match="has 0 rows"):
+        checks.check_gold({"t": whole.limit(0)}, {"t": []})

@@ -64,7 +64,7 @@ def test_split_pieces_cover_interval(spark, items, step):
 def test_scd2_periods_disjoint_and_contiguous(spark, items):
     rows = [(k, BASE + dt.timedelta(seconds=t), v) for k, t, v in items]
     out = scd2(spark.createDataFrame(rows, "k int, time timestamp, v string"), ["k"], ["v"],
-               bucket_seconds=600, hot_key_rows=5).collect()
+               bucket_seconds=600).collect()
     for key in {r[0] for r in rows}:
         periods = sorted((r.start_time, r.end_time, r.v) for r in out if r.k == key)
         assert all(a[1] == b[0] and a[2] != b[2] for a, b in zip(periods, periods[1:]))
