@@ -2,8 +2,8 @@
 
 The model has two heads, trained on the labelled rows: good quality and toxic
 language. Features are the relative frequencies of hashed word 1- and 2-grams
-(lower-cased letters and digits) and of 3-byte character grams, so one weight
-vector of fixed size is all that is broadcast. Scores become probabilities by
+(lower-cased letters and digits) and of character grams of 3 and 7 bytes, so one
+weight vector of fixed size is all that is broadcast. Scores become probabilities by
 Platt scaling on a held-out part of the training rows and are compared with
 fixed thresholds.
 """
@@ -25,11 +25,11 @@ MAX_REPEATED_PERCENT = 50
 MIN_QUALITY = 0.5  # a document stays at this probability of good quality or more ...
 MAX_TOXIC = 0.5  # ... and below this probability of toxic language
 
-DIMENSIONS_LOG2 = 18
+DIMENSIONS_LOG2 = 20
 #: the classifier is fitted on at most this many labelled rows (those with the smallest
 #: hashed ids) and this many non-zero features; scoring covers every document
 SAMPLE_ROWS = 6000
-SAMPLE_FEATURES = 12_000_000
+SAMPLE_FEATURES = 16_000_000
 EPOCHS = 15
 L2 = 1e-4
 HEADS = ("quality", "toxic")
@@ -39,6 +39,21 @@ _SYMBOL[list(b"#*$%&|<>")] = True
 
 
 # ----------------------------------------------------------------- features
+def _byte_grams(cells: list, bounds: list, data: np.ndarray, text_bounds: np.ndarray, n: int) -> None:
+    """Append the cells of all runs of ``n`` bytes within a text, and the bounds of each text's runs."""
+    sizes = np.diff(text_bounds)
+    runs = len(data) - n + 1
+    if runs > 0:
+        grams = np.full(runs, n, np.uint64)
+        for i in range(n):
+            grams = grams << np.uint64(8) | data[i : i + runs]
+        inside = np.arange(runs) + n <= np.repeat(text_bounds[1:], sizes)[:runs]
+        cells.append((W.mix(grams[inside]) >> np.uint64(64 - DIMENSIONS_LOG2)).astype(np.int64))
+    else:
+        cells.append(np.zeros(0, np.int64))
+    bounds.append(np.append(0, np.cumsum(np.maximum(sizes - n + 1, 0))))
+
+
 def _gram_cells(s: W.Slice) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """Per block of features: the cell of each gram, and the bounds of each text's grams."""
     shift = np.uint64(64 - DIMENSIONS_LOG2)
@@ -52,23 +67,17 @@ def _gram_cells(s: W.Slice) -> tuple[list[np.ndarray], list[np.ndarray]]:
     ok = W.window_ok(words, 2)
     cells.append((pairs[ok] >> shift).astype(np.int64))
     bounds.append(np.append(0, np.cumsum(np.maximum(words.counts - 1, 0))))
-    data = s.data.astype(np.uint64)
-    n = np.maximum(np.diff(s.bounds) - 2, 0)
-    if len(data) >= 3:
-        grams = data[:-2] | data[1:-1] << np.uint64(8) | data[2:] << np.uint64(16) | np.uint64(1 << 24)
-        inside = np.arange(len(grams)) + 3 <= np.repeat(s.bounds[1:], np.diff(s.bounds))[: len(grams)]
-        cells.append((W.mix(grams[inside]) >> shift).astype(np.int64))
-    else:
-        cells.append(np.zeros(0, np.int64))
-    bounds.append(np.append(0, np.cumsum(n)))
+    _byte_grams(cells, bounds, s.data, s.bounds, 3)
+    # whole words show here by their first letters: everything between words is one space
+    _byte_grams(cells, bounds, np.where(W.IS_ALNUM_WORD[lowered.data], lowered.data, 32), s.bounds, 7)
     return cells, bounds
 
 
 #: A feature is a gram's count over the block's total to this power, times the block's
 #: scale. The square root for words: a text of any length then weighs the noise of its many
 #: neutral words alike, and a few telling words stand out.
-_POWERS = (0.5, 0.5, 1.0)
-_SCALES = (4.0, 2.0, 10.0)
+_POWERS = (0.5, 0.5, 1.0, 0.5)
+_SCALES = (4.0, 2.0, 10.0, 2.0)
 #: A head only uses grams whose presence goes with its label: the log-likelihood ratio of the
 #: training rows' two-by-two table must reach this. Rare grams cannot be learnt by heart.
 MIN_LIKELIHOOD_RATIO = 20.0
