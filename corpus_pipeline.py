@@ -38,9 +38,10 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with their shard and their place in it."""
+    """The documents with their shard and their place in it (in place of columns of these names)."""
     tune(spark)
-    return sharding.assign_shards(docs).select("row.*", "shard", "slot")
+    own = [c for c in docs.columns if c not in ("shard", "slot")]
+    return sharding.assign_shards(docs).select(*[f"row.{c}" for c in own], "shard", "slot")
 
 
 STAGES = [

@@ -20,6 +20,7 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+from bisect import bisect_right
 from functools import lru_cache
 
 import pyarrow as pa
@@ -45,7 +46,8 @@ _FAMILY = r"[^\W\d_]+(?:-[^\W\d_]+)*"
 _PATTERN = re.compile(
     "|".join(
         [
-            r"(?P<email>[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})",
+            # only from the start of a run of address characters: linear on long runs without an @
+            r"(?P<email>(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})",
             r"(?<![\w.])(?P<ip>(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3})(?![\w]|\.\d)",
             r"\b(?P<iban>[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)\b",
             r"(?<!\d)(?P<ssn>\d{3}-\d{2}-\d{4})(?!\d)",
@@ -102,10 +104,11 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
                 continue
             out.append((*m.span(kind), kind, canonical(kind, value)))
     if families:  # later or earlier mentions by family name alone
-        taken = [(a, b) for a, b, _, _ in out]
+        starts, ends = [a for a, *_ in out], [b for _, b, *_ in out]  # in order, without overlaps
         again = re.compile(r"\b(?:" + "|".join(sorted(map(re.escape, families), key=len, reverse=True)) + r")\b")
         for m in again.finditer(text):
-            if all(b <= m.start() or m.end() <= a for a, b in taken):
+            before = bisect_right(starts, m.start())
+            if (not before or ends[before - 1] <= m.start()) and (before == len(starts) or m.end() <= starts[before]):
                 out.append((*m.span(), "family", m.group().casefold()))
         out.sort()
     return out

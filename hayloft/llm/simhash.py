@@ -173,9 +173,9 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     groups = near_groups(docs, **options)
     first = F.struct(F.col("doc_id").isNull().alias("null"), F.col("doc_id").alias("id"), F.col("tkey").alias("tkey"))
     keep = groups.groupBy("root").agg(F.min(first).alias("first"))
-    keep = keep.select(F.col("first.id").alias("_keep_id"), F.col("first.tkey").alias("_keep_key")).distinct()
-    keyed = docs.withColumn("_keep_key", text_key())
-    kept = keyed.join(
-        keep, keyed["doc_id"].eqNullSafe(keep["_keep_id"]) & (keyed["_keep_key"] == keep["_keep_key"]), "left_semi"
+    keep = keep.select(F.col("first.id").alias("keep_id"), F.col("first.tkey").alias("keep_key")).distinct()
+    keyed = docs.select(
+        F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col("doc_id").alias("own_id"), text_key().alias("own_key")
     )
-    return kept.dropDuplicates(["doc_id", "_keep_key"]).select(*docs.columns)
+    same = keyed["own_id"].eqNullSafe(keep["keep_id"]) & (keyed["own_key"] == keep["keep_key"])
+    return keyed.join(keep, same, "left_semi").dropDuplicates(["own_id", "own_key"]).select("row.*")

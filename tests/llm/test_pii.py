@@ -69,5 +69,15 @@ def test_text_without_personal_data_is_unchanged(spark, seed):
     assert untouched <= got and len(untouched) > 50
 
 
+def test_long_runs_take_linear_time():
+    import time
+
+    began = time.time()
+    for run in ("x" * 300_000, "a." * 150_000, "a@" * 100_000, "1" * 300_000, "Anna " * 50_000, "A1" * 100_000):
+        pii.find(run)
+    assert time.time() - began < 20
+    assert [e[2:] for e in pii.find("..joe@x.org")] == [("email", "..joe@x.org")]
+
+
 def test_empty_table(spark):
     assert pii.replace_personal_data(spark.createDataFrame([], "doc_id long, text string")).collect() == []

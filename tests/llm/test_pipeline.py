@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+import llm_texts as texts
 from hayloft.llm import decontam, quality, simhash
 from hayloft.llm.queries import QUERIES
 
@@ -34,6 +35,21 @@ def test_stages_apply_their_decisions(spark):
     assert Counter(ids["shard"]) == Counter(ids["mix"])
 
 
+@pytest.mark.parametrize("empty", [False, True])
+def test_stages_handle_awkward_rows(spark, empty):
+    """NULLs, empty and long texts, ties, repeated rows, clashing extra columns, empty tables."""
+    rows = [] if empty else texts.document_rows(7)
+    docs = texts.with_clashing_columns(spark.createDataFrame(rows, texts.SCHEMA)).selectExpr(
+        "*", "1 AS slot", "'x' AS row", "0 AS copies", "1 AS kept", "'y' AS own_id"
+    )
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF)
+        got = out.collect()
+        assert set(out.columns) == set(docs.columns)
+        assert not got if empty else got or name == "quality_rules"
+        docs = docs if name == "quality_rules" else spark.createDataFrame(got, out.schema)
+
+
 def test_run_equals_its_stages_and_reruns_agree(spark):
     rows = [Counter(tuple(r) for r in corpus_pipeline.run(spark, SF).drop("text").collect()) for _ in range(2)]
     assert rows[0] == rows[1] and sum(rows[0].values()) > 0
