@@ -18,6 +18,8 @@ not positions:
    65,535 nodes whatever the corpus, pass through the driver;
 3. each group joins the probabilities of its own grams and tokens and scores
    its documents.
+
+Tokens go by a 64-bit hash (among 10**9 distinct tokens some 0.03 pairs would share one).
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ from hayloft.llm.tables import stored, text_key
 DEPTH = 4
 GROUP_BYTES = 20_000_000
 BUNDLES = 128
-END = ""  # the end token; no word is empty
+END = 0  # the end token's key, the hash of no bytes
 
 _HALF = np.log(0.5)
 
@@ -149,32 +151,33 @@ def _merge(parts: list[tuple[np.ndarray, np.ndarray]]):
     return _sum_by(keys, np.concatenate([n for _, n in parts]).astype(float))
 
 
+def _token_hashes(s: W.Slice) -> tuple[np.ndarray, W.Words]:
+    words = W.find_words(s)
+    return W.signed(W.word_hashes(s.data, words)), words
+
+
 def _list_group(table: pa.Table) -> pa.Table:
     """Distinct grams and tokens of a group of documents with their training counts."""
-    grams: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0))]
-    tokens: dict[bytes, int] = {}
+    found = {False: [(np.zeros(0, np.int64), np.zeros(0))], True: [(np.zeros(0, np.int64), np.zeros(0))]}
     held = table.column("held_out").to_numpy()
     for s in W.slices(table.column("text")):
         s = _lowered(s)
-        keys = pack_grams(s.data, s.bounds)
-        learn = ~held[s.first : s.first + s.n]
-        grams.append(_sum_by(keys, np.repeat(learn, np.diff(s.bounds)).astype(float)))
-        if len(grams) > 8:
-            grams = [_merge(grams)]
-        for t in range(s.n):
-            step = int(learn[t])
-            for word in s.data[s.bounds[t] : s.bounds[t + 1]].tobytes().split():
-                tokens[word] = tokens.get(word, 0) + step
-            tokens[b""] = tokens.get(b"", 0) + step
-    keys, n = _merge(grams)
-    names = [t.decode() for t in tokens]
+        learn = (~held[s.first : s.first + s.n]).astype(float)
+        found[False].append(_sum_by(pack_grams(s.data, s.bounds), np.repeat(learn, np.diff(s.bounds))))
+        tokens, words = _token_hashes(s)
+        found[True].append(_sum_by(tokens, np.repeat(learn, words.counts)))
+        found[True].append((np.array([END]), np.array([learn.sum()])))
+        for kind, parts in found.items():
+            if len(parts) > 8:
+                found[kind] = [_merge(parts)]
+    (grams, n_grams), (tokens, n_tokens) = _merge(found[False]), _merge(found[True])
     gid = table.column("gid")[0].as_py()
     return pa.table(
         {
-            "gid": pa.array(np.full(len(keys) + len(names), gid, np.int32)),
-            "gram": pa.concat_arrays([pa.array(keys), pa.nulls(len(names), pa.int64())]),
-            "token": pa.concat_arrays([pa.nulls(len(keys), pa.string()), pa.array(names, pa.string())]),
-            "n": pa.array(np.concatenate([n, np.array(list(tokens.values()), float)]).astype(np.int64)),
+            "gid": pa.array(np.full(len(grams) + len(tokens), gid, np.int32)),
+            "token": pa.array(np.repeat([False, True], [len(grams), len(tokens)])),
+            "key": pa.array(np.concatenate([grams, tokens])),
+            "n": pa.array(np.concatenate([n_grams, n_tokens]).astype(np.int64)),
         }
     )
 
@@ -183,39 +186,39 @@ def _score_group(total: int, distinct: int):
     """Score a group's documents with the looked-up values of its grams and tokens."""
 
     def run(table: pa.Table, looked_up: pa.Table) -> pa.Table:
-        token_column = looked_up.column("token")
-        is_token = np.asarray(token_column.is_valid())
-        value = looked_up.column("value").to_numpy()
-        grams = looked_up.column("gram").filter(pa.array(~is_token)).to_numpy().astype(np.int64)
-        order = np.argsort(grams)
-        grams, logs = grams[order], value[~is_token][order]
-        counts = dict(
-            zip((t.encode() for t in token_column.filter(pa.array(is_token)).to_pylist()), value[is_token].tolist())
-        )
-        smooth = total + 0.5 * (distinct + 1)
-        log = {c: float(np.log10((c + 0.5) / smooth)) for c in set(counts.values())}
-        out = {"n_tokens": [], "n_known": [], "base_score": [], "score": []}
+        is_token = looked_up.column("token").to_numpy()
+        keys, values = looked_up.column("key").to_numpy(), looked_up.column("value").to_numpy()
+        found = []
+        for kind in (False, True):
+            own, value = keys[is_token == kind], values[is_token == kind]
+            order = np.argsort(own)
+            found.append((own[order], value[order]))
+        (grams, logs), (tokens, counts) = found
+        known = counts > 0
+        base = np.log10((counts + 0.5) / (total + 0.5 * (distinct + 1)))
+        end = np.searchsorted(tokens, END)
+        out: dict[str, list] = {"n_tokens": [], "n_known": [], "base_score": [], "score": []}
         for s in W.slices(table.column("text")):
             s = _lowered(s)
-            own = logs[np.searchsorted(grams, pack_grams(s.data, s.bounds))] if len(s.data) else np.zeros(0)
-            sums = np.append(0, np.cumsum(own))
-            out["score"] += (sums[s.bounds[1:]] - sums[s.bounds[:-1]]).tolist()
-            for t in range(s.n):
-                tokens = s.data[s.bounds[t] : s.bounds[t + 1]].tobytes().split()
-                tokens.append(b"")
-                found = [counts[w] for w in tokens]
-                out["n_tokens"].append(len(tokens))
-                out["n_known"].append(sum(c > 0 for c in found))
-                out["base_score"].append(float(sum(log[c] for c in found)))
+            text = np.repeat(np.arange(s.n), np.diff(s.bounds))
+            own = logs[np.searchsorted(grams, pack_grams(s.data, s.bounds))] if len(text) else np.zeros(0)
+            out["score"].append(np.bincount(text, own, s.n))
+            hashes, words = _token_hashes(s)
+            at, text = np.searchsorted(tokens, hashes), words.text_of()
+            out["n_tokens"].append(words.counts + 1)
+            out["n_known"].append(np.bincount(text, known[at], s.n) + known[end])
+            out["base_score"].append(np.bincount(text, base[at], s.n) + base[end])
+        n = len(table)
+        column = lambda c, kind: pa.array(np.concatenate(out[c]).astype(kind))
         return pa.table(
             {
                 "id": table.column("id"),
                 "held_out": table.column("held_out"),
-                "n_tokens": pa.array(out["n_tokens"], pa.int64()),
-                "n_known": pa.array(out["n_known"], pa.int64()),
-                "train_tokens": pa.array(np.full(len(table), total, np.int64)),
-                "base_score": pa.array(out["base_score"], pa.float64()),
-                "score": pa.array(out["score"], pa.float64()),
+                "n_tokens": column("n_tokens", np.int64),
+                "n_known": column("n_known", np.int64),
+                "train_tokens": pa.array(np.full(n, total, np.int64)),
+                "base_score": column("base_score", float),
+                "score": column("score", float),
             }
         )
 
@@ -308,21 +311,18 @@ def score_documents(
     dealt = base.withColumn("gid", F.pmod(F.xxhash64("id", "tkey"), F.lit(groups)).cast("int"))
     listed = stored(
         dealt.select("gid", "text", "held_out").groupBy("gid").applyInArrow(
-            _list_group, "gid int, gram long, token string, n long"
+            _list_group, "gid int, token boolean, key long, n long"
         ),
         "ctw-listed",
     )
-    gram_counts = listed.where("token IS NULL").groupBy("gram").agg(F.sum("n").alias("n"))
-    gram_values = model(stored(gram_counts, "ctw-counts"))
-    token_counts = stored(
-        listed.where("token IS NOT NULL").groupBy("token").agg(F.sum("n").cast("double").alias("value")), "ctw-tokens"
-    )
-    size = token_counts.agg(F.sum("value").alias("total"), F.sum((F.col("value") > 0).cast("long")).alias("distinct")).first()
-    grams = listed.where("token IS NULL").select("gid", "gram").join(gram_values, "gram")
-    tokens = listed.where("token IS NOT NULL").select("gid", "token").join(token_counts, "token")
-    looked_up = grams.select("gid", "gram", F.lit(None).cast("string").alias("token"), "value").unionByName(
-        tokens.select("gid", F.lit(None).cast("long").alias("gram"), "token", "value")
+    counts = listed.groupBy("token", "key").agg(F.sum("n").alias("n"))
+    counts = stored(counts, "ctw-counts")
+    of_tokens = counts.where("token").select("token", "key", F.col("n").cast("double").alias("value"))
+    of_grams = model(counts.where("NOT token").select(F.col("key").alias("gram"), "n")).select(
+        F.lit(False).alias("token"), F.col("gram").alias("key"), "value"
     )
+    size = of_tokens.agg(F.sum("value").alias("total"), F.sum((F.col("value") > 0).cast("long")).alias("distinct")).first()
+    looked_up = listed.select("gid", "token", "key").join(of_tokens.unionByName(of_grams), ["token", "key"])
     id_type = docs.schema[id_col].dataType.simpleString()
     scored = (
         dealt.select("id", "text", "held_out", "gid")
