@@ -26,3 +26,56 @@ def test_partitioned_roundtrip_keeps_declared_order_and_types(spark):
     assert sorted(r.farm_license for r in typed.collect()) == ["0042", "7"]  # no numeric inference
     write_table(df.limit(1), path, partition_by=["farm_license"])  # overwrite replaces the table
     assert read_table(spark, path, DDL).count() == 1
+
+
+def test_partition_values_stay_text_without_a_schema(spark, tmp_path):
+    from hayloft.sources.files import read_table, write_table
+
+    option = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(option)
+    spark.conf.set(option, "true")
+    try:
+        path = str(tmp_path / "t")
+        write_table(spark.createDataFrame([("007", 1), ("12", 2)], "farm_license string, n int"), path, partition_by=["farm_license"])
+        assert sorted(r.farm_license for r in read_table(spark, path).collect()) == ["007", "12"]
+        assert spark.conf.get(option) == "true"
+    finally:
+        spark.conf.set(option, before)
+
+
+def test_stream_and_batch_tables_do_not_share_a_path(spark, tmp_path):
+    import pytest
+
+    from hayloft.sources.files import write_table
+    from hayloft.streaming.ingest import ingest
+
+    batch, streamed, source = (str(tmp_path / n) for n in ("batch", "streamed", "source"))
+    df = spark.createDataFrame([("a", 1)], "msg_type string, n int")
+    df.write.parquet(source)
+    write_table(df, batch)
+    stream = lambda: spark.readStream.schema(df.schema).parquet(source)
+    with pytest.raises(ValueError, match="batch-written"):
+        ingest(stream(), batch, str(tmp_path / "c1"))
+    ingest(stream(), streamed, str(tmp_path / "c2")).awaitTermination()
+    with pytest.raises(ValueError, match="written by a stream"):
+        write_table(df, streamed)
+
+
+def test_checkpoint_folder_is_required_on_a_cluster():
+    import pytest
+
+    from hayloft.session import checkpoint_root
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "local-cluster[2,1,1024]"
+
+        def getConf(self):
+            return Conf()
+
+    session = type("Session", (), {"conf": Conf(), "sparkContext": Context()})()
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(session)
