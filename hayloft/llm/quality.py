@@ -28,7 +28,7 @@ MAX_TOXIC = 0.5  # ... and below this probability of toxic language
 DIMENSIONS_LOG2 = 20
 #: the classifier is fitted on at most this many labelled rows (those with the smallest
 #: hashed ids) and this many non-zero features; scoring covers every document
-SAMPLE_ROWS = 6000
+SAMPLE_ROWS = 4000
 SAMPLE_FEATURES = 16_000_000
 EPOCHS = 15
 L2 = 1e-4
@@ -278,8 +278,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", sample_row
         .select("quality", "toxic", "text")
         .mapInArrow(_features, "quality int, toxic int, cells array<int>, values array<float>")
     )
-    ordered = stored(labelled, "quality-features")
-    by_content = ordered.repartition(1).sortWithinPartitions(F.xxhash64("cells", "values"), "quality", "toxic")
+    by_content = labelled.repartition(1).sortWithinPartitions(F.xxhash64("cells", "values"), "quality", "toxic")
     row = by_content.mapInArrow(_trainer, "weights binary, slope array<double>, offset array<double>").first()
     if row is None:
         return Model(np.zeros((1 << DIMENSIONS_LOG2, len(HEADS)), np.float32), np.zeros(len(HEADS)), np.zeros(len(HEADS)))
