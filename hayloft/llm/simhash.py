@@ -159,7 +159,8 @@ def near_groups(
         "fp", F.coalesce("root", "fp").alias("root"), "least"
     )
     of = stored(of, "simhash-roots")
-    smallest = of.groupBy("root").agg(F.min("least").alias("component"))
+    # stored, so that the join is one of two plain shuffles and a very large component splits
+    smallest = stored(of.groupBy("root").agg(F.min("least").alias("component")), "simhash-components")
     named = of.join(smallest, "root").select("fp", "root", "component")
     return marked.join(named, "fp").withColumnRenamed("id", id_col)
 
