@@ -1,7 +1,9 @@
 """Registered queries over the given tables, each with an equivalent DuckDB SQL.
 
-Every query reads whole tables (no id subsets, prefixes or row caps); the only
-``LIMIT`` is the top-k preview, where the limit is the feature. Computed
+Every query reads whole tables (no id subsets or row caps); the only ``LIMIT``
+is the top-k preview, where the limit is the feature. ``name_repair_keeps`` takes
+names of 40 characters, as its SQL does; ``name_repair_keeps_texts`` applies the
+same cases to the whole texts. Computed
 columns carry the same alias on both sides. Doubles that come out of sums of
 doubles are rounded (Spark's HALF_UP on the decimal value, emulated in SQL
 through a DECIMAL cast) because the summation order differs between engines.
@@ -310,8 +312,15 @@ def q_name_repair(spark, sf):
 
 def q_name_repair_keeps(spark, sf):
     """Names that must stay: undamaged text, damage mixed with other scripts, and bytes that are no UTF-8."""
-    docs = standins.table(spark, sf, "documents")
-    name = F.substring("text", 1, 40)
+    return _kept_names(standins.table(spark, sf, "documents"), F.substring("text", 1, 40))
+
+
+def q_name_repair_keeps_texts(spark, sf):
+    """The same cases over whole texts."""
+    return _kept_names(standins.table(spark, sf, "documents"), F.col("text"))
+
+
+def _kept_names(docs, name):
     kinds = F.array(
         F.struct(F.lit("plain").alias("kind"), name.alias("name")),
         F.struct(F.lit("mixed").alias("kind"), F.concat(make_mojibake(name), F.lit("日")).alias("name")),
@@ -460,6 +469,7 @@ QUERIES: dict[str, Query] = {
     "missing_days_null_key": q_missing_days_null_key,
     "kpi_farm_selected": q_kpi_farm_selected,
     "name_repair_keeps": q_name_repair_keeps,
+    "name_repair_keeps_texts": q_name_repair_keeps_texts,
     "interval_join_generic": q_interval_join_generic,
     "split_intervals_day": q_split_intervals_day,
     "split_intervals_hour": q_split_intervals_hour,

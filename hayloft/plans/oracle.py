@@ -500,6 +500,16 @@ SELECT doc_id, kind, CASE kind
            ELSE chr(224 + ord(c) // 4096) || chr(128 + ord(c) // 64 % 64) || chr(128 + ord(c) % 64) END), '') || '日' END AS name
 FROM (SELECT doc_id, substr(text, 1, 40) AS n FROM documents), (VALUES ('plain'), ('mixed'), ('not utf-8'), ('damaged')) AS k(kind)""",
 
+    "name_repair_keeps_texts": """
+SELECT doc_id, kind, CASE kind
+    WHEN 'plain' THEN n WHEN 'not utf-8' THEN n || 'éx' WHEN 'damaged' THEN n || 'ï'
+    ELSE array_to_string(list_transform(string_split(n, ''), lambda c : CASE
+           WHEN ord(c) < 128 THEN c
+           WHEN ord(c) < 2048 THEN chr(192 + ord(c) // 64) || chr(128 + ord(c) % 64)
+           WHEN ord(c) < 65536 THEN chr(224 + ord(c) // 4096) || chr(128 + ord(c) // 64 % 64) || chr(128 + ord(c) % 64)
+           ELSE chr(240 + ord(c) // 262144) || chr(128 + ord(c) // 4096 % 64) || chr(128 + ord(c) // 64 % 64) || chr(128 + ord(c) % 64) END), '') || '日' END AS name
+FROM (SELECT doc_id, text AS n FROM documents), (VALUES ('plain'), ('mixed'), ('not utf-8'), ('damaged')) AS k(kind)""",
+
     "kpi_farm": f"""WITH {FARM_FACT}
 SELECT farm_license, date, coalesce(sum(loaded_weight_kg), 0) AS loaded_weight_kg FROM farmfact
 WHERE farm_license IS NOT NULL AND date IS NOT NULL GROUP BY farm_license, date ORDER BY farm_license, date""",
