@@ -43,25 +43,52 @@ TITLES = "Mr Mrs Ms Dr Prof Herr Frau Monsieur Madame Mme Señor Señora".split(
 
 _GIVEN = {name: key for key, names in GIVEN_NAMES.items() for name in names}
 _FAMILY = r"[^\W\d_]+(?:-[^\W\d_]+)*"
+_PHONE = (
+    r"(?P<phone>(?:(?<!\w)\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)"
+    r"|(?<!\w)\+\d{1,3}(?:[ .-]?\d{1,4}){2,7}(?!\d)"
+    r"|(?<![\d-])\d{3}-\d{3}-\d{4}(?!\d)"
+    r"|(?<![\w+-])(?<!\d\.)(?:0\d(?:[ .-]\d\d){4}|0\d{1,4}(?:[ /-]\d{2,8}){1,4}"
+    r"|\d{3}(?P<dot>[ .])\d{3}(?P=dot)\d{4}|[6-9]\d\d(?P<sep>[ .-])\d{3}(?P=sep)\d{3})(?!\d))"
+)
 _PATTERN = re.compile(
     "|".join(
         [
             # only from the start of a run of address characters: linear on long runs without an @
             r"(?P<email>(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})",
             r"(?<![\w.])(?P<ip>(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3})(?![\w]|\.\d)",
-            r"\b(?P<iban>[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)\b",
+            # the groups after an IBAN, a card or a phone may be other numbers: where it ends is settled in find
+            r"\b(?P<iban>[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)",
             r"(?<!\d)(?P<ssn>\d{3}-\d{2}-\d{4})(?!\d)",
-            r"(?<![\d+])(?P<card>\d(?:[ -]?\d){12,18})(?!\d)",
-            r"(?P<phone>(?:(?<!\w)\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)"
-            r"|(?<!\w)\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<![\d-])\d{3}-\d{3}-\d{4}(?!\d))",
+            r"(?<![\d+])(?P<card>\d(?:[ -]?\d){12,37})",
+            _PHONE,
             r"(?i:\b(?:token|secret|api[_-]?key|password|passwd)\b\s*[:=]\s*[\"']?)(?P<secret>[A-Za-z0-9_\-]{8,})",
             r"\b(?P<given>" + "|".join(sorted(_GIVEN, key=len, reverse=True)) + r")\b(?: (?P<family>(?=[^\W\d_])" + _FAMILY + r"))?",
             r"\b(?:" + "|".join(TITLES) + r")\.? (?P<titled>" + _FAMILY + r")",
         ]
     )
 )
+_PHONE_ALONE = re.compile(_PHONE)
+#: Characters of an IBAN by country; digits of a national number by country code (least, most).
+IBAN_LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+        21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+        24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+        28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
+NATIONAL_DIGITS = {
+    "1": (10, 10), "7": (10, 10), "20": (8, 10), "27": (9, 9), "30": (10, 10), "31": (9, 9), "32": (8, 9), "33": (9, 9),
+    "34": (9, 9), "36": (8, 9), "39": (8, 11), "40": (9, 9), "41": (9, 9), "43": (8, 13), "44": (9, 10), "45": (8, 8),
+    "46": (7, 9), "47": (8, 8), "48": (9, 9), "49": (7, 11), "52": (10, 10), "55": (10, 11), "61": (9, 9), "64": (8, 10),
+    "81": (9, 10), "82": (8, 10), "86": (10, 11), "90": (10, 10), "91": (10, 10), "351": (9, 9), "353": (7, 9),
+    "358": (6, 11), "380": (9, 9), "420": (9, 9), "421": (9, 9),
+}
 KINDS = ("email", "ip", "iban", "ssn", "card", "phone", "secret", "given", "family")
 _DIGITS = re.compile(r"\d")
+_IBAN_START = re.compile(r"\b[A-Z]{2}\d{2}")
 
 
 def _luhn(digits: str) -> bool:
@@ -77,15 +104,82 @@ def _iban_ok(value: str) -> bool:
     return int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
 
 
+def _ends(text: str, start: int, end: int) -> list[tuple[int, str]]:
+    """Every place where a number in ``text[start:end]`` may end, as no letter or digit follows, with its symbols so far."""
+    out, value = [], ""
+    for i in range(start, end):
+        if text[i].isalnum():
+            value += text[i]
+            if i + 1 == len(text) or not text[i + 1].isalnum():
+                out.append((i + 1, value))
+    return out
+
+
+def _iban_end(text: str, start: int, end: int) -> int | None:
+    """The end with valid check digits: at the country's length, else the longest."""
+    length = IBAN_LENGTHS.get(text[start : start + 2])
+    ends = [(at, v) for at, v in _ends(text, start, end) if (len(v) >= 15 or at == end) and _iban_ok(v)]
+    return max(ends, key=lambda e: (len(e[1]) == length, e[0]), default=(None,))[0]
+
+
+def _card_span(text: str, start: int, end: int) -> tuple[int, int, str] | None:
+    """The first card among groups of digits, without the numbers beside it; its kind is ``phone`` if none is valid."""
+    groups = [m.span() for m in re.finditer(r"\d+", text[start:end])]
+    if start + groups[-1][1] < len(text) and text[start + groups[-1][1]].isdigit():
+        groups.pop()  # cut off by the pattern
+    groups = [(start + a, start + b) for a, b in groups]
+    found = []
+    for i, (a, b) in enumerate(groups):
+        if b - a >= 13:
+            return (a, b, "card") if b - a <= 19 else None
+        for _, to in groups[i:]:
+            digits = "".join(_DIGITS.findall(text[a:to]))
+            if 13 <= len(digits) <= 19 and to - a < len(digits) + len(groups):
+                if b - a >= 4 and _luhn(digits):
+                    found.append((a, to, "card"))
+        if found:
+            return found[-1]
+    for a, _ in groups:
+        phone = _PHONE_ALONE.match(text, a)
+        if phone and (to := _phone_end(text, *phone.span())):
+            return a, to, "phone"
+    if [b - a for a, b in groups[:4]] == [4] * 4:
+        return start, groups[3][1], "card"
+    whole = [at for at, v in _ends(text, start, end) if 13 <= len(v) <= 19]
+    return (start, whole[-1], "card") if whole else None
+
+
+def _phone_end(text: str, start: int, end: int) -> int | None:
+    """The longest end that has as many digits as a number of its country or, with a leading 0, of any country."""
+    ends = [(at, v) for at, v in _ends(text, start, end) if v.isdigit()]
+    international = next((p for p in ("+", "00") if text.startswith(p, start)), None)
+    if international:
+        ends = [(at, v.removeprefix(international)) for at, v in ends]
+        digits = ends[-1][1] if ends else ""
+        code = next((digits[:n] for n in (1, 2, 3) if digits[:n] in NATIONAL_DIGITS), None)
+        least, most = NATIONAL_DIGITS[code] if code else (7, 15)
+        # a trunk 0 may stand after the country code
+        fits = [at for at, v in ends if least <= len(v[len(code or "") :].removeprefix("0")) <= most]
+        if fits:
+            return fits[-1]
+        if international == "+":
+            return None if len(digits) < 7 and re.search(r"[ .-]\d(?!\d)", text[start:end]) else end
+    if text[start] == "0":
+        pairs = re.compile(r"0\d(?:[ .-]\d\d){4}(?!\d)").match(text, start)
+        fits = [pairs.end()] if pairs else [at for at, v in ends if 9 <= len(v) <= 11]
+        return fits[-1] if fits else None
+    return end
+
+
 def _is_name(word: str) -> bool:
     return word[:1].isupper() and word[1:2].islower()
 
 
 def find(text: str) -> list[tuple[int, int, str, str]]:
     """``(start, end, kind, canonical form)`` of every entity, left to right."""
-    out, families = [], set()
-    for m in _PATTERN.finditer(text):
-        kind = m.lastgroup
+    out, families, at = [], set(), 0
+    while m := _PATTERN.search(text, at):
+        kind, at = m.lastgroup, m.end()
         if m.group("given"):
             a, b = m.span("given")
             out.append((a, b, "given", m.group("given")))
@@ -99,10 +193,25 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
                 out.append((*m.span("titled"), "family", m.group("titled").casefold()))
                 families.add(m.group("titled"))
         else:
-            value = m.group(kind)
-            if kind == "iban" and not _iban_ok(value.replace(" ", "")):
-                continue
-            out.append((*m.span(kind), kind, canonical(kind, value)))
+            kind = next(k for k in KINDS if m.groupdict().get(k))
+            a, b = m.span(kind)
+            if kind == "iban":
+                b = _iban_end(text, a, b)
+                if b is None:  # another IBAN may begin inside the run
+                    again = _IBAN_START.search(text, a + 1, at)
+                    at = again.start() if again else at
+                    continue
+            elif kind == "card":
+                span = _card_span(text, a, b)
+                if span is None:
+                    continue
+                a, b, kind = span
+            elif kind == "phone":
+                b = _phone_end(text, a, b)
+                if b is None:
+                    continue
+            at = b if kind in ("iban", "card", "phone") else at
+            out.append((a, b, kind, canonical(kind, text[a:b])))
     if families:  # later or earlier mentions by family name alone
         starts, ends = [a for a, *_ in out], [b for _, b, *_ in out]  # in order, without overlaps
         again = re.compile(r"\b(?:" + "|".join(sorted(map(re.escape, families), key=len, reverse=True)) + r")\b")
@@ -196,7 +305,9 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
         return f"{value[:2]}{98 - rest:02d}{body}"
     if kind == "phone":
         country, _, rest = value.rpartition(" ")
-        return f"{country} {draw.like(rest)}" if country else draw.like(rest)
+        trunk = "0" * rest.startswith("0")  # a national number keeps its leading 0
+        rest = trunk + draw.like(rest[len(trunk) :])
+        return f"{country} {rest}" if country else rest
     if kind == "secret":
         hexadecimal = re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", value)
         if hexadecimal:

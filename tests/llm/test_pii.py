@@ -81,3 +81,37 @@ def test_long_runs_take_linear_time():
 
 def test_empty_table(spark):
     assert pii.replace_personal_data(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def entities(text):
+    return [(text[a:b], kind) for a, b, kind, _ in pii.find(text)]
+
+
+@pytest.mark.parametrize("iban", ["ES91 2100 0418 4502 0005 1332", "ES9121000418450200051332", "AT611904300234573201",
+                                  "DE89 3704 0044 0532 0130 00", "NO93 8601 1117 947"])
+@pytest.mark.parametrize("after", ["", " BIC", " 2024", ", x", " AB"])
+def test_iban_ends_before_the_next_token(iban, after):
+    assert entities("to " + iban + after) == [(iban, "iban")]
+
+
+def test_iban_after_a_token_that_looks_like_one():
+    assert entities("XX12 3456 ES91 2100 0418 4502 0005 1332") == [("ES91 2100 0418 4502 0005 1332", "iban")]
+    assert entities("DE89 3704 0044 0532 0130 01") == []
+
+
+@pytest.mark.parametrize("phone", ["+33 6 12 34 56 78", "06 12 34 56 78", "612 345 678", "030 1234567", "555.123.4567",
+                                   "+49 30 1234567", "020 7946 0958", "0044 20 7946 0958", "+1 555 123 4567"])
+@pytest.mark.parametrize("before, after", [("", ""), ("call ", " 2024"), ("call ", ", 12"), ("(", ")")])
+def test_phones_of_several_countries(phone, before, after):
+    assert (phone, "phone") in entities(before + phone + after)
+
+
+@pytest.mark.parametrize("card", ["4929348385146306", "4111 1111 1111 1111", "3782 822463 10005", "4111-1111-1111-1111"])
+@pytest.mark.parametrize("before, after", [("", " 123"), ("12 ", ""), ("no ", " 2024"), ("", " 4111111111111111"), ("", "")])
+def test_cards_without_the_numbers_beside_them(card, before, after):
+    assert (card, "card") in entities(before + card + after)
+    assert ("123-45-6789", "ssn") in entities(card + " 123-45-6789")
+
+
+def test_numbers_that_are_no_phones():
+    assert entities("Version 1.2.3, 12:30, 2024-01-02, 01-02-2024, +1 2 3, 1.234.567.890, 10 000 000") == []
