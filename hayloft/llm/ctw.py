@@ -12,13 +12,14 @@ A text's score depends on its ``depth + 1``-byte grams alone, so Spark moves gra
 not positions:
 
 1. documents are dealt into groups of about ``GROUP_BYTES`` of text; each group
-   lists its distinct grams and tokens with their training counts;
-2. counts are summed over the corpus and the trees are built per bundle of
-   contexts that share their two latest bytes; only the top two levels, at most
-   65,535 nodes whatever the corpus, pass through the driver;
-3. each group joins the probabilities of its own grams and tokens and scores
+   lists its distinct grams and tokens with their training counts, the grams as
+   one packed list per bundle of contexts that share their two latest bytes;
+2. counts are summed and the trees are built per bundle; only the top two levels,
+   at most 65,535 nodes whatever the corpus, pass through the driver;
+3. each group gets the probabilities of its own grams and tokens and scores
    its documents.
 
+Grams are packed as zstd over the byte planes of the differences of sorted keys.
 Tokens go by a 64-bit hash (among 10**9 distinct tokens some 0.03 pairs would share one).
 """
 
@@ -26,15 +27,18 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hayloft.llm import words as W
 from hayloft.llm.tables import stored, text_key
 
-DEPTH = 4
+DEPTH = 6
 GROUP_BYTES = 20_000_000
 BUNDLES = 128
+MERGE_GRAMS = 1 << 21  # listed grams that wait to be merged in a bundle
+LOG_UNIT = 2.0**-40  # logs travel as multiples of it: less than 5e-13 off for a byte
 END = 0  # the end token's key, the hash of no bytes
 
 _HALF = np.log(0.5)
@@ -156,8 +160,25 @@ def _token_hashes(s: W.Slice) -> tuple[np.ndarray, W.Words]:
     return W.signed(W.word_hashes(s.data, words)), words
 
 
+def _bundle_of(grams: np.ndarray) -> np.ndarray:
+    """The bundle of each gram, by the two latest bytes of its context."""
+    return (W.mix((grams >> (8 * (DEPTH - 1))).astype(np.uint64)) % np.uint64(BUNDLES)).astype(np.int32)
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """64-bit values as zstd over their byte planes."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8).T
+    return len(values).to_bytes(8, "little") + pa.Codec("zstd", 1).compress(planes.tobytes(), asbytes=True)
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    n = int.from_bytes(packed[:8], "little")
+    planes = pa.Codec("zstd").decompress(packed[8:], decompressed_size=8 * n, asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, n).T).view(np.int64).reshape(n)
+
+
 def _list_group(table: pa.Table) -> pa.Table:
-    """Distinct grams and tokens of a group of documents with their training counts."""
+    """Distinct grams, packed by bundle, and tokens of a group of documents with their training counts."""
     found = {False: [(np.zeros(0, np.int64), np.zeros(0))], True: [(np.zeros(0, np.int64), np.zeros(0))]}
     held = table.column("held_out").to_numpy()
     for s in W.slices(table.column("text")):
@@ -172,12 +193,19 @@ def _list_group(table: pa.Table) -> pa.Table:
                 found[kind] = [_merge(parts)]
     (grams, n_grams), (tokens, n_tokens) = _merge(found[False]), _merge(found[True])
     gid = table.column("gid")[0].as_py()
+    bundles = _bundle_of(grams)
+    order = np.argsort(bundles, kind="stable")  # within a bundle the grams stay sorted
+    own, starts = np.unique(bundles[order], return_index=True)
+    lists = [(grams[at], n_grams[at]) for at in np.split(order, starts[1:])] if len(own) else []
+    n, none = len(tokens), len(own)
     return pa.table(
         {
-            "gid": pa.array(np.full(len(grams) + len(tokens), gid, np.int32)),
-            "token": pa.array(np.repeat([False, True], [len(grams), len(tokens)])),
-            "key": pa.array(np.concatenate([grams, tokens])),
-            "n": pa.array(np.concatenate([n_grams, n_tokens]).astype(np.int64)),
+            "gid": pa.array(np.full(none + n, gid, np.int32)),
+            "bundle": pa.concat_arrays([pa.array(own.astype(np.int32)), pa.nulls(n, pa.int32())]),
+            "grams": pa.array([_packed(np.diff(g, prepend=0)) for g, _ in lists] + [None] * n, pa.binary()),
+            "counts": pa.array([_packed(c.astype(np.int64)) for _, c in lists] + [None] * n, pa.binary()),
+            "key": pa.concat_arrays([pa.nulls(none, pa.int64()), pa.array(tokens)]),
+            "n": pa.concat_arrays([pa.nulls(none, pa.int64()), pa.array(n_tokens.astype(np.int64))]),
         }
     )
 
@@ -186,14 +214,15 @@ def _score_group(total: int, distinct: int):
     """Score a group's documents with the looked-up values of its grams and tokens."""
 
     def run(table: pa.Table, looked_up: pa.Table) -> pa.Table:
-        is_token = looked_up.column("token").to_numpy()
-        keys, values = looked_up.column("key").to_numpy(), looked_up.column("value").to_numpy()
-        found = []
-        for kind in (False, True):
-            own, value = keys[is_token == kind], values[is_token == kind]
-            order = np.argsort(own)
-            found.append((own[order], value[order]))
-        (grams, logs), (tokens, counts) = found
+        lists = looked_up.filter(pc.is_valid(looked_up.column("grams")))
+        found = [
+            [np.zeros(0, np.int64), *(np.cumsum(_unpacked(g)) for g in lists.column("grams").to_pylist())],
+            [np.zeros(0), *(_unpacked(v) * LOG_UNIT for v in lists.column("logs").to_pylist())],
+        ]
+        of_tokens = looked_up.filter(pc.is_null(looked_up.column("grams")))
+        found = [(np.concatenate(found[0]), np.concatenate(found[1]))]
+        found.append((of_tokens.column("key").to_numpy(), of_tokens.column("value").to_numpy()))
+        (grams, logs), (tokens, counts) = ((own[at], value[at]) for own, value in found for at in (np.argsort(own),))
         known = counts > 0
         base = np.log10((counts + 0.5) / (total + 0.5 * (distinct + 1)))
         end = np.searchsorted(tokens, END)
@@ -226,9 +255,20 @@ def _score_group(total: int, distinct: int):
 
 
 # ------------------------------------------------------------ Arrow: the model
+def _bundle_counts(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct grams of a bundle and their counts over all groups, merged as they are unpacked."""
+    parts, waiting = [(np.zeros(0, np.int64), np.zeros(0))], 0
+    for grams, counts in zip(table.column("grams"), table.column("counts")):
+        parts.append((np.cumsum(_unpacked(grams.as_py())), _unpacked(counts.as_py())))
+        waiting += len(parts[-1][0])
+        if waiting > max(MERGE_GRAMS, len(parts[0][0])):
+            parts, waiting = [_merge(parts)], 0
+    return _merge(parts)
+
+
 def _top_nodes(table: pa.Table) -> pa.Table:
     """What one bundle's contexts add to the one-byte contexts above them."""
-    _, _, tops = _bundle_tree(table.column("gram").to_numpy(), table.column("n").to_numpy())
+    _, _, tops = _bundle_tree(*_bundle_counts(table))
     out = []
     for bit, (nodes, n0, n1, weighted) in enumerate(tops):
         up, n0, n1, weighted = _sum_by(_parent(nodes, bit), n0, n1, weighted)
@@ -238,10 +278,10 @@ def _top_nodes(table: pa.Table) -> pa.Table:
 
 
 def _gram_logs(top):
-    """log10 probability of the predicted byte of each gram of a bundle."""
+    """log10 probability of the predicted byte of each gram in the lists of a bundle."""
 
     def run(table: pa.Table) -> pa.Table:
-        keys, chance, _ = _bundle_tree(table.column("gram").to_numpy(), table.column("n").to_numpy())
+        keys, chance, _ = _bundle_tree(*_bundle_counts(table))
         logs = np.zeros(len(keys))
         for bit in range(8):
             p = chance[:, bit]
@@ -256,7 +296,9 @@ def _gram_logs(top):
                 kt = (np.where(one == 1, n1[at], n0[at]) + 0.5) / (n0[at] + n1[at] + 1.0)
                 p = stop[at] * kt + (1 - stop[at]) * p
             logs += np.log10(p)
-        return pa.table({"gram": pa.array(keys), "value": pa.array(logs)})
+        own = (np.cumsum(_unpacked(g.as_py())) for g in table.column("grams"))
+        found = [_packed(np.rint(logs[np.searchsorted(keys, g)] / LOG_UNIT).astype(np.int64)) for g in own]
+        return pa.table({"gid": table.column("gid"), "grams": table.column("grams"), "logs": pa.array(found, pa.binary())})
 
     return run
 
@@ -274,15 +316,14 @@ def _top_tree(rows) -> list:
     return out
 
 
-def model(counts: DataFrame) -> DataFrame:
-    """``gram, n`` -> ``gram, value``: the log10 probability of each gram's last byte after the bytes before it."""
-    bundled = counts.withColumn("bundle", F.pmod(F.xxhash64(F.shiftrightunsigned("gram", 8 * (DEPTH - 1))), F.lit(BUNDLES)))
+def model(lists: DataFrame) -> DataFrame:
+    """``gid, bundle, grams, counts`` -> ``gid, grams, logs``: the log10 probability of each gram's last byte after the bytes before it."""
     kinds = "bit int, node long, n0 double, n1 double, weighted double"
-    tops = bundled.groupBy("bundle").applyInArrow(_top_nodes, kinds)
+    tops = lists.groupBy("bundle").applyInArrow(_top_nodes, kinds)
     summed = tops.groupBy("bit", "node").agg(*(F.sum(c).alias(c) for c in ("n0", "n1", "weighted")))
     # one row per first bits of a byte and newest context byte: 255 * 256 at most
-    top = counts.sparkSession.sparkContext.broadcast(_top_tree(summed.collect()))
-    return bundled.groupBy("bundle").applyInArrow(_gram_logs(top), "gram long, value double")
+    top = lists.sparkSession.sparkContext.broadcast(_top_tree(summed.collect()))
+    return lists.groupBy("bundle").applyInArrow(_gram_logs(top), "gid int, grams binary, logs binary")
 
 
 def score_documents(
@@ -311,18 +352,16 @@ def score_documents(
     dealt = base.withColumn("gid", F.pmod(F.xxhash64("id", "tkey"), F.lit(groups)).cast("int"))
     listed = stored(
         dealt.select("gid", "text", "held_out").groupBy("gid").applyInArrow(
-            _list_group, "gid int, token boolean, key long, n long"
+            _list_group, "gid int, bundle int, grams binary, counts binary, key long, n long"
         ),
         "ctw-listed",
     )
-    counts = listed.groupBy("token", "key").agg(F.sum("n").alias("n"))
-    counts = stored(counts, "ctw-counts")
-    of_tokens = counts.where("token").select("token", "key", F.col("n").cast("double").alias("value"))
-    of_grams = model(counts.where("NOT token").select(F.col("key").alias("gram"), "n")).select(
-        F.lit(False).alias("token"), F.col("gram").alias("key"), "value"
-    )
+    listed_tokens = listed.where("bundle IS NULL").select("gid", "key", "n")
+    of_tokens = listed_tokens.groupBy("key").agg(F.sum("n").cast("double").alias("value"))
+    of_tokens = stored(of_tokens, "ctw-counts")
+    of_grams = model(listed.where("bundle IS NOT NULL").select("gid", "bundle", "grams", "counts"))
     size = of_tokens.agg(F.sum("value").alias("total"), F.sum((F.col("value") > 0).cast("long")).alias("distinct")).first()
-    looked_up = listed.select("gid", "token", "key").join(of_tokens.unionByName(of_grams), ["token", "key"])
+    looked_up = of_grams.unionByName(listed_tokens.select("gid", "key").join(of_tokens, "key"), allowMissingColumns=True)
     id_type = docs.schema[id_col].dataType.simpleString()
     scored = (
         dealt.select("id", "text", "held_out", "gid")

@@ -120,3 +120,21 @@ def test_empty_table(spark):
     only = spark.createDataFrame([(1, "ab")], "doc_id long, text string")
     r = ctw.score_documents(only, F.lit(True)).first()
     assert r.score == pytest.approx(16 * math.log10(0.5)) and r.train_tokens == 0
+
+
+def test_learns_what_follows_five_bytes(spark):
+    # the byte after "-sam" depends on the byte before it, the fifth back
+    assert ctw.DEPTH >= 5
+    train = [(i, "a-samx b-samy ", False) for i in range(40)]
+    df = spark.createDataFrame([*train, (100, "a-samx", True), (101, "a-samy", True)], "doc_id long, text string, h boolean")
+    score = {r.doc_id: r.score for r in ctw.score_documents(df, F.col("h")).where("held_out").collect()}
+    assert score[100] - score[101] > 1.0  # five bytes tell x from y; four ("-sam") leave them alike
+
+
+def test_packed_lists_come_back():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 1000):
+        grams = np.sort(rng.integers(0, 1 << 55, n))
+        assert np.array_equal(np.cumsum(ctw._unpacked(ctw._packed(np.diff(grams, prepend=0)))), grams)
+        counts = rng.integers(-(1 << 45), 1 << 45, n)
+        assert np.array_equal(ctw._unpacked(ctw._packed(counts)), counts)
