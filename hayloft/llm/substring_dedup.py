@@ -1,25 +1,26 @@
-"""Substring de-duplication by Relative Lempel-Ziv parsing against the corpus.
+"""Substring de-duplication by looking up blocks and windows of words in the corpus.
 
 The reference of a document is every document with a smaller id, held as
 indexed *blocks*. Blocks are cut by content: the anchor of a window of
 ``window`` words is the smallest-hashed run of ``ANCHOR_WORDS`` words in it, and
 a block is the stretch of windows that share one anchor. Two documents that
 share a window therefore own blocks with the same anchor, so looking an anchor
-up finds every reference block a factor could come from.
+up finds every reference block a copy could come from.
 
-The parse of one document is greedy from block to block:
+No greedy Relative Lempel-Ziv factor is extended; a window counts as copied exactly
+when it stands in an earlier document:
 
-* a block that is also, word for word, a block of an earlier document is one
-  whole factor;
+* a block that is also, word for word, a block of an earlier document is
+  copied whole;
 * a block whose anchor an earlier document has too, but in other surroundings,
-  is where a factor begins or ends. Its windows are looked up one by one among
-  the windows of all reference blocks of that anchor, which settles the factor
+  is where a copy begins or ends. Its windows are looked up one by one among
+  the windows of all reference blocks of that anchor, which settles the
   boundary exactly;
-* every other block holds literals.
+* every other block holds no copy.
 
-Adjacent factors join, so a span is a maximal run of copied windows. Only
-anchors (about 2 in 36 words) are shuffled; single windows only around factor
-boundaries.
+Adjacent copies join, from whatever sources, so a span is a maximal run of copied
+windows. Only anchors (about 2 in 36 words) are shuffled; single windows only around the
+boundaries of copies.
 """
 
 from __future__ import annotations
