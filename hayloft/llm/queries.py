@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hayloft.llm import chat, ctw, decontam, license_scan, mixing, pii, quality, sharding, simhash, substring_dedup
+from hayloft.llm import (
+    alignment,
+    chat,
+    ctw,
+    decontam,
+    jaccard,
+    license_scan,
+    mixing,
+    pii,
+    quality,
+    sharding,
+    simhash,
+    structure,
+    substring_dedup,
+)
 from hayloft.llm.tables import read, stored
 
 
@@ -106,6 +120,54 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """Conversation rows with the faults that ``crc32(conv_id:turn) % 20`` deals out."""
+    space = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat(space("conv_id"), F.lit(":"), space("turn")).cast("binary")) % 20
+    text = F.when(kind == 1, "").when(kind == 2, F.translate(space("text"), ".!?", "")).otherwise(space("text"))
+    times = F.when(kind == 0, 0).when(kind == 3, 2).otherwise(1)
+    return conversations.select(
+        "conv_id",
+        "turn",
+        F.when(kind == 4, "user").otherwise(space("role")).alias("role"),
+        text.alias("text"),
+        F.explode(F.array_repeat(F.lit(0), times)),
+    ).drop("col")
+
+
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = read(spark, sf_dir, "conversations")
+    report, turns = structure.repair(damaged(conversations))
+    line = F.transform("turns", lambda t: F.concat(t["role"], F.lit(":"), t["text"]))
+    pieces = turns.where(F.size("turns") > 0).select("conv", F.struct("chunk", F.array_join(line, "\n").alias("text")).alias("p"))
+    texts = pieces.groupBy("conv").agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list("p")), lambda p: p["text"]), "\n").alias("text")
+    )
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return (
+        conversations.select(F.struct("conv_id").alias("conv"))
+        .distinct()
+        .join(report, "conv", "left")
+        .join(texts, "conv", "left")
+        .select(
+            "conv.conv_id",
+            *counts,
+            F.coalesce("audit", F.lit("")).alias("audit"),
+            F.sha2(F.coalesce("text", F.lit("")), 256).alias("repaired_sha256"),
+        )
+    )
+
+
+def op12_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = jaccard.link_classes(read(spark, sf_dir, "documents"))
+    return classes.select("doc_id", "n_shingles", F.col("component").alias("component_id"), "n_links")
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+    return alignment.align_documents(read(spark, sf_dir, "documents")).select(*columns)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -119,5 +181,8 @@ QUERIES = {
         op8_simhash_near_dedup,
         op9_jump_hash_shards,
         op10_license_scan,
+        op11_structure_repair,
+        op12_ngram_jaccard,
+        op13_token_alignment,
     )
 }
