@@ -19,8 +19,9 @@ dimension row of it. The found values are joined back to the facts on
   reduced to one row per key and *first day it can apply to* (``max_by``,
   combined map-side). The scanned group is bounded by the date span, not by the
   data volume, so one window suffices.
-* TIMESTAMP fact times: the bucketed ``last_seen`` of
-  :mod:`hayloft.operators.ordered`.
+* TIMESTAMP fact times: the range-partitioned ``last_seen`` of
+  :mod:`hayloft.operators.ordered`. Probes and dimension rows are written to the
+  checkpoint folder when the join is declared.
 """
 
 from __future__ import annotations
@@ -33,8 +34,6 @@ from pyspark.sql.types import DateType
 
 from hayloft.operators import ordered
 
-DEFAULT_BUCKET_SECONDS = 7 * 86400
-
 
 def _payload(columns: Mapping[str, str], start_col: str, end_col: str, tie_break: Sequence[str]) -> Column:
     return F.struct(
@@ -63,8 +62,8 @@ def point_in_time_join(
     start_col: str = "start_time",
     end_col: str = "end_time",
     tie_break: Sequence[str] = (),
-    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
     one_per_time: bool = False,
+    parts: int | None = None,
 ) -> DataFrame:
     """Add dimension columns ``columns`` (``{dim_column: output_name}``) to ``fact``.
 
@@ -75,6 +74,8 @@ def point_in_time_join(
     ``one_per_time`` states that ``fact`` has one row per ``(keys, fact_time)``, as
     an aggregated fact has: its rows then take part in the scan themselves and
     are read once, where otherwise the distinct probes are joined back.
+    ``parts`` is the number of ranges that TIMESTAMP probes are dealt into (default:
+    Spark's number of shuffle partitions).
     """
     if bounds not in ("[)", "(]"):
         raise ValueError("bounds must be '[)' or '(]'")
@@ -96,7 +97,7 @@ def point_in_time_join(
 
     payload = _payload(columns, start_col, end_col, tie_break)
     scan = _scan_days if daily else _scan_times
-    seen = scan(probes, valid, [*keys, *device], payload, bounds, start_col, end_col, bucket_seconds)
+    seen = scan(probes, valid, [*keys, *device], payload, bounds, start_col, end_col, parts)
     t = F.col("_hl_t").cast("timestamp")
     inside = (t < F.col("_hl_seen.end")) if bounds == "[)" else (t <= F.col("_hl_seen.end"))
     latest = F.struct("_hl_seen.start", *[f"_hl_seen.tb{i}" for i in range(len(tie_break))])
@@ -122,7 +123,7 @@ def point_in_time_join(
     )
 
 
-def _scan_days(probes, dim, keys, payload, bounds, start_col, end_col, _bucket_seconds):
+def _scan_days(probes, dim, keys, payload, bounds, start_col, end_col, _parts):
     start = F.col(start_col).cast("timestamp")
     start_day = F.to_date(start)
     if bounds == "[)":
@@ -145,7 +146,7 @@ def _scan_days(probes, dim, keys, payload, bounds, start_col, end_col, _bucket_s
     return both.withColumn("_hl_seen", F.last("_hl_dim", ignorenulls=True).over(w)).where("_hl_rank = 1")
 
 
-def _scan_times(probes, dim, keys, payload, bounds, start_col, end_col, bucket_seconds):
+def _scan_times(probes, dim, keys, payload, bounds, start_col, _end_col, parts):
     # At equal times a "[)" dimension row is visible to the fact (start <= t),
     # a "(]" one is not (start < t): order the row kinds accordingly.
     dim_rank, fact_rank = (0, 1) if bounds == "[)" else (1, 0)
@@ -157,6 +158,6 @@ def _scan_times(probes, dim, keys, payload, bounds, start_col, end_col, bucket_s
     )
     probe_rows = probes.withColumn("_hl_rank", F.lit(fact_rank))
     both = probe_rows.unionByName(dim_rows, allowMissingColumns=True)
-    staged = ordered.with_partition_columns(both, keys, "_hl_t", bucket_seconds)
-    scanned = ordered.last_seen(staged, ["_hl_t", "_hl_rank", F.col("_hl_dim.end")], "_hl_dim", "_hl_seen")
+    order = ["_hl_t", "_hl_rank", F.col("_hl_dim.end")]
+    scanned = ordered.last_seen(ordered.dealt_by_range(both, keys, order, parts), order, "_hl_dim", "_hl_seen")
     return scanned.where(F.col("_hl_rank") == F.lit(fact_rank))

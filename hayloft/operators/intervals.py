@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from hayloft.functions.time import epoch_seconds
 
 DAY_SECONDS = 86400
+PIECES_AT_ONCE = 4096  # pieces of one interval that one array holds
 _UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": DAY_SECONDS, "week": 7 * DAY_SECONDS}
 
 
@@ -85,6 +86,7 @@ def split_intervals(
     step_seconds: int | str = DAY_SECONDS,
     *,
     pos_col: str | None = None,
+    spread: bool = False,
 ) -> DataFrame:
     """Cut ``[start, end)`` at boundaries that all rows share; one row per piece.
 
@@ -99,6 +101,11 @@ def split_intervals(
     given). Pieces of zero length are dropped. An open interval (``end``
     NULL) yields one piece from ``start`` with ``end`` NULL. Whole-day steps
     use calendar days, so pieces follow local midnights across DST changes.
+
+    An interval is cut in two levels, first into runs of ``PIECES_AT_ONCE`` pieces and
+    these into pieces, so no array grows with the length of an interval. With ``spread``
+    the runs are dealt out anew in between: a few very long intervals (a century
+    by hours) then fill all tasks, at the price of an exchange.
     """
     step_seconds = step_seconds_of(step_seconds)
     start, end = F.col(start_col), F.col(end_col)
@@ -121,9 +128,12 @@ def split_intervals(
         def bound(k):
             return F.timestamp_seconds(origin + k * step)
 
-    k_seq = F.sequence(first_k, F.greatest(F.coalesce(last_k, first_k), first_k))
-    pos = pos_col or "_hl_pos"
-    exploded = df.select("*", F.posexplode(k_seq).alias(pos, "_hl_k"))
+    upto = F.greatest(F.coalesce(last_k, first_k), first_k)
+    runs = df.select("*", F.explode(F.sequence(first_k, upto, F.lit(PIECES_AT_ONCE).cast("long"))).alias("_hl_run"))
+    if spread:
+        runs = runs.repartition(df.sparkSession.sparkContext.defaultParallelism, start_col, "_hl_run")
+    run_end = F.least(F.col("_hl_run") + F.lit(PIECES_AT_ONCE - 1), upto)
+    exploded = runs.select("*", F.explode(F.sequence(F.col("_hl_run"), run_end)).alias("_hl_k"))
     k = F.col("_hl_k")
     piece_start = F.greatest(start, bound(k))
     piece_end = F.least(bound(k + 1), end)
@@ -137,7 +147,7 @@ def split_intervals(
     )
     if pos_col:
         # renumber from 0 over the kept pieces
-        pieces = pieces.withColumn(pos, (k - first_k).cast("int"))
+        pieces = pieces.withColumn(pos_col, (k - first_k).cast("int"))
     out = [
         F.col("_hl_ps").alias(start_col) if c == start_col
         else F.col("_hl_pe").alias(end_col) if c == end_col
@@ -148,5 +158,5 @@ def split_intervals(
         *out,
         F.to_date("_hl_ps").alias("start_date"),
         F.to_date("_hl_pe").alias("end_date"),
-        *([F.col(pos)] if pos_col else []),
+        *([F.col(pos_col)] if pos_col else []),
     )

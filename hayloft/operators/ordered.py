@@ -2,15 +2,17 @@
 
 A plain ``Window.partitionBy(keys).orderBy(t)`` sends every row of one key to
 one task: a key holding a third of all rows becomes a third of the job in a
-single task. These helpers partition by ``(key, time bucket)`` instead, for every
-key alike, and repair the bucket edges from a small per-bucket summary:
+single task. Here the rows are dealt by ranges of ``(key, order)``, so that a busy
+key, and a busy week of it, falls into as many parts as its rows need; the last
+value is carried over the edges of the parts:
 
-1. in-bucket running ``last(ignorenulls)`` on ``(key, bucket)``;
-2. summary ``groupBy(key, bucket)`` (partial aggregation, one row per
-   non-empty bucket), then a window over the *summary* by key ordered by bucket
-   — a key has at most ``time span / bucket`` summary rows;
-3. equi-join of the summary back on ``(key, bucket)``; the big side is already
-   hash-partitioned on those columns by step 1, so only the summary moves.
+1. rows with the number of their part are written to the checkpoint folder, as
+   everything below must see the same parts, also after a lost executor;
+2. in-part running ``last(ignorenulls)`` on ``(key, part)``;
+3. summary ``groupBy(key, part)`` (partial aggregation, one row per key and
+   part), then a window over the *summary* by key ordered by part;
+4. equi-join of the summary back on ``(key, part)``; the big side is already
+   hash-partitioned on those columns by step 2, so only the summary moves.
 
 Keys are packed into one struct column so NULL keys group together (window
 semantics) while the join stays a plain equi-join on a non-null column.
@@ -25,17 +27,35 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hayloft.functions.time import time_bucket
+from hayloft.session import scratch_path
 
 KEY = "_hl_key"
 BUCKET = "_hl_bucket"
 NO_TIME = -(1 << 62)  # bucket of NULL times, before every other as NULLs sort first
 
 
+def _key(keys: Sequence[str]) -> Column:
+    return F.struct(*[F.col(k) for k in keys]) if keys else F.lit(0)
+
+
 def with_partition_columns(df: DataFrame, keys: Sequence[str], time_col: str, bucket_seconds: int) -> DataFrame:
-    """Add the packed key and the time bucket used by the scans."""
-    key = F.struct(*[F.col(k) for k in keys]) if keys else F.lit(0)
+    """Add the packed key and the time bucket used by the SCD2 scan."""
     bucket = F.coalesce(time_bucket(time_col, bucket_seconds), F.lit(NO_TIME))
-    return df.withColumns({KEY: key, BUCKET: bucket})
+    return df.withColumns({KEY: _key(keys), BUCKET: bucket})
+
+
+def dealt_by_range(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], parts: int | None = None) -> DataFrame:
+    """Add the packed key and, as bucket, the part of a range partitioning on ``(key, order)``.
+
+    Parts ascend with ``(key, order)`` and hold about equally many rows each.
+    """
+    spark = df.sparkSession
+    ranges = [F.col(KEY), *_order(order)]
+    dealt = df.withColumn(KEY, _key(keys)).repartitionByRange(*([parts] if parts else []), *ranges)
+    dealt = dealt.withColumn(BUCKET, F.spark_partition_id().cast("long"))
+    path = scratch_path(spark, "ranges")
+    dealt.write.parquet(path)
+    return spark.read.schema(dealt.schema).parquet(path)
 
 
 def _order(order: Sequence[str | Column]) -> list[Column]:

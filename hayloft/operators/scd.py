@@ -42,8 +42,11 @@ def scd2(
     All input columns are kept; existing ``end_time`` / ``duration_s`` are
     replaced in place.
 
-    Plan: every key takes the same way. Rows are shuffled once on ``(key, time
-    bucket)``; inside a bucket ``lag`` finds the change candidates (the bucket's
+    Plan: every key takes the same way. Of rows with the same key, time and
+    fingerprint only the first can be kept, so they are collapsed to it by a
+    combined ``min_by`` before anything is gathered: rows at one instant, and all
+    rows of a key without a time, are then as many as their different
+    fingerprints. What is left is shuffled on ``(key, time bucket)``; inside a bucket ``lag`` finds the change candidates (the bucket's
     first row and every change) and ``lead`` the next one. What a candidate
     between two others needs is then known. The first and the last candidate
     of each bucket, at most two rows per key and bucket, go through one window
@@ -61,9 +64,12 @@ def scd2(
         t,
         bucket_seconds,
     )
-    in_bucket = Window.partitionBy(KEY, BUCKET).orderBy(t, fp, tie)
+    first = F.min_by(F.struct(*[F.col(c) for c in df.columns if c != t]), tie).alias("_hl_row")
+    collapsed = staged.groupBy(KEY, BUCKET, t, fp).agg(first)
+    collapsed = collapsed.select(KEY, BUCKET, fp, *[F.col(c) if c == t else F.col("_hl_row")[c].alias(c) for c in df.columns])
+    in_bucket = Window.partitionBy(KEY, BUCKET).orderBy(t, fp)
     candidates = (
-        staged.withColumn("_hl_lag", F.lag(F.struct(fp)).over(in_bucket))
+        collapsed.withColumn("_hl_lag", F.lag(F.struct(fp)).over(in_bucket))
         .where(F.col("_hl_lag").isNull() | (F.col(fp) != F.col("_hl_lag")[fp]))
         .withColumn("_hl_next", F.lead(F.struct(F.col(t).alias("t"))).over(in_bucket))
         .withColumns({"_hl_first": F.col("_hl_lag").isNull(), "_hl_last": F.col("_hl_next").isNull()})

@@ -1,10 +1,7 @@
 """Registered queries over the given tables, each with an equivalent DuckDB SQL.
 
 Every query reads whole tables (no id subsets or row caps); the only ``LIMIT``
-is the top-k preview, where the limit is the feature. ``name_repair_keeps`` takes
-names of 40 characters, as its SQL does; ``name_repair_keeps_texts`` applies the
-same cases to the whole texts. Computed
-columns carry the same alias on both sides. Doubles that come out of sums of
+is the top-k preview, where the limit is the feature. Computed columns carry the same alias on both sides. Doubles that come out of sums of
 doubles are rounded (Spark's HALF_UP on the decimal value, emulated in SQL
 through a DECIMAL cast) because the summation order differs between engines.
 """
@@ -20,12 +17,14 @@ from pyspark.sql import functions as F
 from hayloft import schemas
 from hayloft.functions.names import make_mojibake, repair_mojibake
 from hayloft.operators import dedup, fill_days, pair_events, point_in_time_join, scd2, shred, split_intervals
+from hayloft.operators.shred import rejected
 from hayloft.plans import checks, gold, kpi, parsers, silver, standins
+from hayloft.plans.contract import constraint_findings
 from hayloft.functions.time import to_timestamp_columns
 from hayloft.session import scratch_path
 from hayloft.sources.calendar import calendar_of
 from hayloft.plans.medallion import run_layers
-from hayloft.sources.files import read_csv_messages, read_table, write_table
+from hayloft.sources.files import read_csv_messages, read_table, split_csv_messages, write_table
 from hayloft.streaming.ingest import ingest, with_lineage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -310,13 +309,8 @@ def q_name_repair(spark, sf):
     return docs.select("doc_id", repair_mojibake(make_mojibake("text")).alias("text"))
 
 
-def q_name_repair_keeps(spark, sf):
-    """Names that must stay: undamaged text, damage mixed with other scripts, and bytes that are no UTF-8."""
-    return _kept_names(standins.table(spark, sf, "documents"), F.substring("text", 1, 40))
-
-
 def q_name_repair_keeps_texts(spark, sf):
-    """The same cases over whole texts."""
+    """Texts that must stay: undamaged ones, damage mixed with other scripts, and bytes that are no UTF-8."""
     return _kept_names(standins.table(spark, sf, "documents"), F.col("text"))
 
 
@@ -447,7 +441,83 @@ def q_pipeline_medallion(spark, sf):
     return read_table(spark, f"{dirs['gold']}/feed_daily_fact", schemas.FEED_DAILY_FACT)
 
 
+def q_rejected_records(spark, sf):
+    """Delivered CSV with broken times and device numbers: what fits the layout, and the rest as rejects."""
+    event = F.col("event_id")
+    rows = standins.messages(spark, sf).select(
+        "farm_license", "device_type", F.when(event % 13 == 0, "x1").otherwise("1").alias("device_number"), "msg_type",
+        F.when(event % 11 == 0, "soon").otherwise(F.col("time").cast("string")).alias("time"), "data")
+    messages, rejects = split_csv_messages(spark, _bronze_csv(spark, sf, rows))
+    field = F.split("record", ",", 6)
+    good = messages.select(F.lit("message").alias("part"), "farm_license", "msg_type", "time")
+    bad = rejects.where(F.col("source_path").isNotNull() & F.col("processing_time").isNotNull()).select(
+        F.lit("rejected").alias("part"), field[0].alias("farm_license"), field[3].alias("msg_type"),
+        F.when(field[4] == "soon", "soon").otherwise(field[2]).alias("wrong"))
+    return good.unionByName(bad, allowMissingColumns=True)
+
+
+def q_rejected_payloads(spark, sf):
+    """Cut, mistyped, empty and missing payloads: every message is parsed or rejected."""
+    event = F.col("event_id") % 8
+    damage = F.when(event == 0, F.substring("data", 1, 5)).when(event == 1, '{"k": "many"}').when(event == 2, "")
+    msgs = standins.messages(spark, sf).withColumn("data", damage.when(event > 3, F.col("data")))
+    good = shred(msgs, "CLICK", "k INT", {"k": "k"}, malformed="drop").select(F.lit("parsed").alias("part"), "event_id", "k")
+    bad = rejected(msgs, "CLICK", "k INT").select(F.lit("rejected").alias("part"), "event_id", "data")
+    return good.unionByName(bad, allowMissingColumns=True)
+
+
+def q_table_rewrites(spark, sf):
+    """One partition replaced, then the whole table rewritten from itself without another."""
+    path = scratch_path(spark, "rewrites")
+    messages = standins.messages(spark, sf).select(*_BRONZE_COLS)
+    write_table(messages, path, partition_by=["msg_type"])
+    clicks = messages.where("msg_type = 'CLICK'").withColumn("device_number", F.lit(2))
+    write_table(clicks, path, partition_by=["msg_type"], mode="partitions")
+    write_table(read_table(spark, path).where("msg_type <> 'PURCHASE'"), path, partition_by=["msg_type"])
+    return read_table(spark, path).select("farm_license", "device_number", "msg_type", "time", "data")
+
+
+def q_written_counts(spark, sf):
+    """Rows counted by the writes themselves."""
+    counts = [(name, write_table(standins.table(spark, sf, name), scratch_path(spark, name))) for name in ("lineitem", "orders", "events")]
+    return spark.createDataFrame(counts, "table string, n_rows long")
+
+
+def q_reconcile_feed_days(spark, sf):
+    """A feed fact that lost days and has a farm that never loaded, held against the loads."""
+    loads = standins.activity(spark, sf)
+    fact = _feed_fact(spark, sf)
+    lost = fact.where("NOT (CAST(farm_license AS INT) % 3 = 0 AND day(date) = 13)")
+    added = fact.where("farm_license = '5'").withColumn("farm_license", F.lit("5x"))
+    stored = _stored(lost.unionByName(added), "damaged-fact")
+    return checks.reconcile_days(gold.FEED.observed_days(loads), stored, gold.FEED.keys, list(gold.FEED.measures))
+
+
+def q_contract_findings(spark, sf):
+    """NULLs in a required column and a key that names several rows."""
+    lines = standins.table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("order_key"), (F.col("l_linenumber") % 3).alias("nr"), F.when(F.col("l_tax") <= 0.07, F.col("l_tax")).alias("tax"))
+    return constraint_findings(lines, "order_key LONG NOT NULL, nr INT NOT NULL, tax DOUBLE NOT NULL", ["order_key", "nr"])
+
+
+def q_split_intervals_century(spark, sf):
+    """An interval of a century for each order status, cut by hours; summed up by year."""
+    orders = standins.table(spark, sf, "orders").groupBy("o_orderstatus").agg(F.min("o_orderdate").cast("timestamp").alias("since"))
+    spans = orders.withColumn("until", F.col("since") + F.expr("INTERVAL '36525 01:30:00' DAY TO SECOND"))
+    pieces = split_intervals(spans, "since", "until", "1 hours", spread=True)
+    seconds = F.unix_seconds("until") - F.unix_seconds("since")
+    return pieces.groupBy("o_orderstatus", F.year("since").alias("year")).agg(
+        F.count(F.lit(1)).alias("n_pieces"), F.sum(seconds).alias("seconds"))
+
+
 QUERIES: dict[str, Query] = {
+    "rejected_records": q_rejected_records,
+    "rejected_payloads": q_rejected_payloads,
+    "table_rewrites": q_table_rewrites,
+    "written_counts": q_written_counts,
+    "reconcile_feed_days": q_reconcile_feed_days,
+    "contract_findings": q_contract_findings,
+    "split_intervals_century": q_split_intervals_century,
     "shred_json": q_shred_json,
     "shred_load_done": q_shred_load_done,
     "shred_load_start": q_shred_load_start,
@@ -468,7 +538,6 @@ QUERIES: dict[str, Query] = {
     "ration_bins_distinct": q_ration_bins_distinct,
     "missing_days_null_key": q_missing_days_null_key,
     "kpi_farm_selected": q_kpi_farm_selected,
-    "name_repair_keeps": q_name_repair_keeps,
     "name_repair_keeps_texts": q_name_repair_keeps_texts,
     "interval_join_generic": q_interval_join_generic,
     "split_intervals_day": q_split_intervals_day,

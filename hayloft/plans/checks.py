@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hayloft.plans.contract import constraint_findings
+
 
 def row_counts(tables: Mapping[str, DataFrame], min_rows: int = 1) -> DataFrame:
     """``(table, n_rows, ok)`` with ``ok = n_rows > min_rows`` — one Spark job for all tables."""
@@ -39,17 +41,59 @@ def missing_days(df: DataFrame, date_col: str = "date", keys: Sequence[str] = ()
     return gaps.select(*keys, F.explode(missing).alias("date"))
 
 
+def reconcile_days(observed: DataFrame, fact: DataFrame, keys: Sequence[str], measures: Sequence[str], date_col: str = "date") -> DataFrame:
+    """Days on which the source and a dense fact differ: ``keys``, ``date``, ``finding``.
+
+    ``observed`` has a row for every ``keys`` and day that the source has data of. A day
+    of the fact counts as observed when a measure is there (filled days have none).
+    ``missing``: observed, but not in the fact; ``unobserved``: measured in the fact
+    without a source. Anti joins both ways; NULL keys are compared as values.
+    """
+    def days(df: DataFrame) -> DataFrame:
+        day = F.to_date(date_col).alias("date")
+        return df.select(F.struct(*[F.col(k) for k in keys], day).alias("_hl_day")).where("_hl_day.date IS NOT NULL").distinct()
+
+    measured = fact.where(F.coalesce(*[F.col(m).cast("string") for m in measures]).isNotNull())
+    seen, held = days(observed), days(measured)
+    missing = seen.join(held, "_hl_day", "left_anti").withColumn("finding", F.lit("missing"))
+    unobserved = held.join(seen, "_hl_day", "left_anti").withColumn("finding", F.lit("unobserved"))
+    return missing.unionByName(unobserved).select("_hl_day.*", "finding")
+
+
 class CheckFailed(Exception):
     """A quality check on the gold tables found something."""
 
 
-def check_gold(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]], min_rows: int = 1) -> None:
-    """Raise :class:`CheckFailed` unless every table has more than ``min_rows`` rows and no missing day."""
-    problems = [f"{r.table} has {r.n_rows} rows" for r in row_counts(tables, min_rows).where("NOT ok").collect()]
+def check_gold(
+    tables: Mapping[str, DataFrame],
+    keys: Mapping[str, Sequence[str]],
+    min_rows: int = 1,
+    *,
+    counts: Mapping[str, int] | None = None,
+    observed: Mapping[str, DataFrame] | None = None,
+    measures: Mapping[str, Sequence[str]] | None = None,
+    contracts: Mapping[str, str] | None = None,
+) -> None:
+    """Raise :class:`CheckFailed` unless every table passes:
+
+    * more than ``min_rows`` rows (``counts`` from the writes; counted here if not given);
+    * no missing day between the first and the last of an entity;
+    * the days of ``observed``, and no others, have ``measures`` (:func:`reconcile_days`);
+    * nothing that ``contracts`` forbid (NOT NULL, one row per key and day).
+    """
+    if counts is None:
+        counts = {r.table: r.n_rows for r in row_counts(tables, min_rows).collect()}
+    problems = [f"{name} has {n} rows" for name, n in counts.items() if name in tables and n <= min_rows]
     for name, df in tables.items():
         n = missing_days(df, keys=keys[name]).count()
         if n:
             problems.append(f"{name} lacks {n} days")
+        if observed and name in observed:
+            found = reconcile_days(observed[name], df, keys[name], measures[name]).groupBy("finding").count()
+            problems += [f"{name} has {r['count']} {r.finding} days" for r in found.orderBy("finding").collect()]
+        if contracts and name in contracts:
+            broken = constraint_findings(df, contracts[name], [*keys[name], "date"])
+            problems += [f"{name}: {r.constraint} broken by {r.n_rows} rows" for r in broken.collect()]
     if problems:
         raise CheckFailed("; ".join(problems))
 

@@ -4,18 +4,21 @@ from __future__ import annotations
 
 import logging
 import os
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from hayloft import schemas
 from hayloft.plans import checks, gold, silver
-from hayloft.plans.contract import Transformation, check_schema
+from hayloft.plans.contract import TableRun, Transformation, check_schema
 from hayloft.plans.parsers import MESSAGE_TABLES
-from hayloft.sources.files import DEFAULT_FORMAT, read_csv_messages, read_table, write_table
+from hayloft.sources.files import DEFAULT_FORMAT, RECORD, read_csv_messages, read_table, split_csv_messages, write_table
 
 log = logging.getLogger("hayloft")
 
 BRONZE_TABLE = "bronze_table"
+REJECTED_RECORDS, REJECTED_PAYLOADS = "rejected_records", "rejected_payloads"
 SILVER1_READ_SCHEMAS = {
     "silver_loading_activity": schemas.SILVER_LOADING_ACTIVITY,
     "silver_robot_config_dim": schemas.SILVER_ROBOT_CONFIG_DIM,
@@ -52,27 +55,59 @@ def gold_transformations() -> list[Transformation]:
     ]
 
 
-def load_bronze(spark: SparkSession, csv_path: str, bronze_dir: str, *, fmt: str = DEFAULT_FORMAT) -> str:
-    """CSV messages → bronze table, partitioned by message type."""
-    path = os.path.join(bronze_dir, BRONZE_TABLE)
-    write_table(read_csv_messages(spark, csv_path), path, partition_by=("msg_type",), fmt=fmt)
-    return path
+class LayerRun(dict):
+    """``{layer: directory}`` of a run; ``rows`` has the number of rows written, by table."""
+
+    def __init__(self, dirs: dict[str, str], runs: list[TableRun]):
+        super().__init__(dirs)
+        self.rows = {r.table: r.n_rows for r in runs}
 
 
-def bronze_to_silver0(spark: SparkSession, bronze_path: str, silver_dir: str, *, fmt: str = DEFAULT_FORMAT) -> list[str]:
+def load_bronze(spark: SparkSession, csv_path: str, bronze_dir: str, *, fmt: str = DEFAULT_FORMAT) -> list[TableRun]:
+    """CSV messages → bronze table, partitioned by message type.
+
+    Records that do not fit the layout go to a table of their own; they are counted
+    while bronze is written, and read again only if there are any.
+    """
+    path = os.path.join(bronze_dir, BRONZE_TABLE)
+    rejects = Observation()
+    rows = read_csv_messages(spark, csv_path, keep_record=True)
+    rows = rows.observe(rejects, F.count(RECORD).alias("rejects")).where(F.col(RECORD).isNull())
+    names = schemas.struct(schemas.BRONZE).fieldNames()
+    runs = [TableRun(BRONZE_TABLE, path, write_table(rows.select(*names), path, partition_by=("msg_type",), fmt=fmt))]
+    if rejects.get.get("rejects"):
+        path = os.path.join(bronze_dir, REJECTED_RECORDS)
+        runs.append(TableRun(REJECTED_RECORDS, path, write_table(split_csv_messages(spark, csv_path)[1], path, fmt=fmt)))
+    return runs
+
+
+def bronze_to_silver0(
+    spark: SparkSession, bronze_path: str, silver_dir: str, *, fmt: str = DEFAULT_FORMAT, rejects_dir: str | None = None
+) -> list[TableRun]:
     """One silver0 table per message type.
 
     Each table re-reads bronze with its own ``msg_type`` filter, which prunes
-    to one partition directory (no cache of the whole bronze table).
+    to one partition directory (no cache of the whole bronze table). Messages whose
+    payload does not fit go to a table of their own, partitioned by message type.
     """
-    paths = []
+    runs, bad = [], []
     for table in MESSAGE_TABLES:
         bronze = read_table(spark, bronze_path, schemas.BRONZE, fmt=fmt)
         path = os.path.join(silver_dir, table.result_table)
-        built = check_schema(table.build(bronze), table.schema_ddl, table.result_table)
-        write_table(built, path, partition_by=table.partition_columns, fmt=fmt)
-        paths.append(path)
-    return paths
+        rejects = Observation()
+        built = table.build(bronze, malformed="drop", counted=rejects)
+        check_schema(built, table.schema_ddl, table.result_table)
+        runs.append(TableRun(table.result_table, path, write_table(built, path, partition_by=table.partition_columns, fmt=fmt)))
+        if rejects.get.get("rejects"):
+            bad.append(table.rejects(bronze))
+    if bad:
+        path = os.path.join(rejects_dir or silver_dir, REJECTED_PAYLOADS)
+        found = reduce(DataFrame.unionByName, bad)
+        runs.append(TableRun(REJECTED_PAYLOADS, path, write_table(found, path, partition_by=("msg_type",), fmt=fmt)))
+    return runs
+
+
+FACTS = {"feed_daily_fact": gold.FEED, "ration_daily_fact": gold.RATION, "farm_daily_fact": gold.FARM}
 
 
 def run_layers(
@@ -81,22 +116,34 @@ def run_layers(
     warehouse: str,
     *,
     fmt: str = DEFAULT_FORMAT,
-) -> dict[str, str]:
-    """The full layered run with its checks; returns ``{layer: directory}``.
+) -> LayerRun:
+    """The full layered run with its checks; returns ``{layer: directory}`` and the rows written.
 
     Layers are coupled only through stored tables, so every step restarts
     from durable data (lineage cut at each table). The stored gold tables are
-    checked last; a finding raises :class:`hayloft.plans.checks.CheckFailed`.
+    checked last, against their contracts and against the days of the stored loads; a
+    finding raises :class:`hayloft.plans.checks.CheckFailed`.
     """
     dirs = {layer: os.path.join(warehouse, layer) for layer in ("bronze", "silver", "gold")}
-    bronze_path = load_bronze(spark, csv_path, dirs["bronze"], fmt=fmt)
-    bronze_to_silver0(spark, bronze_path, dirs["silver"], fmt=fmt)
-    for t in silver1_transformations():
-        t.run(spark, dirs["silver"], dirs["silver"], fmt=fmt)
-    for t in gold_transformations():
-        t.run(spark, dirs["silver"], dirs["gold"], fmt=fmt)
+    runs = load_bronze(spark, csv_path, dirs["bronze"], fmt=fmt)
+    runs += bronze_to_silver0(spark, runs[0].path, dirs["silver"], fmt=fmt, rejects_dir=dirs["bronze"])
+    runs += [t.run(spark, dirs["silver"], dirs["silver"], fmt=fmt) for t in silver1_transformations()]
+    runs += [t.run(spark, dirs["silver"], dirs["gold"], fmt=fmt) for t in gold_transformations()]
+    result = LayerRun(dirs, runs)
+    check_run(spark, result, fmt=fmt)
+    return result
+
+
+def check_run(spark: SparkSession, run: LayerRun, *, fmt: str = DEFAULT_FORMAT) -> None:
+    """The checks of a run on its stored gold tables."""
+    loads_schema = SILVER1_READ_SCHEMAS["silver_loading_activity"]
+    loads = read_table(spark, os.path.join(run["silver"], "silver_loading_activity"), loads_schema, fmt=fmt)
+    made = {t.result_table: t for t in gold_transformations()}
     checks.check_gold(
-        {t.result_table: read_table(spark, os.path.join(dirs["gold"], t.result_table), t.schema, fmt=fmt) for t in gold_transformations()},
-        {"feed_daily_fact": gold.FEED.keys, "ration_daily_fact": gold.RATION.keys, "farm_daily_fact": gold.FARM.keys},
+        {name: read_table(spark, os.path.join(run["gold"], name), t.schema, fmt=fmt) for name, t in made.items()},
+        {name: fact.keys for name, fact in FACTS.items()},
+        counts={name: n for name, n in run.rows.items() if name in FACTS},
+        observed={name: fact.observed_days(loads) for name, fact in FACTS.items()},
+        measures={name: list(fact.measures) for name, fact in FACTS.items()},
+        contracts={name: t.schema_ddl for name, t in made.items()},
     )
-    return dirs

@@ -475,6 +475,45 @@ s AS (SELECT farm_license, feed_id, CAST(unnest(generate_series(CAST(lo AS TIMES
                                                                  INTERVAL 1 DAY)) AS DATE) AS date FROM b)
 SELECT s.* FROM s ANTI JOIN fd ON s.farm_license = fd.farm_license AND s.feed_id = fd.feed_id AND s.date = fd.date""",
 
+    "rejected_records": """
+SELECT CASE WHEN event_id % 11 = 0 OR event_id % 13 = 0 THEN 'rejected' ELSE 'message' END AS part,
+       CAST(user_id AS VARCHAR) AS farm_license, upper(event_type) AS msg_type,
+       CASE WHEN event_id % 11 <> 0 AND event_id % 13 <> 0 THEN ts END AS time,
+       CASE WHEN event_id % 11 = 0 THEN 'soon' WHEN event_id % 13 = 0 THEN 'x1' END AS wrong
+FROM events""",
+
+    "rejected_payloads": """
+SELECT CASE WHEN event_id % 8 < 3 THEN 'rejected' ELSE 'parsed' END AS part, event_id,
+       CASE WHEN event_id % 8 > 3 THEN CAST(json_extract_string(props, '$.k') AS INTEGER) END AS k,
+       CASE event_id % 8 WHEN 0 THEN props[1:5] WHEN 1 THEN '{"k": "many"}' WHEN 2 THEN '' END AS data
+FROM events WHERE upper(event_type) = 'CLICK'""",
+
+    "table_rewrites": """
+SELECT CAST(user_id AS VARCHAR) AS farm_license, CASE WHEN upper(event_type) = 'CLICK' THEN 2 ELSE 1 END AS device_number,
+       upper(event_type) AS msg_type, ts AS time, props AS data
+FROM events WHERE upper(event_type) <> 'PURCHASE'""",
+
+    "written_counts": """
+SELECT 'lineitem' AS "table", count(*) AS n_rows FROM lineitem
+UNION ALL SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'events', count(*) FROM events""",
+
+    "reconcile_feed_days": f"""WITH {FEEDS},{FEED_MEASURES_SQL}
+SELECT farm_license, feed_id, date, 'missing' AS finding FROM fd WHERE CAST(farm_license AS INTEGER) % 3 = 0 AND day(date) = 13
+UNION ALL SELECT '5x', feed_id, date, 'unobserved' FROM fd WHERE farm_license = '5'""",
+
+    "contract_findings": """
+SELECT 'tax NOT NULL' AS "constraint", count(*) AS n_rows FROM lineitem WHERE NOT coalesce(l_tax <= 0.07, false) HAVING count(*) > 0
+UNION ALL SELECT 'unique order_key, nr', CAST(sum(n) AS BIGINT)
+FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber % 3) WHERE n > 1 HAVING count(*) > 0""",
+
+    "split_intervals_century": """WITH spans AS (
+  SELECT o_orderstatus, CAST(min(o_orderdate) AS TIMESTAMP) AS since,
+         CAST(min(o_orderdate) AS TIMESTAMP) + INTERVAL 36525 DAY + INTERVAL 90 MINUTE AS until FROM orders GROUP BY o_orderstatus),
+hours AS (SELECT o_orderstatus, until, unnest(generate_series(since, until - INTERVAL 1 SECOND, INTERVAL 1 HOUR)) AS a FROM spans)
+SELECT o_orderstatus, CAST(year(a) AS INTEGER) AS year, count(*) AS n_pieces,
+       CAST(sum(epoch(least(a + INTERVAL 1 HOUR, until)) - epoch(a)) AS BIGINT) AS seconds
+FROM hours GROUP BY o_orderstatus, year(a)""",
+
     "row_count_check": """
 SELECT 'lineitem' AS "table", count(*) AS n_rows, count(*) > 1 AS ok FROM lineitem
 UNION ALL SELECT 'orders', count(*), count(*) > 1 FROM orders
@@ -491,15 +530,6 @@ SELECT farm_license, date, CAST(coalesce(sum(nr_schneider_freq_control), 0) AS B
 FROM farmfact WHERE farm_license IN ('1', '3', '7', 'nowhere') AND date IS NOT NULL
 GROUP BY farm_license, date ORDER BY farm_license, date""",
 
-    "name_repair_keeps": """
-SELECT doc_id, kind, CASE kind
-    WHEN 'plain' THEN n WHEN 'not utf-8' THEN n || 'éx' WHEN 'damaged' THEN n || 'ï'
-    ELSE array_to_string(list_transform(string_split(n, ''), lambda c : CASE
-           WHEN ord(c) < 128 THEN c
-           WHEN ord(c) < 2048 THEN chr(192 + ord(c) // 64) || chr(128 + ord(c) % 64)
-           ELSE chr(224 + ord(c) // 4096) || chr(128 + ord(c) // 64 % 64) || chr(128 + ord(c) % 64) END), '') || '日' END AS name
-FROM (SELECT doc_id, substr(text, 1, 40) AS n FROM documents), (VALUES ('plain'), ('mixed'), ('not utf-8'), ('damaged')) AS k(kind)""",
-
     "name_repair_keeps_texts": """
 SELECT doc_id, kind, CASE kind
     WHEN 'plain' THEN n WHEN 'not utf-8' THEN n || 'éx' WHEN 'damaged' THEN n || 'ï'

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from hayloft import schemas
 
 DEFAULT_FORMAT = "parquet"
+RECORD = "_corrupt_record"  # the text of a CSV row that does not fit its schema
 
 
 def read_csv_messages(
@@ -20,26 +22,50 @@ def read_csv_messages(
     schema: StructType | str = schemas.BRONZE,
     *,
     escape: str = '"',
+    keep_record: bool = False,
 ) -> DataFrame:
     """Typed CSV scan (header row, ``"`` as escape, explicit schema).
 
     Columns of the schema that the file lacks come out NULL; ``source_path``
     and ``processing_time`` are then set as lineage columns (file path from
     the scan's ``_metadata``; ingest time from ``current_timestamp``).
+
+    A value that does not fit its type comes out NULL. With ``keep_record`` the
+    column ``_corrupt_record`` holds the text of such rows, and of rows with more or
+    fewer values than columns, and is NULL for all others. The scan judges a row
+    by the columns that are read: use :func:`split_csv_messages` to have all judged.
     """
     struct = schema if isinstance(schema, StructType) else schemas.struct(schema)
-    df = (
-        spark.read.option("header", True)
-        .option("escape", escape)
-        .option("mode", "PERMISSIVE")
-        .schema(struct)
-        .csv(path)
-    )
+    reader = spark.read.option("header", True).option("escape", escape).option("mode", "PERMISSIVE")
+    if keep_record:
+        missing = {"source_path", "processing_time"}  # lineage, in no file
+        struct = StructType([f for f in struct.fields if f.name not in missing]).add(RECORD, "string")
+        reader = reader.option("columnNameOfCorruptRecord", RECORD)
+    df = reader.schema(struct).csv(path)
     return df.withColumn("source_path", F.col("_metadata.file_path")).withColumn(
         "processing_time", F.current_timestamp()
     )
 
 
+def split_csv_messages(
+    spark: SparkSession, path: str, schema: StructType | str = schemas.BRONZE, *, escape: str = '"'
+) -> tuple[DataFrame, DataFrame]:
+    """``(messages, rejects)``: rows that fit the schema, and the others as they were delivered.
+
+    Rejects keep the record's text, its file and the ingest time. Every row of the
+    files is in exactly one of the two.
+    """
+    rows = read_csv_messages(spark, path, schema, escape=escape, keep_record=True)
+    names = (schema if isinstance(schema, StructType) else schemas.struct(schema)).fieldNames()
+    # names every column, as the scan judges a row by the columns that are read
+    own = [c for c in names if c not in ("source_path", "processing_time")]
+    values = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in own]
+    broken = F.when(F.col(RECORD).isNotNull(), F.concat(RECORD, *values))
+    messages = rows.where(broken.isNull()).select(*names)
+    rejects = rows.where(broken.isNotNull())
+    return messages, rejects.select(F.col(RECORD).alias("record"), "source_path", "processing_time")
+
+
 def read_table(
     spark: SparkSession,
     path: str,
@@ -54,6 +80,7 @@ def read_table(
     partition values come back as the strings they were stored as, whatever
     the session infers elsewhere (a license ``007`` must not become 7).
     """
+    recover_table(spark, path)
     reader = spark.read.format(fmt)
     if schema is None:
         option = "spark.sql.sources.partitionColumnTypeInference.enabled"
@@ -83,6 +110,41 @@ def refuse_batch_table(spark: SparkSession, path: str) -> None:
         raise ValueError(f"{path} holds a batch-written table; give the stream a path of its own")
 
 
+def _sibling(path: str, kind: str, suffix: str) -> str:
+    """A hidden folder beside ``path``, so that renames stay within its file system."""
+    parent, name = os.path.split(path.rstrip("/"))
+    return os.path.join(parent, f".{name}.{kind}-{suffix}")
+
+
+def recover_table(spark: SparkSession, path: str) -> None:
+    """Finish a swap of tables that was interrupted between its two renames: the earlier table comes back."""
+    if _exists(spark, path):
+        return
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(_sibling(path, "earlier", "*"))
+    fs = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = fs.globStatus(pattern) or []
+    if found:
+        latest = max(found, key=lambda f: f.getModificationTime())
+        fs.rename(latest.getPath(), spark._jvm.org.apache.hadoop.fs.Path(path))
+
+
+def _swap_in(spark: SparkSession, staged: str, path: str) -> None:
+    """The staged folder takes the place of the table at ``path``."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path
+    target, new = jvm_path(path), jvm_path(staged)
+    earlier = jvm_path(_sibling(path, "earlier", uuid.uuid4().hex[:12]))
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    had = fs.exists(target)
+    if had and not fs.rename(target, earlier):
+        raise OSError(f"{path} cannot be moved aside")
+    if not fs.rename(new, target):
+        if had:
+            fs.rename(earlier, target)
+        raise OSError(f"{staged} cannot be moved to {path}")
+    if had:
+        fs.delete(earlier, True)
+
+
 def write_table(
     df: DataFrame,
     path: str,
@@ -91,8 +153,14 @@ def write_table(
     fmt: str = DEFAULT_FORMAT,
     mode: str = "overwrite",
     cluster: bool = True,
-) -> None:
-    """Write ``df`` (full overwrite by default), hive-partitioned by ``partition_by``.
+) -> int:
+    """Write ``df``, hive-partitioned by ``partition_by``; returns the number of rows written.
+
+    ``mode``: ``overwrite`` replaces the table; ``partitions`` replaces only those
+    partitions that ``df`` has rows of; any other is Spark's. A write that fails
+    leaves the table as it was: a replacement is written beside it and takes its
+    place when complete, and partitions are committed together at the end. So ``df``
+    may also read the table it replaces. Rows are counted while they are written.
 
     With ``cluster`` the rows are first rebalanced on the partition columns
     (``REBALANCE`` hint), so each task writes few partition directories
@@ -100,16 +168,29 @@ def write_table(
     splits a skewed value (one farm with a third of the rows) over several
     tasks and merges small ones.
     """
-    if has_stream_log(df.sparkSession, path):
+    spark = df.sparkSession
+    if has_stream_log(spark, path):
         raise ValueError(f"{path} is written by a stream; rows of a batch write would not be read back")
+    recover_table(spark, path)
     out = df
     partition_by = list(partition_by)
     if partition_by and cluster:
         out = out.hint("rebalance", *partition_by)
-    writer = out.write.format(fmt).mode(mode)
+    counted = Observation()
+    writer = out.observe(counted, F.count(F.lit(1)).alias("rows")).write.format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.save(path)
+    if mode == "partitions":
+        if not partition_by:
+            raise ValueError("only a partitioned table has partitions to replace")
+        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").save(path)
+    elif mode == "overwrite":
+        staged = _sibling(path, "staged", uuid.uuid4().hex[:12])
+        writer.save(staged)
+        _swap_in(spark, staged, path)
+    else:
+        writer.mode(mode).save(path)
+    return int(counted.get.get("rows", 0))
 
 
 def load_inputs(

@@ -105,8 +105,8 @@ def test_timestamp_facts_match_brute_force_across_buckets(spark):
     fdf = spark.createDataFrame(facts, "farm string, t timestamp, fid int")
     ddf = spark.createDataFrame(dims, DIM_SCHEMA)
     for bounds in ("[)", "(]"):
-        for bucket in (600, 3600, 86400):
-            out = point_in_time_join(fdf, ddf, ["farm"], "t", {"name": "v"}, bounds=bounds, bucket_seconds=bucket)
+        for parts in (1, 7, 40):
+            out = point_in_time_join(fdf, ddf, ["farm"], "t", {"name": "v"}, bounds=bounds, parts=parts)
             assert sorted((r.fid, r.v) for r in out.collect()) == _brute(facts, dims, bounds)
 
 
@@ -161,7 +161,7 @@ def test_overlapping_devices_closed_period_falls_back_to_the_open_one(spark):
         assert [got[("f", x)] for x in days] == want
         assert out.count() == 2 * len(days) + 1
     times = facts.withColumn("date", F.col("date").cast("timestamp"))
-    out = point_in_time_join(times, dim, ["farm"], "date", {"name": "dim_name"}, tie_break=["device"], bucket_seconds=86400)
+    out = point_in_time_join(times, dim, ["farm"], "date", {"name": "dim_name"}, tie_break=["device"], parts=5)
     assert sorted((str(r.date)[:10], r.dim_name) for r in out.where("farm = 'f'").collect()) == sorted(
         zip(days * 2, ["dev1", "dev2", "dev1"] * 2))
 
@@ -180,3 +180,19 @@ def test_one_row_per_day_facts_give_the_same(spark):
             plain, once = (sorted(map(str, point_in_time_join(facts, some, ["farm"], "date", {"name": "v"}, bounds=bounds,
                                                               tie_break=tie, one_per_time=o).collect())) for o in (False, True))
             assert plain == once and len(once) == 32
+
+
+def test_a_busy_week_of_one_key_falls_into_many_parts(spark):
+    """A third of all rows belongs to one key, all within a week: no part holds much more than its share."""
+    from hayloft.operators import ordered
+
+    base = ts("2023-05-01")
+    hot = [("hot", base + dt.timedelta(seconds=i * 60)) for i in range(10_000)]
+    rest = [(f"k{i % 500}", base + dt.timedelta(hours=i)) for i in range(20_000)]
+    df = spark.createDataFrame(hot + rest, "k string, t timestamp")
+    dealt = ordered.dealt_by_range(df, ["k"], ["t"], 30)
+    sizes = [r["count"] for r in dealt.groupBy(ordered.BUCKET).count().collect()]
+    assert sum(sizes) == 30_000 and max(sizes) < 2000
+    assert dealt.where("k = 'hot'").select(ordered.BUCKET).distinct().count() >= 8
+    spans = dealt.where("k = 'hot'").groupBy(ordered.BUCKET).agg(F.min("t").alias("a"), F.max("t").alias("b")).orderBy(ordered.BUCKET).collect()
+    assert all(x.b < y.a for x, y in zip(spans, spans[1:]))

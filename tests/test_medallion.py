@@ -6,6 +6,7 @@ import os
 import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from hayloft import schemas
 from hayloft.plans import checks
@@ -98,3 +99,56 @@ def test_gold_tables(layers):
             "farm_daily_fact": ["farm_license"]}
     for name, df in g.items():
         assert checks.missing_days(df, keys=keys[name]).count() == 0
+
+
+def test_counts_come_from_the_writes(layers):
+    spark, _, dirs = layers
+    assert dirs.rows["bronze_table"] == len(MESSAGES) and dirs.rows["load_start"] == 2
+    for t in gold_transformations():
+        assert dirs.rows[t.result_table] == read_table(spark, os.path.join(dirs["gold"], t.result_table)).count()
+
+
+def test_rejects_are_kept_beside_the_layers(spark, tmp_path):
+    bad = [["F1", "robot", "first", "LOAD_DONE", "2023-01-01 08:10:00", "{}"], ["F1", "robot", 1, "LOAD_DONE", "2023-01-01 08:10:00", '{"rationId": 7']]
+    path = str(tmp_path / "m.csv")
+    with open(path, "w", newline="", encoding="utf-8") as fh:
+        w = csv.writer(fh)
+        w.writerow(["farm_license", "device_type", "device_number", "msg_type", "time", "data"])
+        w.writerows(MESSAGES + bad)
+    run = run_layers(spark, path, str(tmp_path / "warehouse"))
+    assert (run.rows["bronze_table"], run.rows["rejected_records"], run.rows["rejected_payloads"]) == (len(MESSAGES) + 1, 1, 1)
+    records = read_table(spark, os.path.join(run["bronze"], "rejected_records")).collect()
+    assert [r.record for r in records] == ["F1,robot,first,LOAD_DONE,2023-01-01 08:10:00,{}"]
+    payloads = read_table(spark, os.path.join(run["bronze"], "rejected_payloads")).collect()
+    assert [(r.msg_type, r.data) for r in payloads] == [("LOAD_DONE", '{"rationId": 7')]
+
+
+@pytest.mark.parametrize("change,finding", [
+    ("date <> DATE'2023-01-03'", "1 missing days"),  # an observed day at the end: no gap shows it
+    ("date <> DATE'2023-01-02'", "lacks 1 days"),  # a filled day
+])
+def test_a_fact_that_lost_a_day_fails_the_run(spark, layers, tmp_path, change, finding):
+    from hayloft.plans.medallion import LayerRun, check_run
+    from hayloft.sources.files import write_table
+
+    _, _, dirs = layers
+    for t in gold_transformations():
+        fact = read_table(spark, os.path.join(dirs["gold"], t.result_table), t.schema_ddl)
+        write_table(fact.where(change) if t.result_table == "farm_daily_fact" else fact, str(tmp_path / t.result_table), partition_by=["farm_license"])
+    run = LayerRun({**dirs, "gold": str(tmp_path)}, [])
+    run.rows = dirs.rows
+    with pytest.raises(checks.CheckFailed, match=f"farm_daily_fact .*{finding}"):
+        check_run(spark, run)
+
+
+def test_duplicate_keys_and_nulls_break_the_contract(spark, layers):
+    from hayloft.plans.contract import constraint_findings
+
+    _, _, dirs = layers
+    t = next(t for t in gold_transformations() if t.result_table == "farm_daily_fact")
+    fact = read_table(spark, os.path.join(dirs["gold"], t.result_table), t.schema_ddl)
+    keys = ["farm_license", "date"]
+    assert constraint_findings(fact, t.schema, keys).collect() == []
+    twice = fact.unionByName(fact.limit(1)).unionByName(fact.limit(1).withColumn("date", F.lit(None).cast("date")))
+    found = {r.constraint: r.n_rows for r in constraint_findings(twice, t.schema, keys).collect()}
+    assert found == {"date NOT NULL": 1, "unique farm_license, date": 2}

@@ -8,7 +8,7 @@ import __spark_entry__ as contract
 
 from hayloft.plans.catalog import QUERIES
 
-EAGER = {"pipeline_medallion", "csv_scan_lineage", "bronze_stream_ingest"}
+EAGER = {"written_counts", "pipeline_medallion", "csv_scan_lineage", "bronze_stream_ingest"}
 SF = "/root/testdata/sf0.001"
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
 

@@ -137,3 +137,16 @@ def test_scd2_validity_is_contiguous(spark):
     for (k1, _, e1), (k2, s2, _) in zip(got, got[1:]):
         if k1 == k2:
             assert e1 == s2
+
+
+def test_scd2_a_million_rows_at_one_instant_are_collapsed_before_the_window(spark):
+    """Also a million rows without a time: what reaches one task is a row per state."""
+    states = F.element_at(F.array(F.lit("A"), F.lit("B"), F.lit("C")), (F.col("id") % 3 + 1).cast("int"))
+    instant = F.when(F.col("id") % 2 == 0, F.lit("2023-01-01 05:00:00").cast("timestamp"))
+    df = spark.range(2_000_000).select(F.lit(1).alias("k"), instant.alias("time"), states.alias("v"), "id")
+    out = scd2(df, ["k"], ["v"])
+    got = sorted((str(r.start_time), r.v, str(r.end_time)) for r in out.collect())
+    at = "2023-01-01 05:00:00"
+    assert got == sorted([("None", "A", "None"), ("None", "B", "None"), ("None", "C", at), (at, "A", at), (at, "B", at), (at, "C", str(OPEN_END))])
+    final = out._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[0]
+    assert "partial_min_by" in final

@@ -79,3 +79,69 @@ def test_checkpoint_folder_is_required_on_a_cluster():
     session = type("Session", (), {"conf": Conf(), "sparkContext": Context()})()
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         checkpoint_root(session)
+
+
+def test_a_failed_write_leaves_the_old_table(spark, tmp_path):
+    """A rewrite that breaks half way: whole tables and single partitions keep their old rows, nothing is left beside them."""
+    import pytest
+    from pyspark.sql import functions as F
+
+    path = str(tmp_path / "layer" / "t")
+    good = spark.range(100).select("id", (F.col("id") % 4).cast("string").alias("p"))
+    assert write_table(good, path, partition_by=["p"]) == 100
+    broken = spark.range(0, 400, 1, 8).select(
+        F.when(F.col("id") == 399, F.raise_error(F.lit("broken row")).cast("long")).otherwise(F.col("id") + 1000).alias("id"),
+        (F.col("id") % 4).cast("string").alias("p"))
+    for mode in ("overwrite", "partitions"):
+        with pytest.raises(Exception, match="broken row"):
+            write_table(broken, path, partition_by=["p"], mode=mode, cluster=False)
+        assert sorted(r.id for r in read_table(spark, path).collect()) == list(range(100))
+    one = spark.range(5).select((F.col("id") + 500).alias("id"), F.lit("2").alias("p"))
+    assert write_table(one, path, partition_by=["p"], mode="partitions") == 5
+    assert sorted(r.id for r in read_table(spark, path).where("p = '2'").collect()) == list(range(500, 505))
+    assert read_table(spark, path).count() == 80
+
+
+def test_a_swap_interrupted_between_its_renames_is_finished(spark, tmp_path):
+    path = tmp_path / "t"
+    write_table(spark.range(7), str(path))
+    os.rename(path, tmp_path / ".t.earlier-0123456789ab")  # the crash: moved aside, nothing moved in
+    assert read_table(spark, str(path)).count() == 7
+    assert write_table(spark.range(0), str(path)) == 0  # an empty table replaces it
+    assert read_table(spark, str(path), "id LONG").count() == 0
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["t"]
+
+
+def test_every_csv_row_is_a_message_or_a_reject(spark, tmp_path):
+    from hayloft.sources.files import split_csv_messages
+
+    lines = [
+        "farm_license,device_type,device_number,msg_type,time,data",
+        'F1,robot,1,CLICK,2023-01-01 06:00:00,"{""k"": 1}"',
+        'F1,robot,one,CLICK,2023-01-01 06:00:00,"{}"',  # not a number
+        "F1,robot,1,CLICK,someday,{}",  # not a time
+        "F1,robot,1,CLICK",  # too few values
+        "F1,robot,1,CLICK,2023-01-01 06:00:00,a,b",  # too many
+        "F2,robot,,CLICK,,",  # NULLs are values
+    ]
+    (tmp_path / "m.csv").write_text("\n".join(lines) + "\n")
+    messages, rejects = split_csv_messages(spark, str(tmp_path / "m.csv"))
+    assert sorted(r.farm_license for r in messages.collect()) == ["F1", "F2"]
+    assert messages.count() == 2 and messages.select("farm_license").count() == 2  # whatever is read
+    assert sorted(r.record for r in rejects.collect()) == sorted(lines[2:6])
+    assert all(r.source_path.endswith("m.csv") for r in rejects.collect())
+
+
+def test_payloads_are_parsed_or_rejected(spark):
+    from hayloft.operators.shred import rejected, shred
+
+    rows = [(1, "A", '{"n": 1, "xs": [{"v": 2}]}'), (2, "A", '{"n": 1, "xs"'), (3, "A", '{"n": "one"}'), (4, "A", None), (5, "A", ""),
+            (6, "A", "[1]"), (7, "A", "{}"), (8, "B", "nonsense"), (9, "A", '{"n": null, "more": 1}')]
+    df = spark.createDataFrame(rows, "id int, msg_type string, data string")
+    ddl = "n INT, xs ARRAY<STRUCT<v: INT>>"
+    good = shred(df, "A", ddl, {"n": "n", "xs": "xs"}, malformed="drop")
+    bad = rejected(df, "A", ddl)
+    assert sorted(r.id for r in good.collect()) == [1, 4, 7, 9] and bad.columns == df.columns
+    assert sorted((r.id, r.data) for r in bad.collect()) == [(2, '{"n": 1, "xs"'), (3, '{"n": "one"}'), (5, ""), (6, "[1]")]
+    assert [r.xs[0].v for r in good.where("id = 1").collect()] == [2]
+    assert shred(df, "A", ddl, {"n": "n"}).count() == 8  # kept by default
