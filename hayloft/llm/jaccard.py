@@ -290,7 +290,7 @@ def link_classes(
     rows = stored(clusters.join(distinct, "fp").select("fp", "cluster", "n", "copies", "key"), "jaccard-rows")
     texts = base.select(F.struct("id", "tkey").alias("key"), "text")
     sets = stored(
-        texts.join(rows.select("key", "fp", "copies"), "key")
+        texts.join(rows.select("key", "fp", "copies").hint("merge"), "key")  # the same plan at every size
         .select("fp", "copies", "text")
         .mapInArrow(_sets(shingle), "fp long, copies long, shingles binary"),
         "jaccard-shingles",
