@@ -12,12 +12,13 @@ A text's score depends on its ``depth + 1``-byte grams alone, so Spark moves gra
 not positions:
 
 1. documents are dealt into groups of about ``GROUP_BYTES`` of text; each group
-   lists its distinct grams and tokens with their training counts, the grams as
-   one packed list per bundle of contexts that share their two latest bytes;
+   sorts its grams and lists the distinct ones with their training counts, as
+   one packed list per bundle of contexts that share their two latest bytes. There
+   are as many bundles as the corpus needs at ``BUNDLE_BYTES`` of text each;
 2. counts are summed and the trees are built per bundle; only the top two levels,
    at most 65,535 nodes whatever the corpus, pass through the driver;
-3. each group gets the probabilities of its own grams and tokens and scores
-   its documents.
+3. each group gets the probabilities of its grams, in the order of its own lists,
+   and those of its tokens, lists its grams again and scores its documents.
 
 Grams are packed as zstd over the byte planes of the differences of sorted keys.
 Tokens go by a 64-bit hash (among 10**9 distinct tokens some 0.03 pairs would share one).
@@ -36,9 +37,10 @@ from hayloft.llm.tables import stored, text_key
 
 DEPTH = 6
 GROUP_BYTES = 20_000_000
-BUNDLES = 128
+BUNDLE_BYTES = 5_000_000
+LEAST_BUNDLES, MOST_BUNDLES = 32, 1 << 14  # there are 65,536 contexts of two bytes
 MERGE_GRAMS = 1 << 21  # listed grams that wait to be merged in a bundle
-LOG_UNIT = 2.0**-40  # logs travel as multiples of it: less than 5e-13 off for a byte
+LOG_UNIT = 2.0**-34  # logs travel as multiples of it: less than 3e-11 off for a byte
 END = 0  # the end token's key, the hash of no bytes
 
 _HALF = np.log(0.5)
@@ -63,10 +65,22 @@ def _log_kt(n0: np.ndarray, n1: np.ndarray) -> np.ndarray:
     return _log_gamma(n0 + 0.5) + _log_gamma(n1 + 0.5) - np.log(np.pi) - _log_gamma(n0 + n1 + 1.0)
 
 
+def _runs(keys: np.ndarray) -> np.ndarray:
+    """Where the runs of equal keys begin."""
+    new = np.ones(len(keys), bool)
+    np.not_equal(keys[1:], keys[:-1], out=new[1:])
+    return np.flatnonzero(new)
+
+
 def _sum_by(keys: np.ndarray, *columns: np.ndarray) -> tuple[np.ndarray, ...]:
     """Sorted distinct keys and the sums of the columns."""
-    distinct, at = np.unique(keys, return_inverse=True)
-    return distinct, *(np.bincount(at, c, len(distinct)) for c in columns)
+    if len(keys) and np.any(keys[1:] < keys[:-1]):
+        order = np.argsort(keys, kind="stable")  # merges the sorted runs that most inputs consist of
+        keys, columns = keys[order], tuple(c[order] for c in columns)
+    if not len(keys):
+        return keys, *columns
+    at = _runs(keys)
+    return keys[at], *(np.add.reduceat(c, at) for c in columns)
 
 
 def _nodes(grams: np.ndarray, n: np.ndarray, bit: int):
@@ -160,9 +174,45 @@ def _token_hashes(s: W.Slice) -> tuple[np.ndarray, W.Words]:
     return W.signed(W.word_hashes(s.data, words)), words
 
 
-def _bundle_of(grams: np.ndarray) -> np.ndarray:
-    """The bundle of each gram, by the two latest bytes of its context."""
-    return (W.mix((grams >> (8 * (DEPTH - 1))).astype(np.uint64)) % np.uint64(BUNDLES)).astype(np.int32)
+def _distinct_grams(table: pa.Table, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct grams of a group's texts, and how often each stands in its training texts."""
+    sizes = pc.fill_null(pc.binary_length(table.column("text")), 0).to_numpy().astype(np.int64)
+    n_train = int(sizes[~held].sum())
+    grams = np.empty(int(sizes.sum()), np.int64)  # those of training texts first
+    at = {False: 0, True: n_train}
+    for s in W.slices(table.column("text")):
+        own = pack_grams(W.LOWER[s.data], s.bounds)
+        out = np.repeat(held[s.first : s.first + s.n], np.diff(s.bounds))
+        for kind in (False, True):
+            part = own[out == kind]
+            grams[at[kind] : at[kind] + len(part)] = part
+            at[kind] += len(part)
+    train, other = grams[:n_train], grams[n_train:]
+    train.sort()
+    other.sort()
+    starts = _runs(train)
+    keys, n = train[starts], np.diff(np.append(starts, n_train))
+    other = other[_runs(other)] if len(other) else other
+    return _sum_by(np.concatenate([keys, other]), np.concatenate([n, np.zeros(len(other), np.int64)]))
+
+
+def _by_bundle(grams: np.ndarray, bundles: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted grams in the order of bundles (by the two latest context bytes): places, and the bundles with their starts.
+
+    Equal two bytes stand together in sorted grams, so whole stretches move.
+    """
+    if not len(grams):
+        return np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64)
+    latest = grams >> (8 * (DEPTH - 1))
+    starts = _runs(latest)
+    bundle = (W.mix(latest[starts].astype(np.uint64)) % np.uint64(bundles)).astype(np.int32)
+    lengths = np.diff(np.append(starts, len(grams)))
+    order = np.argsort(bundle, kind="stable")
+    starts, lengths, bundle = starts[order], lengths[order], bundle[order]
+    before = np.cumsum(lengths) - lengths
+    places = np.repeat(starts - before, lengths) + np.arange(len(grams))
+    first = _runs(bundle)
+    return places, bundle[first], before[first]
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -177,52 +227,52 @@ def _unpacked(packed: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, n).T).view(np.int64).reshape(n)
 
 
-def _list_group(table: pa.Table) -> pa.Table:
+def _list_group(bundles: int):
     """Distinct grams, packed by bundle, and tokens of a group of documents with their training counts."""
-    found = {False: [(np.zeros(0, np.int64), np.zeros(0))], True: [(np.zeros(0, np.int64), np.zeros(0))]}
-    held = table.column("held_out").to_numpy()
-    for s in W.slices(table.column("text")):
-        s = _lowered(s)
-        learn = (~held[s.first : s.first + s.n]).astype(float)
-        found[False].append(_sum_by(pack_grams(s.data, s.bounds), np.repeat(learn, np.diff(s.bounds))))
-        tokens, words = _token_hashes(s)
-        found[True].append(_sum_by(tokens, np.repeat(learn, words.counts)))
-        found[True].append((np.array([END]), np.array([learn.sum()])))
-        for kind, parts in found.items():
-            if len(parts) > 8:
-                found[kind] = [_merge(parts)]
-    (grams, n_grams), (tokens, n_tokens) = _merge(found[False]), _merge(found[True])
-    gid = table.column("gid")[0].as_py()
-    bundles = _bundle_of(grams)
-    order = np.argsort(bundles, kind="stable")  # within a bundle the grams stay sorted
-    own, starts = np.unique(bundles[order], return_index=True)
-    lists = [(grams[at], n_grams[at]) for at in np.split(order, starts[1:])] if len(own) else []
-    n, none = len(tokens), len(own)
-    return pa.table(
-        {
-            "gid": pa.array(np.full(none + n, gid, np.int32)),
-            "bundle": pa.concat_arrays([pa.array(own.astype(np.int32)), pa.nulls(n, pa.int32())]),
-            "grams": pa.array([_packed(np.diff(g, prepend=0)) for g, _ in lists] + [None] * n, pa.binary()),
-            "counts": pa.array([_packed(c.astype(np.int64)) for _, c in lists] + [None] * n, pa.binary()),
-            "key": pa.concat_arrays([pa.nulls(none, pa.int64()), pa.array(tokens)]),
-            "n": pa.concat_arrays([pa.nulls(none, pa.int64()), pa.array(n_tokens.astype(np.int64))]),
-        }
-    )
+
+    def run(table: pa.Table) -> pa.Table:
+        held = table.column("held_out").to_numpy()
+        gid = table.column("gid")[0].as_py()
+        found = [(np.array([END]), np.array([float((~held).sum())]))]
+        for s in W.slices(table.column("text")):
+            tokens, words = _token_hashes(_lowered(s))
+            learn = (~held[s.first : s.first + s.n]).astype(float)
+            found.append(_sum_by(tokens, np.repeat(learn, words.counts)))
+            if len(found) > 8:
+                found = [_merge(found)]
+        tokens, n_tokens = _merge(found)
+        grams, n_grams = _distinct_grams(table, held)
+        places, own, starts = _by_bundle(grams, bundles)
+        ends = np.append(starts[1:], len(grams)).astype(np.int64)
+        lists = [(grams[places[a:b]], n_grams[places[a:b]]) for a, b in zip(starts.tolist(), ends.tolist())]
+        n, none = len(tokens), len(own)
+        return pa.table(
+            {
+                "gid": pa.array(np.full(none + n, gid, np.int32)),
+                "bundle": pa.concat_arrays([pa.array(own.astype(np.int32)), pa.nulls(n, pa.int32())]),
+                "grams": pa.array([_packed(np.diff(g, prepend=0)) for g, _ in lists] + [None] * n, pa.binary()),
+                "counts": pa.array([_packed(c.astype(np.int64)) for _, c in lists] + [None] * n, pa.binary()),
+                "key": pa.concat_arrays([pa.nulls(none, pa.int64()), pa.array(tokens)]),
+                "n": pa.concat_arrays([pa.nulls(none, pa.int64()), pa.array(n_tokens.astype(np.int64))]),
+            }
+        )
+
+    return run
 
 
-def _score_group(total: int, distinct: int):
+def _score_group(total: int, distinct: int, bundles: int):
     """Score a group's documents with the looked-up values of its grams and tokens."""
 
     def run(table: pa.Table, looked_up: pa.Table) -> pa.Table:
-        lists = looked_up.filter(pc.is_valid(looked_up.column("grams")))
-        found = [
-            [np.zeros(0, np.int64), *(np.cumsum(_unpacked(g)) for g in lists.column("grams").to_pylist())],
-            [np.zeros(0), *(_unpacked(v) * LOG_UNIT for v in lists.column("logs").to_pylist())],
-        ]
-        of_tokens = looked_up.filter(pc.is_null(looked_up.column("grams")))
-        found = [(np.concatenate(found[0]), np.concatenate(found[1]))]
-        found.append((of_tokens.column("key").to_numpy(), of_tokens.column("value").to_numpy()))
-        (grams, logs), (tokens, counts) = ((own[at], value[at]) for own, value in found for at in (np.argsort(own),))
+        lists = looked_up.filter(pc.is_valid(looked_up.column("logs"))).sort_by("bundle")
+        grams, _ = _distinct_grams(table, table.column("held_out").to_numpy())
+        places, _, _ = _by_bundle(grams, bundles)
+        logs = np.empty(len(grams))
+        logs[places] = np.concatenate([np.zeros(0), *(_unpacked(v.as_py()) * LOG_UNIT for v in lists.column("logs"))])
+        of_tokens = looked_up.filter(pc.is_null(looked_up.column("logs")))
+        tokens, counts = of_tokens.column("key").to_numpy(), of_tokens.column("value").to_numpy()
+        order = np.argsort(tokens)
+        tokens, counts = tokens[order], counts[order]
         known = counts > 0
         base = np.log10((counts + 0.5) / (total + 0.5 * (distinct + 1)))
         end = np.searchsorted(tokens, END)
@@ -230,8 +280,10 @@ def _score_group(total: int, distinct: int):
         for s in W.slices(table.column("text")):
             s = _lowered(s)
             text = np.repeat(np.arange(s.n), np.diff(s.bounds))
-            own = logs[np.searchsorted(grams, pack_grams(s.data, s.bounds))] if len(text) else np.zeros(0)
-            out["score"].append(np.bincount(text, own, s.n))
+            wanted = pack_grams(s.data, s.bounds)
+            order = np.argsort(wanted)  # sorted values are found several times faster
+            own = logs[np.searchsorted(grams, wanted[order])] if len(text) else np.zeros(0)
+            out["score"].append(np.bincount(text[order], own, s.n))
             hashes, words = _token_hashes(s)
             at, text = np.searchsorted(tokens, hashes), words.text_of()
             out["n_tokens"].append(words.counts + 1)
@@ -298,7 +350,7 @@ def _gram_logs(top):
             logs += np.log10(p)
         own = (np.cumsum(_unpacked(g.as_py())) for g in table.column("grams"))
         found = [_packed(np.rint(logs[np.searchsorted(keys, g)] / LOG_UNIT).astype(np.int64)) for g in own]
-        return pa.table({"gid": table.column("gid"), "grams": table.column("grams"), "logs": pa.array(found, pa.binary())})
+        return pa.table({"gid": table.column("gid"), "bundle": table.column("bundle"), "logs": pa.array(found, pa.binary())})
 
     return run
 
@@ -317,13 +369,13 @@ def _top_tree(rows) -> list:
 
 
 def model(lists: DataFrame) -> DataFrame:
-    """``gid, bundle, grams, counts`` -> ``gid, grams, logs``: the log10 probability of each gram's last byte after the bytes before it."""
+    """``gid, bundle, grams, counts`` -> ``gid, bundle, logs``: the log10 probability of each listed gram's last byte after the bytes before it."""
     kinds = "bit int, node long, n0 double, n1 double, weighted double"
     tops = lists.groupBy("bundle").applyInArrow(_top_nodes, kinds)
     summed = tops.groupBy("bit", "node").agg(*(F.sum(c).alias(c) for c in ("n0", "n1", "weighted")))
     # one row per first bits of a byte and newest context byte: 255 * 256 at most
     top = lists.sparkSession.sparkContext.broadcast(_top_tree(summed.collect()))
-    return lists.groupBy("bundle").applyInArrow(_gram_logs(top), "gid int, grams binary, logs binary")
+    return lists.groupBy("bundle").applyInArrow(_gram_logs(top), "gid int, bundle int, logs binary")
 
 
 def score_documents(
@@ -349,10 +401,11 @@ def score_documents(
     )
     total_bytes = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     groups = int(total_bytes // group_bytes) + 1
+    bundles = min(max(int(total_bytes // BUNDLE_BYTES), LEAST_BUNDLES), MOST_BUNDLES)
     dealt = base.withColumn("gid", F.pmod(F.xxhash64("id", "tkey"), F.lit(groups)).cast("int"))
     listed = stored(
         dealt.select("gid", "text", "held_out").groupBy("gid").applyInArrow(
-            _list_group, "gid int, bundle int, grams binary, counts binary, key long, n long"
+            _list_group(bundles), "gid int, bundle int, grams binary, counts binary, key long, n long"
         ),
         "ctw-listed",
     )
@@ -368,7 +421,7 @@ def score_documents(
         .groupBy("gid")
         .cogroup(looked_up.groupBy("gid"))
         .applyInArrow(
-            _score_group(int(size.total or 0), int(size.distinct or 0)),
+            _score_group(int(size.total or 0), int(size.distinct or 0), bundles),
             f"id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
         )
     )
