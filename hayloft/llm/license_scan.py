@@ -3,20 +3,24 @@
 All rolling ``K``-word hashes of every document are joined to the positions they
 have in the license templates. A copy of a template puts its matches on one
 diagonal (document position minus template position); words added or dropped
-inside shift the rest to a neighbouring one. Matches are gathered by diagonal,
-diagonals at most ``SHIFT`` apart are merged, and a merged span counts when it
-covers enough of the template within a span of the template's size. The templates
-are a fixed list, so their table is broadcast; the documents' text never moves.
+inside shift the rest to a neighbouring one. Matches are gathered by diagonal and
+diagonals at most ``SHIFT`` apart are merged. Merged diagonals may hold several
+notices, or pieces of them, one after the other; so from every match on, the best
+span of at most ``MAX_STRETCH`` times the template's size is voted on, and counts when
+it covers enough of the template. No match is left out for the size of what it is
+merged with. The templates are a fixed list, so their table is broadcast; the
+documents are read once, and of their hashes only those of a template go on.
 """
 
 from __future__ import annotations
 
 from functools import reduce
+from math import lcm
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hayloft.llm.tables import ALNUM_WORD, ascii_lower, text_key
+from hayloft.llm.tables import ALNUM_WORD, ascii_lower, stored, text_key
 
 K = 3
 SHIFT = 3
@@ -102,30 +106,45 @@ def _phrase_places(words: str) -> Column:
     return F.when(F.array_contains(col, "license"), F.concat(*found)).otherwise(none)
 
 
-def template_spans(words: DataFrame) -> DataFrame:
-    """``doc, label, start, end, coverage`` of every merged diagonal; ``words`` has ``doc`` and ``words``."""
-    grams = words.select("doc", F.posexplode(_gram_hashes("words")).alias("at", "gram"))
-    matches = grams.join(F.broadcast(template_positions(words.sparkSession)), "gram")
-    diagonals = (
-        matches.withColumn("diagonal", F.col("at") - F.col("template_at"))
-        .groupBy("doc", "template", "label", "template_words", "diagonal")
-        .agg(F.collect_set("template_at").alias("votes"), F.min("at").alias("start"), F.max("at").alias("stop"))
-    )
+def _reach(template_words: int) -> int:
+    """How far after the first match of a span its last one may stand."""
+    return int(template_words * MAX_STRETCH + SHIFT) - K
+
+
+def _template_hits(words: str, spark) -> Column:
+    """``(at, gram)`` of the rolling hashes that some template has."""
+    known = [r.gram for r in template_positions(spark).select("gram").distinct().collect()]  # a few hundred, fixed
+    each = F.transform(_gram_hashes(words), lambda g, i: F.struct(i.alias("at"), g.alias("gram")))
+    return F.filter(each, lambda x: x["gram"].isin(known))
+
+
+def template_spans(hits: DataFrame) -> DataFrame:
+    """``doc, label, start, end, coverage``: the best span from each match on; ``hits`` has ``doc`` and ``hits``."""
+    grams = hits.select("doc", F.explode("hits").alias("hit")).select("doc", "hit.at", "hit.gram")
+    matches = grams.join(F.broadcast(template_positions(hits.sparkSession)), "gram")
+    matches = matches.withColumn("diagonal", F.col("at") - F.col("template_at"))
+    diagonals = matches.groupBy("doc", "template", "diagonal").agg(F.lit(1).alias("one"))
     along = Window.partitionBy("doc", "template").orderBy("diagonal")
     breaks = F.coalesce((F.col("diagonal") - F.lag("diagonal").over(along) > SHIFT).cast("int"), F.lit(0))
-    merged = (
-        diagonals.withColumn("breaks", breaks)
-        .withColumn("island", F.sum("breaks").over(along))
-        .groupBy("doc", "template", "label", "template_words", "island")
-        .agg(
-            F.size(F.array_distinct(F.flatten(F.collect_list("votes")))).alias("votes"),
-            F.min("start").alias("start"),
-            (F.max("stop") + K).alias("end"),
-        )
+    islands = diagonals.withColumn("breaks", breaks).select(
+        "doc", "template", "diagonal", F.sum("breaks").over(along).alias("island")
+    )
+    # places in units in which every template's reach is the same whole number
+    reaches = {len(text.split()): _reach(len(text.split())) for _, text in TEMPLATES}
+    unit = lcm(*reaches.values())
+    scale = reduce(lambda c, r: c.when(F.col("template_words") == r[0], unit // r[1]), reaches.items(), F).cast("long")
+    onward = Window.partitionBy("doc", "template", "island").orderBy("place").rangeBetween(0, unit)
+    spans = (
+        matches.join(islands, ["doc", "template", "diagonal"])
+        .withColumn("place", F.col("at") * scale)
+        .withColumns({"votes": F.size(F.collect_set("template_at").over(onward)), "stop": F.max("at").over(onward)})
     )
     coverage = F.col("votes") / (F.col("template_words") - (K - 1))
-    return merged.where(F.col("end") - F.col("start") <= F.col("template_words") * MAX_STRETCH + SHIFT).select(
-        "doc", "label", "start", "end", coverage.alias("coverage")
+    best = F.max(F.struct(coverage.alias("coverage"), (-(F.col("stop") - F.col("at"))).alias("short"), (-F.col("at")).alias("first")))
+    # of the spans that end at the same match the best stands for all
+    found = spans.groupBy("doc", "template", "label", "island", "stop").agg(best.alias("b"))
+    return found.select(
+        "doc", "label", (-F.col("b.first")).alias("start"), (F.col("stop") + K).alias("end"), F.col("b.coverage").alias("coverage")
     )
 
 
@@ -134,23 +153,32 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     Returns the id, ``n_words``, ``base_places`` (word offset and label of each
     base phrase), ``spans`` (template spans that pass, with offsets and
-    coverage), ``labels`` (distinct, sorted) and ``score`` (the best coverage of
+    coverage; spans of one notice may overlap), ``labels`` (distinct, sorted) and ``score`` (the best coverage of
     any template; 1 where a base phrase stands, 0 without any match).
 
     Defined cases: a NULL or empty text has no words and no labels; repeated rows
-    are scanned alike; NULL ids are kept; an empty table gives an empty table.
-    Further columns are not carried.
+    are scanned alike; NULL ids are kept; a very long text is scanned whole, and only its
+    matches leave its row; an empty table gives an empty table. Further columns
+    are not carried.
     """
     keyed = docs.select(
         F.struct(F.col(id_col).alias("id"), text_key(text_col).alias("tkey")).alias("doc"), _words(text_col).alias("words")
     )
-    spans = template_spans(keyed)
+    base = stored(
+        keyed.select(
+            "doc",
+            F.size("words").cast("long").alias("n_words"),
+            _phrase_places("words").alias("base_places"),
+            _template_hits("words", docs.sparkSession).alias("hits"),
+        ),
+        "license-hits",
+    )
+    spans = template_spans(base.where(F.size("hits") > 0).dropDuplicates(["doc"]).select("doc", "hits"))
     passed = F.col("coverage") >= min_coverage
     best = spans.groupBy("doc").agg(
         F.max("coverage").alias("best"),
         F.sort_array(F.collect_set(F.when(passed, F.struct("start", "end", "label", "coverage")))).alias("spans"),
     )
-    base = keyed.select("doc", F.size("words").cast("long").alias("n_words"), _phrase_places("words").alias("base_places"))
     none = F.array().cast("array<struct<start:int,end:int,label:string,coverage:double>>")
     found = base.join(best, "doc", "left").withColumn("spans", F.coalesce("spans", none))
     labels = F.array_union(F.transform("base_places", lambda p: p["label"]), F.transform("spans", lambda s: s["label"]))

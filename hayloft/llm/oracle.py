@@ -154,10 +154,13 @@ WITH docs AS (
   FROM (SELECT DISTINCT rid, t, diagonal FROM matches)
 ), islands AS (
   SELECT rid, t, diagonal, sum(breaks) OVER (PARTITION BY rid, t ORDER BY diagonal) AS island FROM diagonals
+), placed AS (
+  SELECT rid, t, label, n, island, nth, t_nth FROM matches JOIN islands USING (rid, t, diagonal)
 ), spans AS (
-  SELECT rid, t, label, count(DISTINCT t_nth) / CAST(n - 2 AS DOUBLE) AS coverage
-  FROM matches JOIN islands USING (rid, t, diagonal) GROUP BY rid, t, label, n, island
-  HAVING max(nth) + 3 - min(nth) <= n * 1.5 + 3
+  SELECT a.rid, a.label, count(DISTINCT b.t_nth) / CAST(a.n - 2 AS DOUBLE) AS coverage
+  FROM (SELECT DISTINCT rid, t, label, n, island, nth FROM placed) a JOIN placed b
+    ON a.rid = b.rid AND a.t = b.t AND a.island = b.island AND b.nth BETWEEN a.nth AND a.nth + CAST(floor(a.n * 1.5 + 3) AS INTEGER) - 3
+  GROUP BY a.rid, a.t, a.label, a.n, a.island, a.nth
 ), voted AS (
   SELECT rid, max(coverage) AS best, list(DISTINCT label) FILTER (WHERE coverage >= 0.75) AS labels FROM spans GROUP BY rid
 )
