@@ -36,6 +36,8 @@ SHINGLE_WORDS = 4
 DISTANCE = 4
 SEED = 42
 CROWD = 64
+INDEXED_AT_ONCE = 1 << 15  # fingerprints that one task makes 65 index entries of
+POINTS_AT_ONCE = 1 << 10  # and 2081 points
 
 
 def _fingerprints(shingle: int, names: list[str]):
@@ -109,6 +111,11 @@ def _near_points(fps: DataFrame, radius: int) -> DataFrame:
     return fps.select("fp", F.explode(points).alias("point"))
 
 
+def _dealt(fps: DataFrame, at_once: int) -> DataFrame:
+    """Stored fingerprints in as many tasks as their number needs: they are few bytes, but become many rows."""
+    return fps.repartition(fps.count() // at_once + 1, "fp")
+
+
 def near_edges(fps: DataFrame, distance: int = DISTANCE, crowd: int = CROWD) -> DataFrame:
     """Edges ``(a, b)`` between distinct fingerprints at most ``distance`` (2 or 4) bits apart that connect all such.
 
@@ -117,7 +124,7 @@ def near_edges(fps: DataFrame, distance: int = DISTANCE, crowd: int = CROWD) ->
     """
     if distance not in (2, 4):
         raise ValueError("distance must be 2 or 4: points half way must exist, and the index reaches 4")
-    index = _index(fps)
+    index = stored(_index(_dealt(fps, INDEXED_AT_ONCE)), "simhash-index")
     counts = index.groupBy("entry").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     met = stored(index.join(counts, "entry"), "simhash-met")
 
@@ -128,8 +135,8 @@ def near_edges(fps: DataFrame, distance: int = DISTANCE, crowd: int = CROWD) ->
         .where((F.col("a") > F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance))
         .select("a", "b")
     )
-    crowded = met.where(F.col("members") > crowd).select("fp").distinct()
-    points = stored(_near_points(crowded, distance // 2), "simhash-points")
+    crowded = stored(met.where(F.col("members") > crowd).select("fp").distinct(), "simhash-crowded")
+    points = stored(_near_points(_dealt(crowded, POINTS_AT_ONCE), distance // 2), "simhash-points")
     least = points.groupBy("point").agg(F.min("fp").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1")
     hubs = points.join(least.select("point", "b"), "point").where("fp <> b").select(F.col("fp").alias("a"), "b")
     return pairs.unionByName(hubs).distinct()
@@ -149,11 +156,13 @@ def near_groups(
     Defined cases: a NULL or empty text, or one without words, has fingerprint
     zero and links like any other; repeated rows share a fingerprint and so a
     component; a NULL id is ignored for the smallest id (a component of NULL
-    ids alone has component NULL); an empty table gives an empty table.
+    ids alone has component NULL); a very long text is hashed whole, its votes
+    being counted in parts; an empty table gives an empty table. Further columns
+    are not carried, whatever they are called.
     """
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     marked = stored(fingerprints(docs, shingle), "simhash-fingerprints")
-    distinct = marked.groupBy("fp").agg(F.min("id").alias("least"))
+    distinct = stored(marked.groupBy("fp").agg(F.min("id").alias("least")), "simhash-distinct")
     roots = components(near_edges(distinct.select("fp"), distance, crowd))
     of = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", F.coalesce("root", "fp").alias("root"), "least"
