@@ -22,6 +22,7 @@ import hmac
 import re
 from bisect import bisect_right
 from functools import lru_cache
+from itertools import count
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -86,6 +87,12 @@ NATIONAL_DIGITS = {
     "81": (9, 10), "82": (8, 10), "86": (10, 11), "90": (10, 10), "91": (10, 10), "351": (9, 9), "353": (7, 9),
     "358": (6, 11), "380": (9, 9), "420": (9, 9), "421": (9, 9),
 }
+#: Country codes of one and of two digits; all others have three.
+ONE_DIGIT_CODES = "1 7".split()
+TWO_DIGIT_CODES = (
+    "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66"
+    " 81 82 84 86 90 91 92 93 94 95 98"
+).split()
 KINDS = ("email", "ip", "iban", "ssn", "card", "phone", "secret", "given", "family")
 _DIGITS = re.compile(r"\d")
 _IBAN_START = re.compile(r"\b[A-Z]{2}\d{2}")
@@ -230,10 +237,13 @@ def canonical(kind: str, value: str) -> str:
         return "".join(_DIGITS.findall(value))
     if kind == "phone":
         digits = "".join(_DIGITS.findall(value))
-        country = re.match(r"\+(\d{1,3}?)(?=\D)", value)
-        if country:
-            return f"+{country.group(1)} {digits[len(country.group(1)):]}"
-        return ("+" if value.startswith("+") else "") + digits
+        if value.startswith("00"):
+            digits = digits[2:]
+        elif not value.startswith("+"):
+            return digits
+        # by the code's own length, whatever the layout of the mention
+        n = 1 if digits[:1] in ONE_DIGIT_CODES else 2 if digits[:2] in TWO_DIGIT_CODES else 3
+        return f"+{digits[:n]} {digits[n:]}"
     return value.replace(" ", "") if kind == "iban" else value
 
 
@@ -283,15 +293,22 @@ def _permuted(key: bytes, script: str, gender: str) -> dict[str, str]:
 
 
 def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
-    """The replacement for a canonical form; another attempt gives another one."""
+    """The replacement for a canonical form; another attempt gives another one.
+
+    Formats too short to hold twice the entities found grow after eight attempts, by
+    a letter or digit an attempt, so a free replacement is always reached.
+    """
     draw = _Draw(key, kind, value, attempt)
-    longer = "x" * max(0, attempt - 8)  # formats too short to hold all entities grow after eight attempts
+    more = max(0, attempt - 8)
+    longer = "x" * more
+    if kind in ("card", "ssn", "phone"):
+        value += "0" * more
     if kind == "email":
         local, _, domain = value.partition("@")
         host, _, top = domain.rpartition(".")
         return f"{draw.like(local + longer)}@{draw.like(host)}.{top}"
     if kind == "ip":
-        return ".".join(str(1 + draw.below(254)) for _ in range(4))
+        return ".".join(str(1 + draw.below(254)) for _ in range(4 + more))
     if kind == "card":
         body = value[0] + draw.like(value[1:-1])
         valid = _luhn(value)
@@ -299,7 +316,7 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
         return body + (last if valid else str((int(last) + 1 + draw.below(9)) % 10))
     if kind == "iban":
         body = "".join(
-            str(draw.below(10)) if c.isdigit() else "ABCDEFGHIJKLMNOPQRSTUVWXYZ"[draw.below(26)] for c in value[4:]
+            str(draw.below(10)) if c.isdigit() else "ABCDEFGHIJKLMNOPQRSTUVWXYZ"[draw.below(26)] for c in value[4:] + "0" * more
         )
         rest = int("".join(str(int(c, 36)) for c in body + value[:2] + "00")) % 97
         return f"{value[:2]}{98 - rest:02d}{body}"
@@ -312,8 +329,8 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
         hexadecimal = re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", value)
         if hexadecimal:
             digits = "0123456789abcdef" if value == value.lower() else "0123456789ABCDEF"
-            return "".join(digits[draw.below(16)] for _ in value)
-        return draw.like(value)
+            return "".join(digits[draw.below(16)] for _ in value + longer)
+        return draw.like(value + longer)
     if kind == "given":
         script, gender = _GIVEN[value]
         return _permuted(key, script, gender)[value]
@@ -330,7 +347,9 @@ def render(kind: str, original: str, replacement: str) -> str:
     """The surrogate in the layout of the mention: its spacing, or its case."""
     if kind in ("card", "ssn", "phone", "iban"):
         symbols = iter(c for c in replacement if c.isalnum())
-        return "".join(next(symbols, "0") if c.isalnum() else c for c in original)
+        prefix = "00" if kind == "phone" and replacement.startswith("+") and original.startswith("00") else ""
+        laid_out = "".join(next(symbols, "0") if c.isalnum() else c for c in original[len(prefix) :])
+        return prefix + laid_out + "".join(symbols)  # what has grown stands at the end
     if kind == "family":
         return replacement.upper() if original.isupper() else "-".join(p[:1].upper() + p[1:] for p in replacement.split("-"))
     if kind == "email" and original.isupper():
@@ -394,16 +413,17 @@ def _replace(names: list[str]):
 
 
 # --------------------------------------------------------------------- Spark
-def assign_surrogates(entities: DataFrame, key: bytes, most_attempts: int = 40) -> DataFrame:
+def assign_surrogates(entities: DataFrame, key: bytes) -> DataFrame:
     """``kind, value`` (distinct) -> with ``surrogate``: distinct per kind, and no entity of the corpus.
 
     Given names are permuted among themselves, so they are distinct by construction.
+    The others draw until each has a free one; see :func:`surrogate` for formats that run out.
     """
     kinds = "kind string, value string, surrogate string"
     given = entities.where("kind = 'given'").mapInArrow(_candidates(key, 0), kinds)
     pending = entities.where("kind <> 'given'")
     settled = None
-    for attempt in range(most_attempts):
+    for attempt in count():
         drawn = pending.mapInArrow(_candidates(key, attempt), kinds)
         real = entities.select("kind", F.col("value").alias("surrogate"))
         free = drawn.join(real, ["kind", "surrogate"], "left_anti")
@@ -416,7 +436,6 @@ def assign_surrogates(entities: DataFrame, key: bytes, most_attempts: int = 40)
         pending = stored(pending.join(won, ["kind", "value"], "left_anti"), "pii-pending")
         if pending.isEmpty():
             return given.unionByName(settled)
-    raise RuntimeError(f"no free surrogate after {most_attempts} attempts")
 
 
 def replace_personal_data(
@@ -428,8 +447,8 @@ def replace_personal_data(
 
     Defined cases: a NULL text stays NULL and an empty one empty, with no
     mentions; text outside the mentions is unchanged; repeated rows are treated
-    alike; NULL ids are kept; an empty table gives an empty table. Further columns
-    are not carried.
+    alike; NULL ids are kept; a very long text is searched whole, in time linear in its
+    length; an empty table gives an empty table. Further columns are not carried.
     """
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), text_key(text_col).alias("tkey"))
     id_type = docs.schema[id_col].dataType.simpleString()

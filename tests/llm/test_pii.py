@@ -115,3 +115,49 @@ def test_cards_without_the_numbers_beside_them(card, before, after):
 
 def test_numbers_that_are_no_phones():
     assert entities("Version 1.2.3, 12:30, 2024-01-02, 01-02-2024, +1 2 3, 1.234.567.890, 10 000 000") == []
+
+
+@pytest.mark.parametrize("mentions", [
+    ["+15551234567", "+1 555 123 4567", "+1 (555) 123-4567", "001 555 123 4567"],
+    ["+33612345678", "+33 6 12 34 56 78", "0033 612 345 678"],
+    ["+351912345678", "+351 912 345 678"],
+])
+def test_spellings_of_a_number_share_a_surrogate(spark, mentions):
+    (row,) = replaced(spark, [(1, " ; ".join(mentions))])
+    assert row.n_phone == len(mentions)
+    new = row.surrogate_text.split(" ; ")
+    digits = {re.sub(r"\D", "", re.sub("^00", "+", n)) for n in new}
+    code = re.match(r"\+(1|33|351)", mentions[0]).group(1)
+    assert len(digits) == 1 and digits.pop().startswith(code)
+    assert [re.sub(r"\d", "9", n) for n in new] == [re.sub(r"\d", "9", m) for m in mentions]  # each in its own layout
+    assert not set(new) & set(mentions)
+
+
+def test_distinctness_and_coreference_of_a_table(spark):
+    """Brute force over all mentions of a corpus: one surrogate an entity, one entity a surrogate, none that exists."""
+    import random
+
+    rng = random.Random(4)
+    made = [f"{rng.randrange(100, 999)}-{rng.randrange(10, 99)}-{rng.randrange(1000, 9999)}" for _ in range(40)]
+    made += [f"+1 555 {rng.randrange(200, 999)} {rng.randrange(1000, 9999)}" for _ in range(40)]
+    made += [f"user{i}@example.org" for i in range(40)] + [f"10.0.{i}.{i + 1}" for i in range(40)]
+    rows = [(i, " | ".join(rng.choice(made) for _ in range(12))) for i in range(120)]
+    got = {r.doc_id: r.surrogate_text.split(" | ") for r in replaced(spark, rows)}
+    of, back = {}, {}
+    for i, text in rows:
+        for before, after in zip(text.split(" | "), got[i]):
+            assert of.setdefault(before, after) == after and back.setdefault(after, before) == before
+    assert not set(back) & set(made)
+
+
+def test_a_format_that_runs_out_grows(spark):
+    """Every number a short format has is taken: the replacements get longer, none fails."""
+    entities = spark.createDataFrame([("secret", f"{i:x}") for i in range(16)], "kind string, value string")
+    rows = pii.assign_surrogates(entities, b"k").collect()
+    assert len(rows) == len({r.surrogate for r in rows}) == 16
+    assert not {r.surrogate for r in rows} & {r.value for r in rows}
+
+
+def test_a_text_over_one_mebibyte():
+    text = "word " * 220_000 + "call +33 6 12 34 56 78"
+    assert entities(text) == [("+33 6 12 34 56 78", "phone")]
