@@ -441,6 +441,36 @@ def q_pipeline_medallion(spark, sf):
     return read_table(spark, f"{dirs['gold']}/feed_daily_fact", schemas.FEED_DAILY_FACT)
 
 
+_LAYERED: dict[tuple[str, str], dict] = {}
+
+
+def _layered(spark, sf):
+    """One layered run for the queries of a session: rations and durations differ from load to load."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _LAYERED:
+        messages = [standins.load_done_messages(spark, sf, varied=True), standins.load_start_messages(spark, sf, varied=True),
+                    standins.kitchen_feed_name_payloads(spark, sf), standins.ration_name_payloads(spark, sf),
+                    standins.robot_config_payloads(spark, sf)]
+        _LAYERED[key] = run_layers(spark, _bronze_csv(spark, sf, *messages), scratch_path(spark, "layered"))
+    return _LAYERED[key]
+
+
+def _layer_table(layer, table, schema):
+    def query(spark, sf):
+        return read_table(spark, f"{_layered(spark, sf)[layer]}/{table}", schema)
+
+    query.__doc__ = f"The {layer} table {table} of a layered run."
+    return query
+
+
+def q_pipeline_loading_activity(spark, sf):
+    """Silver loads of a layered run; the results array as its size and total."""
+    loads = _layer_table("silver", "silver_loading_activity", schemas.SILVER_LOADING_ACTIVITY)(spark, sf)
+    total = F.aggregate("results", F.lit(0).cast("long"), lambda a, r: a + r["weight"])
+    sized = {"n_results": F.when(F.col("results").isNotNull(), F.size("results")), "results_weight": total}
+    return loads.withColumns(sized).drop("results", "loading_speed_ration_g_per_s")
+
+
 def q_rejected_records(spark, sf):
     """Delivered CSV with broken times and device numbers: what fits the layout, and the rest as rejects."""
     event = F.col("event_id")
@@ -511,6 +541,13 @@ def q_split_intervals_century(spark, sf):
 
 
 QUERIES: dict[str, Query] = {
+    "pipeline_loading_activity": q_pipeline_loading_activity,
+    "pipeline_robot_config_dim": _layer_table("silver", "silver_robot_config_dim", schemas.SILVER_ROBOT_CONFIG_DIM),
+    "pipeline_feed_names_dim": _layer_table("silver", "silver_kitchen_feed_names_dim", schemas.SILVER_KITCHEN_FEED_NAMES_DIM),
+    "pipeline_ration_names_dim": _layer_table("silver", "silver_ration_names_dim", schemas.SILVER_RATION_NAMES_DIM),
+    "pipeline_feed_fact": _layer_table("gold", "feed_daily_fact", schemas.FEED_DAILY_FACT),
+    "pipeline_ration_fact": _layer_table("gold", "ration_daily_fact", schemas.RATION_DAILY_FACT),
+    "pipeline_farm_fact": _layer_table("gold", "farm_daily_fact", schemas.FARM_DAILY_FACT),
     "rejected_records": q_rejected_records,
     "rejected_payloads": q_rejected_payloads,
     "table_rewrites": q_table_rewrites,

@@ -153,7 +153,7 @@ rnm AS (SELECT CAST(l.l_suppkey AS VARCHAR) AS farm_license, o.o_orderdate AS ti
         WHERE CAST(substring(o.o_orderpriority, 1, 1) AS INTEGER) <> 0),""" + _scd2(
     "rnm", "farm_license, ration_id", "concat_ws(', ', name)", "time", "rdim")
 
-ROBOT_DIM = """
+ROBOT_MESSAGES = """
 rcm AS (SELECT CAST(l_suppkey AS VARCHAR) AS farm_license, (l_linenumber % 2) + 1 AS device_number,
                l_shipdate AS time,
                CASE WHEN l_tax >= 0.04 THEN 'THREE_PHASE' ELSE 'ONE_PHASE' END AS phases,
@@ -161,7 +161,9 @@ rcm AS (SELECT CAST(l_suppkey AS VARCHAR) AS farm_license, (l_linenumber % 2) +
                CASE WHEN l_linestatus = 'F' THEN 'SCHNEIDER' ELSE 'COMMSK' END AS freq_type_roller,
                CASE WHEN l_discount >= 0.09 THEN 'UNKNOWN' ELSE 'RELAY' END AS relays_type,
                strftime(l_shipdate, '%Y-%m') AS year_month
-        FROM lineitem),
+        FROM lineitem),"""
+
+ROBOT_PERIODS = """
 rcf AS (SELECT * FROM rcm WHERE relays_type <> 'UNKNOWN'),""" + _scd2(
     "rcf", "farm_license, device_number",
     "concat_ws(', ', freq_type_mixer, freq_type_roller, relays_type, phases)", "time", "cfg") + """,
@@ -182,6 +184,8 @@ cc AS (SELECT *,
                 + CAST(freq_controller_type_dosing_roller = 'COMMSK' AS INTEGER) AS commsk
        FROM ctl)"""
 
+ROBOT_DIM = ROBOT_MESSAGES + ROBOT_PERIODS
+
 FEED_FACT_TAIL = """
 fdn AS (SELECT f.*, d.name AS feed_name FROM fd f LEFT JOIN fdim d
           ON f.farm_license = d.farm_license AND f.feed_id = d.feed_id
@@ -211,8 +215,7 @@ nm AS (SELECT farm_license, feed_id, end_time AS time, min(name) AS name FROM lo
        GROUP BY farm_license, feed_id, end_time),{_scd2("nm", "farm_license, feed_id", "concat_ws(', ', name)", "time", "fdim")},
 {FEED_FACT_TAIL}"""
 
-RATION_FACT = f"""
-{FEEDS},{RATION_MEASURES_SQL},{RATION_DIM},
+RATION_FACT_TAIL = """
 rdn AS (SELECT r.*, d.name AS ration_name FROM rd r LEFT JOIN rdim d
           ON r.farm_license = d.farm_license AND r.ration_id = d.ration_id
          AND CAST(r.date AS TIMESTAMP) > d.time AND CAST(r.date AS TIMESTAMP) <= d.end_time),""" + _fill(
@@ -222,8 +225,9 @@ rdn AS (SELECT r.*, d.name AS ration_name FROM rd r LEFT JOIN rdim d
     ["avg_loading_speed_kg_per_h", "requested_weight_kg", "loaded_weight_kg", "avg_loading_deviation_kg",
      "total_loading_deviation_kg", "loading_accuracy_perc"], "rationfact")
 
-FARM_FACT = f"""
-{FEEDS},{FARM_MEASURES_SQL},{ROBOT_DIM},
+RATION_FACT = f"{FEEDS},{RATION_MEASURES_SQL},{RATION_DIM},{RATION_FACT_TAIL}"
+
+FARM_FACT_TAIL = """
 fj AS (SELECT f.*, c.schneider AS nr_schneider_freq_control, c.commsk AS nr_commsk_freq_control,
               row_number() OVER (PARTITION BY f.farm_license, f.date
                                  ORDER BY c.start_time DESC NULLS LAST, c.device_number DESC NULLS LAST,
@@ -238,6 +242,42 @@ fj1 AS (SELECT * EXCLUDE (_rn) FROM fj WHERE _rn = 1),""" + _fill(
     ["avg_loading_speed_kg_per_h", "requested_weight_kg", "loaded_weight_kg", "avg_loading_deviation_kg",
      "total_loading_deviation_kg", "loading_accuracy_perc"], "farmfact")
 
+FARM_FACT = f"{FEEDS},{FARM_MEASURES_SQL},{ROBOT_DIM},{FARM_FACT_TAIL}"
+
+# The layered run with rations and durations from the data: message tables keep one row per
+# key (of done messages the lightest, of others the smallest values), start and done messages of
+# equal farm, ration and number pair within 12 hours.
+LAYERED = f"""
+{LOADS},
+dones AS (SELECT * FROM (SELECT loads.*, CAST(l_orderkey % 3 + 1 AS INTEGER) AS ration_id, row_number() OVER (
+            PARTITION BY farm_license, end_time, l_orderkey % 3, seq_nr ORDER BY load_g, l_orderkey % 17 <> 0, l_orderkey) AS rn FROM loads)
+          WHERE rn = 1),
+starts AS (SELECT farm_license, CAST(l_orderkey % 3 + 1 AS INTEGER) AS ration_id, seq_nr,
+                  CAST(end_time AS TIMESTAMP) - to_minutes(load_req_g // 1000 % 700 + 1) AS start_time, min(load_req_g) AS load_req_g
+           FROM loads GROUP BY ALL),
+act AS (SELECT d.l_orderkey, s.farm_license, 1 AS device_number, s.ration_id, s.seq_nr, strftime(s.start_time, '%Y-%m') AS year_month,
+               sha256(concat_ws(chr(1), s.farm_license, 1, s.ration_id, s.seq_nr, 'robot', epoch_us(s.start_time))) AS loading_uuid,
+               s.start_time, CAST(d.end_time AS TIMESTAMP) AS end_time, s.load_req_g, d.load_g,
+               {_sec('CAST(d.end_time AS TIMESTAMP)')} - {_sec('s.start_time')} AS duration_s
+        FROM starts s JOIN dones d ON s.farm_license = d.farm_license AND s.ration_id = d.ration_id AND s.seq_nr = d.seq_nr
+         AND s.start_time < d.end_time AND {_sec('CAST(d.end_time AS TIMESTAMP)')} - {_sec('s.start_time')} < 43200),
+feeds AS (SELECT act.*, feed_id, req_g, got_g, completed, load_g / NULLIF(duration_s, 0) AS speed, got_g - req_g AS dev_g,
+                 least(req_g, got_g) / greatest(req_g, got_g) * 100 AS acc, CAST(start_time AS DATE) AS date
+          FROM act JOIN sent USING (l_orderkey) WHERE req_g > 0)"""
+
+LAYERED_FEED_DIM = """
+nm AS (SELECT farm_license, feed_id, end_time AS time, min(name) AS name, year_month FROM loads JOIN sent USING (l_orderkey)
+       GROUP BY farm_license, feed_id, end_time, year_month),""" + _scd2("nm", "farm_license, feed_id", "concat_ws(', ', name)", "time", "fdim")
+
+LAYERED_RATION_DIM = """
+rn AS (SELECT farm_license, nr AS ration_id, end_time AS time, min(name) AS name, year_month FROM loads JOIN sent USING (l_orderkey)
+       WHERE nr <> 0 GROUP BY farm_license, nr, end_time, year_month),""" + _scd2(
+    "rn", "farm_license, ration_id", "concat_ws(', ', name)", "time", "rdim")
+
+LAYERED_ROBOT_DIM = ROBOT_MESSAGES.replace("rcm AS", "rca AS") + """
+rcm AS (SELECT * EXCLUDE (nth) FROM (SELECT *, row_number() OVER (PARTITION BY farm_license, device_number, time
+          ORDER BY phases, freq_type_mixer, freq_type_roller, relays_type) AS nth FROM rca) WHERE nth = 1),""" + ROBOT_PERIODS
+
 FEED_FACT_COLS = ("farm_license, feed_id, date, nr_times_loaded, avg_loading_speed_kg_per_h, requested_weight_kg, "
                   "loaded_weight_kg, avg_loading_deviation_kg, total_loading_deviation_kg, "
                   "loading_accuracy_perc, feed_name")
@@ -514,6 +554,23 @@ SELECT o_orderstatus, CAST(year(a) AS INTEGER) AS year, count(*) AS n_pieces,
        CAST(sum(epoch(least(a + INTERVAL 1 HOUR, until)) - epoch(a)) AS BIGINT) AS seconds
 FROM hours GROUP BY o_orderstatus, year(a)""",
 
+    "pipeline_loading_activity": f"""WITH {LAYERED},
+sums AS (SELECT l_orderkey, CAST(count(*) AS INTEGER) AS n, CAST(sum(got_g) AS BIGINT) AS g FROM sent GROUP BY l_orderkey)
+SELECT farm_license, device_number, ration_id, seq_nr, year_month, loading_uuid, start_time, end_time,
+       load_req_g AS req_weight_ration_g, 0 AS weight_at_load_start_g, load_g AS loaded_weight_ration_g, duration_s,
+       CASE WHEN l_orderkey % 17 = 0 THEN NULL ELSE coalesce(n, 0) END AS n_results,
+       CASE WHEN l_orderkey % 17 = 0 THEN NULL ELSE coalesce(g, 0) END AS results_weight
+FROM act LEFT JOIN sums USING (l_orderkey)""",
+
+    "pipeline_robot_config_dim": f"WITH {LAYERED_ROBOT_DIM} SELECT * FROM cdim",
+    "pipeline_feed_names_dim": f"""WITH {LOADS},{LAYERED_FEED_DIM}
+SELECT farm_license, time AS start_time, feed_id, name, year_month, end_time, duration_s FROM fdim""",
+    "pipeline_ration_names_dim": f"""WITH {LOADS},{LAYERED_RATION_DIM}
+SELECT farm_license, time AS start_time, ration_id, name, year_month, end_time, duration_s FROM rdim""",
+    "pipeline_feed_fact": f"WITH {LAYERED},{FEED_MEASURES_SQL},{LAYERED_FEED_DIM},{FEED_FACT_TAIL} SELECT {FEED_FACT_COLS} FROM feedfact",
+    "pipeline_ration_fact": f"WITH {LAYERED},{RATION_MEASURES_SQL},{LAYERED_RATION_DIM},{RATION_FACT_TAIL} SELECT {RATION_FACT_COLS} FROM rationfact",
+    "pipeline_farm_fact": f"WITH {LAYERED},{FARM_MEASURES_SQL},{LAYERED_ROBOT_DIM},{FARM_FACT_TAIL} SELECT {FARM_FACT_COLS} FROM farmfact",
+
     "row_count_check": """
 SELECT 'lineitem' AS "table", count(*) AS n_rows, count(*) > 1 AS ok FROM lineitem
 UNION ALL SELECT 'orders', count(*), count(*) > 1 FROM orders

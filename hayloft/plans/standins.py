@@ -205,20 +205,35 @@ def _load_envelope(msg_type: str):
     ]
 
 
-def load_done_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """LOAD_DONE messages with JSON payloads (one per order, one result per line), bronze-shaped."""
+def load_done_messages(spark: SparkSession, sf_dir: str, *, varied: bool = False) -> DataFrame:
+    """LOAD_DONE messages with JSON payloads (one per order, one result per line), bronze-shaped.
+
+    ``varied``: the ration comes from the order's key instead of its number of lines.
+    """
     payload = F.struct(
-        F.col("seq_nr").alias("rationId"), F.col("got_g").alias("weight"), _results().alias("results"), F.col("seq_nr").alias("seqNr")
+        _ration(varied).alias("rationId"), F.col("got_g").alias("weight"), _results().alias("results"), F.col("seq_nr").alias("seqNr")
     )
     return _loads(spark, sf_dir).select(*_load_envelope("LOAD_DONE"), F.to_json(payload).alias("data"))
 
 
-def load_start_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """LOAD_START messages with JSON payloads (one per order), bronze-shaped."""
+def load_start_messages(spark: SparkSession, sf_dir: str, *, varied: bool = False) -> DataFrame:
+    """LOAD_START messages with JSON payloads (one per order), bronze-shaped.
+
+    ``varied``: rations as in :func:`load_done_messages`, sent 1 to 700 minutes before the
+    load is done, by the weight requested.
+    """
     payload = F.struct(
-        F.col("seq_nr").alias("rationId"), F.col("req_g").alias("reqWeight"), F.lit(0).alias("startWeight"), F.col("seq_nr").alias("seqNr")
+        _ration(varied).alias("rationId"), F.col("req_g").alias("reqWeight"), F.lit(0).alias("startWeight"), F.col("seq_nr").alias("seqNr")
     )
-    return _loads(spark, sf_dir).select(*_load_envelope("LOAD_START"), F.to_json(payload).alias("data"))
+    minutes = F.floor(F.col("req_g") / 1000) % 700 + 1
+    loads = _loads(spark, sf_dir)
+    if varied:
+        loads = loads.withColumn("end_time", F.timestamp_seconds(F.unix_seconds(F.col("end_time").cast("timestamp")) - 60 * minutes))
+    return loads.select(*_load_envelope("LOAD_START"), F.to_json(payload).alias("data"))
+
+
+def _ration(varied: bool):
+    return (F.col("l_orderkey") % 3 + 1).cast("int") if varied else F.col("seq_nr")
 
 
 def kitchen_feed_name_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,8 @@ def test_entry_runs(spark):
 @pytest.mark.parametrize("name", ["shred_json", "scd2_events", "pair_events_12h", "fill_days_supplier", "split_intervals_week",
                                   "pit_join_two_devices", "farm_fact_full", "kpi_farm_selected", "missing_days",
                                   "missing_days_null_key", "name_repair_keeps_texts", "csv_scan_lineage", "rejected_records",
-                                  "rejected_payloads", "table_rewrites", "reconcile_feed_days", "contract_findings", "split_intervals_century"])
+                                  "rejected_payloads", "table_rewrites", "reconcile_feed_days", "contract_findings", "split_intervals_century",
+                                  "pipeline_loading_activity", "pipeline_farm_fact"])
 def test_queries_match_their_sql(spark, name):
     import duckdb
 
