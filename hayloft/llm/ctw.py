@@ -174,25 +174,30 @@ def _token_hashes(s: W.Slice) -> tuple[np.ndarray, W.Words]:
     return W.signed(W.word_hashes(s.data, words)), words
 
 
-def _distinct_grams(table: pa.Table, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct grams of a group's texts, and how often each stands in its training texts."""
+def _distinct_grams(table: pa.Table, held: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray | None]:
+    """Sorted distinct grams of a group's texts and, given ``held``, how often each stands in its training texts."""
     sizes = pc.fill_null(pc.binary_length(table.column("text")), 0).to_numpy().astype(np.int64)
-    n_train = int(sizes[~held].sum())
+    counted = np.zeros(len(sizes), bool) if held is None else held
+    n_train = int(sizes[~counted].sum())
     grams = np.empty(int(sizes.sum()), np.int64)  # those of training texts first
     at = {False: 0, True: n_train}
     for s in W.slices(table.column("text")):
         own = pack_grams(W.LOWER[s.data], s.bounds)
-        out = np.repeat(held[s.first : s.first + s.n], np.diff(s.bounds))
+        out = np.repeat(counted[s.first : s.first + s.n], np.diff(s.bounds))
         for kind in (False, True):
             part = own[out == kind]
             grams[at[kind] : at[kind] + len(part)] = part
             at[kind] += len(part)
     train, other = grams[:n_train], grams[n_train:]
     train.sort()
-    other.sort()
     starts = _runs(train)
-    keys, n = train[starts], np.diff(np.append(starts, n_train))
-    other = other[_runs(other)] if len(other) else other
+    keys = train[starts]
+    if held is None:
+        return keys, None
+    n = np.diff(np.append(starts, n_train))
+    other.sort()
+    other = other[_runs(other)] if len(other) else other.copy()
+    del grams, train, starts  # the largest arrays, before the lists are merged
     return _sum_by(np.concatenate([keys, other]), np.concatenate([n, np.zeros(len(other), np.int64)]))
 
 
@@ -265,7 +270,7 @@ def _score_group(total: int, distinct: int, bundles: int):
 
     def run(table: pa.Table, looked_up: pa.Table) -> pa.Table:
         lists = looked_up.filter(pc.is_valid(looked_up.column("logs"))).sort_by("bundle")
-        grams, _ = _distinct_grams(table, table.column("held_out").to_numpy())
+        grams, _ = _distinct_grams(table)
         places, _, _ = _by_bundle(grams, bundles)
         logs = np.empty(len(grams))
         logs[places] = np.concatenate([np.zeros(0), *(_unpacked(v.as_py()) * LOG_UNIT for v in lists.column("logs"))])
