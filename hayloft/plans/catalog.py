@@ -468,7 +468,7 @@ def q_pipeline_loading_activity(spark, sf):
     loads = _layer_table("silver", "silver_loading_activity", schemas.SILVER_LOADING_ACTIVITY)(spark, sf)
     total = F.aggregate("results", F.lit(0).cast("long"), lambda a, r: a + r["weight"])
     sized = {"n_results": F.when(F.col("results").isNotNull(), F.size("results")), "results_weight": total}
-    return loads.withColumns(sized).drop("results", "loading_speed_ration_g_per_s")
+    return loads.withColumns(sized).drop("results")
 
 
 def q_rejected_records(spark, sf):

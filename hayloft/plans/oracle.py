@@ -253,7 +253,7 @@ dones AS (SELECT * FROM (SELECT loads.*, CAST(l_orderkey % 3 + 1 AS INTEGER) AS
             PARTITION BY farm_license, end_time, l_orderkey % 3, seq_nr ORDER BY load_g, l_orderkey % 17 <> 0, l_orderkey) AS rn FROM loads)
           WHERE rn = 1),
 starts AS (SELECT farm_license, CAST(l_orderkey % 3 + 1 AS INTEGER) AS ration_id, seq_nr,
-                  CAST(end_time AS TIMESTAMP) - to_minutes(load_req_g // 1000 % 700 + 1) AS start_time, min(load_req_g) AS load_req_g
+                  CAST(end_time AS TIMESTAMP) - to_seconds(1 << CAST(load_req_g // 1000 % 10 + 6 AS INTEGER)) AS start_time, min(load_req_g) AS load_req_g
            FROM loads GROUP BY ALL),
 act AS (SELECT d.l_orderkey, s.farm_license, 1 AS device_number, s.ration_id, s.seq_nr, strftime(s.start_time, '%Y-%m') AS year_month,
                sha256(concat_ws(chr(1), s.farm_license, 1, s.ration_id, s.seq_nr, 'robot', epoch_us(s.start_time))) AS loading_uuid,
@@ -558,6 +558,7 @@ FROM hours GROUP BY o_orderstatus, year(a)""",
 sums AS (SELECT l_orderkey, CAST(count(*) AS INTEGER) AS n, CAST(sum(got_g) AS BIGINT) AS g FROM sent GROUP BY l_orderkey)
 SELECT farm_license, device_number, ration_id, seq_nr, year_month, loading_uuid, start_time, end_time,
        load_req_g AS req_weight_ration_g, 0 AS weight_at_load_start_g, load_g AS loaded_weight_ration_g, duration_s,
+       load_g / duration_s AS loading_speed_ration_g_per_s,
        CASE WHEN l_orderkey % 17 = 0 THEN NULL ELSE coalesce(n, 0) END AS n_results,
        CASE WHEN l_orderkey % 17 = 0 THEN NULL ELSE coalesce(g, 0) END AS results_weight
 FROM act LEFT JOIN sums USING (l_orderkey)""",

@@ -219,16 +219,17 @@ def load_done_messages(spark: SparkSession, sf_dir: str, *, varied: bool = False
 def load_start_messages(spark: SparkSession, sf_dir: str, *, varied: bool = False) -> DataFrame:
     """LOAD_START messages with JSON payloads (one per order), bronze-shaped.
 
-    ``varied``: rations as in :func:`load_done_messages`, sent 1 to 700 minutes before the
-    load is done, by the weight requested.
+    ``varied``: rations as in :func:`load_done_messages`, sent before the load is done by
+    2**6 to 2**15 seconds, as the weight requested has it (powers of two, so that sums of
+    speeds are exact in any order).
     """
     payload = F.struct(
         _ration(varied).alias("rationId"), F.col("req_g").alias("reqWeight"), F.lit(0).alias("startWeight"), F.col("seq_nr").alias("seqNr")
     )
-    minutes = F.floor(F.col("req_g") / 1000) % 700 + 1
+    ahead = F.pow(F.lit(2), F.floor(F.col("req_g") / 1000) % 10 + 6).cast("long")
     loads = _loads(spark, sf_dir)
     if varied:
-        loads = loads.withColumn("end_time", F.timestamp_seconds(F.unix_seconds(F.col("end_time").cast("timestamp")) - 60 * minutes))
+        loads = loads.withColumn("end_time", F.timestamp_seconds(F.unix_seconds(F.col("end_time").cast("timestamp")) - ahead))
     return loads.select(*_load_envelope("LOAD_START"), F.to_json(payload).alias("data"))
 
 
