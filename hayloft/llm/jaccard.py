@@ -38,8 +38,9 @@ from hayloft.llm.tables import stored, text_key
 SHINGLE_WORDS = 3
 PERCENT = 90  # documents link when 100 * intersection >= PERCENT * union
 BLOCK_ROWS = 256
-BLOCK_SHINGLES = 2_000_000  # of all rows of a row block together
+BLOCK_SHINGLES = 1_000_000  # of all rows of a row block together
 BLOCK_COLUMNS = 4096
+FILTER_BITS = 22  # the filter of clustered rows has 2 ** 22 bits at any size, in words of 64
 _U = np.uint64
 _SET = _U(0xA0761D6478BD642F)
 
@@ -213,6 +214,20 @@ def _product(percent: int):
     return run
 
 
+def _maybe_in(df: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """``df`` without most rows whose key is not among ``wanted``: those outside a bitmap of hashed keys.
+
+    The bitmap is broadcast; it has at most ``2 ** FILTER_BITS / 64`` rows. The fuller it is, the
+    more rows stay, so an exact join has to follow.
+    """
+    slot = F.pmod(F.xxhash64(key), F.lit(1 << FILTER_BITS))
+    word, bit = F.floor(slot / 64).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), (slot % 64).cast("int"))
+    bitmap = wanted.select(word, bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    bitmap = stored(bitmap, "jaccard-filter")
+    marked = df.select("*", word, bit.alias("bit")).join(F.broadcast(bitmap), "word")
+    return marked.where(F.col("bits").bitwiseAND(F.col("bit")) != 0).select(*df.columns)
+
+
 def _tasks(rows: DataFrame, percent: int, block_rows: int, block_shingles: int) -> DataFrame:
     """``fp, n, cluster`` -> the pairs of row blocks each row takes part in: ``fp, task, first, second``."""
     ends = size_levels(percent)
@@ -288,7 +303,7 @@ def link_classes(
         "jaccard-clusters",
     )
     rows = stored(clusters.join(distinct, "fp").select("fp", "cluster", "n", "copies", "key"), "jaccard-rows")
-    texts = base.select(F.struct("id", "tkey").alias("key"), "text")
+    texts = _maybe_in(base.select(F.struct("id", "tkey").alias("key"), "text"), rows, "key")
     sets = stored(
         texts.join(rows.select("key", "fp", "copies").hint("merge"), "key")  # the same plan at every size
         .select("fp", "copies", "text")
