@@ -68,6 +68,35 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+_SCRATCH: dict[str, list[str]] = {}  # by application, in the order of their making
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique folder below the checkpoint root for written intermediates."""
-    return os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    """A new, unique folder below the checkpoint root for written intermediates.
+
+    An intermediate must outlive the DataFrames that read it; :func:`release_scratch` removes
+    those that are no longer needed, once a result that rests on them is written.
+    """
+    path = os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def scratch_mark(spark: SparkSession) -> int:
+    """Says which intermediates are made from now on."""
+    return len(_SCRATCH.get(spark.sparkContext.applicationId, []))
+
+
+def release_scratch(spark: SparkSession, mark: int = 0, *, but_last: bool = False) -> int:
+    """Remove the intermediates made since ``mark`` (all of this application by default).
+
+    ``but_last`` keeps the newest, the written result itself. Returns how many were removed.
+    """
+    made = _SCRATCH.get(spark.sparkContext.applicationId, [])
+    gone = made[mark : -1 if but_last else None]
+    kept = made[-1:] if but_last and len(made) > mark else []
+    made[mark:] = kept
+    for path in gone:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return len(gone)

@@ -145,3 +145,17 @@ def test_payloads_are_parsed_or_rejected(spark):
     assert sorted((r.id, r.data) for r in bad.collect()) == [(2, '{"n": 1, "xs"'), (3, '{"n": "one"}'), (5, ""), (6, "[1]")]
     assert [r.xs[0].v for r in good.where("id = 1").collect()] == [2]
     assert shred(df, "A", ddl, {"n": "n"}).count() == 8  # kept by default
+
+
+def test_released_intermediates_are_removed(spark):
+    from hayloft.session import release_scratch, scratch_mark, scratch_path
+
+    kept = scratch_path(spark, "before")
+    mark = scratch_mark(spark)
+    paths = [scratch_path(spark, "t") for _ in range(3)]
+    for p in [kept, *paths]:
+        spark.range(3).write.parquet(p)
+    assert release_scratch(spark, mark, but_last=True) == 2
+    assert [os.path.exists(p) for p in [kept, *paths]] == [True, False, False, True]
+    assert release_scratch(spark, mark) == 1 and not os.path.exists(paths[2])
+    assert os.path.exists(kept)
