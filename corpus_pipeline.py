@@ -3,6 +3,12 @@
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; ``run``
 applies them in order, each over the written result of the one before. All but
 the last return the columns of ``documents``.
+
+Defined cases, in every stage: rows with a NULL, empty or very long text, repeated rows
+and NULL ids are handled as the stage's operator states, and no row is lost or changed but
+by the stage's decision; further columns are carried, whatever they are called; an
+empty table gives an empty table. What a stage wrote for itself is removed once its result
+is written.
 """
 
 from __future__ import annotations
@@ -11,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hayloft.llm import decontam, mixing, quality, sharding, simhash
 from hayloft.llm.tables import read, stored, tune
+from hayloft.session import release_scratch, scratch_mark
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,7 +66,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     for at, (name, stage) in enumerate(STAGES):
+        mark = scratch_mark(spark)
         docs = stage(spark, docs, sf_dir)
         if at + 1 < len(STAGES):
             docs = stored(docs, f"pipeline-{name}")
+            release_scratch(spark, mark, but_last=True)
     return docs

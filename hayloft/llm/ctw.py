@@ -396,7 +396,8 @@ def score_documents(
     Defined cases: a NULL or empty text has probability 1 (score 0) and the end
     token alone; a ``held_out`` that is NULL counts as false; without training
     texts every bit has probability 1/2; repeated rows all count and are scored
-    alike; an empty table gives an empty table. Further columns are not carried.
+    alike; a very long text makes its group of texts as much larger; an empty table gives
+    an empty table. Further columns are not carried.
     """
     base = docs.select(
         F.col(id_col).alias("id"),

@@ -176,7 +176,7 @@ def contamination(
     Defined cases: a NULL or empty text has no words and no hits; an item that
     is NULL or has no words has no windows; repeated items count under each of
     their ids, repeated rows are judged alike; empty tables give no hits or no
-    rows. The input's columns are nested, so no name can clash.
+    rows; a very long text is searched whole. The input's columns are nested, so no name can clash.
     """
     windows = stored(item_windows(benchmark.select("item_id", "text"), window), "decontam-windows")
     shingles = stored(

@@ -157,7 +157,8 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     Defined cases: a NULL source is a source of its own, last in order; a NULL or
     empty text has size 0 and follows the selection of its place; a source
     without words has target 0 and none of its rows are taken; rows equal in id,
-    text and source share one decision; an empty table gives an empty table.
+    text and source share one decision; a very long text counts whole, and a source ends
+    within half a document of its target; an empty table gives an empty table.
     """
     row = F.struct(*[F.col(c) for c in docs.columns]).alias("row")
     taken = copies(draw_documents(docs, row), mix_plan(docs, **options))

@@ -361,7 +361,8 @@ def judge(docs: DataFrame, model: Model, carry: list[str] | None = None) -> Data
     """``row`` (the carried columns, by default all) with the counts, ``base_failed``, ``kept`` and both probabilities.
 
     Defined cases: a NULL or empty text has no words, all counts 0, and fails the
-    base rule; repeated rows are judged alike; an empty table gives an empty table.
+    base rule; repeated rows are judged alike; a very long text is counted and scored
+    whole; an empty table gives an empty table.
     The input's columns are nested, so no name can clash.
     """
     carry = carry if carry is not None else docs.columns

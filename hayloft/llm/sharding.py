@@ -75,8 +75,8 @@ def assign_shards(docs: DataFrame, key: str = "doc_id", text: str = "text", shar
     """``row`` (all of ``docs``' columns), ``shard``, ``slot`` and ``grown_shard`` (with one shard more).
 
     Defined cases: a NULL key is a key like any other; repeated keys share a
-    shard but not a slot; a NULL text counts as empty; an empty table gives an
-    empty table. The input's columns are nested, so no name can clash.
+    shard but not a slot; a NULL text counts as empty; a very long text is only
+    hashed; an empty table gives an empty table. The input's columns are nested, so no name can clash.
     """
     keyed = docs.select(
         F.struct(*[F.col(c) for c in docs.columns]).alias("row"),

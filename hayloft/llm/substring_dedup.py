@@ -229,7 +229,8 @@ def remove_copies(
     Defined cases: a NULL or empty text has no words and comes back empty; a
     text of fewer than ``window`` words is never cut; rows with equal ids do not
     count as smaller than each other; a NULL id is larger than every other id
-    and equal to other NULL ids; an empty table gives an empty table.
+    and equal to other NULL ids; ids must be whole numbers or castable to them (others
+    fail); a very long text is cut whole, in one row; an empty table gives an empty table.
     """
     base = docs.select(
         F.col(id_col).alias("id"),
