@@ -11,9 +11,12 @@ from hayloft.functions.time import epoch_seconds
 from hayloft.operators.pairing import pair_events
 from hayloft.operators.scd import scd2
 
+# Columns of the message envelope, keys that pair messages, the longest load, and
+# the controllers' names in the dimension.
 ENVELOPE_COLUMNS = ("device_type", "msg_type", "processing_time", "data", "source_path")
 ACTIVITY_KEYS = ("farm_license", "device_number", "ration_id", "seq_nr")
 MAX_LOADING_SECONDS = 12 * 3600
+CONTROLLER_NAMES = {"freq_type_mixer": "freq_controller_type_mixer", "freq_type_roller": "freq_controller_type_dosing_roller"}
 # Fixed value: phase labels mapped to the number of phases.
 PHASES_MAP = {"THREE_PHASE": "3", "ONE_PHASE": "1"}
 
@@ -76,12 +79,7 @@ def robot_config_dim(robot_config: DataFrame, *, id_mode: str = "hash") -> DataF
             "config_uuid",
             surrogate_key("farm_license", "device_number", F.unix_micros("start_time"), *tracked, mode=id_mode),
         )
-        .withColumnsRenamed(
-            {
-                "freq_type_mixer": "freq_controller_type_mixer",
-                "freq_type_roller": "freq_controller_type_dosing_roller",
-            }
-        )
+        .withColumnsRenamed(CONTROLLER_NAMES)
         .replace(PHASES_MAP, subset=["phases"])
     )
 
