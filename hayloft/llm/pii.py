@@ -51,23 +51,76 @@ _PHONE = (
     r"|(?<![\w+-])(?<!\d\.)(?:0\d(?:[ .-]\d\d){4}|0\d{1,4}(?:[ /-]\d{2,8}){1,4}"
     r"|\d{3}(?P<dot>[ .])\d{3}(?P=dot)\d{4}|[6-9]\d\d(?P<sep>[ .-])\d{3}(?P=sep)\d{3})(?!\d))"
 )
-_PATTERN = re.compile(
-    "|".join(
-        [
-            # only from the start of a run of address characters: linear on long runs without an @
-            r"(?P<email>(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})",
-            r"(?<![\w.])(?P<ip>(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3})(?![\w]|\.\d)",
-            # the groups after an IBAN, a card or a phone may be other numbers: where it ends is settled in find
-            r"\b(?P<iban>[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)",
-            r"(?<!\d)(?P<ssn>\d{3}-\d{2}-\d{4})(?!\d)",
-            r"(?<![\d+])(?P<card>\d(?:[ -]?\d){12,37})",
-            _PHONE,
-            r"(?i:\b(?:token|secret|api[_-]?key|password|passwd)\b\s*[:=]\s*[\"']?)(?P<secret>[A-Za-z0-9_\-]{8,})",
-            r"\b(?P<given>" + "|".join(sorted(_GIVEN, key=len, reverse=True)) + r")\b(?: (?P<family>(?=[^\W\d_])" + _FAMILY + r"))?",
-            r"\b(?:" + "|".join(TITLES) + r")\.? (?P<titled>" + _FAMILY + r")",
-        ]
-    )
+
+
+def _by_first_letter(words) -> str:
+    """One of the words at the start of a word. A set of first letters leads, which the search skips to."""
+    letters = "[" + "".join(sorted({w[0] for w in words})) + "]"
+    rests = {c: sorted((w[1:] for w in words if w[0] == c), key=len, reverse=True) for c in letters[1:-1]}
+    return rf"{letters}(?<!\w{letters})(?:" + "|".join(f"(?<={c})(?:{'|'.join(r)})" for c, r in rests.items()) + ")"
+
+
+# One pattern per way to begin, each led by what the search can skip to; see _leftmost.
+# only from the start of a run of address characters: linear on long runs without an @
+_ADDRESS = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-"
+_EMAIL = re.compile(r"(?<![A-Za-z0-9._%+-])(?P<email>[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})")
+# the groups after an IBAN, a card or a phone may be other numbers: where it ends is settled in find
+_IBAN = re.compile(r"(?P<iban>[A-Z]{2}\d{2}(?<!\w[A-Z]{2}\d{2})(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)")
+_NUMBER = re.compile(
+    r"(?<![\w.])(?P<ip>(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3})(?![\w]|\.\d)"
+    r"|(?<!\d)(?P<ssn>\d{3}-\d{2}-\d{4})(?!\d)"
+    r"|(?<![\d+])(?P<card>\d(?:[ -]?\d){12,37})"
+    r"|" + _PHONE
+)
+_NUMBER_START = re.compile(r"[\d+(](?:(?<=\d)\d+)?")  # none of them begins inside a run of digits
+# (ſ equals s where case does not count)
+_SECRET = re.compile(
+    r"[AaPpSsTtſ](?<!\w[AaPpSsTtſ])(?i:(?:(?<=t)oken|(?<=s)ecret|(?<=a)pi[_-]?key|(?<=p)ass(?:word|wd))\b\s*[:=]\s*[\"']?)"
+    r"(?P<secret>[A-Za-z0-9_\-]{8,})"
 )
+_PERSON = re.compile(rf"(?P<given>{_by_first_letter(_GIVEN)})\b(?: (?P<family>(?=[^\W\d_]){_FAMILY}))?")
+_TITLED = re.compile(rf"{_by_first_letter(TITLES)}\.? (?P<titled>{_FAMILY})")
+
+
+def _email(text: str, at: int) -> re.Match | None:
+    """The first address from ``at`` on, looked for from its @."""
+    mark = text.find("@", at)
+    while mark >= 0:
+        start = mark
+        while start > at and text[start - 1] in _ADDRESS:
+            start -= 1
+        if m := _EMAIL.match(text, start):
+            return m
+        mark = text.find("@", mark + 1)
+    return None
+
+
+def _number(text: str, at: int) -> re.Match | None:
+    """The first number from ``at`` on, tried only where one may begin."""
+    for start in _NUMBER_START.finditer(text, at):
+        if m := _NUMBER.match(text, start.start()):
+            return m
+    return None
+
+
+#: in order of precedence at one place
+_SEARCHES = (_email, _IBAN.search, _number, _SECRET.search, _PERSON.search, _TITLED.search)
+
+
+def _leftmost(text: str, at: int, ahead: list[re.Match | None]) -> re.Match | None:
+    """The first match of any search from ``at`` on.
+
+    ``ahead`` keeps the next match of each, so that a text is read once by each search.
+    """
+    first = None
+    for i, search in enumerate(_SEARCHES):
+        if at == 0 or (ahead[i] and ahead[i].start() < at):
+            ahead[i] = search(text, at)
+        if ahead[i] and (first is None or ahead[i].start() < first.start()):
+            first = ahead[i]
+    return first
+
+
 _PHONE_ALONE = re.compile(_PHONE)
 #: Characters of an IBAN by country; digits of a national number by country code (least, most).
 IBAN_LENGTHS = {
@@ -184,23 +237,23 @@ def _is_name(word: str) -> bool:
 
 def find(text: str) -> list[tuple[int, int, str, str]]:
     """``(start, end, kind, canonical form)`` of every entity, left to right."""
-    out, families, at = [], set(), 0
-    while m := _PATTERN.search(text, at):
-        kind, at = m.lastgroup, m.end()
-        if m.group("given"):
+    out, families, at, ahead = [], set(), 0, [None] * len(_SEARCHES)
+    while m := _leftmost(text, at, ahead):
+        groups, at = m.groupdict(), m.end()
+        if "given" in groups:
             a, b = m.span("given")
             out.append((a, b, "given", m.group("given")))
             if m.group("family") and _is_name(m.group("family")):
                 out.append((*m.span("family"), "family", m.group("family").casefold()))
                 families.add(m.group("family"))
-        elif m.group("titled"):
+        elif "titled" in groups:
             if m.group("titled") in _GIVEN:
                 out.append((*m.span("titled"), "given", m.group("titled")))
             elif _is_name(m.group("titled")):
                 out.append((*m.span("titled"), "family", m.group("titled").casefold()))
                 families.add(m.group("titled"))
         else:
-            kind = next(k for k in KINDS if m.groupdict().get(k))
+            kind = next(k for k in KINDS if groups.get(k))
             a, b = m.span(kind)
             if kind == "iban":
                 b = _iban_end(text, a, b)

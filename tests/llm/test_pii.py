@@ -161,3 +161,23 @@ def test_a_format_that_runs_out_grows(spark):
 def test_a_text_over_one_mebibyte():
     text = "word " * 220_000 + "call +33 6 12 34 56 78"
     assert entities(text) == [("+33 6 12 34 56 78", "phone")]
+
+
+def test_searches_find_what_one_alternation_finds():
+    """The searches taken together against one pattern of all alternatives, at every place where a search may go on."""
+    import random
+
+    pieces = [pii._EMAIL, pii._IBAN, pii._NUMBER, pii._SECRET, pii._PERSON, pii._TITLED]
+    union = re.compile("|".join(p.pattern for p in pieces))
+    rng = random.Random(7)
+    bits = ["Anna", "Мария", "Άννα", " ", " ", ".", ",", "@", "a@b.de", "+", "(", ")", "-", "555", "4567", "0", "12", "+33",
+            "DE89", "3704", "X", "token", "ſecret", "PASSWORD", ":", "=", "abcd1234ef", "Mr", "Dr.", " Weber", " Keller-Lang",
+            "10.0.0.1", "123-45-6789", "4111 1111 1111 1111", "_", "x", "\n", "٣", "xAnna", "Madame", "Mme"]
+    for _ in range(5000):
+        text = "".join(rng.choice(bits) for _ in range(rng.randrange(1, 14)))
+        at, ahead = 0, [None] * len(pii._SEARCHES)
+        while m := pii._leftmost(text, at, ahead):
+            plain = union.search(text, at)
+            assert (m.span(), m.group()) == (plain.span(), plain.group())
+            at = m.start() + rng.randrange(1, m.end() - m.start() + 1)
+        assert union.search(text, at) is None
