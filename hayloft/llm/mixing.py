@@ -11,8 +11,9 @@ the target takes documents in key order while the prefix sum of sizes reaches
 it. No source is sorted as a whole: sizes are summed per source and key bucket
 (geometric buckets, so one holds at most about 0.1 % of a source whatever the
 qualities are), a prefix sum over buckets finds the one in which the target
-falls, and only its rows are ordered. All of it is DataFrame code, and the text
-is never shuffled.
+falls, and only its rows are ordered, equal ones as one place with a count. Where the
+target falls among equal rows, as many of them are taken as it asks for. All of it is
+DataFrame code, and the text is shuffled for such equal rows only.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ SEED = "mix"
 BUCKETS_PER_OCTAVE = 512
 #: the per-source plan is broadcast up to this many sources, joined by a shuffle beyond it
 BROADCAST_SOURCES = 1000
+#: equal rows that a split group is written out in at a time
+PIECE = 4096
 
 
 def size_in_words(text: str = "text") -> Column:
@@ -100,18 +103,30 @@ def plan(
         .where((F.col("upto") - F.col("n") < F.col("rest")) & (F.col("rest") <= F.col("upto")))
         .select("of", F.col("bucket").alias("end_bucket"), (F.col("upto") - F.col("n")).alias("base"), "rest")
     )
-    # only the rows of the last bucket are put in order; equal rows share one decision
+    # only the places of the last bucket are put in order; rows equal in place are counted before
     order = Window.partitionBy("of").orderBy("key", F.col("id").asc_nulls_last(), "digest")
-    peers = Window.partitionBy("of", "key", "id", "digest")
-    last = (
+    places = (
         drawn.join(ends, F.col("source").eqNullSafe(F.col("of")) & (F.col("bucket") == F.col("end_bucket")))
-        .withColumn("middle", F.col("base") + F.sum("size").over(order) - F.sum("size").over(peers) / 2)
-        .where("middle < rest")
+        .groupBy("of", "base", "rest", "key", "id", "digest")
+        .agg(F.count("*").alias("rows"), F.sum("size").alias("words"))
+        .withColumn("left", F.col("rest") - F.col("base") - (F.sum("words").over(order) - F.col("words")))
+    )
+    # a row is taken if its middle lies before the end
+    fits = F.ceil(F.try_divide(F.col("left") * F.col("rows"), F.col("words")) - 0.5).cast("long")
+    fits = F.when(F.col("words") > 0, F.least("rows", F.greatest(F.lit(0), fits)))
+    taken = F.coalesce(fits, F.when(F.col("left") > 0, F.col("rows")), F.lit(0)).cast("long")
+    last = (
+        places.withColumn("taken", taken)
+        .where("taken > 0")
         .groupBy("of")
-        .agg(F.max(_place()).alias("last"))
+        .agg(
+            F.max(F.when(F.col("taken") == F.col("rows"), _place())).alias("last"),
+            F.max(F.when(F.col("taken") < F.col("rows"), F.struct(_place().alias("place"), "taken", "rows"))).alias("split"),
+        )
     )
     ends = ends.join(last.withColumnRenamed("of", "of2"), F.col("of").eqNullSafe(F.col("of2")), "left")
-    return targets.join(ends.select("of", "end_bucket", "last"), F.col("source").eqNullSafe(F.col("of")), "left").drop("of")
+    ends = ends.select("of", "end_bucket", "last", "split")
+    return targets.join(ends, F.col("source").eqNullSafe(F.col("of")), "left").drop("of")
 
 
 def _place() -> Column:
@@ -126,16 +141,44 @@ def bucket_of_key() -> Column:
 def copies(drawn: DataFrame, plans: DataFrame) -> DataFrame:
     """``drawn`` with ``source_size``, ``target`` and ``copies``: how often the mix takes the document."""
     plans = plans.withColumnRenamed("source", "of")
-    if plans.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
+    sources, splits = plans.agg(F.count("*"), F.count("split")).first()
+    if sources <= BROADCAST_SOURCES:
         plans = F.broadcast(plans)
     partly = (F.col("bucket") < F.col("end_bucket")) | (
         (F.col("bucket") == F.col("end_bucket")) & (_place() <= F.col("last"))
     )
-    return (
-        drawn.join(plans, F.col("source").eqNullSafe(F.col("of")))
-        .withColumn("copies", F.col("epochs") + F.coalesce(partly, F.lit(False)).cast("int"))
-        .drop("of", "rest", "epochs", "end_bucket", "last")
+    planned = drawn.join(plans, F.col("source").eqNullSafe(F.col("of")))
+    counted = planned.withColumn("copies", F.col("epochs") + F.coalesce(partly, F.lit(False)).cast("int"))
+    columns = [*drawn.columns, "source_size", "target", "copies"]
+    if not splits:
+        return counted.select(*columns)
+    is_split = F.coalesce((F.col("bucket") == F.col("end_bucket")) & (_place() == F.col("split.place")), F.lit(False))
+    return counted.where(~is_split).select(*columns).unionByName(_split_rows(planned.where(is_split), drawn.columns))
+
+
+def _split_rows(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """The rows at the places where the fractional selection ends, one copy more for the part it takes.
+
+    Equal rows are counted and written out again, so no row needs a number. Where rows of a
+    place differ in carried columns, each kind gives its share, rounded by a hash.
+    """
+    kinds = rows.groupBy(*columns, "source_size", "target", "epochs", "split").count()
+    share = F.col("count") * F.col("split.taken") / F.col("split.rows")
+    turn = F.pmod(F.xxhash64(F.to_json(F.struct(*columns))), F.lit(1 << 20)) / float(1 << 20)
+    parts = F.array(
+        F.struct((F.col("epochs") + 1).alias("copies"), F.col("more").alias("n")),
+        F.struct(F.col("epochs").alias("copies"), (F.col("count") - F.col("more")).alias("n")),
+    )
+    pieces = (
+        kinds.withColumn("more", F.floor(share + turn))
+        .select(*columns, "source_size", "target", F.explode(parts).alias("part"))
+        .where("part.n > 0")
+        .withColumn("piece", F.explode(F.expr(f"sequence(0, (part.n - 1) div {PIECE})")))
+        .repartition("piece", "id", "digest")
     )
+    rest = F.least(F.lit(PIECE), F.col("part.n") - F.col("piece") * PIECE).cast("int")
+    out = pieces.withColumn("copies", F.col("part.copies")).withColumn("row_number", F.explode(F.sequence(F.lit(1), rest)))
+    return out.select(*columns, "source_size", "target", "copies")
 
 
 def draw_documents(docs: DataFrame, *carry: Column, seed: str = SEED, quality: Column | None = None) -> DataFrame:
@@ -156,8 +199,9 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
 
     Defined cases: a NULL source is a source of its own, last in order; a NULL or
     empty text has size 0 and follows the selection of its place; a source
-    without words has target 0 and none of its rows are taken; rows equal in id,
-    text and source share one decision; a very long text counts whole, and a source ends
+    without words has target 0 and none of its rows are taken; of rows equal in id,
+    text and source as many are taken as the target asks for (rows that differ in other
+    columns give their shares, rounded); a very long text counts whole, and a source ends
     within half a document of its target; an empty table gives an empty table.
     """
     row = F.struct(*[F.col(c) for c in docs.columns]).alias("row")

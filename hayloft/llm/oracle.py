@@ -36,12 +36,11 @@ WITH docs AS (
 ), ordered AS (
   SELECT d.doc_id, d.size, t.source_size, t.target,
     CASE WHEN t.source_size > 0 THEN floor(t.target / t.source_size) ELSE 0 END AS epochs,
-    sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.doc_id NULLS LAST, d.digest) AS upto,
-    sum(d.size) OVER (PARTITION BY d.source, d.key, d.doc_id, d.digest) AS peers
+    sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.doc_id NULLS LAST, d.digest ROWS UNBOUNDED PRECEDING) AS upto
   FROM drawn d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
 )
 SELECT doc_id, size, source_size, target,
-  CAST(size * (epochs + CASE WHEN upto - peers / 2.0 < target - epochs * source_size THEN 1 ELSE 0 END) AS BIGINT) AS taken
+  CAST(size * (epochs + CASE WHEN upto - size / 2.0 < target - epochs * source_size THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM ordered
 """
 

@@ -42,10 +42,10 @@ def brute(rows, quality=lambda text: 1.0, **options):
         rest, upto = targets[source] - epochs * sizes[source], 0
         for place in sorted({d[0] for d in docs}):
             peers = [d for d in docs if d[0] == place]
-            own = sum(n for _, n, _ in peers)
-            upto += own
-            taken = epochs + (upto - own / 2 < rest)
-            out += [(doc_id, n, sizes[source], round(targets[source], 6), n * taken) for _, n, doc_id in peers]
+            for _, n, doc_id in peers:
+                upto += n
+                taken = epochs + (upto - n / 2 < rest)
+                out.append((doc_id, n, sizes[source], round(targets[source], 6), n * taken))
     return sorted(out, key=str)
 
 
@@ -97,3 +97,20 @@ def test_empty_tables(spark):
     assert mixing.mixed_documents(empty).collect() == []
     wordless = spark.createDataFrame([(1, None, "en", "a", 0), (2, " ", "en", None, 1)], texts.SCHEMA)
     assert ran(wordless, F.lit(1.0)) == [(1, 0, 0, 0.0, 0), (2, 0, 0, 0.0, 0)]
+
+
+def test_equal_rows_are_split_at_the_target(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "PIECE", 7)  # several pieces
+    rows = [(None, "one two three four five", "en", "a", 0)] * 40 + [(i, "six seven", "en", "b", 0) for i in range(30)]
+    df = spark.createDataFrame(rows, texts.SCHEMA).repartition(5)
+    got = ran(df, F.lit(1.0))
+    assert got == brute(rows) and len(got) == 70
+    taken, target = sum(r[4] for r in got if r[0] is None), got[-1][3]
+    assert abs(taken - target) <= 2.5
+    assert mixing.mixed_documents(df).where("doc_id IS NULL").count() == taken // 5
+
+
+def test_equal_places_with_other_columns_give_their_shares(spark):
+    rows = [(7, "one two three four five", f"l{i % 400}", "a", i) for i in range(2000)]
+    out = mixing.mixed_documents(spark.createDataFrame(rows, texts.SCHEMA), weights=(1,), budget=0.5)
+    assert out.count() == out.distinct().count() and abs(out.count() - 1000) < 100
