@@ -47,8 +47,12 @@ def kpi_series(
         raise ValueError(f"unknown KPI {kpi!r}")
     for d in dims:
         out = out.where(F.col(d).isNotNull())
+    # Dealt by ranges of ``dims`` first: grouping and order then need no exchange of their own. A
+    # fact has about one row per group, so that combining before the exchange would save nothing.
     return (
-        out.groupBy(*dims)
+        out.select(*dims, kpi)
+        .repartitionByRange(*dims)
+        .groupBy(*dims)
         .agg(F.coalesce(F.sum(kpi), F.lit(0)).alias(kpi))
         .orderBy(*dims)
     )
