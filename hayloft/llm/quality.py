@@ -31,6 +31,9 @@ DIMENSIONS_LOG2 = 20
 SAMPLE_ROWS = 4000
 SAMPLE_FEATURES = 16_000_000
 EPOCHS = 15
+#: what a worker holds beside its rows grows with these two: bytes of texts, and cells
+SLICE_BYTES = 1 << 18
+CELLS_AT_ONCE = 1 << 16
 L2 = 1e-4
 HEADS = ("quality", "toxic")
 
@@ -101,7 +104,7 @@ def _features(batches):
     """Sparse features of each labelled text, as parallel arrays of cells and values."""
     for batch in batches:
         cells_out, values_out = [], []
-        for s in W.slices(batch.column("text")):
+        for s in W.slices(batch.column("text"), SLICE_BYTES):
             cells, bounds = _gram_cells(s)
             for t in range(s.n):
                 dense: dict[str, list] = {"c": [], "v": []}
@@ -145,6 +148,7 @@ def fit(cells: list[np.ndarray], values: list[np.ndarray], labels: np.ndarray, e
     """Logistic regression by AdaGrad over small batches, then Platt scaling on every fifth row.
 
     A head whose labels are all alike gets that share, smoothed, as a constant probability.
+    The lists are used up: a row is cut to its telling cells, and its former arrays are let go.
     """
     size, heads = 1 << DIMENSIONS_LOG2, labels.shape[1]
     weights = np.zeros((size, heads), np.float32)
@@ -155,8 +159,9 @@ def fit(cells: list[np.ndarray], values: list[np.ndarray], labels: np.ndarray, e
     train = np.flatnonzero(~held)
     telling = np.stack([_telling([cells[r] for r in train], labels[train, h], size) for h in range(heads)], axis=1)
     usual = telling.any(axis=1)
-    values = [v[usual[c]] for c, v in zip(cells, values)]
-    cells = [c[usual[c]] for c in cells]
+    for r, c in enumerate(cells):
+        use = usual[c]
+        cells[r], values[r] = c[use], values[r][use]
     draw = np.random.default_rng(17)
     share = np.clip(labels.mean(axis=0) if len(labels) else np.full(heads, 0.5), 1e-3, 1 - 1e-3)
     # both classes of a head weigh the same
@@ -194,19 +199,28 @@ def fit(cells: list[np.ndarray], values: list[np.ndarray], labels: np.ndarray, e
 
 
 def _telling(cells: list[np.ndarray], labels: np.ndarray, size: int) -> np.ndarray:
-    """Which cells' presence in a row goes with the row's label."""
-    count = lambda y: np.bincount(
-        np.concatenate([np.zeros(0, np.int64), *(c for c, own in zip(cells, labels) if own == y)]), minlength=size
-    ).astype(float)
+    """Which cells' presence in a row goes with the row's label. A row's cells are distinct."""
+
+    def count(y: int) -> np.ndarray:
+        rows_with = np.zeros(size)
+        for c, own in zip(cells, labels):
+            if own == y:
+                rows_with[c] += 1
+        return rows_with
+
     rows = np.array([(labels == y).sum() for y in (0, 1)], float)
-    having = np.stack([count(0), count(1)])
-    ratio = np.zeros(size)
+    telling = np.zeros(size, bool)
     if rows.min() == 0:
-        return ratio > 0
-    for seen, there in ((having, having.sum(axis=0)), (rows[:, None] - having, rows.sum() - having.sum(axis=0))):
-        expected = rows[:, None] / rows.sum() * there
-        ratio += 2 * np.where(seen > 0, seen * np.log(np.maximum(seen, 1e-9) / np.maximum(expected, 1e-9)), 0).sum(axis=0)
-    return ratio >= MIN_LIKELIHOOD_RATIO
+        return telling
+    with_cell = np.stack([count(0), count(1)])
+    for at in range(0, size, CELLS_AT_ONCE):
+        having = with_cell[:, at : at + CELLS_AT_ONCE]
+        ratio = np.zeros(having.shape[1])
+        for seen, there in ((having, having.sum(axis=0)), (rows[:, None] - having, rows.sum() - having.sum(axis=0))):
+            expected = rows[:, None] / rows.sum() * there
+            ratio += 2 * np.where(seen > 0, seen * np.log(np.maximum(seen, 1e-9) / np.maximum(expected, 1e-9)), 0).sum(axis=0)
+        telling[at : at + CELLS_AT_ONCE] = ratio >= MIN_LIKELIHOOD_RATIO
+    return telling
 
 
 def _platt(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -333,7 +347,7 @@ def _judge(names: list[str], model):
         for batch in batches:
             counts: dict[str, list] = {c: [] for c in _COUNTS}
             chances = []
-            for s in W.slices(batch.column("text")):
+            for s in W.slices(batch.column("text"), SLICE_BYTES):
                 words = W.find_words(s)
                 total = lambda hit: np.diff(np.append(0, np.cumsum(hit))[s.bounds])  # noqa: E731, B023
                 hashes = W.word_hashes(s.data, words)
