@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -53,13 +54,12 @@ def fill_days(
     """
     d = F.col(date_col)
     nxt = F.col("_hl_next")
-    days = F.when(
-        nxt.isNull() | (nxt > d), F.sequence(d, F.coalesce(F.date_sub(nxt, 1), d))
-    )
+    # days are counted from the row's own: a sequence of dates would go through the calendar for each of them
+    last = F.when(nxt.isNull() & d.isNotNull(), F.lit(0)).when(nxt > d, F.date_diff(nxt, d) - 1)
     pos = pos_col or "_hl_pos"
     exploded = df.withColumn("_hl_next", F.lead(d).over(Window.partitionBy(*keys).orderBy(d))).select(
-        *[F.col(c) for c in df.columns if c != date_col],
-        F.posexplode(days).alias(pos, "_hl_day"),
+        *[F.col(c) for c in df.columns],
+        F.explode(F.sequence(F.lit(0), last)).alias(pos),
     )
 
     def measure(c: str):
@@ -69,7 +69,8 @@ def fill_days(
     out_cols = []
     for c in df.columns:
         if c == date_col:
-            out_cols.append(F.col("_hl_day").alias(date_col))
+            # a row without a date has no days; the coalesce (never taken) makes the NOT NULL explicit
+            out_cols.append(F.coalesce(F.date_add(d, F.col(pos)), F.lit(_dt.date(1970, 1, 1))).alias(date_col))
         elif c in measures:
             out_cols.append(measure(c))
         else:
