@@ -30,6 +30,7 @@ from hayloft.llm.tables import ALNUM_WORD, ascii_lower, stored, text_key
 
 WINDOW_WORDS = 13
 SHINGLE_WORDS = 5
+SLICE_BYTES = 1 << 18  # of texts that a worker takes at a time
 BITMAP_BITS_LOG2 = 24  # 2 MB, whatever the benchmark holds
 _BUCKET_BITS = 32768  # bits that Spark's bitmap aggregate packs into one row
 
@@ -59,7 +60,7 @@ def _window_shingles(window: int, shingle: int):
                 names=["window", "token", "at"],
             )
 
-    return run
+    return W.giving_back(run)
 
 
 def item_windows(benchmark: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
@@ -114,12 +115,12 @@ def _count_tokens(lengths: list[int], bitmap):
     def run(batches):
         for batch in batches:
             tokens = [np.zeros(0, np.uint64)]
-            for s in W.slices(batch.column("text")):
+            for s in W.slices(batch.column("text"), SLICE_BYTES):
                 tokens += [t for _, t in _token_positions(s, lengths, bitmap.value)[2]]
             token, n = np.unique(np.concatenate(tokens), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(W.signed(token)), pa.array(n.astype(np.int64))], names=["token", "n"])
 
-    return run
+    return W.giving_back(run)
 
 
 def _candidates(lengths: list[int], window: int, bitmap):
@@ -128,7 +129,7 @@ def _candidates(lengths: list[int], window: int, bitmap):
     def run(batches):
         for batch in batches:
             counts, places = [], []
-            for s in W.slices(batch.column("text")):
+            for s in W.slices(batch.column("text"), SLICE_BYTES):
                 lowered, words, found = _token_positions(s, lengths, bitmap.value)
                 at = np.concatenate([a for a, _ in found])
                 token = W.signed(np.concatenate([t for _, t in found]))
@@ -151,7 +152,7 @@ def _candidates(lengths: list[int], window: int, bitmap):
                 names=["row", "doc", "n_words", "places"],
             )
 
-    return run
+    return W.giving_back(run)
 
 
 _PLACES = pa.list_(

@@ -290,10 +290,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", sample_row
         .select("turn", "quality", "toxic", "text")
         .dropDuplicates(["turn"])  # repeated rows count once
         .select("quality", "toxic", "text")
-        .mapInArrow(_features, "quality int, toxic int, cells array<int>, values array<float>")
+        .mapInArrow(W.giving_back(_features), "quality int, toxic int, cells array<int>, values array<float>")
     )
     by_content = labelled.repartition(1).sortWithinPartitions(F.xxhash64("cells", "values"), "quality", "toxic")
-    row = by_content.mapInArrow(_trainer, "weights binary, slope array<double>, offset array<double>").first()
+    row = by_content.mapInArrow(W.giving_back(_trainer), "weights binary, slope array<double>, offset array<double>").first()
     if row is None:
         return Model(np.zeros((1 << DIMENSIONS_LOG2, len(HEADS)), np.float32), np.zeros(len(HEADS)), np.zeros(len(HEADS)))
     return Model(
@@ -368,7 +368,7 @@ def _judge(names: list[str], model):
                 names=[*names, *_COUNTS, "base_failed", "kept", "quality_probability", "toxic_probability"],
             )
 
-    return run
+    return W.giving_back(run)
 
 
 def judge(docs: DataFrame, model: Model, carry: list[str] | None = None) -> DataFrame:

@@ -33,6 +33,7 @@ from hayloft.llm.components import components
 from hayloft.llm.tables import stored, text_key
 
 SHINGLE_WORDS = 4
+SLICE_BYTES = 1 << 18  # of texts that a worker takes at a time
 DISTANCE = 4
 SEED = 42
 CROWD = 64
@@ -46,7 +47,7 @@ def _fingerprints(shingle: int, names: list[str]):
     def run(batches):
         for batch in batches:
             out = np.zeros(batch.num_rows, np.uint64)
-            for s in W.slices(batch.column("text")):
+            for s in W.slices(batch.column("text"), SLICE_BYTES):
                 for t in range(s.n):
                     words = W.LOWER[s.data[s.bounds[t] : s.bounds[t + 1]]].tobytes().split()
                     if not words:
@@ -68,7 +69,7 @@ def _fingerprints(shingle: int, names: list[str]):
                 [batch.column(c) for c in names] + [pa.array(out.view(np.int64))], names=[*names, "fp"]
             )
 
-    return run
+    return W.giving_back(run)
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS) -> DataFrame:

@@ -7,7 +7,8 @@ Rolling hashes are polynomials modulo 2**64 over well-mixed word hashes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -127,7 +128,7 @@ def find_words(s: Slice, table: np.ndarray = IS_WORD) -> Words:
     return Words(starts, np.flatnonzero(ends), np.searchsorted(starts, s.bounds, "left"))
 
 
-def word_hashes(data: np.ndarray, words: Words, piece: int = 1 << 20) -> np.ndarray:
+def word_hashes(data: np.ndarray, words: Words, piece: int = 1 << 18) -> np.ndarray:
     """A 64-bit hash of each word's bytes, in pieces of about ``piece`` bytes."""
     out = np.empty(len(words.starts), _U)
     at = 0
@@ -158,6 +159,27 @@ def window_ok(words: Words, length: int) -> np.ndarray:
     return np.arange(n) + length <= end_of_text[:n]
 
 
+def give_back() -> None:
+    """Free memory goes back to the system: a worker lives on between tasks, beside those that are busy."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # no glibc
+        pass
+
+
+def giving_back(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function of Arrow batches that gives free memory back when its task ends."""
+
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return task
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     """uint64 as the int64 of the same bits, Spark's long."""
     return x.view(np.int64)
